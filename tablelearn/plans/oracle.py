@@ -89,28 +89,86 @@ def _key_str(f: str, double: bool) -> str:
 DOUBLE_FEATURES = {"Player_Weight", "Player_Height", "Training_Intensity"}
 
 
-def gain_ctes(rel: str, features, label: str, keys=()) -> str:
-    """CTEs ending in ``g``: per (keys.., feature) n, label_entropy,
+def gain_ctes(rel: str, features, label: str, keys=(), p: str = "", where: str = "TRUE",
+              extra=(), cast_features: bool = True) -> str:
+    """CTEs ending in ``{p}g``: per (keys.., feature) n, label_entropy,
     conditional_entropy, feature_entropy, gain, gain_compat, feature_pos."""
     k = "".join(f"{x}, " for x in keys)
-    sel = ", ".join([*keys, label] + [f"{_key_str(f, f in DOUBLE_FEATURES)} AS {f}" for f in features])
+    feats = [f"{_key_str(f, f in DOUBLE_FEATURES)} AS {f}" if cast_features else f for f in features]
+    sel = ", ".join([*keys, label, *extra] + feats)
     on = ", ".join(features)
     pos = ", ".join(f"('{f}', {i})" for i, f in enumerate(features))
     return f"""
-long AS (UNPIVOT (SELECT {sel} FROM {rel}) ON {on} INTO NAME feature VALUE value),
-cells AS (SELECT {k}feature, value, {label}, count(*) AS n FROM long GROUP BY ALL),
-nf AS (SELECT {k}feature, sum(n) AS nn FROM cells GROUP BY ALL),
-nv AS (SELECT {k}feature, value, sum(n) AS nv FROM cells GROUP BY ALL),
-nl AS (SELECT {k}feature, {label}, sum(n) AS nl FROM cells GROUP BY ALL),
-hy AS (SELECT {k}feature, -sum((nl / nn) * ln(nl / nn)) / ln(2) AS hy FROM nl JOIN nf USING ({k}feature) GROUP BY ALL),
-hv AS (SELECT {k}feature, value, -sum((n / nv) * ln(n / nv)) / ln(2) AS hv FROM cells JOIN nv USING ({k}feature, value) GROUP BY ALL),
-hyx AS (SELECT {k}feature, sum((nv / nn) * hv) AS hyx FROM hv JOIN nv USING ({k}feature, value) JOIN nf USING ({k}feature) GROUP BY ALL),
-hx AS (SELECT {k}feature, -sum((nv / nn) * ln(nv / nn)) AS hx FROM nv JOIN nf USING ({k}feature) GROUP BY ALL),
-fp AS (SELECT * FROM (VALUES {pos}) AS t(feature, feature_pos)),
-g AS (SELECT {k}feature, CAST(nn AS BIGINT) AS n, greatest(hy, 0) AS label_entropy, greatest(hyx, 0) AS conditional_entropy,
+{p}long AS (SELECT * FROM (UNPIVOT (SELECT {sel} FROM {rel}) ON {on} INTO NAME feature VALUE value) WHERE {where}),
+{p}cells AS (SELECT {k}feature, value, {label}, count(*) AS n FROM {p}long GROUP BY ALL),
+{p}nf AS (SELECT {k}feature, sum(n) AS nn FROM {p}cells GROUP BY ALL),
+{p}nv AS (SELECT {k}feature, value, sum(n) AS nv FROM {p}cells GROUP BY ALL),
+{p}nl AS (SELECT {k}feature, {label}, sum(n) AS nl FROM {p}cells GROUP BY ALL),
+{p}hy AS (SELECT {k}feature, -sum((nl / nn) * ln(nl / nn)) / ln(2) AS hy FROM {p}nl JOIN {p}nf USING ({k}feature) GROUP BY ALL),
+{p}hv AS (SELECT {k}feature, value, -sum((n / nv) * ln(n / nv)) / ln(2) AS hv FROM {p}cells JOIN {p}nv USING ({k}feature, value) GROUP BY ALL),
+{p}hyx AS (SELECT {k}feature, sum((nv / nn) * hv) AS hyx FROM {p}hv JOIN {p}nv USING ({k}feature, value) JOIN {p}nf USING ({k}feature) GROUP BY ALL),
+{p}hx AS (SELECT {k}feature, -sum((nv / nn) * ln(nv / nn)) AS hx FROM {p}nv JOIN {p}nf USING ({k}feature) GROUP BY ALL),
+{p}fp AS (SELECT * FROM (VALUES {pos}) AS t(feature, feature_pos)),
+{p}g AS (SELECT {k}feature, CAST(nn AS BIGINT) AS n, greatest(hy, 0) AS label_entropy, greatest(hyx, 0) AS conditional_entropy,
         greatest(hx, 0) AS feature_entropy, greatest(hy, 0) - greatest(hyx, 0) AS gain,
         greatest(hy, 0) - greatest(hx, 0) AS gain_compat, CAST(feature_pos AS INTEGER) AS feature_pos
-      FROM hy JOIN hyx USING ({k}feature) JOIN hx USING ({k}feature) JOIN nf USING ({k}feature) JOIN fp USING (feature))"""
+      FROM {p}hy JOIN {p}hyx USING ({k}feature) JOIN {p}hx USING ({k}feature) JOIN {p}nf USING ({k}feature) JOIN {p}fp USING (feature))"""
+
+
+def id3_ctes(train_rel: str, test_rel: str | None, features, label: str, first: str, depth: int, keys=()) -> str:
+    """Level-by-level ID3 (textbook gain, majority leaves) as CTEs: ``nodes``
+    (all levels) and, with ``test_rel``, ``pred`` (keys.., label, prediction)."""
+    feats = list(features)
+    fcols = ", ".join(f"CAST({f} AS VARCHAR) AS {f}" for f in feats)
+    ctes = [f"r0 AS (SELECT {fcols}, {label}, CAST({first} AS DOUBLE) AS first_col, '' AS node, "
+            f"CAST([] AS VARCHAR[]) AS used FROM {train_rel})"]
+    node_names = []
+    for d in range(depth + 1):
+        r = f"r{d}"
+        ctes.append(f"c{d} AS (SELECT node, {label}, count(*) AS cnt, sum(first_col) AS sf FROM {r} GROUP BY ALL)")
+        ctes.append(f"mj{d} AS (SELECT node, {label} AS majority FROM c{d} "
+                    f"QUALIFY row_number() OVER (PARTITION BY node ORDER BY cnt DESC, {label}) = 1)")
+        ctes.append(f"s{d} AS (SELECT node, CAST(sum(cnt) AS BIGINT) AS n, count(*) AS classes, "
+                    f"sum({label} * cnt) / sum(cnt) AS mean_label, sum(sf) / sum(cnt) AS mean_first_column "
+                    f"FROM c{d} GROUP BY node)")
+        if d < depth and d < len(feats):
+            ctes.append(gain_ctes(r, feats, label, ["node"], p=f"l{d}_", where="NOT list_contains(used, feature)",
+                                  extra=["used"], cast_features=False).strip())
+            ctes.append(f"b{d} AS (SELECT node, feature AS best FROM l{d}_g "
+                        f"QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 12) DESC, feature_pos) = 1)")
+            split = "CASE WHEN s.classes > 1 THEN b.best END"
+            join_best = f"LEFT JOIN b{d} b ON s.node = b.node"
+        else:
+            split = "CAST(NULL AS VARCHAR)"
+            join_best = ""
+        ctes.append(f"n{d} AS (SELECT s.node AS node_path, CAST({d} AS INTEGER) AS depth, {split} AS split_attribute, "
+                    f"s.n, CAST(s.classes = 1 AS INTEGER) AS is_pure, CAST(m.majority AS DOUBLE) AS majority, "
+                    f"s.mean_label, s.mean_first_column, CAST(m.majority AS DOUBLE) AS leaf_value "
+                    f"FROM s{d} s JOIN mj{d} m ON s.node = m.node {join_best})")
+        node_names.append(f"n{d}")
+        if d < depth:
+            pick = "CASE n.split_attribute " + " ".join(f"WHEN '{f}' THEN r.{f}" for f in feats) + " END"
+            ctes.append(f"r{d + 1} AS (SELECT r.* EXCLUDE (node, used), "
+                        f"r.node || CASE WHEN r.node = '' THEN '' ELSE ' AND ' END || n.split_attribute || ' = ' "
+                        f"|| coalesce({pick}, 'null') AS node, list_append(r.used, n.split_attribute) AS used "
+                        f"FROM {r} r JOIN n{d} n ON r.node = n.node_path WHERE n.split_attribute IS NOT NULL)")
+    ctes.append("nodes AS (" + " UNION ALL ".join(f"SELECT * FROM {n}" for n in node_names) + ")")
+    if test_rel is not None:
+        kc = "".join(f"{k}, " for k in keys)
+        ctes.append(f"q0 AS (SELECT {kc}{label}, {fcols}, '' AS node, CAST(NULL AS DOUBLE) AS fb FROM {test_rel})")
+        done = []
+        for d in range(depth + 1):
+            ctes.append(f"j{d} AS (SELECT q.*, n.split_attribute AS sa, n.leaf_value AS lv, n.node_path IS NOT NULL AS hit "
+                        f"FROM q{d} q LEFT JOIN n{d} n ON q.node = n.node_path)")
+            done.append(f"SELECT {kc}{label}, CASE WHEN hit THEN lv ELSE fb END AS prediction FROM j{d} "
+                        f"WHERE NOT hit OR sa IS NULL")
+            pick = "CASE sa " + " ".join(f"WHEN '{f}' THEN {f}" for f in feats) + " END"
+            ctes.append(f"q{d + 1} AS (SELECT {kc}{label}, {', '.join(feats)}, node || CASE WHEN node = '' THEN '' "
+                        f"ELSE ' AND ' END || sa || ' = ' || coalesce({pick}, 'null') AS node, lv AS fb FROM j{d} "
+                        f"WHERE hit AND sa IS NOT NULL)")
+        done.append(f"SELECT {kc}{label}, fb AS prediction FROM q{depth + 1}")
+        ctes.append("pred AS (" + " UNION ALL ".join(done) + ")")
+    return ",\n".join(ctes)
 
 
 def _gain_cols(prefix: str = "") -> str:
@@ -252,6 +310,12 @@ def _feature_value_counts() -> str:
             f"INTO NAME feature VALUE value) GROUP BY ALL")
 
 
+_ID3_TRAIN = f"(SELECT * FROM {INJURY_SPLIT_70} WHERE split = 0)"
+_ID3_TEST = f"(SELECT * FROM {INJURY_SPLIT_70} WHERE split = 1)"
+_ID3 = id3_ctes(_ID3_TRAIN, _ID3_TEST, C.CATEGORICAL_FEATURES, LBL, "l_orderkey", C.ID3_DEPTH, C.INJURY_KEY)
+_NODE_COLS = (f"node_path, depth, split_attribute, n, is_pure, majority, {rnd('mean_label')} AS mean_label, "
+              f"{rnd('mean_first_column')} AS mean_first_column, leaf_value")
+
 ORACLE = {
     "parse_records": f"SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in INJURY_COLUMNS)
                      + f" FROM {INJURY} WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in INJURY_COLUMNS),
@@ -326,4 +390,9 @@ ORACLE = {
     "hand_longest_run": f"WITH {_LONG_CARDS} SELECT hand_id, longest_run, longest_run_compat FROM runs",
     "hand_flush_bonus": f"WITH {_SUITS} SELECT hand_id, flush_bonus, flush_bonus_compat FROM bonus",
     "score_hands": SCORE_HANDS,
+    "id3_build": f"WITH {_ID3} SELECT {_NODE_COLS} FROM nodes",
+    "id3_rules": f"WITH {_ID3} SELECT node_path AS rule, depth, n, leaf_value AS prediction FROM nodes "
+                 f"WHERE split_attribute IS NULL",
+    "id3_predict": f"WITH {_ID3} SELECT * FROM pred",
+    "id3_accuracy": f"WITH {_ID3} SELECT {rnd(f'avg(CASE WHEN prediction = {LBL} THEN 1 ELSE 0 END)')} AS accuracy FROM pred",
 }
