@@ -96,7 +96,7 @@ def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion
     first = first_column or df.columns[0]
     compat = criterion == "compat"
     vmap = _value_map(df, features)
-    cur = df.select(*features, label, F.col(first).cast("double").alias("_first"),
+    cur = df.select(*features, label, F.col(first).try_cast("double").alias("_first"),
                     F.array().cast(PATH_TYPE).alias("_path"))
     model = ID3Model(features, label, max_depth, leaf)
     y = F.col(label)

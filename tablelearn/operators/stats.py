@@ -228,7 +228,7 @@ def leaf_values(df: DataFrame, label: str, by=(), first_column: str | None = Non
     smallest), ``mean_label`` and ``mean_first_column`` (the value the
     reference actually stores in its leaves).  One pass over the rows."""
     first = first_column or df.columns[0]
-    cells = df.groupBy(*by, label).agg(_cnt().alias("_n"), F.sum(F.col(first).cast("double")).alias("_f"))
+    cells = df.groupBy(*by, label).agg(_cnt().alias("_n"), F.sum(F.col(first).try_cast("double")).alias("_f"))
     return cells.groupBy(*by).agg(
         F.sum("_n").alias("n"),
         F.min_by(label, F.struct(-F.col("_n"), F.col(label))).alias("majority"),
