@@ -52,16 +52,7 @@ def hand_flush_bonus(suits=SUITS, compat: bool = False) -> Column:
     return F.when(reduce(lambda a, b: a | b, [c == 4 for c in counts]), F.lit(FLUSH_BONUS)).otherwise(F.lit(0))
 
 
-def hand_longest_run(ranks=RANKS, compat: bool = False) -> Column:
-    """Longest run of consecutive ranks (ace low only).
-
-    Default: longest island of consecutive *distinct* ranks.
-    Compat: an island counts 1 for its lowest rank plus every card (with
-    multiplicity) of its higher ranks; null when the hand's lowest rank is
-    duplicated (the reference indexes position -1 there)."""
-    d = F.array_sort(F.array_distinct(F.array(*[F.col(r) for r in ranks])))
-    vals = [F.get(d, j) for j in range(len(ranks))]
-    mult = [_sum([(F.col(r) == v).cast("int") for r in ranks]) for v in vals]
+def _runs(vals, mult, compat: bool) -> Column:
     runs = []
     prev = None
     for j, v in enumerate(vals):
@@ -79,6 +70,59 @@ def hand_longest_run(ranks=RANKS, compat: bool = False) -> Column:
     return longest.cast("int")
 
 
+def _distinct_sorted(ranks) -> Column:
+    # sort_array (not array_sort, a lambda function) keeps this in codegen
+    return F.sort_array(F.array_distinct(F.array(*[F.col(r) for r in ranks])))
+
+
+def hand_longest_run(ranks=RANKS, compat: bool = False) -> Column:
+    """Longest run of consecutive ranks (ace low only).
+
+    Default: longest island of consecutive *distinct* ranks.
+    Compat: an island counts 1 for its lowest rank plus every card (with
+    multiplicity) of its higher ranks; null when the hand's lowest rank is
+    duplicated (the reference indexes position -1 there)."""
+    d = _distinct_sorted(ranks)
+    vals = [F.get(d, j) for j in range(len(ranks))]
+    mult = [_sum([(F.col(r) == v).cast("int") for r in ranks]) for v in vals]
+    return _runs(vals, mult, compat)
+
+
+def with_rank_profile(df: DataFrame, ranks=RANKS) -> DataFrame:
+    """Add ``_v0.._v4`` (distinct ranks ascending, null past the end) and
+    ``_m0.._m4`` (their multiplicities) as columns, in two projections so
+    the sorted array is computed once per row."""
+    n = len(ranks)
+    staged = df.withColumn("_d", _distinct_sorted(ranks))
+    staged = staged.withColumns({f"_v{j}": F.get(F.col("_d"), j) for j in range(n)}).drop("_d")
+    return staged.withColumns({
+        f"_m{j}": _sum([(F.col(r) == F.col(f"_v{j}")).cast("int") for r in ranks]) for j in range(n)})
+
+
+def with_runs(df: DataFrame, ranks=RANKS) -> DataFrame:
+    """Add ``longest_run`` and ``longest_run_compat``.  The run length at
+    each distinct-rank position is its own column (one small projection per
+    position, each referencing the previous one), so no position is
+    recomputed inside later ones."""
+    n = len(ranks)
+    out = with_rank_profile(df, ranks)
+    for kind, compat in (("d", False), ("c", True)):
+        for j in range(n):
+            v = F.col(f"_v{j}")
+            if j == 0:
+                cur = F.when(v.isNotNull(), F.lit(1))
+            else:
+                start = (v - 1) != F.col(f"_v{j - 1}")
+                step = F.col(f"_m{j}") if compat else F.lit(1)
+                cur = F.when(v.isNull(), F.lit(None)).when(start, F.lit(1)).otherwise(F.col(f"_{kind}{j - 1}") + step)
+            out = out.withColumn(f"_{kind}{j}", cur)
+    longest = F.greatest(*[F.col(f"_d{j}") for j in range(n)]).cast("int")
+    compat_longest = F.when(F.col("_m0") > 1, F.lit(None)).otherwise(
+        F.greatest(*[F.col(f"_c{j}") for j in range(n)])).cast("int")
+    tmp = [f"_{k}{j}" for k in ("v", "m", "d", "c") for j in range(n)]
+    return out.withColumns({"longest_run": longest, "longest_run_compat": compat_longest}).drop(*tmp)
+
+
 def hand_total(cls="class", ranks=RANKS, suits=SUITS, compat: bool = False) -> Column:
     cs = hand_class_score(cls)
     pts = hand_rank_points(ranks)
@@ -86,16 +130,25 @@ def hand_total(cls="class", ranks=RANKS, suits=SUITS, compat: bool = False) -> C
 
 
 def score_hands(df: DataFrame, keep=("hand_id",)) -> DataFrame:
-    """All parts of the score, default and compat, as columns."""
-    return df.select(
+    """All parts of the score, default and compat, as columns (staged
+    projections: rank profile, then parts, then totals)."""
+    runs = with_runs(df.select(*keep, "class", *RANKS, *SUITS))
+    parts = runs.select(
         *keep,
         F.col("class"),
         hand_class_score().alias("class_score"),
         hand_rank_points().alias("rank_points"),
         hand_flush_bonus().alias("flush_bonus"),
         hand_flush_bonus(compat=True).alias("flush_bonus_compat"),
-        hand_longest_run().alias("longest_run"),
-        hand_longest_run(compat=True).alias("longest_run_compat"),
-        hand_total().alias("total_score"),
-        hand_total(compat=True).alias("total_score_compat"),
+        "longest_run",
+        "longest_run_compat",
     )
+    cs, pts = F.col("class_score"), F.col("rank_points")
+
+    def total(bonus, run):
+        return cs + pts * cs * POINTS_WEIGHT + F.col(bonus) + F.col(run) * RUN_WEIGHT
+
+    return parts.withColumns({
+        "total_score": total("flush_bonus", "longest_run"),
+        "total_score_compat": total("flush_bonus_compat", "longest_run_compat"),
+    })

@@ -4,19 +4,20 @@ The tree is a node table, not a driver-side object.  Rows carry their path
 from the root (``array<struct<attr, value>>``); the node key is the path's
 JSON text.  The tree grows one LEVEL per iteration, for all nodes at once:
 
-1. one aggregate over ``(node, label)`` cells -> size, purity (number of
-   label cells), majority label, mean label, mean of the first column;
-2. one histogram ``(node, feature, value, label) -> n`` over the features
+1. one histogram ``(node, feature, value, label) -> n`` over the features
    not yet used on each row's path (unpivot, filter, map-side combine),
    scored by ``gain_table`` and reduced to the best attribute per node;
+2. node statistics (size, purity = number of label cells, majority label,
+   mean label, mean of the first column) from the cells of a pseudo-feature
+   with one constant value, carried in the same histogram;
 3. impure nodes above ``max_depth`` with a feature left are split: their
    rows are joined to the split table (broadcast only when the number of
    splits, already counted, is under a limit; otherwise a shuffle join
    that AQE can de-skew) and their path is extended with
    ``(attribute, value)``;
-4. the level's nodes and the advanced rows are checkpointed into the
-   shared checkpoint directory, which bounds the lineage and makes a lost
-   executor cost one level, not the whole tree.
+4. the level's nodes and the advanced rows are written as parquet into
+   the shared checkpoint directory and read back, which bounds the lineage
+   and makes a lost executor cost one level, not the whole tree.
 
 Only one number per level reaches the driver (how many nodes split).
 
@@ -31,12 +32,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelearn.functions.columns import as_key_string, ratio
 from tablelearn.operators.stats import best_attribute, gain_table, long_values
-from tablelearn.plans.shaping import BROADCAST_ROW_LIMIT, cut_lineage
+from tablelearn.plans.shaping import BROADCAST_ROW_LIMIT, cut_lineage, drop_written
 
 PATH_TYPE = "array<struct<attr:string,value:string>>"
 LEAF_KINDS = ("majority", "mean_label", "mean_first_column")
@@ -86,50 +88,61 @@ class ID3Model:
                              F.col(self.leaf).cast("double").alias("prediction"))
 
 
+ROWS = "__rows__"   # pseudo-feature: its histogram cells are the (node, label) counts
+
+
 def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion: str = "textbook",
               leaf: str = "majority", first_column: str | None = None,
               broadcast_limit: int = BROADCAST_ROW_LIMIT) -> ID3Model:
-    """Grow the tree (eager: a few jobs per level)."""
+    """Grow the tree (eager: a few jobs per level).
+
+    Per level there is one pass over the rows for the histogram (node
+    statistics come from the pseudo-feature cells of the same histogram,
+    which is persisted for its two readers) and one pass to advance the
+    rows of split nodes; the first level reads the input once and writes
+    the projected rows."""
     if leaf not in LEAF_KINDS:
         raise ValueError(f"leaf must be one of {LEAF_KINDS}")
     features = list(features)
     first = first_column or df.columns[0]
     compat = criterion == "compat"
     vmap = _value_map(df, features)
-    cur = df.select(*features, label, F.col(first).try_cast("double").alias("_first"),
-                    F.array().cast(PATH_TYPE).alias("_path"))
+    cur = cut_lineage(df.select(*features, label, F.col(first).try_cast("double").alias("_first"),
+                                F.array().cast(PATH_TYPE).alias("_path")), "id3-rows")
     model = ID3Model(features, label, max_depth, leaf)
     y = F.col(label)
+    written = [cur]
     for depth in range(max_depth + 1):
+        can_split = depth < max_depth and depth < len(features)
         keyed = cur.withColumn("_node", F.to_json("_path"))
-        cells = keyed.groupBy("_node", label).agg(
-            F.count(F.lit(1)).alias("_n"), F.sum("_first").alias("_f"), F.any_value("_path").alias("_p"))
+        long = long_values(keyed.withColumn(ROWS, F.lit("")), (features if can_split else []) + [ROWS],
+                           ids=["_node", "_path", label, "_first"])
+        long = long.filter(~F.array_contains(F.col("_path.attr"), F.col("feature"))).drop("_path")
+        hist = long.groupBy("_node", "feature", "value", label).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("_first").alias("_f")).persist(StorageLevel.MEMORY_AND_DISK)
+        cells = hist.filter(F.col("feature") == ROWS)
         stats = cells.groupBy("_node").agg(
-            F.sum("_n").alias("n"),
+            F.sum("n").alias("n"),
             F.count(F.lit(1)).alias("_classes"),
-            F.min_by(label, F.struct(-F.col("_n"), y)).alias("majority"),
-            ratio(F.sum(y.cast("double") * F.col("_n")), F.sum(F.when(y.isNotNull(), F.col("_n")))).alias("mean_label"),
-            ratio(F.sum("_f"), F.sum("_n")).alias("mean_first_column"),
-            F.any_value("_p").alias("_path"),
+            F.min_by(label, F.struct(-F.col("n"), y)).alias("majority"),
+            ratio(F.sum(y.cast("double") * F.col("n")), F.sum(F.when(y.isNotNull(), F.col("n")))).alias("mean_label"),
+            ratio(F.sum("_f"), F.sum("n")).alias("mean_first_column"),
         )
-        can_split = depth < max_depth and depth < len(features)
         if can_split:
-            long = long_values(keyed, features, ids=["_node", "_path", label])
-            long = long.filter(~F.array_contains(F.col("_path.attr"), F.col("feature"))).drop("_path")
-            hist = long.groupBy("_node", "feature", "value", label).agg(F.count(F.lit(1)).alias("n"))
-            best = best_attribute(gain_table(hist, label, ["_node"], features), ["_node"], compat=compat)
-            nodes = stats.join(best, "_node", "left")
+            gains = gain_table(hist.filter(F.col("feature") != ROWS).drop("_f"), label, ["_node"], features)
+            nodes = stats.join(best_attribute(gains, ["_node"], compat=compat), "_node", "left")
         else:
             nodes = stats.withColumn("best_attribute", F.lit(None).cast("string")).withColumn(
                 "gain", F.lit(None).cast("double"))
         split = F.when((F.col("_classes") > 1) & F.lit(can_split), F.col("best_attribute"))
         nodes = nodes.select(
-            "_node", "_path", F.lit(depth).alias("depth"), F.col("n").cast("bigint").alias("n"),
-            (F.col("_classes") == 1).cast("int").alias("is_pure"), "majority", "mean_label",
-            "mean_first_column", split.alias("split_attribute"), "gain")
-        nodes = cut_lineage(nodes)
-        n_nodes = nodes.count()
-        n_split = nodes.filter(F.col("split_attribute").isNotNull()).count()
+            "_node", F.from_json("_node", PATH_TYPE).alias("_path"), F.lit(depth).alias("depth"),
+            F.col("n").cast("bigint").alias("n"), (F.col("_classes") == 1).cast("int").alias("is_pure"),
+            "majority", "mean_label", "mean_first_column", split.alias("split_attribute"), "gain")
+        nodes = cut_lineage(nodes, "id3-nodes")
+        hist.unpersist()
+        counts = nodes.agg(F.count(F.lit(1)).alias("a"), F.count("split_attribute").alias("s")).first()
+        n_nodes, n_split = int(counts["a"]), int(counts["s"])
         model.levels.append((depth, nodes, n_nodes, n_split))
         if n_split == 0:
             break
@@ -139,7 +152,11 @@ def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion
         nxt = keyed.join(splits, "_node", "inner")
         step = F.struct(F.col("split_attribute").alias("attr"),
                         F.element_at(vmap, F.col("split_attribute")).alias("value"))
-        cur = cut_lineage(nxt.select(*features, label, "_first", F.array_append("_path", step).alias("_path")))
+        cur = cut_lineage(nxt.select(*features, label, "_first", F.array_append("_path", step).alias("_path")),
+                          "id3-rows")
+        written.append(cur)
+    for rows in written:   # row tables: nothing reads them after the build
+        drop_written(rows)
     return model
 
 
@@ -159,7 +176,7 @@ def id3_predict(model: ID3Model, df: DataFrame, output: str = "prediction",
         if n_nodes <= broadcast_limit:
             look = F.broadcast(look)
         j = active.withColumn("_node", F.to_json("_path")).join(look, "_node", "left")
-        j = cut_lineage(j)
+        j = cut_lineage(j, "id3-predict")
         finished = j.filter(F.col("_hit").isNull() | F.col("_split").isNull())
         done.append(finished.select(*cols, F.when(F.col("_hit").isNull(), F.col("_fallback"))
                                     .otherwise(F.col("_leaf")).alias(output)))

@@ -410,8 +410,7 @@ def q_hand_rank_points(spark, sf):
 
 
 def q_hand_longest_run(spark, sf):
-    return _hands(spark, sf).select("hand_id", hands.hand_longest_run().alias("longest_run"),
-                                    hands.hand_longest_run(compat=True).alias("longest_run_compat"))
+    return hands.with_runs(_hands(spark, sf)).select("hand_id", "longest_run", "longest_run_compat")
 
 
 def q_hand_flush_bonus(spark, sf):

@@ -6,9 +6,12 @@
   come from a table with one row per bucket (bounded by the bucket count).
 * ``bounded_broadcast``: broadcast a side only after checking its row count
   against a limit; above it the join is left to Catalyst/AQE.
-* ``cut_lineage``: reliable checkpoint into ``spark.checkpoint.dir`` for
-  iterative operators (never ``localCheckpoint``: a lost executor would lose
-  the only copy).
+* ``cut_lineage``: for iterative operators, write the intermediate table
+  as parquet under the shared ``spark.checkpoint.dir`` and read it back.
+  One computation (``Dataset.checkpoint`` computes the plan once for its
+  eager count and again to write the files), columnar and compressed, and
+  it survives lost executors.  Never ``localCheckpoint``: a lost executor
+  would lose the only copy.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelearn.session import ensure_checkpoint_dir
+from tablelearn.session import ensure_checkpoint_dir, scratch_path
 
 BROADCAST_ROW_LIMIT = 200_000
 
@@ -74,7 +77,23 @@ def bounded_broadcast(small: DataFrame, limit: int = BROADCAST_ROW_LIMIT):
     return small, False
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint to the shared checkpoint directory."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialize ``df`` as a parquet table in the shared checkpoint
+    directory and return a fresh scan of it (lineage starts there)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def drop_written(df: DataFrame) -> None:
+    """Delete the files behind a table made by ``cut_lineage`` once nothing
+    reads it any more."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if not files:
+        return
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(path, True)

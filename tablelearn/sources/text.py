@@ -74,51 +74,74 @@ def records_as_lines(df: DataFrame, cols, line_col: str = "value") -> DataFrame:
     return df.select(F.concat_ws(",", *[F.col(c).cast("string") for c in cols]).alias(line_col))
 
 
-def _fields(line: Column) -> Column:
-    # Split on commas after removing trailing separators: a line "a,b,,"
-    # has two fields, as with the JVM String.split the data came from.
-    return F.split(F.regexp_replace(line, ",+$", ""), ",")
+_CSV_OPTIONS = {"mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+
+
+def _strip_trailing_commas(line: Column) -> Column:
+    # "a,b,," has two fields, as with the JVM String.split the data came from
+    return F.rtrim(line, F.lit(","))
+
+
+def _keep_if(record: Column, predicate, keep_cols=()) -> DataFrame:
+    """Rows of ``record`` (a struct) for which ``predicate`` holds, as a
+    generator: ``inline(filter(array(record), predicate))``.
+
+    A plain ``filter`` on the parsed fields would be pushed below the
+    projection that parses the line and Catalyst would substitute the parse
+    expression into every field reference (once per field, per row).  The
+    lambda variable here binds the record once.
+    """
+    return F.inline(F.filter(F.array(record), predicate))
 
 
 def parse_records(df: DataFrame, line_col: str = "value", names=INJURY_COLUMNS,
                   keep_cols=(), keep_rejects: bool = False) -> DataFrame:
-    """Text lines -> one double column per name.
+    """Text lines -> one double column per name (native CSV field parser,
+    whitespace around fields trimmed).
 
     Lines whose field count differs from ``len(names)`` or with a field that
     does not parse as a number are dropped; with ``keep_rejects=True`` they
-    are kept with null values and ``rejected = true``.
+    are kept with ``rejected = true``.
     """
     names = list(names)
-    parts = _fields(F.col(line_col))
-    parsed = df.select(
-        *keep_cols,
-        F.size(parts).alias("_arity"),
-        *[(F.trim(F.get(parts, i))).try_cast("double").alias(n) for i, n in enumerate(names)],
-    )
-    ok = (F.col("_arity") == len(names)) & all_not_null(names)
+    line = _strip_trailing_commas(F.col(line_col))
+    arity = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit(""))) + 1
+    schema = ", ".join(f"`{n}` DOUBLE" for n in names)
+    rec = F.struct(*[F.col(k).alias(k) for k in keep_cols],
+                   F.from_csv(line, schema, _CSV_OPTIONS).alias("_r"), arity.alias("_n"))
+
+    def ok(r):
+        return (r["_n"] == len(names)) & all_not_null([r["_r"][n] for n in names])
+
     if keep_rejects:
-        return parsed.withColumn("rejected", ~ok).drop("_arity")
-    return parsed.filter(ok).drop("_arity")
+        out = df.select(F.inline(F.array(rec)))
+        return out.select(*keep_cols, *[F.col("_r")[n].alias(n) for n in names],
+                          (~F.coalesce(ok(F.struct("_r", "_n")), F.lit(False))).alias("rejected"))
+    out = df.select(_keep_if(rec, ok))
+    return out.select(*keep_cols, *[F.col("_r")[n].alias(n) for n in names])
+
+
+HAND_COLUMNS = tuple(f"{k}{i + 1}" for i in range(5) for k in ("s", "r")) + ("class",)
 
 
 def parse_hand_lines(df: DataFrame, line_col: str = "value", keep_cols=(),
                      keep_rejects: bool = False) -> DataFrame:
-    """``s1,r1,...,s5,r5,class`` -> int columns s1..s5, r1..r5 and ``class``.
+    """``s1,r1,...,s5,r5,class`` -> int columns s1, r1, ..., s5, r5, ``class``.
 
     Even positions are suits, odd positions ranks, position 10 the class;
     fields past the eleventh are ignored.  Lines with fewer than 11 fields or
     a non-integer among the first 11 are dropped (or flagged).
     """
-    parts = _fields(F.col(line_col))
-    cols = []
-    for i in range(5):
-        cols.append((F.trim(F.get(parts, 2 * i))).try_cast("int").alias(f"s{i + 1}"))
-        cols.append((F.trim(F.get(parts, 2 * i + 1))).try_cast("int").alias(f"r{i + 1}"))
-    cols.append((F.trim(F.get(parts, 10))).try_cast("int").alias("class"))
-    names = [f"s{i + 1}" for i in range(5)] + [f"r{i + 1}" for i in range(5)] + ["class"]
-    parsed = df.select(*keep_cols, F.size(parts).alias("_arity"), *cols)
-    ok = (F.col("_arity") >= 11) & all_not_null(names)
-    ordered = list(keep_cols) + [f"{k}{i + 1}" for i in range(5) for k in ("s", "r")] + ["class"]
+    line = _strip_trailing_commas(F.col(line_col))
+    schema = ", ".join(f"`{n}` INT" for n in HAND_COLUMNS)
+    rec = F.struct(*[F.col(k).alias(k) for k in keep_cols], F.from_csv(line, schema, _CSV_OPTIONS).alias("_r"))
+
+    def ok(r):
+        return all_not_null([r["_r"][n] for n in HAND_COLUMNS])
+
     if keep_rejects:
-        return parsed.withColumn("rejected", ~ok).select(*ordered, "rejected")
-    return parsed.filter(ok).select(*ordered)
+        out = df.select(F.inline(F.array(rec)))
+        return out.select(*keep_cols, *[F.col("_r")[n].alias(n) for n in HAND_COLUMNS],
+                          (~F.coalesce(ok(F.struct("_r")), F.lit(False))).alias("rejected"))
+    out = df.select(_keep_if(rec, ok))
+    return out.select(*keep_cols, *[F.col("_r")[n].alias(n) for n in HAND_COLUMNS])
