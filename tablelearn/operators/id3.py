@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelearn.functions.columns import as_key_string, ratio
-from tablelearn.operators.stats import best_attribute, gain_table, long_values
+from tablelearn.operators.stats import ROWS, best_attribute, gain_table, long_values
 from tablelearn.plans.shaping import BROADCAST_ROW_LIMIT, cut_lineage, drop_written
 
 PATH_TYPE = "array<struct<attr:string,value:string>>"
@@ -88,9 +88,6 @@ class ID3Model:
                              F.col(self.leaf).cast("double").alias("prediction"))
 
 
-ROWS = "__rows__"   # pseudo-feature: its histogram cells are the (node, label) counts
-
-
 def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion: str = "textbook",
               leaf: str = "majority", first_column: str | None = None,
               broadcast_limit: int = BROADCAST_ROW_LIMIT) -> ID3Model:
@@ -129,7 +126,7 @@ def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion
             ratio(F.sum("_f"), F.sum("n")).alias("mean_first_column"),
         )
         if can_split:
-            gains = gain_table(hist.filter(F.col("feature") != ROWS).drop("_f"), label, ["_node"], features)
+            gains = gain_table(hist.drop("_f"), label, ["_node"], features)
             nodes = stats.join(best_attribute(gains, ["_node"], compat=compat), "_node", "left")
         else:
             nodes = stats.withColumn("best_attribute", F.lit(None).cast("string")).withColumn(

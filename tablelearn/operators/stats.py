@@ -28,6 +28,9 @@ from tablelearn.functions.columns import LN2, as_key_string, ratio, trunc_int, x
 
 FEATURE = "feature"
 VALUE = "value"
+# Pseudo-feature with one constant value: its histogram cells are the
+# (by.., label) counts, so label statistics ride along in the same pass.
+ROWS = "__rows__"
 
 
 def _cnt() -> Column:
@@ -88,9 +91,11 @@ def long_values(df: DataFrame, features, ids=()) -> DataFrame:
 
 def histogram(df: DataFrame, features, label: str, by=()) -> DataFrame:
     """``(by.., feature, value, label) -> n``: the one pass over the data
-    that gain, purity and split statistics are read from."""
+    that gain, purity and split statistics are read from.  Includes the
+    ``ROWS`` pseudo-feature (the label counts per group)."""
     ids = list(by) + [label]
-    return long_values(df, features, ids).groupBy(*by, FEATURE, VALUE, label).agg(_cnt().alias("n"))
+    long = long_values(df.withColumn(ROWS, F.lit("")), [*features, ROWS], ids)
+    return long.groupBy(*by, FEATURE, VALUE, label).agg(_cnt().alias("n"))
 
 
 def feature_value_counts(df: DataFrame, features, by=()) -> DataFrame:
@@ -129,17 +134,21 @@ def entropy(df: DataFrame, label: str, by=()) -> DataFrame:
 
 
 def gain_table(hist: DataFrame, label: str, by=(), features=None) -> DataFrame:
-    """Per ``(by.., feature)`` from a histogram: ``n``, ``label_entropy``
-    (bits), ``conditional_entropy`` (bits), ``feature_entropy`` (nats),
-    ``gain`` (textbook) and ``gain_compat`` (label entropy in bits minus the
-    feature's own entropy in nats, as the reference executes it)."""
+    """Per ``(by.., feature)`` from a histogram (with its ``ROWS`` cells):
+    ``n``, ``label_entropy`` (bits), ``conditional_entropy`` (bits),
+    ``feature_entropy`` (nats), ``gain`` (textbook) and ``gain_compat``
+    (label entropy in bits minus the feature's own entropy in nats, as the
+    reference executes it).  One linear chain of aggregates: no branch, so
+    the histogram (and the scan under it) is computed once."""
     keys = [*by, FEATURE]
     per_value = hist.groupBy(*keys, VALUE).agg(F.sum("n").alias("_nv"), F.sum(xlogx("n")).alias("_av"))
     per_feature = per_value.groupBy(*keys).agg(
         F.sum("_nv").alias("n"), F.sum(xlogx("_nv")).alias("_b"), F.sum("_av").alias("_a"))
-    per_label = (hist.groupBy(*keys, label).agg(F.sum("n").alias("_nl"))
-                 .groupBy(*keys).agg(F.sum(xlogx("_nl")).alias("_c")))
-    t = per_feature.join(per_label, keys)
+    # sum_l n_l ln n_l of the group = the "_a" of the ROWS pseudo-feature.
+    # The window holds (features + 1) rows per group: a bounded partition.
+    w = Window.partitionBy(*by)
+    t = (per_feature.withColumn("_c", F.max(F.when(F.col(FEATURE) == ROWS, F.col("_a"))).over(w))
+         .filter(F.col(FEATURE) != ROWS))
     n = F.col("n").cast("double")
     h_label = _bits_from_sums(F.col("n"), F.col("_c"))
     h_cond = F.greatest(F.lit(0.0), ratio(F.col("_b") - F.col("_a"), n) / LN2)
