@@ -185,6 +185,12 @@ def q_best_attribute(spark, sf):
     return rounded(stats.best_attribute(rep))
 
 
+def q_best_attribute_by_split(spark, sf):
+    df = split.hash_split(_injury(spark, sf), INJURY_KEY, [0.7, 0.3], SEED_70_30)
+    rep = stats.gain_report(df, INJURY_FEATURES, INJURY_LABEL, by=["split"])
+    return rounded(stats.best_attribute(rep, by=["split"]))
+
+
 def q_best_attribute_compat(spark, sf):
     rep = stats.gain_report(_injury(spark, sf), INJURY_FEATURES, INJURY_LABEL)
     return rounded(stats.best_attribute(rep, compat=True))
@@ -386,6 +392,26 @@ def q_id3_predict(spark, sf):
     return id3.id3_predict(model, test).select(*INJURY_KEY, INJURY_LABEL, "prediction")
 
 
+def _id3_compat(spark, sf):
+    """As executed: gain minus the feature's own entropy, leaves hold the
+    mean of the first table column (Player_Age)."""
+    df = _injury_split(spark, sf, [0.7, 0.3], SEED_70_30)
+    model = id3.id3_build(df.filter(F.col("split") == 0), CATEGORICAL_FEATURES, INJURY_LABEL, max_depth=ID3_DEPTH,
+                          criterion="compat", leaf="mean_first_column", first_column="Player_Age")
+    return df, model
+
+
+def q_id3_build_compat(spark, sf):
+    _, model = _id3_compat(spark, sf)
+    return rounded(model.node_table())
+
+
+def q_id3_predict_compat(spark, sf):
+    df, model = _id3_compat(spark, sf)
+    test = df.filter(F.col("split") == 1).select(*INJURY_KEY, *CATEGORICAL_FEATURES, INJURY_LABEL)
+    return rounded(id3.id3_predict(model, test).select(*INJURY_KEY, INJURY_LABEL, "prediction"))
+
+
 def q_id3_build_deep(spark, sf):
     _, model = _id3(spark, sf, depth=7)
     return rounded(model.node_table())
@@ -452,6 +478,7 @@ QUERIES = {
     "gain_report_by_split": q_gain_report_by_split,
     "best_attribute": q_best_attribute,
     "best_attribute_compat": q_best_attribute_compat,
+    "best_attribute_by_split": q_best_attribute_by_split,
     "class_means": q_class_means,
     "class_means_compat": q_class_means_compat,
     "class_stddev": q_class_stddev,
@@ -487,6 +514,8 @@ QUERIES = {
     "id3_build": q_id3_build,
     "id3_rules": q_id3_rules,
     "id3_predict": q_id3_predict,
+    "id3_build_compat": q_id3_build_compat,
+    "id3_predict_compat": q_id3_predict_compat,
     "id3_build_deep": q_id3_build_deep,
     "id3_accuracy": q_id3_accuracy,
     # poker hands

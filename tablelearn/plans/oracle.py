@@ -115,9 +115,12 @@ def gain_ctes(rel: str, features, label: str, keys=(), p: str = "", where: str =
       FROM {p}hy JOIN {p}hyx USING ({k}feature) JOIN {p}hx USING ({k}feature) JOIN {p}nf USING ({k}feature) JOIN {p}fp USING (feature))"""
 
 
-def id3_ctes(train_rel: str, test_rel: str | None, features, label: str, first: str, depth: int, keys=()) -> str:
-    """Level-by-level ID3 (textbook gain, majority leaves) as CTEs: ``nodes``
-    (all levels) and, with ``test_rel``, ``pred`` (keys.., label, prediction)."""
+def id3_ctes(train_rel: str, test_rel: str | None, features, label: str, first: str, depth: int, keys=(),
+             gain_col: str = "gain", leaf: str = "majority") -> str:
+    """Level-by-level ID3 as CTEs: ``nodes`` (all levels) and, with
+    ``test_rel``, ``pred`` (keys.., label, prediction).  ``gain_col`` is
+    ``gain`` or ``gain_compat``; ``leaf`` is ``majority`` or
+    ``mean_first_column``."""
     feats = list(features)
     fcols = ", ".join(f"CAST({f} AS VARCHAR) AS {f}" for f in feats)
     ctes = [f"r0 AS (SELECT {fcols}, {label}, CAST({first} AS DOUBLE) AS first_col, '' AS node, "
@@ -135,7 +138,7 @@ def id3_ctes(train_rel: str, test_rel: str | None, features, label: str, first:
             ctes.append(gain_ctes(r, feats, label, ["node"], p=f"l{d}_", where="NOT list_contains(used, feature)",
                                   extra=["used"], cast_features=False).strip())
             ctes.append(f"b{d} AS (SELECT node, feature AS best FROM l{d}_g "
-                        f"QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 12) DESC, feature_pos) = 1)")
+                        f"QUALIFY row_number() OVER (PARTITION BY node ORDER BY round({gain_col}, 12) DESC, feature_pos) = 1)")
             split = "CASE WHEN s.classes > 1 THEN b.best END"
             join_best = f"LEFT JOIN b{d} b ON s.node = b.node"
         else:
@@ -143,7 +146,9 @@ def id3_ctes(train_rel: str, test_rel: str | None, features, label: str, first:
             join_best = ""
         ctes.append(f"n{d} AS (SELECT s.node AS node_path, CAST({d} AS INTEGER) AS depth, {split} AS split_attribute, "
                     f"s.n, CAST(s.classes = 1 AS INTEGER) AS is_pure, CAST(m.majority AS DOUBLE) AS majority, "
-                    f"s.mean_label, s.mean_first_column, CAST(m.majority AS DOUBLE) AS leaf_value "
+                    f"s.mean_label, s.mean_first_column, "
+                    + ("CAST(m.majority AS DOUBLE)" if leaf == "majority" else f"CAST(s.{leaf} AS DOUBLE)")
+                    + " AS leaf_value "
                     f"FROM s{d} s JOIN mj{d} m ON s.node = m.node {join_best})")
         node_names.append(f"n{d}")
         if d < depth:
@@ -313,6 +318,8 @@ def _feature_value_counts() -> str:
 _ID3_TRAIN = f"(SELECT * FROM {INJURY_SPLIT_70} WHERE split = 0)"
 _ID3_TEST = f"(SELECT * FROM {INJURY_SPLIT_70} WHERE split = 1)"
 _ID3 = id3_ctes(_ID3_TRAIN, _ID3_TEST, C.CATEGORICAL_FEATURES, LBL, "l_orderkey", C.ID3_DEPTH, C.INJURY_KEY)
+_ID3C = id3_ctes(_ID3_TRAIN, _ID3_TEST, C.CATEGORICAL_FEATURES, LBL, "Player_Age", C.ID3_DEPTH, C.INJURY_KEY,
+                 gain_col="gain_compat", leaf="mean_first_column")
 _NODE_COLS = (f"node_path, depth, split_attribute, n, is_pure, majority, {rnd('mean_label')} AS mean_label, "
               f"{rnd('mean_first_column')} AS mean_first_column, leaf_value")
 
@@ -394,5 +401,10 @@ ORACLE = {
     "id3_rules": f"WITH {_ID3} SELECT node_path AS rule, depth, n, leaf_value AS prediction FROM nodes "
                  f"WHERE split_attribute IS NULL",
     "id3_predict": f"WITH {_ID3} SELECT * FROM pred",
+    "id3_build_compat": f"WITH {_ID3C} SELECT {_NODE_COLS.replace('leaf_value', rnd('leaf_value') + ' AS leaf_value')} FROM nodes",
+    "id3_predict_compat": f"WITH {_ID3C} SELECT {INJURY_KEY}, {LBL}, {rnd('prediction')} AS prediction FROM pred",
+    "best_attribute_by_split": (f"WITH {gain_ctes(INJURY_SPLIT_70, F6, LBL, ['split'])} SELECT split, feature AS best_attribute, "
+                                f"{rnd('gain')} AS gain FROM g "
+                                f"QUALIFY row_number() OVER (PARTITION BY split ORDER BY round(gain, 12) DESC, feature_pos) = 1"),
     "id3_accuracy": f"WITH {_ID3} SELECT {rnd(f'avg(CASE WHEN prediction = {LBL} THEN 1 ELSE 0 END)')} AS accuracy FROM pred",
 }
