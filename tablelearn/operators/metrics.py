@@ -10,6 +10,7 @@ prediction, and one aggregate sums them by class.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -91,8 +92,10 @@ def area_under_roc(df: DataFrame, label: str = "label", score: str = "score",
     """
     pos = F.col(label).cast("double") == 1.0
     rows = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    # read three times (cut points, in-bucket windows, bucket totals): keep
+    # it instead of aggregating the rows again; lost blocks are recomputed
     per_score = rows.groupBy(F.col(score).cast("double").alias("_s")).agg(
-        F.count_if(pos).alias("pos"), F.count_if(~pos).alias("neg"))
+        F.count_if(pos).alias("pos"), F.count_if(~pos).alias("neg")).persist(StorageLevel.MEMORY_AND_DISK)
     pre = exclusive_prefix_sums(per_score, "_s", ["neg"], buckets)
     contrib = F.col("pos") * (F.col("neg_before") + F.col("neg") * 0.5)
     agg = pre.agg(F.sum(contrib).alias("_u"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
