@@ -175,6 +175,13 @@ def q_gain_report(spark, sf):
     return rounded(stats.gain_report(_injury(spark, sf), INJURY_FEATURES, INJURY_LABEL))
 
 
+GAIN_BINS = 10
+
+
+def q_gain_report_binned(spark, sf):
+    return rounded(stats.gain_report(_injury(spark, sf), INJURY_FEATURES, INJURY_LABEL, bins=GAIN_BINS))
+
+
 def q_gain_report_by_split(spark, sf):
     df = split.hash_split(_injury(spark, sf), INJURY_KEY, [0.7, 0.3], SEED_70_30)
     return rounded(stats.gain_report(df, INJURY_FEATURES, INJURY_LABEL, by=["split"]))
@@ -476,6 +483,7 @@ QUERIES = {
     "information_gain_compat": q_information_gain_compat,
     "gain_report": q_gain_report,
     "gain_report_by_split": q_gain_report_by_split,
+    "gain_report_binned": q_gain_report_binned,
     "best_attribute": q_best_attribute,
     "best_attribute_compat": q_best_attribute_compat,
     "best_attribute_by_split": q_best_attribute_by_split,

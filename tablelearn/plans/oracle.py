@@ -90,11 +90,12 @@ DOUBLE_FEATURES = {"Player_Weight", "Player_Height", "Training_Intensity"}
 
 
 def gain_ctes(rel: str, features, label: str, keys=(), p: str = "", where: str = "TRUE",
-              extra=(), cast_features: bool = True) -> str:
+              extra=(), cast_features: bool = True, double_features=None) -> str:
     """CTEs ending in ``{p}g``: per (keys.., feature) n, label_entropy,
     conditional_entropy, feature_entropy, gain, gain_compat, feature_pos."""
     k = "".join(f"{x}, " for x in keys)
-    feats = [f"{_key_str(f, f in DOUBLE_FEATURES)} AS {f}" if cast_features else f for f in features]
+    dbl = DOUBLE_FEATURES if double_features is None else set(double_features)
+    feats = [f"{_key_str(f, f in dbl)} AS {f}" if cast_features else f for f in features]
     sel = ", ".join([*keys, label, *extra] + feats)
     on = ", ".join(features)
     pos = ", ".join(f"('{f}', {i})" for i, f in enumerate(features))
@@ -315,6 +316,18 @@ def _feature_value_counts() -> str:
             f"INTO NAME feature VALUE value) GROUP BY ALL")
 
 
+def _binned_rel(rel: str, floats, bins: int) -> str:
+    edges = ", ".join(f"min(CASE WHEN isnan({f}) THEN NULL ELSE {f} END) AS lo_{f}, "
+                      f"max(CASE WHEN isnan({f}) THEN NULL ELSE {f} END) AS hi_{f}" for f in floats)
+    repl = ", ".join(
+        f"CAST(CASE WHEN {f} IS NULL OR isnan({f}) THEN NULL WHEN hi_{f} = lo_{f} THEN 0 ELSE "
+        f"least(greatest(floor(({f} - lo_{f}) / ((hi_{f} - lo_{f}) / {bins})), 0), {bins - 1}) END AS INTEGER) AS {f}"
+        for f in floats)
+    return f"(SELECT r.* REPLACE ({repl}) FROM {rel} r, (SELECT {edges} FROM {rel}) e)"
+
+
+_BINNED = _binned_rel(INJURY, sorted(DOUBLE_FEATURES), C.GAIN_BINS)
+
 _ID3_TRAIN = f"(SELECT * FROM {INJURY_SPLIT_70} WHERE split = 0)"
 _ID3_TEST = f"(SELECT * FROM {INJURY_SPLIT_70} WHERE split = 1)"
 _ID3 = id3_ctes(_ID3_TRAIN, _ID3_TEST, C.CATEGORICAL_FEATURES, LBL, "l_orderkey", C.ID3_DEPTH, C.INJURY_KEY)
@@ -351,6 +364,7 @@ ORACLE = {
     "information_gain": f"WITH {gain_ctes(INJURY, F6, LBL)} SELECT feature, {rnd('gain')} AS gain FROM g",
     "information_gain_compat": f"WITH {gain_ctes(INJURY, F6, LBL)} SELECT feature, {rnd('gain_compat')} AS gain FROM g",
     "gain_report": f"WITH {gain_ctes(INJURY, F6, LBL)} SELECT {_gain_cols()} FROM g",
+    "gain_report_binned": f"WITH {gain_ctes(_BINNED, F6, LBL, double_features=())} SELECT {_gain_cols()} FROM g",
     "gain_report_by_split": f"WITH {gain_ctes(INJURY_SPLIT_70, F6, LBL, ['split'])} SELECT {_gain_cols('split, ')} FROM g",
     "best_attribute": _best("gain"),
     "best_attribute_compat": _best("gain_compat"),

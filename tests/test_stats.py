@@ -149,3 +149,18 @@ def test_gain_report_scans_input_once(spark, tmp_path):
     assert plan.count("FileScan") == 1          # one histogram pass, no self-join
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_binned_gain_bounds_histogram(spark):
+    rows = [(float(i), i % 2) for i in range(100)] + [(float("nan"), 0), (None, 1)]
+    df = spark.createDataFrame(rows, "x double, y int")
+    exact = stats.gain_report(df, ["x"], "y").collect()[0]
+    assert exact["gain"] == pytest.approx(1.0, abs=0.05)     # all distinct: near-perfect split
+    edges = stats.equal_width_edges(df, ["x"])
+    assert edges == {"x": (0.0, 99.0)}
+    hist = stats.histogram(stats.with_bins(df, edges, 4), ["x"], "y").filter("feature = 'x'")
+    assert hist.count() == 8 + 2                               # 4 bins x 2 labels + null-value cells
+    assert sorted(r["value"] for r in hist.select("value").distinct().collect() if r["value"] is not None) == \
+        ["0", "1", "2", "3"]
+    binned = stats.gain_report(df, ["x"], "y", bins=4).collect()[0]
+    assert binned["gain"] < 0.05
