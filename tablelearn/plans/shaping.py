@@ -4,8 +4,8 @@
   without a single-partition window.  Rows are cut into quantile buckets of
   the order key; each bucket is its own window partition, and bucket offsets
   come from a table with one row per bucket (bounded by the bucket count).
-* ``bounded_broadcast``: broadcast a side only after checking its row count
-  against a limit; above it the join is left to Catalyst/AQE.
+* ``BROADCAST_ROW_LIMIT``: operators broadcast a side only after counting
+  it against this limit; above it the join is left to Catalyst/AQE.
 * ``cut_lineage``: for iterative operators, write the intermediate table
   as parquet under the shared ``spark.checkpoint.dir`` and read it back.
   One computation (``Dataset.checkpoint`` computes the plan once for its
@@ -67,16 +67,6 @@ def exclusive_prefix_sums(df: DataFrame, order_col: str, value_cols, buckets: in
     return out
 
 
-def bounded_broadcast(small: DataFrame, limit: int = BROADCAST_ROW_LIMIT):
-    """(df, True) with a broadcast hint when ``small`` has at most ``limit``
-    rows (one count job), else (df, False) and the join strategy is left to
-    Catalyst and AQE (sort-merge, with skew-join splitting)."""
-    n = small.count()
-    if n <= limit:
-        return F.broadcast(small), True
-    return small, False
-
-
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Materialize ``df`` as a parquet table in the shared checkpoint
     directory and return a fresh scan of it (lineage starts there)."""

@@ -81,7 +81,7 @@ def doc_label_view(labels: DataFrame, documents: DataFrame) -> DataFrame:
         "source",
         "n_chars",
         (F.length("text") - F.length(F.replace(F.col("text"), F.lit(" "), F.lit("")))).alias("_spaces"),
-        (F.length("text") - F.length(F.regexp_replace("text", "[0-9]", ""))).alias("_digits"),
+        (F.length("text") - F.length(F.translate("text", "0123456789", ""))).alias("_digits"),
     )
     joined = labels.select("doc_id", "quality").join(docs, "doc_id", "inner")
     return joined.select(
