@@ -39,7 +39,7 @@ def label_index_table(df: DataFrame, column: str) -> DataFrame:
 # decision tree (entropy impurity) and logistic regression
 
 
-def tree_pipeline(features, label: str, max_depth: int = 5, max_bins: int = 32, seed: int | None = None,
+def tree_estimator(features, label: str, max_depth: int = 5, max_bins: int = 32, seed: int | None = None,
                   handle_invalid: str = "error") -> Pipeline:
     """StringIndexer(label -> "label") + VectorAssembler + DecisionTree
     with entropy impurity; other parameters at MLlib defaults."""
@@ -51,7 +51,7 @@ def tree_pipeline(features, label: str, max_depth: int = 5, max_bins: int = 32,
     return Pipeline(stages=[indexer, assembler, dt])
 
 
-def logistic_pipeline(features, label: str, handle_invalid: str = "error") -> Pipeline:
+def logistic_estimator(features, label: str, handle_invalid: str = "error") -> Pipeline:
     """VectorAssembler + LogisticRegression on the raw numeric label,
     MLlib defaults (maxIter 100, regParam 0, threshold 0.5)."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid=handle_invalid)

@@ -132,7 +132,7 @@ def gaussian_nb_predict(model: GaussianNBModel, df: DataFrame, keep_scores: bool
     return out
 
 
-def gaussian_nb_pipeline(df: DataFrame, features, label: str, key_cols, weights=(0.9, 0.1), seed: int = 6151,
+def gaussian_nb_end_to_end(df: DataFrame, features, label: str, key_cols, weights=(0.9, 0.1), seed: int = 6151,
                          compat: bool = False, truncate=(), var_floor: float = 1e-9) -> DataFrame:
     """Split by key hash -> fit on side 0 -> score side 1 -> one report row:
     ``n_train, n_test, accuracy_pct, precision_pct``."""

@@ -293,8 +293,8 @@ def q_gaussian_nb_predict_compat(spark, sf):
     return scored.select(*INJURY_KEY, INJURY_LABEL, "prediction")
 
 
-def q_gaussian_nb_pipeline(spark, sf):
-    return rounded(naive_bayes.gaussian_nb_pipeline(_docs(spark, sf), DOC_FEATURES, "label", ["doc_id"],
+def q_gaussian_nb_end_to_end(spark, sf):
+    return rounded(naive_bayes.gaussian_nb_end_to_end(_docs(spark, sf), DOC_FEATURES, "label", ["doc_id"],
                                                     [0.9, 0.1], SEED_90_10))
 
 
@@ -312,7 +312,7 @@ def _injury_split(spark, sf, weights, seed):
 
 def _tree_model(spark, sf):
     df = _injury_split(spark, sf, [0.7, 0.3], SEED_70_30)
-    model = mllib.tree_pipeline(INJURY_FEATURES, INJURY_LABEL, seed=SEED_70_30).fit(df.filter(F.col("split") == 0))
+    model = mllib.tree_estimator(INJURY_FEATURES, INJURY_LABEL, seed=SEED_70_30).fit(df.filter(F.col("split") == 0))
     return df, model
 
 
@@ -339,8 +339,9 @@ def q_mllib_tree_report(spark, sf):
 
 
 def _logistic(spark, sf):
-    df = _injury_split(spark, sf, [0.8, 0.2], SEED_80_20)
-    model = mllib.logistic_pipeline(INJURY_FEATURES, INJURY_LABEL).fit(df.filter(F.col("split") == 0))
+    # rows with any null are dropped before assembling, as the logistic program does
+    df = filters.filter_complete_rows(_injury_split(spark, sf, [0.8, 0.2], SEED_80_20))
+    model = mllib.logistic_estimator(INJURY_FEATURES, INJURY_LABEL).fit(df.filter(F.col("split") == 0))
     return df, model
 
 
@@ -507,7 +508,7 @@ QUERIES = {
     "gaussian_nb_fit": q_gaussian_nb_fit,
     "gaussian_nb_predict": q_gaussian_nb_predict,
     "gaussian_nb_predict_compat": q_gaussian_nb_predict_compat,
-    "gaussian_nb_pipeline": q_gaussian_nb_pipeline,
+    "gaussian_nb_end_to_end": q_gaussian_nb_end_to_end,
     # MLlib
     "index_label": q_index_label,
     "mllib_tree_fit": q_mllib_tree_fit,

@@ -397,7 +397,7 @@ ORACLE = {
                         + " FROM model"),
     "gaussian_nb_predict": _nb_predict(DOC_SPLIT, C.DOC_FEATURES, "label", ["doc_id"], False),
     "gaussian_nb_predict_compat": _nb_predict(INJURY_SPLIT_90, F6, LBL, C.INJURY_KEY, True, C.INJURY_TRUNCATED, scores=False),
-    "gaussian_nb_pipeline": f"""WITH p AS ({_nb_predict(DOC_SPLIT, C.DOC_FEATURES, "label", ["doc_id"], False, scores=False)}),
+    "gaussian_nb_end_to_end": f"""WITH p AS ({_nb_predict(DOC_SPLIT, C.DOC_FEATURES, "label", ["doc_id"], False, scores=False)}),
         tr AS (SELECT count(*) AS n_train FROM {DOC_SPLIT} WHERE split = 0 AND trunc(label) IN (0, 1))
         SELECT CAST(any_value(n_train) AS BIGINT) AS n_train, count(*) AS n_test,
           {rnd('avg(CASE WHEN prediction = label THEN 1 ELSE 0 END) * 100')} AS accuracy_pct,

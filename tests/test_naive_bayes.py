@@ -65,8 +65,8 @@ def test_means_and_variances_match_mllib(spark):
             assert table[c][f"var_{f}"] == pytest.approx(sigma[i][j], rel=1e-9, abs=2 * boost)
 
 
-def test_pipeline_report(spark):
+def test_end_to_end_report(spark):
     docs = derived.load_view(spark, "/root/testdata/sf0.01", "doc_labels")
-    r = nb.gaussian_nb_pipeline(docs, list(derived.DOC_FEATURES), "label", ["doc_id"]).collect()[0]
+    r = nb.gaussian_nb_end_to_end(docs, list(derived.DOC_FEATURES), "label", ["doc_id"]).collect()[0]
     assert r["n_train"] + r["n_test"] == docs.count()
     assert 0 <= r["accuracy_pct"] <= 100 and 0 <= r["precision_pct"] <= 100
