@@ -37,18 +37,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelearn.functions.columns import as_key_string, ratio
-from tablelearn.operators.stats import ROWS, best_attribute, gain_table, long_values
+from tablelearn.operators.stats import (
+    ROWS,
+    best_attribute,
+    bin_column,
+    equal_width_edges,
+    gain_table,
+    long_values,
+    with_bins,
+)
 from tablelearn.plans.shaping import BROADCAST_ROW_LIMIT, cut_lineage, drop_written
 
 PATH_TYPE = "array<struct<attr:string,value:string>>"
 LEAF_KINDS = ("majority", "mean_label", "mean_first_column")
 
 
-def _value_map(df: DataFrame, features) -> Column:
+def _value_map(df: DataFrame, features, source=None) -> Column:
+    """map(feature name -> value key); ``source`` maps a feature to the
+    column holding its (binned) value."""
+    source = source or {}
     types = {f.name: f.dataType for f in df.schema.fields}
     kv = []
     for f in features:
-        kv += [F.lit(f), as_key_string(F.col(f), types[f])]
+        c = source.get(f, f)
+        kv += [F.lit(f), as_key_string(F.col(c), types[c])]
     return F.create_map(*kv)
 
 
@@ -65,6 +77,8 @@ class ID3Model:
     max_depth: int
     leaf: str
     levels: list = field(default_factory=list)   # [(depth, nodes DataFrame, n_nodes, n_split)]
+    bins: int | None = None
+    edges: dict = field(default_factory=dict)    # feature -> (min, max) of the training rows
 
     @property
     def nodes(self) -> DataFrame:
@@ -90,9 +104,14 @@ class ID3Model:
 
 def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion: str = "textbook",
               leaf: str = "majority", first_column: str | None = None,
-              broadcast_limit: int = BROADCAST_ROW_LIMIT) -> ID3Model:
+              broadcast_limit: int = BROADCAST_ROW_LIMIT, bins: int | None = None) -> ID3Model:
     """Grow the tree (eager: a few jobs per level).
 
+    ``bins``: floating-point features are replaced by equal-width bins of
+    the training rows first (edges kept in the model and reused by
+    ``id3_predict``); otherwise a continuous feature makes about one node
+    per distinct value.
+
     Per level there is one pass over the rows for the histogram (node
     statistics come from the pseudo-feature cells of the same histogram,
     which is persisted for its two readers) and one pass to advance the
@@ -103,10 +122,13 @@ def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion
     features = list(features)
     first = first_column or df.columns[0]
     compat = criterion == "compat"
+    edges = equal_width_edges(df, features) if bins else {}
+    if edges:
+        df = with_bins(df, edges, bins)
     vmap = _value_map(df, features)
     cur = cut_lineage(df.select(*features, label, F.col(first).try_cast("double").alias("_first"),
                                 F.array().cast(PATH_TYPE).alias("_path")), "id3-rows")
-    model = ID3Model(features, label, max_depth, leaf)
+    model = ID3Model(features, label, max_depth, leaf, bins=bins if edges else None, edges=edges)
     y = F.col(label)
     written = [cur]
     for depth in range(max_depth + 1):
@@ -162,8 +184,13 @@ def id3_predict(model: ID3Model, df: DataFrame, output: str = "prediction",
     """Append ``output``: follow the child whose edge value equals the
     row's value; at a leaf, or when the value was not seen in training,
     take the current node's leaf value.  One join per tree level."""
-    cols = df.columns
-    vmap = _value_map(df, model.features)
+    cols = df.columns            # output columns
+    source = {}
+    if model.edges:   # bin with the training edges, keep the original values in the output
+        df = df.withColumns({f"_bin_{f}": bin_column(f, e, model.bins) for f, e in model.edges.items()})
+        source = {f: f"_bin_{f}" for f in model.edges}
+    carry = df.columns           # carried through the levels (original + bins)
+    vmap = _value_map(df, model.features, source)
     active = df.select("*", F.array().cast(PATH_TYPE).alias("_path"),
                        F.lit(None).cast("double").alias("_fallback"))
     done = []
@@ -179,7 +206,7 @@ def id3_predict(model: ID3Model, df: DataFrame, output: str = "prediction",
                                     .otherwise(F.col("_leaf")).alias(output)))
         step = F.struct(F.col("_split").alias("attr"), F.element_at(vmap, F.col("_split")).alias("value"))
         active = j.filter(F.col("_hit") & F.col("_split").isNotNull()).select(
-            *cols, F.array_append("_path", step).alias("_path"), F.col("_leaf").alias("_fallback"))
+            *carry, F.array_append("_path", step).alias("_path"), F.col("_leaf").alias("_fallback"))
     done.append(active.select(*cols, F.col("_fallback").alias(output)))
     out = done[0]
     for part in done[1:]:

@@ -182,23 +182,26 @@ def equal_width_edges(df: DataFrame, features) -> dict:
     return {f: (row[f"lo_{f}"], row[f"hi_{f}"]) for f in floats}
 
 
+def bin_column(x, edge, bins: int) -> Column:
+    """Equal-width bin index ``floor((x - min) / ((max - min) / bins))``
+    clamped to [0, bins - 1] (int; null for null or NaN)."""
+    x = F.col(x) if isinstance(x, str) else x
+    lo, hi = edge
+    valid = x.isNotNull() & ~F.isnan(x)
+    if lo is None:
+        b = F.lit(None)
+    elif hi == lo:
+        b = F.when(valid, F.lit(0))
+    else:
+        width = (hi - lo) / bins
+        raw = F.floor((x - F.lit(float(lo))) / F.lit(width))
+        b = F.when(valid, F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1)))
+    return b.cast("int")
+
+
 def with_bins(df: DataFrame, edges: dict, bins: int) -> DataFrame:
-    """Replace each feature in ``edges`` by its equal-width bin index
-    ``floor((x - min) / ((max - min) / bins))`` clamped to [0, bins - 1]
-    (int; null for null or NaN)."""
-    cols = {}
-    for f, (lo, hi) in edges.items():
-        x = F.col(f)
-        valid = x.isNotNull() & ~F.isnan(x)
-        if lo is None:
-            b = F.lit(None)
-        elif hi == lo:
-            b = F.when(valid, F.lit(0))
-        else:
-            width = (hi - lo) / bins
-            raw = F.floor((x - F.lit(float(lo))) / F.lit(width))
-            b = F.when(valid, F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1)))
-        cols[f] = b.cast("int")
+    """Replace each feature in ``edges`` by its bin index (``bin_column``)."""
+    cols = {f: bin_column(f, e, bins) for f, e in edges.items()}
     return df.withColumns(cols) if cols else df
 
 

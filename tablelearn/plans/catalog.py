@@ -420,6 +420,28 @@ def q_id3_predict_compat(spark, sf):
     return rounded(id3.id3_predict(model, test).select(*INJURY_KEY, INJURY_LABEL, "prediction"))
 
 
+ID3_BINS = 4
+
+
+def _id3_binned(spark, sf):
+    """All six features; the three continuous ones in 4 equal-width bins."""
+    df = _injury_split(spark, sf, [0.7, 0.3], SEED_70_30)
+    model = id3.id3_build(df.filter(F.col("split") == 0), INJURY_FEATURES, INJURY_LABEL, max_depth=ID3_DEPTH,
+                          bins=ID3_BINS)
+    return df, model
+
+
+def q_id3_build_binned(spark, sf):
+    _, model = _id3_binned(spark, sf)
+    return rounded(model.node_table())
+
+
+def q_id3_predict_binned(spark, sf):
+    df, model = _id3_binned(spark, sf)
+    test = df.filter(F.col("split") == 1).select(*INJURY_KEY, *INJURY_FEATURES, INJURY_LABEL)
+    return id3.id3_predict(model, test).select(*INJURY_KEY, INJURY_LABEL, "prediction")
+
+
 def q_id3_build_deep(spark, sf):
     _, model = _id3(spark, sf, depth=7)
     return rounded(model.node_table())
@@ -525,6 +547,8 @@ QUERIES = {
     "id3_predict": q_id3_predict,
     "id3_build_compat": q_id3_build_compat,
     "id3_predict_compat": q_id3_predict_compat,
+    "id3_build_binned": q_id3_build_binned,
+    "id3_predict_binned": q_id3_predict_binned,
     "id3_build_deep": q_id3_build_deep,
     "id3_accuracy": q_id3_accuracy,
     # poker hands

@@ -316,14 +316,17 @@ def _feature_value_counts() -> str:
             f"INTO NAME feature VALUE value) GROUP BY ALL")
 
 
-def _binned_rel(rel: str, floats, bins: int) -> str:
+def _binned_rel(rel: str, floats, bins: int, edges_rel: str | None = None) -> str:
+    """``rel`` with each float feature replaced by its equal-width bin; edges
+    (min/max) from ``edges_rel`` (default: ``rel`` itself)."""
+    edges_rel = edges_rel or rel
     edges = ", ".join(f"min(CASE WHEN isnan({f}) THEN NULL ELSE {f} END) AS lo_{f}, "
                       f"max(CASE WHEN isnan({f}) THEN NULL ELSE {f} END) AS hi_{f}" for f in floats)
     repl = ", ".join(
         f"CAST(CASE WHEN {f} IS NULL OR isnan({f}) THEN NULL WHEN hi_{f} = lo_{f} THEN 0 ELSE "
         f"least(greatest(floor(({f} - lo_{f}) / ((hi_{f} - lo_{f}) / {bins})), 0), {bins - 1}) END AS INTEGER) AS {f}"
         for f in floats)
-    return f"(SELECT r.* REPLACE ({repl}) FROM {rel} r, (SELECT {edges} FROM {rel}) e)"
+    return f"(SELECT r.* REPLACE ({repl}) FROM {rel} r, (SELECT {edges} FROM {edges_rel}) e)"
 
 
 _BINNED = _binned_rel(INJURY, sorted(DOUBLE_FEATURES), C.GAIN_BINS)
@@ -333,6 +336,9 @@ _ID3_TEST = f"(SELECT * FROM {INJURY_SPLIT_70} WHERE split = 1)"
 _ID3 = id3_ctes(_ID3_TRAIN, _ID3_TEST, C.CATEGORICAL_FEATURES, LBL, "l_orderkey", C.ID3_DEPTH, C.INJURY_KEY)
 _ID3C = id3_ctes(_ID3_TRAIN, _ID3_TEST, C.CATEGORICAL_FEATURES, LBL, "Player_Age", C.ID3_DEPTH, C.INJURY_KEY,
                  gain_col="gain_compat", leaf="mean_first_column")
+_FLOATS = sorted(DOUBLE_FEATURES)
+_ID3B = id3_ctes(_binned_rel(_ID3_TRAIN, _FLOATS, C.ID3_BINS), _binned_rel(_ID3_TEST, _FLOATS, C.ID3_BINS, _ID3_TRAIN),
+                 F6, LBL, "l_orderkey", C.ID3_DEPTH, C.INJURY_KEY)
 _NODE_COLS = (f"node_path, depth, split_attribute, n, is_pure, majority, {rnd('mean_label')} AS mean_label, "
               f"{rnd('mean_first_column')} AS mean_first_column, leaf_value")
 
@@ -415,6 +421,8 @@ ORACLE = {
     "id3_rules": f"WITH {_ID3} SELECT node_path AS rule, depth, n, leaf_value AS prediction FROM nodes "
                  f"WHERE split_attribute IS NULL",
     "id3_predict": f"WITH {_ID3} SELECT * FROM pred",
+    "id3_build_binned": f"WITH {_ID3B} SELECT {_NODE_COLS} FROM nodes",
+    "id3_predict_binned": f"WITH {_ID3B} SELECT * FROM pred",
     "id3_build_compat": f"WITH {_ID3C} SELECT {_NODE_COLS.replace('leaf_value', rnd('leaf_value') + ' AS leaf_value')} FROM nodes",
     "id3_predict_compat": f"WITH {_ID3C} SELECT {INJURY_KEY}, {LBL}, {rnd('prediction')} AS prediction FROM pred",
     "best_attribute_by_split": (f"WITH {gain_ctes(INJURY_SPLIT_70, F6, LBL, ['split'])} SELECT split, feature AS best_attribute, "

@@ -39,3 +39,15 @@ def test_predict_invariant_to_partitioning(spark):
     base = p1.select("a", "b", "prediction").distinct()
     p2 = id3.id3_predict(model, df.repartition(5)).select("a", "b", "prediction").distinct()
     assert base.exceptAll(p2).count() == 0 and p2.exceptAll(base).count() == 0
+
+
+def test_binned_tree_keeps_original_values(spark):
+    rows = [(float(i), 0 if i < 50 else 1) for i in range(100)]
+    train = spark.createDataFrame(rows, "x double, y int")
+    model = id3.id3_build(train, ["x"], "y", max_depth=1, bins=2)
+    assert model.edges == {"x": (0.0, 99.0)}
+    nodes = model.node_table().collect()
+    assert len(nodes) == 3                      # root + two bins, not one node per value
+    test = spark.createDataFrame([(-5.0,), (10.0,), (60.0,), (500.0,)], "x double")
+    out = {r["x"]: r["prediction"] for r in id3.id3_predict(model, test).collect()}
+    assert out == {-5.0: 0.0, 10.0: 0.0, 60.0: 1.0, 500.0: 1.0}   # out-of-range values clamp to edge bins
