@@ -51,3 +51,17 @@ def test_binned_tree_keeps_original_values(spark):
     test = spark.createDataFrame([(-5.0,), (10.0,), (60.0,), (500.0,)], "x double")
     out = {r["x"]: r["prediction"] for r in id3.id3_predict(model, test).collect()}
     assert out == {-5.0: 0.0, 10.0: 0.0, 60.0: 1.0, 500.0: 1.0}   # out-of-range values clamp to edge bins
+
+
+def test_shuffle_join_path_equals_broadcast_path(spark):
+    # one value holds a third of the rows: the hot node must not change results
+    rows = [(i % 3 if i % 3 else 0, (i * 7) % 4, (i * 5 % 7) % 2) for i in range(600)]
+    rows += [(9, 1, i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "a int, b int, y int")
+    m1 = id3.id3_build(df, ["a", "b"], "y", max_depth=2)
+    m2 = id3.id3_build(df, ["a", "b"], "y", max_depth=2, broadcast_limit=0)
+    t1, t2 = m1.node_table(), m2.node_table()
+    assert t1.exceptAll(t2).count() == 0 and t2.exceptAll(t1).count() == 0
+    p1 = id3.id3_predict(m1, df)
+    p2 = id3.id3_predict(m2, df, broadcast_limit=0)
+    assert p1.exceptAll(p2).count() == 0 and p2.exceptAll(p1).count() == 0
