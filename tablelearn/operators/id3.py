@@ -6,10 +6,11 @@ JSON text.  The tree grows one LEVEL per iteration, for all nodes at once:
 
 1. one histogram ``(node, feature, value, label) -> n`` over the features
    not yet used on each row's path (unpivot, filter, map-side combine),
-   scored by ``gain_table`` and reduced to the best attribute per node;
+   scored per feature and reduced to the best attribute per node;
 2. node statistics (size, purity = number of label cells, majority label,
-   mean label, mean of the first column) from the cells of a pseudo-feature
-   with one constant value, carried in the same histogram;
+   mean label, mean of the first column) from a pseudo-feature with one
+   constant value, carried through the same chain of aggregates (no second
+   pass, no join);
 3. impure nodes above ``max_depth`` with a feature left are split: their
    rows are joined to the split table (broadcast only when the number of
    splits, already counted, is under a limit; otherwise a shuffle join
@@ -32,17 +33,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelearn.functions.columns import as_key_string, ratio
+from tablelearn.functions.columns import LN2, as_key_string, ratio, xlogx
 from tablelearn.operators.stats import (
     ROWS,
-    best_attribute,
     bin_column,
     equal_width_edges,
-    gain_table,
+    feature_positions,
     long_values,
     with_bins,
 )
@@ -102,6 +101,50 @@ class ID3Model:
                              F.col(self.leaf).cast("double").alias("prediction"))
 
 
+def _level_nodes(long: DataFrame, label: str, features, compat: bool, can_split: bool) -> DataFrame:
+    """One level's nodes from the unpivoted rows in one chain of aggregates:
+    histogram -> per value -> per feature -> (window over the node's
+    features + 1 rows) -> per node.  The ``ROWS`` pseudo-feature (one value)
+    carries the node's own statistics through the same chain."""
+    y = F.col(label)
+    hist = long.groupBy("_node", "feature", "value", label).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_first").alias("_f"))
+    per_value = hist.groupBy("_node", "feature", "value").agg(
+        F.sum("n").alias("_nv"), F.sum(xlogx("n")).alias("_av"), F.count(F.lit(1)).alias("_cells"),
+        F.min_by(label, F.struct(-F.col("n"), y)).alias("_maj"),
+        F.sum(y.cast("double") * F.col("n")).alias("_sl"), F.sum(F.when(y.isNotNull(), F.col("n"))).alias("_nl"),
+        F.sum("_f").alias("_sf"))
+    per_feature = per_value.groupBy("_node", "feature").agg(
+        F.sum("_nv").alias("n"), F.sum(xlogx("_nv")).alias("_b"), F.sum("_av").alias("_a"),
+        F.max("_cells").alias("_cells"), F.any_value("_maj").alias("_maj"), F.sum("_sl").alias("_sl"),
+        F.sum("_nl").alias("_nl"), F.sum("_sf").alias("_sf"))
+    is_rows = F.col("feature") == ROWS
+    # sum_l n_l ln n_l of the node = "_a" of its ROWS row; the window holds
+    # (features left + 1) rows per node: bounded
+    c = F.max(F.when(is_rows, F.col("_a"))).over(Window.partitionBy("_node"))
+    n = F.col("n").cast("double")
+    h_label = F.greatest(F.lit(0.0), F.coalesce((F.ln(n) - ratio(c, n)) / LN2, F.lit(0.0)))
+    if compat:
+        other = F.greatest(F.lit(0.0), F.ln(n) - ratio(F.col("_b"), n))
+    else:
+        other = F.greatest(F.lit(0.0), ratio(F.col("_b") - F.col("_a"), n) / LN2)
+    scored = per_feature.withColumn("_g", h_label - other).withColumn("_pos", feature_positions(features))
+    key = F.struct((~is_rows).alias("cand"), F.round("_g", 12), -F.col("_pos"))
+    best = F.max_by("feature", key)
+    rows_only = lambda col: F.max(F.when(is_rows, col))
+    agg = scored.groupBy("_node").agg(
+        best.alias("_best"), F.max_by("_g", key).alias("_bg"),
+        rows_only(F.col("n")).alias("n"), rows_only(F.col("_cells")).alias("_classes"),
+        rows_only(F.col("_maj")).alias("majority"), rows_only(ratio("_sl", "_nl")).alias("mean_label"),
+        rows_only(ratio("_sf", "n")).alias("mean_first_column"))
+    real = F.col("_best") != ROWS
+    split = F.when((F.col("_classes") > 1) & F.lit(can_split) & real, F.col("_best"))
+    return agg.withColumns({
+        "split_attribute": split,
+        "gain": F.when(real, F.col("_bg")),
+    })
+
+
 def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion: str = "textbook",
               leaf: str = "majority", first_column: str | None = None,
               broadcast_limit: int = BROADCAST_ROW_LIMIT, bins: int | None = None) -> ID3Model:
@@ -113,10 +156,9 @@ def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion
     per distinct value.
 
     Per level there is one pass over the rows for the histogram (node
-    statistics come from the pseudo-feature cells of the same histogram,
-    which is persisted for its two readers) and one pass to advance the
-    rows of split nodes; the first level reads the input once and writes
-    the projected rows."""
+    statistics ride through the same aggregate chain as a pseudo-feature;
+    see ``_level_nodes``) and one pass to advance the rows of split nodes;
+    the first level reads the input once and writes the projected rows."""
     if leaf not in LEAF_KINDS:
         raise ValueError(f"leaf must be one of {LEAF_KINDS}")
     features = list(features)
@@ -129,7 +171,6 @@ def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion
     cur = cut_lineage(df.select(*features, label, F.col(first).try_cast("double").alias("_first"),
                                 F.array().cast(PATH_TYPE).alias("_path")), "id3-rows")
     model = ID3Model(features, label, max_depth, leaf, bins=bins if edges else None, edges=edges)
-    y = F.col(label)
     written = [cur]
     for depth in range(max_depth + 1):
         can_split = depth < max_depth and depth < len(features)
@@ -137,29 +178,12 @@ def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion
         long = long_values(keyed.withColumn(ROWS, F.lit("")), (features if can_split else []) + [ROWS],
                            ids=["_node", "_path", label, "_first"])
         long = long.filter(~F.array_contains(F.col("_path.attr"), F.col("feature"))).drop("_path")
-        hist = long.groupBy("_node", "feature", "value", label).agg(
-            F.count(F.lit(1)).alias("n"), F.sum("_first").alias("_f")).persist(StorageLevel.MEMORY_AND_DISK)
-        cells = hist.filter(F.col("feature") == ROWS)
-        stats = cells.groupBy("_node").agg(
-            F.sum("n").alias("n"),
-            F.count(F.lit(1)).alias("_classes"),
-            F.min_by(label, F.struct(-F.col("n"), y)).alias("majority"),
-            ratio(F.sum(y.cast("double") * F.col("n")), F.sum(F.when(y.isNotNull(), F.col("n")))).alias("mean_label"),
-            ratio(F.sum("_f"), F.sum("n")).alias("mean_first_column"),
-        )
-        if can_split:
-            gains = gain_table(hist.drop("_f"), label, ["_node"], features)
-            nodes = stats.join(best_attribute(gains, ["_node"], compat=compat), "_node", "left")
-        else:
-            nodes = stats.withColumn("best_attribute", F.lit(None).cast("string")).withColumn(
-                "gain", F.lit(None).cast("double"))
-        split = F.when((F.col("_classes") > 1) & F.lit(can_split), F.col("best_attribute"))
+        nodes = _level_nodes(long, label, features, compat, can_split)
         nodes = nodes.select(
             "_node", F.from_json("_node", PATH_TYPE).alias("_path"), F.lit(depth).alias("depth"),
             F.col("n").cast("bigint").alias("n"), (F.col("_classes") == 1).cast("int").alias("is_pure"),
-            "majority", "mean_label", "mean_first_column", split.alias("split_attribute"), "gain")
+            "majority", "mean_label", "mean_first_column", "split_attribute", "gain")
         nodes = cut_lineage(nodes, "id3-nodes")
-        hist.unpersist()
         counts = nodes.agg(F.count(F.lit(1)).alias("a"), F.count("split_attribute").alias("s")).first()
         n_nodes, n_split = int(counts["a"]), int(counts["s"])
         model.levels.append((depth, nodes, n_nodes, n_split))
