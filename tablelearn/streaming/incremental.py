@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -35,17 +35,13 @@ def labelled_stream(spark: SparkSession, path: str, schema: StructType, fmt: str
 
 
 def _entropy_and_priors(counts: DataFrame, label: str, by=()) -> tuple[DataFrame, DataFrame]:
+    """From a class-counts table (bounded by groups x classes rows)."""
     agg = counts.groupBy(*by).agg(F.sum("n").alias("_n"), F.sum(xlogx("n")).alias("_s"))
     entropy = agg.select(*by, F.col("_n").cast("bigint").alias("n"),
                          F.greatest(F.lit(0.0), (F.ln(F.col("_n").cast("double")) - ratio("_s", "_n")) / LN2)
                          .alias("entropy"))
-    priors = counts.join(agg.select(*by, "_n"), list(by)) if by else None
-    if priors is None:
-        # one group: the total is the single value of agg; per-class rows are
-        # bounded by the number of classes, so a global window is fine here
-        from pyspark.sql import Window
-        priors = counts.withColumn("_n", F.sum("n").over(Window.partitionBy()))
-    priors = priors.select(*by, label, "n", ratio("n", "_n").alias("prior"))
+    total = F.sum("n").over(Window.partitionBy(*by))   # per-group class rows: bounded
+    priors = counts.select(*by, label, "n", ratio(F.col("n"), total).alias("prior"))
     return entropy, priors
 
 
