@@ -13,7 +13,15 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DoubleType, FloatType
+from pyspark.sql.types import (
+    ByteType,
+    DataType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    ShortType,
+)
 
 LN2 = math.log(2.0)
 
@@ -61,6 +69,20 @@ def as_key_string(c, dtype: DataType | None = None) -> Column:
     return col_(c).cast("string")
 
 
+def typed_key(c, dtype: DataType) -> Column:
+    """Grouping key ``struct(d double, l long, s string)`` with one field
+    set: floating values in ``d`` (-0.0 folded), integral values in ``l``,
+    anything else as a string in ``s``.  Avoids formatting numbers as text
+    on the hot path; equal keys <=> equal values (as with string keys)."""
+    c = col_(c)
+    nd, nl, ns = F.lit(None).cast("double"), F.lit(None).cast("long"), F.lit(None).cast("string")
+    if isinstance(dtype, (DoubleType, FloatType)):
+        return F.struct(normalized_zero(c, dtype).cast("double").alias("d"), nl.alias("l"), ns.alias("s"))
+    if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
+        return F.struct(nd.alias("d"), c.cast("long").alias("l"), ns.alias("s"))
+    return F.struct(nd.alias("d"), nl.alias("l"), c.cast("string").alias("s"))
+
+
 def hash_bucket(key_cols, seed: int, buckets: int = 10000) -> Column:
     """Deterministic bucket in [0, buckets) from md5(seed ':' key...).
 

@@ -176,7 +176,7 @@ def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion
         can_split = depth < max_depth and depth < len(features)
         keyed = cur.withColumn("_node", F.to_json("_path"))
         long = long_values(keyed.withColumn(ROWS, F.lit("")), (features if can_split else []) + [ROWS],
-                           ids=["_node", "_path", label, "_first"])
+                           ids=["_node", "_path", label, "_first"], typed=True)
         long = long.filter(~F.array_contains(F.col("_path.attr"), F.col("feature"))).drop("_path")
         nodes = _level_nodes(long, label, features, compat, can_split)
         nodes = nodes.select(

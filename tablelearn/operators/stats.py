@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from tablelearn.functions.columns import LN2, as_key_string, ratio, trunc_int, xlogx
+from tablelearn.functions.columns import LN2, as_key_string, ratio, trunc_int, typed_key, xlogx
 
 FEATURE = "feature"
 VALUE = "value"
@@ -80,22 +80,26 @@ def feature_positions(features) -> Column:
     return (F.array_position(F.array(*[F.lit(f) for f in features]), F.col(FEATURE)) - 1).cast("int")
 
 
-def long_values(df: DataFrame, features, ids=()) -> DataFrame:
-    """Unpivot ``features`` into ``(ids.., feature, value)`` with the value
-    as a string key (-0.0 folded into 0.0).  Narrow: no shuffle."""
+def long_values(df: DataFrame, features, ids=(), typed: bool = False) -> DataFrame:
+    """Unpivot ``features`` into ``(ids.., feature, value)``.  Narrow: no
+    shuffle.  ``value`` is a string key (-0.0 folded into 0.0), or with
+    ``typed=True`` a ``typed_key`` struct, which skips number formatting
+    where the value is only grouped, never shown."""
     features = list(features)
     schema = {f.name: f.dataType for f in df.schema.fields}
-    cols = [as_key_string(F.col(f), schema[f]).alias(f) for f in features]
+    key = typed_key if typed else as_key_string
+    cols = [key(F.col(f), schema[f]).alias(f) for f in features]
     base = df.select(*ids, *cols)
     return base.unpivot(list(ids), features, FEATURE, VALUE)
 
 
-def histogram(df: DataFrame, features, label: str, by=()) -> DataFrame:
+def histogram(df: DataFrame, features, label: str, by=(), typed: bool = False) -> DataFrame:
     """``(by.., feature, value, label) -> n``: the one pass over the data
     that gain, purity and split statistics are read from.  Includes the
-    ``ROWS`` pseudo-feature (the label counts per group)."""
+    ``ROWS`` pseudo-feature (the label counts per group).  ``typed``: see
+    ``long_values``."""
     ids = list(by) + [label]
-    long = long_values(df.withColumn(ROWS, F.lit("")), [*features, ROWS], ids)
+    long = long_values(df.withColumn(ROWS, F.lit("")), [*features, ROWS], ids, typed)
     return long.groupBy(*by, FEATURE, VALUE, label).agg(_cnt().alias("n"))
 
 
@@ -215,7 +219,7 @@ def gain_report(df: DataFrame, features, label: str, by=(), bins: int | None = N
     reference."""
     if bins:
         df = with_bins(df, equal_width_edges(df, features), bins)
-    return gain_table(histogram(df, features, label, by), label, by, features)
+    return gain_table(histogram(df, features, label, by, typed=True), label, by, features)
 
 
 def information_gain(df: DataFrame, feature: str, label: str, compat: bool = False) -> DataFrame:
