@@ -207,7 +207,16 @@ def id3_predict(model: ID3Model, df: DataFrame, output: str = "prediction",
                 broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Append ``output``: follow the child whose edge value equals the
     row's value; at a leaf, or when the value was not seen in training,
-    take the current node's leaf value.  One join per tree level."""
+    take the current node's leaf value.
+
+    One frame flows through one left join per tree level; rows already
+    decided carry their prediction along.  When every level's node table
+    is under ``broadcast_limit`` rows (counted at build time) the joins are
+    broadcast: the walk is a single narrow pass over ``df`` (no shuffle, no
+    write; a lost executor recomputes only its partitions).  Otherwise the
+    joins shuffle and each level is cut by a written table; finished rows
+    get a salted key so they spread over partitions instead of piling into
+    the null-key one."""
     cols = df.columns            # output columns
     source = {}
     if model.edges:   # bin with the training edges, keep the original values in the output
@@ -215,24 +224,46 @@ def id3_predict(model: ID3Model, df: DataFrame, output: str = "prediction",
         source = {f: f"_bin_{f}" for f in model.edges}
     carry = df.columns           # carried through the levels (original + bins)
     vmap = _value_map(df, model.features, source)
-    active = df.select("*", F.array().cast(PATH_TYPE).alias("_path"),
-                       F.lit(None).cast("double").alias("_fallback"))
-    done = []
+    state = df.select("*", F.array().cast(PATH_TYPE).alias("_path"),
+                      F.lit(None).cast("double").alias("_fallback"),
+                      F.lit(None).cast("double").alias("_pred"), F.lit(False).alias("_done"))
+    done = F.col("_done")
     for depth, nodes, n_nodes, _ in model.levels:
-        look = nodes.select("_node", F.col("split_attribute").alias("_split"),
+        if depth == 0:
+            # the root is one node: apply it as literals (every row's key is
+            # the same constant, so a join would degenerate to a cross join)
+            root = nodes.select("split_attribute", F.col(model.leaf).cast("double").alias("leaf")).first()
+            leaf = F.lit(root["leaf"]).cast("double")
+            if root["split_attribute"] is None:
+                state = state.withColumns({"_pred": leaf, "_done": F.lit(True)})
+                continue
+            attr = F.lit(root["split_attribute"])
+            step = F.struct(attr.alias("attr"), F.element_at(vmap, attr).alias("value"))
+            state = state.withColumns({"_path": F.array(step), "_fallback": leaf})
+            continue
+        look = nodes.select(F.col("_node").alias("_k"), F.col("split_attribute").alias("_split"),
                             F.col(model.leaf).cast("double").alias("_leaf"), F.lit(True).alias("_hit"))
-        if n_nodes <= broadcast_limit:
+        small = n_nodes <= broadcast_limit
+        if small:
             look = F.broadcast(look)
-        j = active.withColumn("_node", F.to_json("_path")).join(look, "_node", "left")
-        j = cut_lineage(j, "id3-predict")
-        finished = j.filter(F.col("_hit").isNull() | F.col("_split").isNull())
-        done.append(finished.select(*cols, F.when(F.col("_hit").isNull(), F.col("_fallback"))
-                                    .otherwise(F.col("_leaf")).alias(output)))
+            key = F.when(~done, F.to_json("_path"))
+        else:
+            # node keys are JSON arrays ("[..."); "#<n>" never matches one
+            salt = F.concat(F.lit("#"), (F.xxhash64(*[F.col(c) for c in carry]) % 1024).cast("string"))
+            key = F.when(~done, F.to_json("_path")).otherwise(salt)
+        j = state.withColumn("_k", key).join(look, "_k", "left")
+        hit = F.col("_hit").isNotNull()
+        stop = ~done & (~hit | F.col("_split").isNull())
+        go = ~done & hit & F.col("_split").isNotNull()
         step = F.struct(F.col("_split").alias("attr"), F.element_at(vmap, F.col("_split")).alias("value"))
-        active = j.filter(F.col("_hit") & F.col("_split").isNotNull()).select(
-            *carry, F.array_append("_path", step).alias("_path"), F.col("_leaf").alias("_fallback"))
-    done.append(active.select(*cols, F.col("_fallback").alias(output)))
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out
+        state = j.select(
+            *carry,
+            F.when(go, F.array_append("_path", step)).otherwise(F.col("_path")).alias("_path"),
+            F.when(go, F.col("_leaf")).otherwise(F.col("_fallback")).alias("_fallback"),
+            F.when(stop, F.when(hit, F.col("_leaf")).otherwise(F.col("_fallback")))
+             .otherwise(F.col("_pred")).alias("_pred"),
+            (done | stop).alias("_done"),
+        )
+        if not small:
+            state = cut_lineage(state, "id3-predict")
+    return state.select(*cols, F.when(done, F.col("_pred")).otherwise(F.col("_fallback")).alias(output))
