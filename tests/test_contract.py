@@ -29,3 +29,15 @@ def test_query_matches_duckdb(spark, con, name):
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
 def test_rows_only_queries_run(spark, name):
     assert E.queries()[name](spark, SF001).count() > 0
+
+
+FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "PythonUDF", "BatchEvalPython", "ArrowEvalPython")
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_has_no_cross_join_or_python_udf(spark, name):
+    from conftest import SF0001
+    df = E.queries()[name](spark, SF0001)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [k for k in FORBIDDEN if k in plan]
