@@ -28,6 +28,7 @@ from tablelearn.functions.columns import (
     trunc_int,
 )
 from tablelearn.operators.split import hash_split
+from tablelearn.plans.shaping import cut_lineage
 
 import math
 
@@ -135,8 +136,13 @@ def gaussian_nb_predict(model: GaussianNBModel, df: DataFrame, keep_scores: bool
 def gaussian_nb_end_to_end(df: DataFrame, features, label: str, key_cols, weights=(0.9, 0.1), seed: int = 6151,
                          compat: bool = False, truncate=(), var_floor: float = 1e-9) -> DataFrame:
     """Split by key hash -> fit on side 0 -> score side 1 -> one report row:
-    ``n_train, n_test, accuracy_pct, precision_pct``."""
-    tagged = hash_split(df, key_cols, weights, seed)
+    ``n_train, n_test, accuracy_pct, precision_pct``.
+
+    The input is read once: its key, features and label (not the wide
+    source columns, e.g. document text) are written to the checkpoint
+    directory, and the fit and the scoring both read that table."""
+    cols = list(dict.fromkeys([*key_cols, *features, label]))
+    tagged = cut_lineage(hash_split(df.select(*cols), key_cols, weights, seed), "nb-input")
     model = gaussian_nb_fit(tagged.filter(F.col("split") == 0), features, label, compat=compat,
                             truncate=truncate, var_floor=var_floor)
     scored = gaussian_nb_predict(model, tagged.filter(F.col("split") == 1), keep_scores=False)
