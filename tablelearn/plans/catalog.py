@@ -442,8 +442,11 @@ def q_id3_predict_binned(spark, sf):
     return id3.id3_predict(model, test).select(*INJURY_KEY, INJURY_LABEL, "prediction")
 
 
+ID3_DEEP = 7
+
+
 def q_id3_build_deep(spark, sf):
-    _, model = _id3(spark, sf, depth=7)
+    _, model = _id3(spark, sf, depth=ID3_DEEP)
     return rounded(model.node_table())
 
 

@@ -339,6 +339,7 @@ _ID3C = id3_ctes(_ID3_TRAIN, _ID3_TEST, C.CATEGORICAL_FEATURES, LBL, "Player_Age
 _FLOATS = sorted(DOUBLE_FEATURES)
 _ID3B = id3_ctes(_binned_rel(_ID3_TRAIN, _FLOATS, C.ID3_BINS), _binned_rel(_ID3_TEST, _FLOATS, C.ID3_BINS, _ID3_TRAIN),
                  F6, LBL, "l_orderkey", C.ID3_DEPTH, C.INJURY_KEY)
+_ID3D = id3_ctes(_ID3_TRAIN, None, C.CATEGORICAL_FEATURES, LBL, "l_orderkey", C.ID3_DEEP)
 _NODE_COLS = (f"node_path, depth, split_attribute, n, is_pure, majority, {rnd('mean_label')} AS mean_label, "
               f"{rnd('mean_first_column')} AS mean_first_column, leaf_value")
 
@@ -422,6 +423,7 @@ ORACLE = {
                  f"WHERE split_attribute IS NULL",
     "id3_predict": f"WITH {_ID3} SELECT * FROM pred",
     "id3_build_binned": f"WITH {_ID3B} SELECT {_NODE_COLS} FROM nodes",
+    "id3_build_deep": f"WITH {_ID3D} SELECT {_NODE_COLS} FROM nodes",
     "id3_predict_binned": f"WITH {_ID3B} SELECT * FROM pred",
     "id3_build_compat": f"WITH {_ID3C} SELECT {_NODE_COLS.replace('leaf_value', rnd('leaf_value') + ' AS leaf_value')} FROM nodes",
     "id3_predict_compat": f"WITH {_ID3C} SELECT {INJURY_KEY}, {LBL}, {rnd('prediction')} AS prediction FROM pred",
