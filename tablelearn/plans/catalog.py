@@ -83,15 +83,15 @@ def _injury_csv(spark, sf, header: bool) -> str:
 
 
 def q_scan_csv_schema(spark, sf):
-    return text.read_csv_schema(spark, _injury_csv(spark, sf, header=False))
+    return rounded(text.read_csv_schema(spark, _injury_csv(spark, sf, header=False)))
 
 
 def q_scan_csv_header(spark, sf):
-    return text.read_csv_header(spark, _injury_csv(spark, sf, header=True))
+    return rounded(text.read_csv_header(spark, _injury_csv(spark, sf, header=True)))
 
 
 def q_scan_csv_positional(spark, sf):
-    return text.read_csv_positional(spark, _injury_csv(spark, sf, header=False), text.INJURY_COLUMNS)
+    return rounded(text.read_csv_positional(spark, _injury_csv(spark, sf, header=False), text.INJURY_COLUMNS))
 
 
 # --------------------------------------------------------------------------

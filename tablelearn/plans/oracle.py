@@ -331,6 +331,10 @@ def _binned_rel(rel: str, floats, bins: int, edges_rel: str | None = None) -> st
 
 _BINNED = _binned_rel(INJURY, sorted(DOUBLE_FEATURES), C.GAIN_BINS)
 
+# the CSV scans read back what was written from the injury view
+_CSV_SCAN = "SELECT " + ", ".join(
+    rnd(c) + f" AS {c}" if c in DOUBLE_FEATURES else c for c in INJURY_COLUMNS) + f" FROM {INJURY}"
+
 _ID3_TRAIN = f"(SELECT * FROM {INJURY_SPLIT_70} WHERE split = 0)"
 _ID3_TEST = f"(SELECT * FROM {INJURY_SPLIT_70} WHERE split = 1)"
 _ID3 = id3_ctes(_ID3_TRAIN, _ID3_TEST, C.CATEGORICAL_FEATURES, LBL, "l_orderkey", C.ID3_DEPTH, C.INJURY_KEY)
@@ -347,6 +351,9 @@ ORACLE = {
     "parse_records": f"SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in INJURY_COLUMNS)
                      + f" FROM {INJURY} WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in INJURY_COLUMNS),
     "parse_hands": f"SELECT * FROM {HANDS}",
+    "scan_csv_schema": _CSV_SCAN,
+    "scan_csv_header": _CSV_SCAN,
+    "scan_csv_positional": _CSV_SCAN,
     "filter_complete_rows": "SELECT event_id, user_id, event_type, value, props FROM events WHERE event_id IS NOT NULL "
                             "AND user_id IS NOT NULL AND event_type IS NOT NULL AND value IS NOT NULL AND props IS NOT NULL",
     "class_partition": f"SELECT {INJURY_KEY}, Player_Age, {rnd('Player_Weight')} AS Player_Weight, {LBL} FROM {INJURY} "
