@@ -34,3 +34,13 @@ def test_published_tree_parses():
         return l1 + l2, s1 + s2 + 1
 
     assert leaves_splits(tree) == (27, 26)
+
+
+def test_label_index_table_matches_string_indexer(spark):
+    from pyspark.ml.feature import StringIndexer
+    rows = [("b",), ("a",), ("c",), ("b",), ("a",), ("d",), ("d",), ("d",)]
+    df = spark.createDataFrame(rows, "y string")
+    ours = {r["label_value"]: r["label_index"] for r in mllib.label_index_table(df, "y").collect()}
+    model = StringIndexer(inputCol="y", outputCol="i").fit(df)
+    theirs = {v: float(i) for i, v in enumerate(model.labels)}
+    assert ours == theirs == {"d": 0.0, "a": 1.0, "b": 2.0, "c": 3.0}
