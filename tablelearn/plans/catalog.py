@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from tablelearn.operators import filters, hands, id3, metrics, mllib, naive_bayes, split, stats
+from tablelearn.plans.shaping import cut_lineage
 from tablelearn.session import scratch_path
 from tablelearn.sources import derived, text
 from tablelearn.sources.tables import read_table
@@ -279,7 +280,9 @@ def q_gaussian_nb_fit(spark, sf):
 
 
 def q_gaussian_nb_predict(spark, sf):
-    df = _doc_split(spark, sf)
+    # fit and scoring both read the split view: derive it from the documents
+    # (text) once and read the small written table twice
+    df = cut_lineage(_doc_split(spark, sf).select("doc_id", *DOC_FEATURES, "label", "split"), "nb-docs")
     model = naive_bayes.gaussian_nb_fit(df.filter(F.col("split") == 0), DOC_FEATURES, "label")
     scored = naive_bayes.gaussian_nb_predict(model, df.filter(F.col("split") == 1))
     return rounded(scored.select("doc_id", "label", "prediction", "score_0", "score_1"))
