@@ -40,7 +40,7 @@ from tablelearn.functions.columns import LN2, as_key_string, ratio, xlogx
 from tablelearn.operators.stats import (
     ROWS,
     bin_column,
-    equal_width_edges,
+    bin_edges,
     feature_positions,
     long_values,
     with_bins,
@@ -147,11 +147,12 @@ def _level_nodes(long: DataFrame, label: str, features, compat: bool, can_split:
 
 def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion: str = "textbook",
               leaf: str = "majority", first_column: str | None = None,
-              broadcast_limit: int = BROADCAST_ROW_LIMIT, bins: int | None = None) -> ID3Model:
+              broadcast_limit: int = BROADCAST_ROW_LIMIT, bins: int | None = None,
+              binning: str = "width") -> ID3Model:
     """Grow the tree (eager: a few jobs per level).
 
-    ``bins``: floating-point features are replaced by equal-width bins of
-    the training rows first (edges kept in the model and reused by
+    ``bins``: floating-point features are replaced by equal-width (or, with
+    ``binning="quantile"``, quantile) bins of the training rows first (edges kept in the model and reused by
     ``id3_predict``); otherwise a continuous feature makes about one node
     per distinct value.
 
@@ -164,7 +165,7 @@ def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion
     features = list(features)
     first = first_column or df.columns[0]
     compat = criterion == "compat"
-    edges = equal_width_edges(df, features) if bins else {}
+    edges = bin_edges(df, features, bins, binning) if bins else {}
     if edges:
         df = with_bins(df, edges, bins)
     vmap = _value_map(df, features)

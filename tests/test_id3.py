@@ -65,3 +65,13 @@ def test_shuffle_join_path_equals_broadcast_path(spark):
     p1 = id3.id3_predict(m1, df)
     p2 = id3.id3_predict(m2, df, broadcast_limit=0)
     assert p1.exceptAll(p2).count() == 0 and p2.exceptAll(p1).count() == 0
+
+
+def test_quantile_binned_tree(spark):
+    rows = [(float(i * i), 0 if i < 200 else 1) for i in range(400)]
+    train = spark.createDataFrame(rows, "x double, y int")
+    model = id3.id3_build(train, ["x"], "y", max_depth=1, bins=2, binning="quantile")
+    assert len(model.edges["x"]) == 1
+    test = spark.createDataFrame([(0.0,), (150.0 ** 2,), (300.0 ** 2,)], "x double")
+    out = [r["prediction"] for r in id3.id3_predict(model, test).orderBy("x").collect()]
+    assert out == [0.0, 0.0, 1.0]

@@ -164,3 +164,15 @@ def test_binned_gain_bounds_histogram(spark):
         ["0", "1", "2", "3"]
     binned = stats.gain_report(df, ["x"], "y", bins=4).collect()[0]
     assert binned["gain"] < 0.05
+
+
+def test_quantile_bins(spark):
+    rows = [(float(i * i), i % 2) for i in range(400)]      # skewed values: equal width would crowd bin 0
+    df = spark.createDataFrame(rows, "x double, y int")
+    edges = stats.quantile_edges(df, ["x"], 4)
+    assert len(edges["x"]) == 3
+    counts = [r["n"] for r in stats.with_bins(df, edges, 4).groupBy("x").count()
+              .withColumnRenamed("count", "n").orderBy("x").collect()]
+    assert len(counts) == 4 and min(counts) >= 80           # roughly 100 per bin
+    rep = stats.gain_report(df, ["x"], "y", bins=4, binning="quantile").collect()[0]
+    assert rep["gain"] >= 0
