@@ -124,6 +124,9 @@ def with_runs(df: DataFrame, ranks=RANKS) -> DataFrame:
 
 
 def hand_total(cls="class", ranks=RANKS, suits=SUITS, compat: bool = False) -> Column:
+    """Total score as one column expression (handy in a select).  Over a
+    whole table prefer ``score_hands``, which stages the run lengths as
+    columns instead of re-deriving them inside one big expression."""
     cs = hand_class_score(cls)
     pts = hand_rank_points(ranks)
     return cs + pts * cs * POINTS_WEIGHT + hand_flush_bonus(suits, compat) + hand_longest_run(ranks, compat) * RUN_WEIGHT
