@@ -42,8 +42,9 @@ def xlogx(n) -> Column:
 
 
 def trunc_int(c) -> Column:
-    """JVM ``toInt`` on a double: truncate toward zero."""
-    return col_(c).cast("int")
+    """JVM ``toInt`` on a double: truncate toward zero (null, instead of a
+    failed job, for values that are not numbers or do not fit an int)."""
+    return col_(c).try_cast("double").try_cast("int")
 
 
 def all_not_null(cols) -> Column:

@@ -176,3 +176,9 @@ def test_quantile_bins(spark):
     assert len(counts) == 4 and min(counts) >= 80           # roughly 100 per bin
     rep = stats.gain_report(df, ["x"], "y", bins=4, binning="quantile").collect()[0]
     assert rep["gain"] >= 0
+
+
+def test_truncation_is_total(spark):
+    df = spark.createDataFrame([("1.7",), ("0",), ("x",), ("1e12",)], "y string")
+    from tablelearn.functions.columns import trunc_int
+    assert [r[0] for r in df.select(trunc_int("y")).collect()] == [1, 0, None, None]
