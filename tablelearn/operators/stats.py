@@ -15,8 +15,14 @@ driver loops and single-partition windows):
       H(Y | X)  = (sum_v n_v ln n_v - sum_{v,l} n_vl ln n_vl) / N
       H(X)      = ln N - (sum_v n_v ln n_v) / N          (nats, "compat")
 
-  (divide by ln 2 for bits).  The only windows left run over per-class rows,
-  whose count is bounded by the number of classes.
+  (divide by ln 2 for bits).  The label counts ride in the same histogram as
+  a constant pseudo-feature (``ROWS``), so the chain has no branch and no
+  join.  The only windows run over per-class rows (bounded by the number of
+  classes) or over the features + 1 rows of one group (bounded by the
+  number of features);
+* numeric feature values are grouped as typed keys, not formatted as text,
+  and continuous features can be binned first (``bins``) so the histogram
+  stays bounded instead of growing with the distinct values.
 """
 
 from __future__ import annotations
