@@ -289,7 +289,9 @@ def q_gaussian_nb_predict(spark, sf):
 
 
 def q_gaussian_nb_predict_compat(spark, sf):
-    df = split.hash_split(_injury(spark, sf), INJURY_KEY, [0.9, 0.1], SEED_90_10)
+    # fit and scoring both read the split view: derive it once
+    df = cut_lineage(split.hash_split(_injury(spark, sf), INJURY_KEY, [0.9, 0.1], SEED_90_10)
+                     .select(*INJURY_KEY, *INJURY_FEATURES, INJURY_LABEL, "split"), "nb-injury")
     model = naive_bayes.gaussian_nb_fit(df.filter(F.col("split") == 0), INJURY_FEATURES, INJURY_LABEL,
                                         compat=True, truncate=INJURY_TRUNCATED)
     scored = naive_bayes.gaussian_nb_predict(model, df.filter(F.col("split") == 1), keep_scores=False)
