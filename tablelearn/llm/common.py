@@ -24,6 +24,19 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
 
 
+#: numbers (8 bytes each) in a side that may be broadcast; a larger side is joined by shuffling
+BROADCAST_NUMBERS = 4_000_000
+
+
+def checked(side: DataFrame, lists: str | None = None) -> DataFrame:
+    """``side`` (a written table of a few numbers a row, with perhaps one
+    column of lists), marked for broadcast if its counted size allows it."""
+    n = F.count(F.lit(1)) * len(side.columns)
+    if lists:
+        n = n + F.coalesce(F.sum(F.size(lists)), F.lit(0))
+    return F.broadcast(side) if side.agg(n).first()[0] <= BROADCAST_NUMBERS else side
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

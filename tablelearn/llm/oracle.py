@@ -84,4 +84,20 @@ SELECT d.doc_id,
 FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id
 """
 
-ORACLE = {"op1_mix_sources": OP1, "op5_quality_rules": OP5, "op10_line_dedup": OP10}
+OP8 = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: isfinite(x)))
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      AND len(a.e) = len(b.e)
+      WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.93),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS m FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(m, e.vec_id)) AS component_id,
+       e.vec_id <= coalesce(m, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN n ON e.vec_id = n.a LEFT JOIN c ON e.vec_id = c.a
+"""
+
+ORACLE = {"op8_embedding_dedup": OP8, "op1_mix_sources": OP1, "op5_quality_rules": OP5, "op10_line_dedup": OP10}
