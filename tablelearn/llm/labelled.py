@@ -46,7 +46,7 @@ class Calibration:
             return
         self.mean, self.sd = x.mean(0), x.std(0) + 1e-9
         g = self._design(x)
-        ridge = np.full(g.shape[1], 0.02)
+        ridge = np.full(g.shape[1], 0.5)
         ridge[0] = 1e-6
         w = np.zeros(g.shape[1])
         for _ in range(60):

@@ -2,9 +2,9 @@
 
 A model of toxic and a model of ordinary text are counted from labelled
 documents; a text is scored by the difference of their length-normalised
-log-likelihoods, over the whole text and over its most toxic stretch of
-``STRETCH`` words (one insult in a long text would vanish in the mean alone).
-A logistic calibration of both gives the score in (0, 1).
+log-likelihoods, over the whole text, over its most toxic stretch of ``STRETCH``
+words, and at its most toxic word (one insult in a long text would vanish in
+the mean alone).  A logistic calibration gives the score in (0, 1).
 
 Smoothing, from the top down, with absolute discounting at each step:
 
@@ -22,7 +22,8 @@ aggregate; all of them make the context and continuation counts, and those
 seen often enough that at most ``BIGRAMS`` remain also keep a count of their
 own (the rest is backed off).  Class counts come from a bounded sample of
 labelled rows (``SAMPLE`` ids of each class, all of them when there are
-fewer); a tenth of the sampled ids is left out of the counts and calibrates.
+fewer); a tenth of the sampled ids (up to two fifths, when there are few) is
+left out of the counts and calibrates.
 
 Defined cases: null and empty texts get the base rate; without labels of both
 classes every score is the smoothed base rate (0.5 without labels); repeated
@@ -48,7 +49,7 @@ SLOTS = 1 << SLOT_BITS
 START = SLOTS - 1           # the context of a text's first word
 SAMPLE = 50_000             # labelled ids of each class
 BIGRAMS = 1 << 18           # bigrams with a count of their own
-STRETCH = 8
+STRETCH = 4
 CHUNK = 4 << 20             # bytes of text worked on at once
 STRIP = b".,;:!?\"'()[]{}<>|*#%$&-_"
 #: kinds of counts, in the top bits of a key
@@ -164,6 +165,13 @@ class KneserNey:
             left = max(d * np.count_nonzero(stems[c]) / n, 1.0 / n)
             self.stem.append((np.maximum(stems[c] - d, 0) / n + left * stem_share).astype(f))
 
+    @classmethod
+    def of(cls, fields: dict) -> KneserNey:
+        """From the fields of another one (only arrays and numbers are broadcast)."""
+        tables = cls.__new__(cls)
+        tables.__dict__.update(fields)
+        return tables
+
     def log_ratio(self, words, stems, h) -> np.ndarray:
         """log P(toxic model) - log P(ordinary model) of each token."""
         logs = []
@@ -180,9 +188,9 @@ class KneserNey:
 
 
 def _features(model: KneserNey, slots: Slots, texts: list) -> np.ndarray:
-    """Per text: mean log ratio, the largest mean over STRETCH words, and the
-    log of the length."""
-    out = np.zeros((len(texts), 3))
+    """Per text: mean log ratio, the largest mean over STRETCH words, the
+    largest of a word, and the log of the length."""
+    out = np.zeros((len(texts), 4))
     for first, part in _chunks(texts):
         words, stems, starts = slots.read(part)
         if not len(words):
@@ -201,7 +209,10 @@ def _features(model: KneserNey, slots: Slots, texts: list) -> np.ndarray:
             long = np.flatnonzero(n >= STRETCH)
             if len(long):
                 best[long] = np.maximum.reduceat(window, starts[long])
-        out[first:first + len(part)] = np.c_[mean, best, np.log1p(n)]
+        some = np.flatnonzero(n)
+        top = np.zeros(len(part))
+        top[some] = np.maximum.reduceat(ratio, starts[some])
+        out[first:first + len(part)] = np.c_[mean, best, top, np.log1p(n)]
     return out
 
 
@@ -214,7 +225,7 @@ class ToxicityModel:
             return np.full(len(texts), self.base)
         x = _features(self.tables, slots, texts)
         s = self.calibration(x)
-        s[x[:, 2] == 0] = self.base
+        s[x[:, 3] == 0] = self.base
         return s
 
 
@@ -236,11 +247,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str, learn, id_col="
     if not (sizes[0] and sizes[1]):
         return ToxicityModel(None, None, base)
     chosen = cut_lineage(labelled_sample(docs, labels, label, learn, sample, "toxic", id_col), "toxic-sample")
+    share = min(max(300.0 / min(sizes.values()), 0.1), 0.4)
     # at most 2 * sample ids: a bounded side
     known = F.broadcast(chosen)
     texts = docs.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_t"))
     marked = texts.join(known, F.col("_i") == F.col("_id"), "left").select(
-        "_t", F.when(F.col("_u") >= 0.1, F.col("_y")).alias("_c"))
+        "_t", F.when(F.col("_u") >= share, F.col("_y")).alias("_c"))
     counts = marked.mapInArrow(_count_rows, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     counts = cut_lineage(counts.select(F.shiftright("key", 60).alias("kind"),
                                        F.col("key").bitwiseAND((1 << 60) - 1).alias("key"), "n"), "toxic-counts")
@@ -266,30 +278,32 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str, learn, id_col="
     order = np.argsort(t["key"].to_numpy())
     tables = KneserNey(None, context, continuation, stems, shared, discounts, t["key"].to_numpy()[order],
                        np.vstack([t["n0"].to_numpy()[order], t["n1"].to_numpy()[order]]))
-    held = docs.sparkSession.sparkContext.broadcast(tables)
+    held = docs.sparkSession.sparkContext.broadcast(tables.__dict__)
 
     def measure(batches):
-        slots = Slots()
+        slots, model = Slots(), KneserNey.of(held.value)
         for b in batches:
-            x = _features(held.value, slots, _read(b.column(0)))
-            yield pa.RecordBatch.from_pydict({"y": b.column(1), "x0": x[:, 0], "x1": x[:, 1], "x2": x[:, 2]})
+            x = _features(model, slots, _read(b.column(0)))
+            yield pa.RecordBatch.from_pydict({"y": b.column(1), **{f"x{k}": x[:, k] for k in range(4)}})
 
-    rows = texts.join(known.filter("_u < 0.1"), F.col("_i") == F.col("_id")).select("_t", "_y").mapInArrow(
-        measure, "y int, x0 double, x1 double, x2 double").toArrow()
+    rows = texts.join(known.filter(F.col("_u") < share), F.col("_i") == F.col("_id")).select("_t", "_y").mapInArrow(
+        measure, "y int, x0 double, x1 double, x2 double, x3 double").toArrow()
     y = rows["y"].to_numpy().astype(float)
-    x = np.column_stack([rows[f"x{k}"].to_numpy() for k in range(3)])
+    x = np.column_stack([rows[f"x{k}"].to_numpy() for k in range(4)])
     calibration = Calibration(x, y, base).for_odds(sizes, y)
     return ToxicityModel(tables, calibration, base)
 
 
 def _with_scores(docs: DataFrame, model: ToxicityModel, text_col: str, schema, build) -> DataFrame:
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    place = docs.columns.index(text_col)
+    known = model.calibration is not None and model.calibration.w is not None
+    held = docs.sparkSession.sparkContext.broadcast(model.tables.__dict__ if known else None)
+    place, calibration, base = docs.columns.index(text_col), model.calibration, model.base
 
     def run(batches):
         slots = Slots()
+        own = ToxicityModel(KneserNey.of(held.value) if known else None, calibration, base)
         for b in batches:
-            yield build(b, held.value.scores(_read(b.column(place)), slots))
+            yield build(b, own.scores(_read(b.column(place)), slots))
 
     return docs.mapInArrow(run, schema)
 
