@@ -46,25 +46,25 @@ def base_rules(docs: DataFrame, id_col="doc_id", text_col="text", host_col="sour
     t = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), text.alias("_text"),
                     words_of(F.col(text_col)).alias("_words"),
                     F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)).alias("_lines"))
-    n = F.size("_words")
-    hashes = F.when(n >= WINDOW, F.transform(
-        F.sequence(F.lit(1), F.greatest(n - WINDOW + 1, F.lit(1))),
-        lambda i: F.xxhash64(F.slice(F.col("_words"), i, F.lit(WINDOW))))
-    ).otherwise(F.array().cast("array<long>"))
+    # two, four and eight words: each doubling hashes neighbours of the one before
+    t = t.select("*", F.transform("_words", lambda w: F.xxhash64(w)).alias("_h1"))
+    for half in (1, 2, 4):
+        h = F.col(f"_h{half}")
+        shifted = F.slice(h, F.lit(half + 1), F.greatest(F.size(h) - half, F.lit(0)))
+        pairs = F.zip_with(h, shifted, lambda a, b: F.xxhash64(a, b))
+        t = t.select("*", F.slice(pairs, F.lit(1), F.greatest(F.size(h) - half, F.lit(0))).alias(f"_h{2 * half}"))
     t = t.select(
-        "doc_id", "host", n.cast("long").alias("n_words"),
-        F.aggregate("_words", F.lit(0).cast("long"), lambda s, w: s + F.length(w)).alias("word_chars"),
-        (F.length("_text") - F.length(F.translate("_text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+        "doc_id", "host", F.size("_words").cast("long").alias("n_words"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.regexp_count("_text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        hashes.alias("_h"))
+        F.col("_h8").alias("_h"))
     repeats = F.size("_h") > F.size(F.array_distinct("_h"))
     t = t.select("*", F.when(repeats, F.sort_array(F.transform(
         "_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).alias("_sorted"))
-    h = F.col("_sorted.h")
-    t = t.select("*", h.alias("_sh"))
-    same = lambda x, i: (x["h"] == F.get("_sh", i - 1)) | (x["h"] == F.get("_sh", i + 1))
+    near = lambda x, i: (x["h"] == F.get("_sorted", i - 1)["h"]) | (x["h"] == F.get("_sorted", i + 1)["h"])
     places = F.sort_array(F.transform(
-        F.filter("_sorted", lambda x, i: F.coalesce(same(x, i), F.lit(False))), lambda x: x["i"]))
+        F.filter("_sorted", lambda x, i: F.coalesce(near(x, i), F.lit(False))), lambda x: x["i"]))
     t = t.select("*", F.when(F.col("_sorted").isNotNull(), places).alias("_places"))
     t = t.withColumn("n_repeat_words", F.when(F.col("_places").isNotNull(), _covered(F.col("_places"), WINDOW))
                      .otherwise(F.lit(0)).cast("long"))
