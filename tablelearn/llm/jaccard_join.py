@@ -157,7 +157,6 @@ class _Join:
         self.docs, self.size, self.num, self.den = docs, size, num, den
         self.keys = cut_lineage(_keys(docs, size), "sets")
         self.sets = None
-        self.links = None       # a, b of linked sets
         self.of = None          # node, component of linked sets
 
     def run(self) -> DataFrame:
@@ -220,6 +219,9 @@ class _Join:
     def _link(self, pairs: DataFrame) -> None:
         """Compare pairs and take the links found into the components."""
         found = self._compared(pairs).filter(self._linked()).select(F.col("set").alias("a"), F.col("pivot").alias("b"))
+        found = cut_lineage(found, "links")
+        if self.of is not None and found.isEmpty():
+            return
         # what is connected already is one edge to its component
         old = self.of.select(F.col("node").alias("a"), F.col("component").alias("b")) if self.of is not None else None
         self.of = cut_lineage(components(found if old is None else found.unionByName(old), "jaccard"), "jaccard")
