@@ -6,7 +6,7 @@ from tablelearn.functions.columns import (
     gaussian_density,
     gaussian_log_density,
     gaussian_log_density_compat,
-    hash_bucket,
+    hash32,
     normalized_zero,
     ratio,
     trunc_int,
@@ -19,7 +19,7 @@ __all__ = [
     "gaussian_density",
     "gaussian_log_density",
     "gaussian_log_density_compat",
-    "hash_bucket",
+    "hash32",
     "normalized_zero",
     "ratio",
     "trunc_int",

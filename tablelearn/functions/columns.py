@@ -84,15 +84,15 @@ def typed_key(c, dtype: DataType) -> Column:
     return F.struct(nd.alias("d"), nl.alias("l"), c.cast("string").alias("s"))
 
 
-def hash_bucket(key_cols, seed: int, buckets: int = 10000) -> Column:
-    """Deterministic bucket in [0, buckets) from md5(seed ':' key...).
+def hash32(key_cols, seed: int) -> Column:
+    """Deterministic number in [0, 2**32) from md5(seed ':' key...).
 
     Depends only on the row's key, never on partitioning, so a split made
     with it is the same on every cluster size and after any re-execution.
     """
     parts = [F.lit(str(seed))] + [col_(k).cast("string") for k in key_cols]
     digest = F.md5(F.concat_ws(":", *parts))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % F.lit(buckets)
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
 def gaussian_density(x, mean, var) -> Column:

@@ -1,32 +1,33 @@
 """Categorical (ID3-style) decision tree on tables.
 
-The tree is a node table, not a driver-side object.  Rows carry their path
-from the root (``array<struct<attr, value>>``); the node key is the path's
-JSON text.  The tree grows one LEVEL per iteration, for all nodes at once:
-
-1. one histogram ``(node, feature, value, label) -> n`` over the features
-   not yet used on each row's path (unpivot, filter, map-side combine),
-   scored per feature and reduced to the best attribute per node;
-2. node statistics (size, purity = number of label cells, majority label,
-   mean label, mean of the first column) from a pseudo-feature with one
-   constant value, carried through the same chain of aggregates (no second
-   pass, no join);
-3. impure nodes above ``max_depth`` with a feature left are split: their
-   rows are joined to the split table (broadcast only when the number of
-   splits, already counted, is under a limit; otherwise a shuffle join
-   that AQE can de-skew) and their path is extended with
-   ``(attribute, value)``;
-4. the level's nodes and the advanced rows are written as parquet into
-   the shared checkpoint directory and read back, which bounds the lineage
-   and makes a lost executor cost one level, not the whole tree.
-
-Only one number per level reaches the driver (how many nodes split).
+The tree is a node table, not a driver-side object, and it grows from a
+weighted table of CELLS: the training rows are aggregated once to
+``(feature values.., label) -> n, sum(first column)`` (map-side combine; with
+binned or categorical features the cells are few at any number of rows, with
+continuous ones they are at worst as long as the input).  No row is read or
+written again after that.
+
+One LEVEL of all nodes grows at a time:
+
+1. every cell's node is found by walking the levels above: a node's id is a
+   64-bit hash of its parent's id, the split attribute and the cell's value of
+   it, so only the parent's split attribute is looked up (the node tables are
+   Parquet, so the planner knows their bytes and picks the join);
+2. one histogram ``(node, feature, value, label) -> n`` over the features not
+   yet used on the path (a bit mask travels with the cell) gives every
+   feature's gain, reduced to the best attribute per node; a pseudo-feature
+   with one value carries the node's own statistics through the same chain;
+3. the level's nodes are written under the shared checkpoint directory, which
+   bounds the lineage: a lost executor costs one level.
+
+Only two counts per level reach the driver.
 
 Semantics (reference defects fixed, see README): every node keeps its leaf
 value so an unseen value falls back to it; a node without features left
 becomes a leaf; the leaf value is the majority label by default
 (``leaf="mean_first_column"`` gives what the reference stores); null is a
-value of its own and matches null.
+value of its own and matches null.  Labels may be of any type; means of the
+label are null where it is no number.
 """
 
 from __future__ import annotations
@@ -35,38 +36,33 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, NumericType
 
 from tablelearn.functions.columns import LN2, as_key_string, ratio, xlogx
-from tablelearn.operators.stats import (
-    ROWS,
-    bin_column,
-    bin_edges,
-    feature_positions,
-    long_values,
-    with_bins,
-)
-from tablelearn.plans.shaping import BROADCAST_ROW_LIMIT, cut_lineage, drop_written
+from tablelearn.operators.stats import ROWS, bin_column, bin_edges, feature_positions
+from tablelearn.plans.shaping import cut_lineage
 
-PATH_TYPE = "array<struct<attr:string,value:string>>"
 LEAF_KINDS = ("majority", "mean_label", "mean_first_column")
+ROOT = 0
 
 
-def _value_map(df: DataFrame, features, source=None) -> Column:
-    """map(feature name -> value key); ``source`` maps a feature to the
-    column holding its (binned) value."""
-    source = source or {}
+def _values(df: DataFrame, features, edges, bins) -> dict:
+    """Feature -> key column (its value, or its bin, as text)."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    kv = []
-    for f in features:
-        c = source.get(f, f)
-        kv += [F.lit(f), as_key_string(F.col(c), types[c])]
-    return F.create_map(*kv)
+    return {f: bin_column(f, edges[f], bins).cast("string") if f in edges else as_key_string(F.col(f), types[f])
+            for f in features}
+
 
+def _pick(features, attribute: Column, columns) -> Column:
+    """The column of the feature that ``attribute`` names."""
+    out = F.lit(None).cast("string")
+    for f, c in zip(features, columns):
+        out = F.when(attribute == f, c).otherwise(out)
+    return out
 
-def path_text(path: Column) -> Column:
-    """Readable conjunction ``a = x AND b = y`` ('' for the root)."""
-    parts = F.transform(path, lambda s: F.concat(s["attr"], F.lit(" = "), F.coalesce(s["value"], F.lit("null"))))
-    return F.array_join(parts, " AND ")
+
+def _child(node: Column, attribute: Column, value: Column) -> Column:
+    return F.xxhash64(node, attribute, F.coalesce(value, F.lit("")), value.isNull())
 
 
 @dataclass
@@ -75,9 +71,10 @@ class ID3Model:
     label: str
     max_depth: int
     leaf: str
+    numeric: bool = True
     levels: list = field(default_factory=list)   # [(depth, nodes DataFrame, n_nodes, n_split)]
     bins: int | None = None
-    edges: dict = field(default_factory=dict)    # feature -> (min, max) of the training rows
+    edges: dict = field(default_factory=dict)    # feature -> bin edges of the training rows
 
     @property
     def nodes(self) -> DataFrame:
@@ -86,38 +83,48 @@ class ID3Model:
             out = nodes if out is None else out.unionByName(nodes)
         return out
 
+    def _leaf(self) -> Column:
+        """A number, except that a label that is none keeps its own type."""
+        value = F.col(self.leaf)
+        return value if self.leaf == "majority" and not self.numeric else value.cast("double")
+
     def node_table(self) -> DataFrame:
         """``node_path, depth, split_attribute, n, is_pure, majority,
         mean_label, mean_first_column, leaf_value``."""
+        majority = F.col("majority").cast("double") if self.numeric else F.col("majority")
         return self.nodes.select(
-            path_text(F.col("_path")).alias("node_path"), "depth", "split_attribute", "n", "is_pure",
-            F.col("majority").cast("double").alias("majority"), "mean_label", "mean_first_column",
-            F.col(self.leaf).cast("double").alias("leaf_value"))
+            F.col("_path").alias("node_path"), "depth", "split_attribute", "n", "is_pure",
+            majority.alias("majority"), "mean_label", "mean_first_column", self._leaf().alias("leaf_value"))
 
     def rules(self) -> DataFrame:
         """One row per leaf: ``rule, depth, n, prediction``."""
         leaves = self.nodes.filter(F.col("split_attribute").isNull())
-        return leaves.select(path_text(F.col("_path")).alias("rule"), "depth", "n",
-                             F.col(self.leaf).cast("double").alias("prediction"))
+        return leaves.select(F.col("_path").alias("rule"), "depth", "n", self._leaf().alias("prediction"))
 
 
-def _level_nodes(long: DataFrame, label: str, features, compat: bool, can_split: bool) -> DataFrame:
-    """One level's nodes from the unpivoted rows in one chain of aggregates:
+def _level_nodes(cells: DataFrame, features, label: str, compat: bool, can_split: bool) -> DataFrame:
+    """One level's nodes from the weighted cells in one chain of aggregates:
     histogram -> per value -> per feature -> (window over the node's
-    features + 1 rows) -> per node.  The ``ROWS`` pseudo-feature (one value)
-    carries the node's own statistics through the same chain."""
-    y = F.col(label)
-    hist = long.groupBy("_node", "feature", "value", label).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_first").alias("_f"))
+    features + 1 rows) -> per node."""
+    offered = [F.struct(F.lit(ROWS).alias("feature"), F.lit("").alias("value"))]
+    if can_split:
+        offered += [F.when(F.col("_used").bitwiseAND(1 << i) == 0,
+                           F.struct(F.lit(f).alias("feature"), F.col(f"_v{i}").alias("value")))
+                    for i, f in enumerate(features)]
+    pairs = F.filter(F.array(*offered), lambda x: x.isNotNull())
+    long = cells.select("_node", "_path", "_y", "_n", "_f", F.inline(pairs))
+    hist = long.groupBy("_node", "feature", "value", "_y").agg(
+        F.sum("_n").alias("n"), F.sum("_f").alias("_f"), F.min("_path").alias("_path"))
+    y = F.col("_y")
     per_value = hist.groupBy("_node", "feature", "value").agg(
         F.sum("n").alias("_nv"), F.sum(xlogx("n")).alias("_av"), F.count(F.lit(1)).alias("_cells"),
-        F.min_by(label, F.struct(-F.col("n"), y)).alias("_maj"),
-        F.sum(y.cast("double") * F.col("n")).alias("_sl"), F.sum(F.when(y.isNotNull(), F.col("n"))).alias("_nl"),
-        F.sum("_f").alias("_sf"))
+        F.min_by("_y", F.struct(-F.col("n"), y)).alias("_maj"), F.min("_path").alias("_path"),
+        F.sum(y.try_cast("double") * F.col("n")).alias("_sl"),
+        F.sum(F.when(y.try_cast("double").isNotNull(), F.col("n"))).alias("_nl"), F.sum("_f").alias("_sf"))
     per_feature = per_value.groupBy("_node", "feature").agg(
         F.sum("_nv").alias("n"), F.sum(xlogx("_nv")).alias("_b"), F.sum("_av").alias("_a"),
         F.max("_cells").alias("_cells"), F.any_value("_maj").alias("_maj"), F.sum("_sl").alias("_sl"),
-        F.sum("_nl").alias("_nl"), F.sum("_sf").alias("_sf"))
+        F.sum("_nl").alias("_nl"), F.sum("_sf").alias("_sf"), F.min("_path").alias("_path"))
     is_rows = F.col("feature") == ROWS
     # sum_l n_l ln n_l of the node = "_a" of its ROWS row; the window holds
     # (features left + 1) rows per node: bounded
@@ -130,141 +137,102 @@ def _level_nodes(long: DataFrame, label: str, features, compat: bool, can_split:
         other = F.greatest(F.lit(0.0), ratio(F.col("_b") - F.col("_a"), n) / LN2)
     scored = per_feature.withColumn("_g", h_label - other).withColumn("_pos", feature_positions(features))
     key = F.struct((~is_rows).alias("cand"), F.round("_g", 12), -F.col("_pos"))
-    best = F.max_by("feature", key)
     rows_only = lambda col: F.max(F.when(is_rows, col))
     agg = scored.groupBy("_node").agg(
-        best.alias("_best"), F.max_by("_g", key).alias("_bg"),
+        F.max_by("feature", key).alias("_best"), F.max_by("_g", key).alias("_bg"), F.min("_path").alias("_path"),
         rows_only(F.col("n")).alias("n"), rows_only(F.col("_cells")).alias("_classes"),
         rows_only(F.col("_maj")).alias("majority"), rows_only(ratio("_sl", "_nl")).alias("mean_label"),
         rows_only(ratio("_sf", "n")).alias("mean_first_column"))
     real = F.col("_best") != ROWS
     split = F.when((F.col("_classes") > 1) & F.lit(can_split) & real, F.col("_best"))
-    return agg.withColumns({
-        "split_attribute": split,
-        "gain": F.when(real, F.col("_bg")),
-    })
+    return agg.withColumns({"split_attribute": split, "gain": F.when(real, F.col("_bg"))})
 
 
 def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion: str = "textbook",
-              leaf: str = "majority", first_column: str | None = None,
-              broadcast_limit: int = BROADCAST_ROW_LIMIT, bins: int | None = None,
+              leaf: str = "majority", first_column: str | None = None, bins: int | None = None,
               binning: str = "width") -> ID3Model:
-    """Grow the tree (eager: a few jobs per level).
-
-    ``bins``: floating-point features are replaced by equal-width (or, with
-    ``binning="quantile"``, quantile) bins of the training rows first (edges kept in the model and reused by
-    ``id3_predict``); otherwise a continuous feature makes about one node
-    per distinct value.
+    """Grow the tree (eager: two small jobs per level).
 
-    Per level there is one pass over the rows for the histogram (node
-    statistics ride through the same aggregate chain as a pseudo-feature;
-    see ``_level_nodes``) and one pass to advance the rows of split nodes;
-    the first level reads the input once and writes the projected rows."""
+    ``bins``: numeric features are replaced by equal-width (or, with
+    ``binning="quantile"``, quantile) bins of the training rows first (edges
+    kept in the model and reused by ``id3_predict``); otherwise a continuous
+    feature makes about one node per distinct value."""
     if leaf not in LEAF_KINDS:
         raise ValueError(f"leaf must be one of {LEAF_KINDS}")
     features = list(features)
-    first = first_column or df.columns[0]
+    if len(features) > 62:
+        raise ValueError("at most 62 features")
     compat = criterion == "compat"
+    kind = df.schema[label].dataType
     edges = bin_edges(df, features, bins, binning) if bins else {}
-    if edges:
-        df = with_bins(df, edges, bins)
-    vmap = _value_map(df, features)
-    cur = cut_lineage(df.select(*features, label, F.col(first).try_cast("double").alias("_first"),
-                                F.array().cast(PATH_TYPE).alias("_path")), "id3-rows")
-    model = ID3Model(features, label, max_depth, leaf, bins=bins if edges else None, edges=edges)
-    written = [cur]
+    model = ID3Model(features, label, max_depth, leaf, isinstance(kind, (NumericType, BooleanType)),
+                     bins=bins if edges else None, edges=edges)
+    keys = [c.alias(f"_v{i}") for i, c in enumerate(_values(df, features, edges, bins).values())]
+    first = F.col(first_column or df.columns[0]).try_cast("double")
+    names = [f"_v{i}" for i in range(len(features))]
+    cells = df.select(*keys, F.col(label).alias("_y"), first.alias("_first")).groupBy(*names, "_y").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_first").alias("_f"))
+    cells = cut_lineage(cells, "id3-cells")
+    at = cells.select("*", F.lit(ROOT).cast("long").alias("_node"), F.lit(0).cast("long").alias("_used"),
+                      F.lit("").alias("_path"))
     for depth in range(max_depth + 1):
         can_split = depth < max_depth and depth < len(features)
-        keyed = cur.withColumn("_node", F.to_json("_path"))
-        long = long_values(keyed.withColumn(ROWS, F.lit("")), (features if can_split else []) + [ROWS],
-                           ids=["_node", "_path", label, "_first"], typed=True)
-        long = long.filter(~F.array_contains(F.col("_path.attr"), F.col("feature"))).drop("_path")
-        nodes = _level_nodes(long, label, features, compat, can_split)
-        nodes = nodes.select(
-            "_node", F.from_json("_node", PATH_TYPE).alias("_path"), F.lit(depth).alias("depth"),
-            F.col("n").cast("bigint").alias("n"), (F.col("_classes") == 1).cast("int").alias("is_pure"),
-            "majority", "mean_label", "mean_first_column", "split_attribute", "gain")
+        nodes = _level_nodes(at, features, label, compat, can_split).select(
+            "_node", "_path", F.lit(depth).alias("depth"), F.col("n").cast("bigint").alias("n"),
+            (F.col("_classes") == 1).cast("int").alias("is_pure"), "majority", "mean_label", "mean_first_column",
+            "split_attribute", "gain")
         nodes = cut_lineage(nodes, "id3-nodes")
         counts = nodes.agg(F.count(F.lit(1)).alias("a"), F.count("split_attribute").alias("s")).first()
-        n_nodes, n_split = int(counts["a"]), int(counts["s"])
-        model.levels.append((depth, nodes, n_nodes, n_split))
-        if n_split == 0:
+        model.levels.append((depth, nodes, int(counts["a"]), int(counts["s"])))
+        if not counts["s"]:
             break
-        splits = nodes.filter(F.col("split_attribute").isNotNull()).select("_node", "split_attribute")
-        if n_split <= broadcast_limit:
-            splits = F.broadcast(splits)
-        nxt = keyed.join(splits, "_node", "inner")
-        step = F.struct(F.col("split_attribute").alias("attr"),
-                        F.element_at(vmap, F.col("split_attribute")).alias("value"))
-        cur = cut_lineage(nxt.select(*features, label, "_first", F.array_append("_path", step).alias("_path")),
-                          "id3-rows")
-        written.append(cur)
-    for rows in written:   # row tables: nothing reads them after the build
-        drop_written(rows)
+        splits = nodes.filter(F.col("split_attribute").isNotNull()).select("_node", F.col("split_attribute").alias("_s"))
+        attr = F.col("_s")
+        value = _pick(features, attr, [F.col(c) for c in names])
+        used = F.col("_used")
+        for i, f in enumerate(features):
+            used = F.when(attr == f, F.col("_used").bitwiseOR(F.lit(1 << i).cast("long"))).otherwise(used)
+        text = F.concat(F.col("_path"), F.when(F.col("_path") == "", F.lit("")).otherwise(F.lit(" AND ")),
+                        attr, F.lit(" = "), F.coalesce(value, F.lit("null")))
+        at = at.join(splits, "_node").select(*names, "_y", "_n", "_f", _child(F.col("_node"), attr, value).alias("_node"),
+                                             used.alias("_used"), text.alias("_path"))
     return model
 
 
-def id3_predict(model: ID3Model, df: DataFrame, output: str = "prediction",
-                broadcast_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def id3_predict(model: ID3Model, df: DataFrame, output: str = "prediction") -> DataFrame:
     """Append ``output``: follow the child whose edge value equals the
     row's value; at a leaf, or when the value was not seen in training,
     take the current node's leaf value.
 
-    One frame flows through one left join per tree level; rows already
-    decided carry their prediction along.  When every level's node table
-    is under ``broadcast_limit`` rows (counted at build time) the joins are
-    broadcast: the walk is a single narrow pass over ``df`` (no shuffle, no
-    write; a lost executor recomputes only its partitions).  Otherwise the
-    joins shuffle and each level is cut by a written table; finished rows
-    get a salted key so they spread over partitions instead of piling into
-    the null-key one."""
-    cols = df.columns            # output columns
-    source = {}
-    if model.edges:   # bin with the training edges, keep the original values in the output
-        df = df.withColumns({f"_bin_{f}": bin_column(f, e, model.bins) for f, e in model.edges.items()})
-        source = {f: f"_bin_{f}" for f in model.edges}
-    carry = df.columns           # carried through the levels (original + bins)
-    vmap = _value_map(df, model.features, source)
-    state = df.select("*", F.array().cast(PATH_TYPE).alias("_path"),
-                      F.lit(None).cast("double").alias("_fallback"),
-                      F.lit(None).cast("double").alias("_pred"), F.lit(False).alias("_done"))
-    done = F.col("_done")
-    for depth, nodes, n_nodes, _ in model.levels:
-        if depth == 0:
-            # the root is one node: apply it as literals (every row's key is
-            # the same constant, so a join would degenerate to a cross join)
-            root = nodes.select("split_attribute", F.col(model.leaf).cast("double").alias("leaf")).first()
-            leaf = F.lit(root["leaf"]).cast("double")
-            if root["split_attribute"] is None:
-                state = state.withColumns({"_pred": leaf, "_done": F.lit(True)})
-                continue
-            attr = F.lit(root["split_attribute"])
-            step = F.struct(attr.alias("attr"), F.element_at(vmap, attr).alias("value"))
-            state = state.withColumns({"_path": F.array(step), "_fallback": leaf})
-            continue
-        look = nodes.select(F.col("_node").alias("_k"), F.col("split_attribute").alias("_split"),
-                            F.col(model.leaf).cast("double").alias("_leaf"), F.lit(True).alias("_hit"))
-        small = n_nodes <= broadcast_limit
-        if small:
-            look = F.broadcast(look)
-            key = F.when(~done, F.to_json("_path"))
-        else:
-            # node keys are JSON arrays ("[..."); "#<n>" never matches one
-            salt = F.concat(F.lit("#"), (F.xxhash64(*[F.col(c) for c in carry]) % 1024).cast("string"))
-            key = F.when(~done, F.to_json("_path")).otherwise(salt)
-        j = state.withColumn("_k", key).join(look, "_k", "left")
-        hit = F.col("_hit").isNotNull()
-        stop = ~done & (~hit | F.col("_split").isNull())
-        go = ~done & hit & F.col("_split").isNotNull()
-        step = F.struct(F.col("_split").alias("attr"), F.element_at(vmap, F.col("_split")).alias("value"))
+    One frame flows through one left join per tree level; the planner picks
+    each join by the bytes of the level's node table.  A row whose prediction
+    is known keeps it and joins on a hash of its own values (an unbounded
+    salt), so finished rows spread over all partitions."""
+    cols = df.columns
+    leaf = model._leaf()
+    root = model.levels[0][1].select("split_attribute", leaf.alias("leaf"))
+    keys = _values(df, model.features, model.edges, model.bins)
+    names = [f"_v{i}" for i in range(len(keys))]
+    first = root.first()
+    kind = root.schema["leaf"].dataType
+    attr0 = None if first is None else first["split_attribute"]
+    top = F.lit(None if first is None else first["leaf"]).cast(kind)
+    state = df.select("*", *[c.alias(a) for a, c in zip(names, keys.values())])
+    values = [F.col(a) for a in names]
+    if attr0 is None:
+        return state.withColumn(output, top).select(*cols, output)
+    # the root is one node: its split is applied as a literal
+    state = state.select("*", _child(F.lit(ROOT).cast("long"), F.lit(attr0), _pick(model.features, F.lit(attr0), values))
+                         .alias("_node"), top.alias("_pred"), F.lit(False).alias("_done"))
+    for _, nodes, _, _ in model.levels[1:]:
+        look = nodes.select(F.col("_node").alias("_k"), F.col("split_attribute").alias("_split"), leaf.alias("_leaf"))
+        key = F.when(F.col("_done"), F.xxhash64(*names, *cols)).otherwise(F.col("_node"))
+        j = state.withColumn("_key", key).join(look, F.col("_key") == F.col("_k"), "left")
+        hit = ~F.col("_done") & F.col("_k").isNotNull()
+        go = hit & F.col("_split").isNotNull()
         state = j.select(
-            *carry,
-            F.when(go, F.array_append("_path", step)).otherwise(F.col("_path")).alias("_path"),
-            F.when(go, F.col("_leaf")).otherwise(F.col("_fallback")).alias("_fallback"),
-            F.when(stop, F.when(hit, F.col("_leaf")).otherwise(F.col("_fallback")))
-             .otherwise(F.col("_pred")).alias("_pred"),
-            (done | stop).alias("_done"),
-        )
-        if not small:
-            state = cut_lineage(state, "id3-predict")
-    return state.select(*cols, F.when(done, F.col("_pred")).otherwise(F.col("_fallback")).alias(output))
+            *cols, *names,
+            F.when(go, _child(F.col("_node"), F.col("_split"), _pick(model.features, F.col("_split"), values)))
+             .otherwise(F.col("_node")).alias("_node"),
+            F.when(hit, F.col("_leaf")).otherwise(F.col("_pred")).alias("_pred"), (~go).alias("_done"))
+    return state.select(*cols, F.col("_pred").alias(output))

@@ -10,12 +10,20 @@ prediction, and one aggregate sums them by class.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import BooleanType, NumericType
+
 from tablelearn.functions.columns import ratio
-from tablelearn.plans.shaping import exclusive_prefix_sums
+from tablelearn.plans.shaping import cut_lineage, exclusive_prefix_sums
+
+
+def _comparable(df: DataFrame, *columns: str):
+    """The columns as doubles if all are numbers, else as text: classes may
+    be of any type."""
+    number = all(isinstance(df.schema[c].dataType, (NumericType, BooleanType)) for c in columns)
+    return [F.col(c).cast("double" if number else "string") for c in columns]
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -26,8 +34,7 @@ def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction
 def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """``class, n_label, n_pred, tp, precision, recall, f1`` per class."""
     conf = confusion(df, label, prediction)
-    lab = F.col(label).cast("double")
-    pred = F.col(prediction).cast("double")
+    lab, pred = _comparable(df, label, prediction)
     hit = F.coalesce(lab == pred, F.lit(False))
     zero = F.lit(0).cast("bigint")
     cells = conf.select(F.explode(F.array(
@@ -60,7 +67,8 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Fraction of rows with prediction == label: one row ``accuracy``."""
-    hit = F.coalesce(F.col(prediction).cast("double") == F.col(label).cast("double"), F.lit(False))
+    a, b = _comparable(df, label, prediction)
+    hit = F.coalesce(a == b, F.lit(False))
     return df.agg(F.avg(hit.cast("double")).alias("accuracy"))
 
 
@@ -86,16 +94,19 @@ def area_under_roc(df: DataFrame, label: str = "label", score: str = "score",
     statistic over distinct scores.  One row: ``area_under_roc, n_pos,
     n_neg``.  Rows with a null score or label are ignored.
 
-    Scale: scores are first aggregated to ``score -> (pos, neg)``; the
-    cumulative negative count below each score is computed with bucketed
-    prefix sums (see ``exclusive_prefix_sums``), never a global window.
+    Infinite scores are ordinary scores; NaN scores rank above all others
+    and tie with each other.
+
+    Scale: scores are first aggregated to ``score -> (pos, neg)``, a table
+    that is written once and read three times; the cumulative negative count
+    below each score is computed with bucketed prefix sums (see
+    ``exclusive_prefix_sums``), never a global window.
     """
     pos = F.col(label).cast("double") == 1.0
     rows = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-    # read three times (cut points, in-bucket windows, bucket totals): keep
-    # it instead of aggregating the rows again; lost blocks are recomputed
     per_score = rows.groupBy(F.col(score).cast("double").alias("_s")).agg(
-        F.count_if(pos).alias("pos"), F.count_if(~pos).alias("neg")).persist(StorageLevel.MEMORY_AND_DISK)
+        F.count_if(pos).alias("pos"), F.count_if(~pos).alias("neg"))
+    per_score = cut_lineage(per_score, "scores")
     pre = exclusive_prefix_sums(per_score, "_s", ["neg"], buckets)
     contrib = F.col("pos") * (F.col("neg_before") + F.col("neg") * 0.5)
     agg = pre.agg(F.sum(contrib).alias("_u"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))

@@ -2,8 +2,8 @@
 
 ``hash_split`` is the main operator: a row's side depends only on a hash of
 its key and the seed, so it is identical on every cluster size, after any
-re-partitioning, and when lost tasks are re-run.  ``df.randomSplit`` is kept
-as ``random_split`` for parity, but its result changes with partitioning.
+re-partitioning, and when lost tasks are re-run.  ``random_split`` is there
+for parity with ``df.randomSplit``; its result changes with partitioning.
 """
 
 from __future__ import annotations
@@ -13,22 +13,23 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelearn.functions.columns import hash_bucket
+from tablelearn.functions.columns import hash32
 
-BUCKETS = 10000
+SPAN = 2 ** 32
 
 
 def _bounds(weights):
     total = float(sum(weights))
     if total <= 0 or any(w < 0 for w in weights):
         raise ValueError("weights must be non-negative with a positive sum")
-    return [round(c / total * BUCKETS) for c in accumulate(weights)]
+    return [round(c / total * SPAN) for c in accumulate(weights)]
 
 
 def hash_split(df: DataFrame, key_cols, weights, seed: int, split_col: str = "split") -> DataFrame:
-    """Add ``split`` = index of the weight interval that the key's bucket
-    (0..9999) falls in.  Narrow: no shuffle."""
-    b = hash_bucket(key_cols, seed, BUCKETS)
+    """Add ``split`` = index of the weight interval that the key's 32-bit
+    hash falls in, so a side with a share of one in a billion still gets its
+    rows.  Narrow: no shuffle."""
+    b = hash32(key_cols, seed)
     bounds = _bounds(weights)
     expr = F.lit(len(bounds) - 1)
     for i in reversed(range(len(bounds) - 1)):
@@ -44,10 +45,10 @@ def hash_split_frames(df: DataFrame, key_cols, weights, seed: int):
 
 
 def random_split(df: DataFrame, weights, seed: int, split_col: str = "split") -> DataFrame:
-    """``df.randomSplit`` tagged and unioned back into one table."""
-    parts = df.randomSplit(list(weights), seed)
-    out = None
-    for i, p in enumerate(parts):
-        p = p.withColumn(split_col, F.lit(i))
-        out = p if out is None else out.unionByName(p)
-    return out
+    """Each row's side from one random number, in one narrow pass.  The
+    sides depend on the partitioning, like those of ``df.randomSplit``."""
+    shares = [c / SPAN for c in _bounds(weights)]
+    out = F.lit(len(shares) - 1)
+    for i in reversed(range(len(shares) - 1)):
+        out = F.when(F.col("_random") < shares[i], F.lit(i)).otherwise(out)
+    return df.withColumn("_random", F.rand(seed)).withColumn(split_col, out.cast("int")).drop("_random")

@@ -6,8 +6,8 @@ driver loops and single-partition windows):
 * every statistic is an aggregate with map-side partial aggregation, so a
   class or value holding a third of all rows is combined inside each map
   task before the shuffle;
-* all features are scored from ONE histogram ``(by.., feature, value, label)
-  -> n`` made by unpivoting the features (one scan of the input);
+* all features are scored from ONE table ``(by.., feature, value) -> a count
+  per class`` made by unpivoting the features (one scan, one wide exchange);
 * entropies are rewritten as sums of ``n ln n`` terms, so no step needs the
   grand total next to each row:
 
@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import NumericType
 
 from tablelearn.functions.columns import LN2, as_key_string, ratio, trunc_int, typed_key, xlogx
 
@@ -38,6 +38,7 @@ VALUE = "value"
 # Pseudo-feature with one constant value: its histogram cells are the
 # (by.., label) counts, so label statistics ride along in the same pass.
 ROWS = "__rows__"
+WIDE_CLASSES = 64       # classes that get a counter of their own in ``value_terms``
 
 
 def _cnt() -> Column:
@@ -109,6 +110,29 @@ def histogram(df: DataFrame, features, label: str, by=(), typed: bool = False) -
     return long.groupBy(*by, FEATURE, VALUE, label).agg(_cnt().alias("n"))
 
 
+def value_terms(df: DataFrame, features, label: str, by=()) -> DataFrame:
+    """Per ``(by.., feature, value)``: ``_nv`` rows and ``_av`` = the sum of
+    ``n ln n`` over its classes; one wide exchange.
+
+    One small aggregate first gives the classes (null is one), and the rows
+    are then counted per value with a counter per class, combined map-side.
+    With more than ``WIDE_CLASSES`` classes the class becomes part of the
+    grouping key instead, at the cost of a second exchange."""
+    classes = [r[0] for r in df.select(label).distinct().limit(WIDE_CLASSES + 1).collect()]
+    if len(classes) > WIDE_CLASSES:
+        return histogram(df, features, label, by, typed=True).groupBy(*by, FEATURE, VALUE).agg(
+            F.sum("n").alias("_nv"), F.sum(xlogx("n")).alias("_av"))
+    kind = df.schema[label].dataType
+    long = long_values(df.withColumn(ROWS, F.lit("")), [*features, ROWS], [*by, label], typed=True)
+    counts = long.groupBy(*by, FEATURE, VALUE).agg(
+        _cnt().alias("_nv"),
+        *[F.count_if(F.col(label).eqNullSafe(F.lit(c).cast(kind))).alias(f"_n{i}") for i, c in enumerate(classes)])
+    terms = F.lit(0.0)
+    for i in range(len(classes)):
+        terms = terms + xlogx(f"_n{i}")
+    return counts.select(*by, FEATURE, VALUE, "_nv", terms.alias("_av"))
+
+
 def feature_value_counts(df: DataFrame, features, by=()) -> DataFrame:
     """``(by.., feature, value) -> n`` for all features at once."""
     return long_values(df, features, by).groupBy(*by, FEATURE, VALUE).agg(_cnt().alias("n"))
@@ -121,6 +145,8 @@ def value_probability(df: DataFrame, features, by=()) -> DataFrame:
     counts = feature_value_counts(df, features, by)
     totals = counts.groupBy(*by, FEATURE).agg(F.sum("n").alias("_total"))
     p = ratio(F.col("n"), F.col("_total"))
+    if not by:      # one row per feature: a proven bound
+        totals = F.broadcast(totals)
     return counts.join(totals, [*by, FEATURE]).select(
         *by, FEATURE, VALUE, "n", p.alias("probability"), (-p * F.ln(p)).alias("entropy_term"))
 
@@ -144,15 +170,14 @@ def entropy(df: DataFrame, label: str, by=()) -> DataFrame:
                       _bits_from_sums(F.col("n"), F.col("_s")).alias("entropy"))
 
 
-def gain_table(hist: DataFrame, label: str, by=(), features=None) -> DataFrame:
-    """Per ``(by.., feature)`` from a histogram (with its ``ROWS`` cells):
+def gain_table(per_value: DataFrame, by=(), features=None) -> DataFrame:
+    """Per ``(by.., feature)`` from ``value_terms`` (with its ``ROWS`` cells):
     ``n``, ``label_entropy`` (bits), ``conditional_entropy`` (bits),
     ``feature_entropy`` (nats), ``gain`` (textbook) and ``gain_compat``
     (label entropy in bits minus the feature's own entropy in nats, as the
     reference executes it).  One linear chain of aggregates: no branch, so
-    the histogram (and the scan under it) is computed once."""
+    the value counts (and the scan under them) are computed once."""
     keys = [*by, FEATURE]
-    per_value = hist.groupBy(*keys, VALUE).agg(F.sum("n").alias("_nv"), F.sum(xlogx("n")).alias("_av"))
     per_feature = per_value.groupBy(*keys).agg(
         F.sum("_nv").alias("n"), F.sum(xlogx("_nv")).alias("_b"), F.sum("_av").alias("_a"))
     # sum_l n_l ln n_l of the group = the "_a" of the ROWS pseudo-feature.
@@ -178,32 +203,31 @@ def gain_table(hist: DataFrame, label: str, by=(), features=None) -> DataFrame:
 
 
 def equal_width_edges(df: DataFrame, features) -> dict:
-    """``{feature: (min, max)}`` for the floating-point features (NaN
-    ignored), from one aggregate job returning two numbers per feature."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    floats = [f for f in features if isinstance(types[f], (DoubleType, FloatType))]
-    if not floats:
+    """``{feature: (min, max)}`` for the numeric features (NaN ignored),
+    from one aggregate job returning two numbers per feature."""
+    numbers = [f for f in features if isinstance(df.schema[f].dataType, NumericType)]
+    if not numbers:
         return {}
     aggs = []
-    for f in floats:
-        ok = F.when(~F.isnan(f), F.col(f))
+    for f in numbers:
+        x = F.col(f).cast("double")
+        ok = F.when(~F.isnan(x), x)
         aggs += [F.min(ok).alias(f"lo_{f}"), F.max(ok).alias(f"hi_{f}")]
     row = df.agg(*aggs).first()
-    return {f: (row[f"lo_{f}"], row[f"hi_{f}"]) for f in floats}
+    return {f: (row[f"lo_{f}"], row[f"hi_{f}"]) for f in numbers}
 
 
 def quantile_edges(df: DataFrame, features, bins: int) -> dict:
-    """``{feature: [cut, ...]}`` for the floating-point features: the
-    approximate i/bins quantiles (NaN ignored, duplicates dropped), from one
+    """``{feature: [cut, ...]}`` for the numeric features: the approximate i/bins quantiles (NaN ignored, duplicates dropped), from one
     aggregate job returning bins - 1 numbers per feature."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    floats = [f for f in features if isinstance(types[f], (DoubleType, FloatType))]
-    if not floats or bins < 2:
-        return {f: [] for f in floats}
+    numbers = [f for f in features if isinstance(df.schema[f].dataType, NumericType)]
+    if not numbers or bins < 2:
+        return {f: [] for f in numbers}
     probs = [i / bins for i in range(1, bins)]
-    aggs = [F.percentile_approx(F.when(~F.isnan(f), F.col(f)), probs, 10000).alias(f"q_{f}") for f in floats]
+    as_double = {f: F.col(f).cast("double") for f in numbers}
+    aggs = [F.percentile_approx(F.when(~F.isnan(x), x), probs, 10000).alias(f"q_{f}") for f, x in as_double.items()]
     row = df.agg(*aggs).first()
-    return {f: sorted({float(c) for c in (row[f"q_{f}"] or [])}) for f in floats}
+    return {f: sorted({float(c) for c in (row[f"q_{f}"] or [])}) for f in numbers}
 
 
 def bin_edges(df: DataFrame, features, bins: int, binning: str = "width") -> dict:
@@ -220,7 +244,7 @@ def bin_column(x, edge, bins: int) -> Column:
     equal width, ``floor((x - min) / ((max - min) / bins))`` clamped to
     [0, bins - 1].  ``edge = [cuts]``: number of cuts <= x (quantile bins;
     unrolled comparisons, no lambda)."""
-    x = F.col(x) if isinstance(x, str) else x
+    x = (F.col(x) if isinstance(x, str) else x).cast("double")
     valid = x.isNotNull() & ~F.isnan(x)
     if isinstance(edge, list):
         idx = F.lit(0)
@@ -249,7 +273,7 @@ def gain_report(df: DataFrame, features, label: str, by=(), bins: int | None = N
                 binning: str = "width") -> DataFrame:
     """All features scored from one histogram (one scan of ``df``).
 
-    ``bins``: replace floating-point features by equal-width bins first (one
+    ``bins``: replace numeric features by equal-width bins first (one
     extra small job for their min/max), or quantile bins with
     ``binning="quantile"`` (one small job for bins - 1 cut points each).  A continuous feature otherwise has
     about one histogram cell per row; binned, the histogram is bounded by
@@ -257,7 +281,7 @@ def gain_report(df: DataFrame, features, label: str, by=(), bins: int | None = N
     reference."""
     if bins:
         df = with_bins(df, bin_edges(df, features, bins, binning), bins)
-    return gain_table(histogram(df, features, label, by, typed=True), label, by, features)
+    return gain_table(value_terms(df, features, label, by), by, features)
 
 
 def information_gain(df: DataFrame, feature: str, label: str, compat: bool = False) -> DataFrame:
@@ -323,13 +347,14 @@ def is_pure(df: DataFrame, label: str, by=()) -> DataFrame:
 
 def leaf_values(df: DataFrame, label: str, by=(), first_column: str | None = None) -> DataFrame:
     """Per group: ``n``, ``majority`` (most frequent label, ties to the
-    smallest), ``mean_label`` and ``mean_first_column`` (the value the
+    smallest; in the label's own type), ``mean_label`` (null where the label is no number) and ``mean_first_column`` (the value the
     reference actually stores in its leaves).  One pass over the rows."""
     first = first_column or df.columns[0]
+    number = F.col(label).try_cast("double")
     cells = df.groupBy(*by, label).agg(_cnt().alias("_n"), F.sum(F.col(first).try_cast("double")).alias("_f"))
     return cells.groupBy(*by).agg(
         F.sum("_n").alias("n"),
         F.min_by(label, F.struct(-F.col("_n"), F.col(label))).alias("majority"),
-        ratio(F.sum(F.col(label).cast("double") * F.col("_n")), F.sum(F.when(F.col(label).isNotNull(), F.col("_n")))).alias("mean_label"),
+        ratio(F.sum(number * F.col("_n")), F.sum(F.when(number.isNotNull(), F.col("_n")))).alias("mean_label"),
         ratio(F.sum("_f"), F.sum("_n")).alias("mean_first_column"),
     )

@@ -29,7 +29,8 @@ DOC_FEATURES = list(derived.DOC_FEATURES)
 SEED_90_10 = 6151
 SEED_80_20 = 12345
 SEED_70_30 = 42
-ID3_DEPTH = 2
+ID3_DEPTH = 7
+ID3_BINS = 4
 DENSITY_MEAN, DENSITY_VAR = 70.0, 100.0
 
 
@@ -68,13 +69,21 @@ def _docs(spark, sf):
 # sources
 
 
+def _as_text_files(spark, lines: DataFrame, name: str) -> DataFrame:
+    """The lines written as text files and read back by the text scan."""
+    path = scratch_path(spark, name)
+    lines.select("value").write.text(path)
+    return text.read_text_lines(spark, path)
+
+
 def q_parse_records(spark, sf):
-    lines = text.records_as_lines(_injury(spark, sf), text.INJURY_COLUMNS)
-    return text.parse_records(lines)
+    lines = derived.record_lines(_injury(spark, sf), text.INJURY_COLUMNS)
+    return text.parse_records(_as_text_files(spark, lines, "record-lines"))
 
 
 def q_parse_hands(spark, sf):
-    return _hands(spark, sf)
+    lines = derived.hand_lines(read_table(spark, sf, "orders"), damaged=True)
+    return text.parse_hand_lines(_as_text_files(spark, lines, "hand-lines"))
 
 
 def _injury_csv(spark, sf, header: bool) -> str:
@@ -100,8 +109,7 @@ def q_scan_csv_positional(spark, sf):
 
 
 def q_filter_complete_rows(spark, sf):
-    ev = read_table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "props")
-    return filters.filter_complete_rows(ev)
+    return filters.filter_complete_rows(derived.events_with_gaps(read_table(spark, sf, "events")))
 
 
 def q_class_partition(spark, sf):
@@ -222,7 +230,13 @@ def q_class_stddev_compat(spark, sf):
 
 
 def q_is_pure(spark, sf):
-    return stats.is_pure(_events(spark, sf), "label", by=["user_id"])
+    return stats.is_pure(_events(spark, sf), "label", by=["user_id", "hour"])
+
+
+def q_leaf_values_text(spark, sf):
+    """A label that is text: the order status."""
+    orders = read_table(spark, sf, "orders").select("o_orderpriority", "o_orderstatus", "o_totalprice")
+    return rounded(stats.leaf_values(orders, "o_orderstatus", by=["o_orderpriority"], first_column="o_totalprice"), 2)
 
 
 def q_leaf_values(spark, sf):
@@ -259,6 +273,14 @@ def q_area_under_roc(spark, sf):
     return rounded(metrics.area_under_roc(_metric_rows(spark, sf)))
 
 
+def q_area_under_roc_extremes(spark, sf):
+    """Scores that include both infinities."""
+    score = F.when(F.col("value") > 150, F.lit(float("inf"))).when(
+        F.col("value") < 20, F.lit(float("-inf"))).otherwise(F.col("value"))
+    rows = _events(spark, sf).select(score.alias("score"), F.col("label").cast("double").alias("label"))
+    return rounded(metrics.area_under_roc(rows, buckets=8))
+
+
 # --------------------------------------------------------------------------
 # naive Bayes
 
@@ -315,8 +337,14 @@ def _injury_split(spark, sf, weights, seed):
     return split.hash_split(_injury(spark, sf), INJURY_KEY, weights, seed)
 
 
+def _written_split(spark, sf, weights, seed):
+    """The split view as a narrow written table: fits read it many times."""
+    return cut_lineage(_injury_split(spark, sf, weights, seed).select(
+        *INJURY_KEY, *INJURY_FEATURES, INJURY_LABEL, "split"), "split-view")
+
+
 def _tree_model(spark, sf):
-    df = _injury_split(spark, sf, [0.7, 0.3], SEED_70_30)
+    df = _written_split(spark, sf, [0.7, 0.3], SEED_70_30)
     model = mllib.tree_estimator(INJURY_FEATURES, INJURY_LABEL, seed=SEED_70_30).fit(df.filter(F.col("split") == 0))
     return df, model
 
@@ -332,6 +360,17 @@ def q_mllib_tree_predict(spark, sf):
     return pred.select(*INJURY_KEY, "label", "prediction")
 
 
+def q_mllib_tree_check(spark, sf):
+    """Facts about the fitted tree that hold for any fit: its predictions
+    equal a walk of its dump by columns, and every test row gets one."""
+    df, model = _tree_model(spark, sf)
+    dump = mllib.rule_tree_predict(df, INJURY_FEATURES, model.stages[-1].toDebugString, "_walked")
+    pred = model.transform(dump)
+    return pred.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction") != F.col("_walked")).alias("disagreements"),
+        F.count_if(F.col("prediction").isNull()).alias("without_prediction"))
+
+
 def q_mllib_tree_rules(spark, sf):
     _, model = _tree_model(spark, sf)
     return mllib.tree_rules(model, INJURY_FEATURES, spark)
@@ -345,7 +384,7 @@ def q_mllib_tree_report(spark, sf):
 
 def _logistic(spark, sf):
     # rows with any null are dropped before assembling, as the logistic program does
-    df = filters.filter_complete_rows(_injury_split(spark, sf, [0.8, 0.2], SEED_80_20))
+    df = filters.filter_complete_rows(_written_split(spark, sf, [0.8, 0.2], SEED_80_20))
     model = mllib.logistic_estimator(INJURY_FEATURES, INJURY_LABEL).fit(df.filter(F.col("split") == 0))
     return df, model
 
@@ -358,6 +397,18 @@ def q_logistic_fit(spark, sf):
     return spark.createDataFrame(rows, "term string, coefficient double")
 
 
+def q_logistic_check(spark, sf):
+    """Facts that hold at the optimum: on the training rows the mean residual
+    times every standardised feature, and the mean residual, are 0."""
+    df, model = _logistic(spark, sf)
+    train = model.transform(df.filter(F.col("split") == 0))
+    rest = F.col(INJURY_LABEL) - mllib.probability_of(train, 1)
+    t = train.select(rest.alias("_r"), *INJURY_FEATURES)
+    means = [F.abs(F.corr("_r", f) * F.stddev_pop("_r")).alias(f) for f in INJURY_FEATURES]
+    row = t.agg(F.count(F.lit(1)).alias("n_train"), F.abs(F.avg("_r")).alias("intercept"), *means)
+    return row.select("n_train", *[(F.round(c, 3) + 0.0).alias(f"gradient_{c}") for c in ("intercept", *INJURY_FEATURES)])
+
+
 def q_logistic_predict(spark, sf):
     df, model = _logistic(spark, sf)
     pred = model.transform(df.filter(F.col("split") == 1))
@@ -366,6 +417,25 @@ def q_logistic_predict(spark, sf):
                        F.get(mllib.vector_to_array(F.col("rawPrediction")), 1).alias("score"))
 
 
+def q_predicted_keys(spark, sf):
+    """Keys and labels of the rows that both models score: the test sides."""
+    tree, model = _tree_model(spark, sf)
+    a = model.transform(tree.filter(F.col("split") == 1)).filter("prediction is not null").select(
+        F.lit("tree").alias("model"), *INJURY_KEY, INJURY_LABEL)
+    rows, model = _logistic(spark, sf)
+    b = model.transform(rows.filter(F.col("split") == 1)).filter("prediction is not null").select(
+        F.lit("logistic").alias("model"), *INJURY_KEY, INJURY_LABEL)
+    return a.unionByName(b)
+
+
+def q_random_split_check(spark, sf):
+    """The sides of a random split together hold every event once."""
+    df = split.random_split(_events(spark, sf).select("event_id", "label"), [0.8, 0.2], SEED_80_20)
+    sides = df.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("split").alias("sides"))
+    return sides.agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max("sides").alias("sides"),
+                     F.count(F.lit(1)).alias("keys"))
+
+
 def q_logistic_auc(spark, sf):
     df, model = _logistic(spark, sf)
     pred = model.transform(df.filter(F.col("split") == 1))
@@ -380,85 +450,79 @@ def q_rule_tree_predict(spark, sf):
 
 
 # --------------------------------------------------------------------------
-# ID3
+# ID3: the reference's own run has six features and depth 7
 
 
-def _id3(spark, sf, depth=ID3_DEPTH):
+def _id3(spark, sf, bins=ID3_BINS, **kw):
     df = _injury_split(spark, sf, [0.7, 0.3], SEED_70_30)
-    model = id3.id3_build(df.filter(F.col("split") == 0), CATEGORICAL_FEATURES, INJURY_LABEL, max_depth=depth)
-    return df, model
+    model = id3.id3_build(df.filter(F.col("split") == 0), INJURY_FEATURES, INJURY_LABEL, max_depth=ID3_DEPTH,
+                          bins=bins, **kw)
+    return df.filter(F.col("split") == 1).select(*INJURY_KEY, *INJURY_FEATURES, INJURY_LABEL), model
 
 
 def q_id3_build(spark, sf):
-    _, model = _id3(spark, sf)
-    return rounded(model.node_table())
+    return rounded(_id3(spark, sf)[1].node_table())
 
 
 def q_id3_rules(spark, sf):
-    _, model = _id3(spark, sf)
-    return rounded(model.rules())
+    return rounded(_id3(spark, sf)[1].rules())
 
 
 def q_id3_predict(spark, sf):
-    df, model = _id3(spark, sf)
-    test = df.filter(F.col("split") == 1).select(*INJURY_KEY, *CATEGORICAL_FEATURES, INJURY_LABEL)
+    test, model = _id3(spark, sf)
     return id3.id3_predict(model, test).select(*INJURY_KEY, INJURY_LABEL, "prediction")
 
 
+def q_id3_accuracy(spark, sf):
+    test, model = _id3(spark, sf)
+    return rounded(metrics.accuracy(id3.id3_predict(model, test), INJURY_LABEL, "prediction"))
+
+
 def _id3_compat(spark, sf):
     """As executed: gain minus the feature's own entropy, leaves hold the
     mean of the first table column (Player_Age)."""
-    df = _injury_split(spark, sf, [0.7, 0.3], SEED_70_30)
-    model = id3.id3_build(df.filter(F.col("split") == 0), CATEGORICAL_FEATURES, INJURY_LABEL, max_depth=ID3_DEPTH,
-                          criterion="compat", leaf="mean_first_column", first_column="Player_Age")
-    return df, model
+    return _id3(spark, sf, criterion="compat", leaf="mean_first_column", first_column="Player_Age")
 
 
 def q_id3_build_compat(spark, sf):
-    _, model = _id3_compat(spark, sf)
-    return rounded(model.node_table())
+    return rounded(_id3_compat(spark, sf)[1].node_table())
 
 
 def q_id3_predict_compat(spark, sf):
-    df, model = _id3_compat(spark, sf)
-    test = df.filter(F.col("split") == 1).select(*INJURY_KEY, *CATEGORICAL_FEATURES, INJURY_LABEL)
+    test, model = _id3_compat(spark, sf)
     return rounded(id3.id3_predict(model, test).select(*INJURY_KEY, INJURY_LABEL, "prediction"))
 
 
-ID3_BINS = 4
-
-
-def _id3_binned(spark, sf):
-    """All six features; the three continuous ones in 4 equal-width bins."""
-    df = _injury_split(spark, sf, [0.7, 0.3], SEED_70_30)
-    model = id3.id3_build(df.filter(F.col("split") == 0), INJURY_FEATURES, INJURY_LABEL, max_depth=ID3_DEPTH,
-                          bins=ID3_BINS)
-    return df, model
+ID3_FEW_BINS = 2
 
 
 def q_id3_build_binned(spark, sf):
-    _, model = _id3_binned(spark, sf)
-    return rounded(model.node_table())
+    return rounded(_id3(spark, sf, bins=ID3_FEW_BINS)[1].node_table())
 
 
 def q_id3_predict_binned(spark, sf):
-    df, model = _id3_binned(spark, sf)
-    test = df.filter(F.col("split") == 1).select(*INJURY_KEY, *INJURY_FEATURES, INJURY_LABEL)
+    test, model = _id3(spark, sf, bins=ID3_FEW_BINS)
     return id3.id3_predict(model, test).select(*INJURY_KEY, INJURY_LABEL, "prediction")
 
 
-ID3_DEEP = 7
+def q_id3_build_deep(spark, sf):
+    """Every distinct value a child, the continuous features too: most
+    children are pure, and test rows meet values the training rows had not."""
+    return rounded(_id3(spark, sf, bins=None)[1].node_table())
 
 
-def q_id3_build_deep(spark, sf):
-    _, model = _id3(spark, sf, depth=ID3_DEEP)
-    return rounded(model.node_table())
+def q_id3_predict_deep(spark, sf):
+    test, model = _id3(spark, sf, bins=None)
+    return id3.id3_predict(model, test).select(*INJURY_KEY, INJURY_LABEL, "prediction")
 
 
-def q_id3_accuracy(spark, sf):
-    df, model = _id3(spark, sf)
-    test = df.filter(F.col("split") == 1).select(*INJURY_KEY, *CATEGORICAL_FEATURES, INJURY_LABEL)
-    return rounded(metrics.accuracy(id3.id3_predict(model, test), INJURY_LABEL, "prediction"))
+def q_id3_build_text(spark, sf):
+    """A label that is text."""
+    orders = read_table(spark, sf, "orders").select(
+        "o_totalprice", "o_orderpriority", "o_orderstatus", F.month("o_orderdate").alias("month"))
+    model = id3.id3_build(orders, ["o_orderpriority", "month"], "o_orderstatus", max_depth=2,
+                          first_column="o_totalprice")
+    return rounded(model.node_table(), 2)
 
 
 # --------------------------------------------------------------------------
@@ -502,6 +566,7 @@ QUERIES = {
     "split_80_20": _split_query([0.8, 0.2], SEED_80_20),
     "split_70_30": _split_query([0.7, 0.3], SEED_70_30),
     "random_split": q_random_split,
+    "random_split_check": q_random_split_check,
     # statistics
     "class_counts": q_class_counts,
     "class_probability": q_class_probability,
@@ -524,6 +589,7 @@ QUERIES = {
     "class_stddev_compat": q_class_stddev_compat,
     "is_pure": q_is_pure,
     "leaf_values": q_leaf_values,
+    "leaf_values_text": q_leaf_values_text,
     # metrics
     "accuracy": q_accuracy,
     "accuracy_pct": q_accuracy_pct,
@@ -533,6 +599,7 @@ QUERIES = {
     "weighted_f1": _report_metric("weighted_f1"),
     "classification_report": q_classification_report,
     "area_under_roc": q_area_under_roc,
+    "area_under_roc_extremes": q_area_under_roc_extremes,
     # naive Bayes
     "gaussian_density": q_gaussian_density,
     "gaussian_nb_fit": q_gaussian_nb_fit,
@@ -543,10 +610,13 @@ QUERIES = {
     "index_label": q_index_label,
     "mllib_tree_fit": q_mllib_tree_fit,
     "mllib_tree_predict": q_mllib_tree_predict,
+    "mllib_tree_check": q_mllib_tree_check,
     "mllib_tree_rules": q_mllib_tree_rules,
     "mllib_tree_report": q_mllib_tree_report,
     "logistic_fit": q_logistic_fit,
+    "logistic_check": q_logistic_check,
     "logistic_predict": q_logistic_predict,
+    "predicted_keys": q_predicted_keys,
     "logistic_auc": q_logistic_auc,
     "rule_tree_predict": q_rule_tree_predict,
     # ID3
@@ -558,6 +628,8 @@ QUERIES = {
     "id3_build_binned": q_id3_build_binned,
     "id3_predict_binned": q_id3_predict_binned,
     "id3_build_deep": q_id3_build_deep,
+    "id3_predict_deep": q_id3_predict_deep,
+    "id3_build_text": q_id3_build_text,
     "id3_accuracy": q_id3_accuracy,
     # poker hands
     "hand_class_score": q_hand_class_score,

@@ -9,7 +9,9 @@ same number of decimals.
 
 from __future__ import annotations
 
-from tablelearn.operators.mllib import PUBLISHED_TREE, parse_debug_tree, tree_sql
+import re
+
+from tablelearn.operators.mllib import PUBLISHED_TREE
 from tablelearn.plans import catalog as C
 from tablelearn.sources.text import INJURY_COLUMNS
 
@@ -22,7 +24,7 @@ def rnd(expr: str, digits: int = R) -> str:
 
 def bucket_sql(seed: int, keys) -> str:
     parts = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
-    return f"(CAST(('0x' || substr(md5(concat_ws(':', '{seed}', {parts})), 1, 8)) AS BIGINT) % 10000)"
+    return f"CAST(('0x' || substr(md5(concat_ws(':', '{seed}', {parts})), 1, 8)) AS BIGINT)"
 
 
 def split_sql(seed: int, keys, weights) -> str:
@@ -30,7 +32,7 @@ def split_sql(seed: int, keys, weights) -> str:
     acc, bounds = 0.0, []
     for w in weights:
         acc += w
-        bounds.append(round(acc / total * 10000))
+        bounds.append(round(acc / total * 4294967296))
     b = bucket_sql(seed, keys)
     whens = " ".join(f"WHEN {b} < {bound} THEN {i}" for i, bound in enumerate(bounds[:-1]))
     return f"CAST(CASE {whens} ELSE {len(bounds) - 1} END AS INTEGER)"
@@ -41,7 +43,7 @@ INJURY_KEY = ", ".join(C.INJURY_KEY)
 INJURY = """(SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
     CAST(trunc(18 + l_quantity % 22) AS INTEGER) AS Player_Age,
     40.0 + l_extendedprice / 1750 AS Player_Weight,
-    145.0 + l_extendedprice / 1900 AS Player_Height,
+    145.0 + (l_partkey * 7919 + l_suppkey * 104729) % 60000 / 1000 AS Player_Height,
     CAST(l_returnflag = 'R' AS INTEGER) AS Previous_Injuries,
     l_discount * 10 AS Training_Intensity,
     l_linenumber AS Recovery_Time,
@@ -51,7 +53,7 @@ INJURY = """(SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
 EVENTS = """(SELECT event_id, value, CAST(hour(ts) AS INTEGER) AS hour, user_id,
     TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
     CAST(event_type = 'purchase' AS INTEGER) AS label
-  FROM events WHERE event_type IN ('purchase', 'view'))"""
+  FROM events)"""
 
 METRICS = f"""(SELECT event_id, CAST(value > 100 AS DOUBLE) AS prediction, value AS score,
     CAST(label AS DOUBLE) AS label FROM {EVENTS})"""
@@ -60,7 +62,8 @@ METRICS = f"""(SELECT event_id, CAST(value > 100 AS DOUBLE) AS prediction, value
 def _hands_sql() -> str:
     cols = ["o_orderkey AS hand_id"]
     for i in range(5):
-        cols.append(f"CAST((o_orderkey * 7 + {i * 5}) % 4 + 1 AS INTEGER) AS s{i + 1}")
+        step = f"CASE o_orderkey % 5 WHEN 0 THEN 0 WHEN 1 THEN {int(i == 4)} ELSE {i * 5} END"
+        cols.append(f"CAST((o_orderkey * 7 + {step}) % 4 + 1 AS INTEGER) AS s{i + 1}")
         cols.append(f"CAST((o_orderkey * {2 * i + 1} + {3 * i * i} + o_orderkey // 13) % 13 + 1 AS INTEGER) AS r{i + 1}")
     cols.append("CAST(o_orderkey % 10 AS INTEGER) AS class")
     return "(SELECT " + ", ".join(cols) + " FROM orders)"
@@ -117,12 +120,12 @@ def gain_ctes(rel: str, features, label: str, keys=(), p: str = "", where: str =
 
 
 def id3_ctes(train_rel: str, test_rel: str | None, features, label: str, first: str, depth: int, keys=(),
-             gain_col: str = "gain", leaf: str = "majority") -> str:
+             gain_col: str = "gain", leaf: str = "majority", text_label: bool = False) -> str:
     """Level-by-level ID3 as CTEs: ``nodes`` (all levels) and, with
     ``test_rel``, ``pred`` (keys.., label, prediction).  ``gain_col`` is
     ``gain`` or ``gain_compat``; ``leaf`` is ``majority`` or
     ``mean_first_column``."""
-    feats = list(features)
+    feats, out = list(features), "VARCHAR" if text_label else "DOUBLE"
     fcols = ", ".join(f"CAST({f} AS VARCHAR) AS {f}" for f in feats)
     ctes = [f"r0 AS (SELECT {fcols}, {label}, CAST({first} AS DOUBLE) AS first_col, '' AS node, "
             f"CAST([] AS VARCHAR[]) AS used FROM {train_rel})"]
@@ -133,7 +136,7 @@ def id3_ctes(train_rel: str, test_rel: str | None, features, label: str, first:
         ctes.append(f"mj{d} AS (SELECT node, {label} AS majority FROM c{d} "
                     f"QUALIFY row_number() OVER (PARTITION BY node ORDER BY cnt DESC, {label}) = 1)")
         ctes.append(f"s{d} AS (SELECT node, CAST(sum(cnt) AS BIGINT) AS n, count(*) AS classes, "
-                    f"sum({label} * cnt) / sum(cnt) AS mean_label, sum(sf) / sum(cnt) AS mean_first_column "
+                    f"{'CAST(NULL AS DOUBLE)' if text_label else f'sum({label} * cnt) / sum(cnt)'} AS mean_label, sum(sf) / sum(cnt) AS mean_first_column "
                     f"FROM c{d} GROUP BY node)")
         if d < depth and d < len(feats):
             ctes.append(gain_ctes(r, feats, label, ["node"], p=f"l{d}_", where="NOT list_contains(used, feature)",
@@ -146,9 +149,9 @@ def id3_ctes(train_rel: str, test_rel: str | None, features, label: str, first:
             split = "CAST(NULL AS VARCHAR)"
             join_best = ""
         ctes.append(f"n{d} AS (SELECT s.node AS node_path, CAST({d} AS INTEGER) AS depth, {split} AS split_attribute, "
-                    f"s.n, CAST(s.classes = 1 AS INTEGER) AS is_pure, CAST(m.majority AS DOUBLE) AS majority, "
+                    f"s.n, CAST(s.classes = 1 AS INTEGER) AS is_pure, CAST(m.majority AS {out}) AS majority, "
                     f"s.mean_label, s.mean_first_column, "
-                    + ("CAST(m.majority AS DOUBLE)" if leaf == "majority" else f"CAST(s.{leaf} AS DOUBLE)")
+                    + (f"CAST(m.majority AS {out})" if leaf == "majority" else f"CAST(s.{leaf} AS DOUBLE)")
                     + " AS leaf_value "
                     f"FROM s{d} s JOIN mj{d} m ON s.node = m.node {join_best})")
         node_names.append(f"n{d}")
@@ -174,7 +177,8 @@ def id3_ctes(train_rel: str, test_rel: str | None, features, label: str, first:
                         f"WHERE hit AND sa IS NOT NULL)")
         done.append(f"SELECT {kc}{label}, fb AS prediction FROM q{depth + 1}")
         ctes.append("pred AS (" + " UNION ALL ".join(done) + ")")
-    return ",\n".join(ctes)
+    # each step reads several earlier ones: without this they would be expanded again and again
+    return re.sub(r"(?m)^(\w+) AS \(", r"\1 AS MATERIALIZED (", ",\n".join(ctes))
 
 
 def _gain_cols(prefix: str = "") -> str:
@@ -269,6 +273,7 @@ def _nb_predict(rel_split: str, features, label: str, keys, compat: bool, trunca
 
 
 INJURY_SPLIT_90 = f"(SELECT *, {split_sql(C.SEED_90_10, C.INJURY_KEY, [0.9, 0.1])} AS split FROM {INJURY})"
+INJURY_SPLIT_80 = f"(SELECT *, {split_sql(C.SEED_80_20, C.INJURY_KEY, [0.8, 0.2])} AS split FROM {INJURY})"
 INJURY_SPLIT_70 = f"(SELECT *, {split_sql(C.SEED_70_30, C.INJURY_KEY, [0.7, 0.3])} AS split FROM {INJURY})"
 
 _LONG_CARDS = f"""cards AS (SELECT hand_id, unnest([r1, r2, r3, r4, r5]) AS r FROM {HANDS}),
@@ -295,9 +300,28 @@ SELECT b.hand_id, b.class, b.class_score, b.rank_points, x.flush_bonus, x.flush_
   {rnd('b.class_score + b.rank_points * b.class_score * 0.002 + x.flush_bonus_compat + r.longest_run_compat * 4')} AS total_score_compat
 FROM base b JOIN bonus x ON b.hand_id = x.hand_id JOIN runs r ON b.hand_id = r.hand_id"""
 
-_TREE = tree_sql(parse_debug_tree(PUBLISHED_TREE), list(C.INJURY_FEATURES))
-
-
+def _tree_case() -> str:
+    """The published tree as nested CASEs, by rewriting its lines one by one:
+    an If opens a CASE, its Else is the ELSE, and a finished ELSE branch
+    closes it."""
+    out, open_ = [], []          # open_: True once a CASE is in its ELSE branch
+    for line in PUBLISHED_TREE.splitlines():
+        words = line.strip().strip("()").replace("(", "").split()
+        if words[0] == "If":
+            out.append(f"CASE WHEN {C.INJURY_FEATURES[int(words[2])]} {words[3]} {words[4]} THEN")
+            open_.append(False)
+        elif words[0] == "Else":
+            out.append("ELSE")
+            open_[-1] = True
+        elif words[0] == "Predict:":
+            out.append(f"CAST({words[1]} AS DOUBLE)")
+            while open_ and open_[-1]:
+                out.append("END")
+                open_.pop()
+    return " ".join(out)
+
+
+_TREE = _tree_case()
 
 
 def _value_prob() -> str:
@@ -316,20 +340,23 @@ def _feature_value_counts() -> str:
             f"INTO NAME feature VALUE value) GROUP BY ALL")
 
 
-def _binned_rel(rel: str, floats, bins: int, edges_rel: str | None = None) -> str:
-    """``rel`` with each float feature replaced by its equal-width bin; edges
-    (min/max) from ``edges_rel`` (default: ``rel`` itself)."""
+def _binned_rel(rel: str, features, bins: int, edges_rel: str | None = None) -> str:
+    """``rel`` with each feature replaced by its equal-width bin (the first
+    two columns as they were under ``raw_...``); edges from ``edges_rel``
+    (default: ``rel`` itself)."""
     edges_rel = edges_rel or rel
-    edges = ", ".join(f"min(CASE WHEN isnan({f}) THEN NULL ELSE {f} END) AS lo_{f}, "
-                      f"max(CASE WHEN isnan({f}) THEN NULL ELSE {f} END) AS hi_{f}" for f in floats)
+    x = {f: f"CAST(r.{f} AS DOUBLE)" for f in features}
+    edges = ", ".join(f"min(CASE WHEN isnan({x[f]}) THEN NULL ELSE {x[f]} END) AS lo_{f}, "
+                      f"max(CASE WHEN isnan({x[f]}) THEN NULL ELSE {x[f]} END) AS hi_{f}" for f in features)
     repl = ", ".join(
-        f"CAST(CASE WHEN {f} IS NULL OR isnan({f}) THEN NULL WHEN hi_{f} = lo_{f} THEN 0 ELSE "
-        f"least(greatest(floor(({f} - lo_{f}) / ((hi_{f} - lo_{f}) / {bins})), 0), {bins - 1}) END AS INTEGER) AS {f}"
-        for f in floats)
-    return f"(SELECT r.* REPLACE ({repl}) FROM {rel} r, (SELECT {edges} FROM {edges_rel}) e)"
+        f"CAST(CASE WHEN r.{f} IS NULL OR isnan({x[f]}) THEN NULL WHEN hi_{f} = lo_{f} THEN 0 ELSE "
+        f"least(greatest(floor(({x[f]} - lo_{f}) / ((hi_{f} - lo_{f}) / {bins})), 0), {bins - 1}) END AS INTEGER) AS {f}"
+        for f in features)
+    return (f"(SELECT r.* REPLACE ({repl}), r.Player_Age AS raw_age FROM {rel} r, "
+            f"(SELECT {edges} FROM {edges_rel} r) e)")
 
 
-_BINNED = _binned_rel(INJURY, sorted(DOUBLE_FEATURES), C.GAIN_BINS)
+_BINNED = _binned_rel(INJURY, F6, C.GAIN_BINS)
 
 # the CSV scans read back what was written from the injury view
 _CSV_SCAN = "SELECT " + ", ".join(
@@ -337,25 +364,32 @@ _CSV_SCAN = "SELECT " + ", ".join(
 
 _ID3_TRAIN = f"(SELECT * FROM {INJURY_SPLIT_70} WHERE split = 0)"
 _ID3_TEST = f"(SELECT * FROM {INJURY_SPLIT_70} WHERE split = 1)"
-_ID3 = id3_ctes(_ID3_TRAIN, _ID3_TEST, C.CATEGORICAL_FEATURES, LBL, "l_orderkey", C.ID3_DEPTH, C.INJURY_KEY)
-_ID3C = id3_ctes(_ID3_TRAIN, _ID3_TEST, C.CATEGORICAL_FEATURES, LBL, "Player_Age", C.ID3_DEPTH, C.INJURY_KEY,
-                 gain_col="gain_compat", leaf="mean_first_column")
-_FLOATS = sorted(DOUBLE_FEATURES)
-_ID3B = id3_ctes(_binned_rel(_ID3_TRAIN, _FLOATS, C.ID3_BINS), _binned_rel(_ID3_TEST, _FLOATS, C.ID3_BINS, _ID3_TRAIN),
-                 F6, LBL, "l_orderkey", C.ID3_DEPTH, C.INJURY_KEY)
-_ID3D = id3_ctes(_ID3_TRAIN, None, C.CATEGORICAL_FEATURES, LBL, "l_orderkey", C.ID3_DEEP)
+
+
+def _id3_sql(bins, **kw) -> str:
+    if bins is None:
+        return id3_ctes(_ID3_TRAIN, _ID3_TEST, F6, LBL, "l_orderkey", C.ID3_DEPTH, C.INJURY_KEY, **kw)
+    return id3_ctes(_binned_rel(_ID3_TRAIN, F6, bins), _binned_rel(_ID3_TEST, F6, bins, _ID3_TRAIN), F6, LBL,
+                    kw.pop("first", "l_orderkey"), C.ID3_DEPTH, C.INJURY_KEY, **kw)
+
+
+_ID3 = _id3_sql(C.ID3_BINS)
+_ID3C = _id3_sql(C.ID3_BINS, first="raw_age", gain_col="gain_compat", leaf="mean_first_column")
+_ID3B = _id3_sql(C.ID3_FEW_BINS)
+_ID3D = _id3_sql(None)
 _NODE_COLS = (f"node_path, depth, split_attribute, n, is_pure, majority, {rnd('mean_label')} AS mean_label, "
               f"{rnd('mean_first_column')} AS mean_first_column, leaf_value")
 
 ORACLE = {
     "parse_records": f"SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in INJURY_COLUMNS)
-                     + f" FROM {INJURY} WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in INJURY_COLUMNS),
-    "parse_hands": f"SELECT * FROM {HANDS}",
+                     + f" FROM {INJURY} WHERE l_orderkey % 13 > 2 AND " + " AND ".join(f"{c} IS NOT NULL" for c in INJURY_COLUMNS),
+    "parse_hands": f"SELECT * EXCLUDE (hand_id) FROM {HANDS} WHERE hand_id % 17 > 2",
     "scan_csv_schema": _CSV_SCAN,
     "scan_csv_header": _CSV_SCAN,
     "scan_csv_positional": _CSV_SCAN,
     "filter_complete_rows": "SELECT event_id, user_id, event_type, value, props FROM events WHERE event_id IS NOT NULL "
-                            "AND user_id IS NOT NULL AND event_type IS NOT NULL AND value IS NOT NULL AND props IS NOT NULL",
+                            "AND user_id IS NOT NULL AND event_type IS NOT NULL AND value IS NOT NULL AND props IS NOT NULL "
+                            "AND event_id % 7 <> 0 AND event_id % 11 <> 3",
     "class_partition": f"SELECT {INJURY_KEY}, Player_Age, {rnd('Player_Weight')} AS Player_Weight, {LBL} FROM {INJURY} "
                        f"WHERE CAST(trunc({LBL}) AS INTEGER) = 1",
     "split_by_value": f"SELECT {INJURY_KEY}, Player_Age, Recovery_Time, {LBL} FROM {INJURY} "
@@ -386,7 +420,14 @@ ORACLE = {
     "class_means_compat": _means(True),
     "class_stddev": _stddev(False),
     "class_stddev_compat": _stddev(True),
-    "is_pure": f"SELECT user_id, count(*) AS n, CAST(count(DISTINCT label) = 1 AS INTEGER) AS is_pure FROM {EVENTS} GROUP BY user_id",
+    "is_pure": f"SELECT user_id, hour, count(*) AS n, CAST(count(DISTINCT label) = 1 AS INTEGER) AS is_pure FROM {EVENTS} "
+               f"GROUP BY user_id, hour",
+    "leaf_values_text": f"""WITH c AS (SELECT o_orderpriority AS p, o_orderstatus AS s, count(*) AS cnt, sum(o_totalprice) AS v
+          FROM orders GROUP BY ALL),
+        mj AS (SELECT p, s AS majority FROM c QUALIFY row_number() OVER (PARTITION BY p ORDER BY cnt DESC, s) = 1)
+        SELECT p AS o_orderpriority, CAST(sum(cnt) AS BIGINT) AS n, any_value(majority) AS majority,
+          CAST(NULL AS DOUBLE) AS mean_label, {rnd('sum(v) / sum(cnt)', 2)} AS mean_first_column
+        FROM c JOIN mj USING (p) GROUP BY p""",
     "leaf_values": f"""WITH c AS (SELECT user_id, label, count(*) AS cnt, sum(value) AS sv FROM {EVENTS} GROUP BY ALL),
         mj AS (SELECT user_id, label AS majority FROM c QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY cnt DESC, label) = 1)
         SELECT user_id, CAST(sum(cnt) AS BIGINT) AS n, any_value(majority) AS majority,
@@ -404,6 +445,12 @@ ORACLE = {
         c AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM s)
         SELECT {rnd('sum(CAST(pos AS DOUBLE) * (nb + 0.5 * neg)) / (CAST(sum(pos) AS DOUBLE) * sum(neg))')} AS area_under_roc,
           CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c""",
+    "area_under_roc_extremes": f"""WITH s AS (SELECT score, count_if(label = 1) AS pos, count_if(label <> 1) AS neg FROM (SELECT CASE WHEN value > 150 THEN CAST('inf' AS DOUBLE) WHEN value < 20 THEN CAST('-inf' AS DOUBLE)
+            ELSE value END AS score, label FROM {EVENTS})
+          WHERE score IS NOT NULL AND label IS NOT NULL GROUP BY score),
+        c AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM s)
+        SELECT {rnd('sum(CAST(pos AS DOUBLE) * (nb + 0.5 * neg)) / (CAST(sum(pos) AS DOUBLE) * sum(neg))')} AS area_under_roc,
+          CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM c""",
     "gaussian_density": f"SELECT {INJURY_KEY}, {rnd(f'exp(-pow(Player_Weight - {C.DENSITY_MEAN!r}, 2) / ({C.DENSITY_VAR!r} * 2)) / sqrt({C.DENSITY_VAR!r} * (2 * pi()))', 9)} AS density FROM {INJURY}",
     "gaussian_nb_fit": (f"WITH {_nb_model_ctes(f'(SELECT * FROM {DOC_SPLIT} WHERE split = 0)', C.DOC_FEATURES, 'label', False)} "
                         f"SELECT label, n, {rnd('prior')} AS prior, "
@@ -431,6 +478,21 @@ ORACLE = {
     "id3_predict": f"WITH {_ID3} SELECT * FROM pred",
     "id3_build_binned": f"WITH {_ID3B} SELECT {_NODE_COLS} FROM nodes",
     "id3_build_deep": f"WITH {_ID3D} SELECT {_NODE_COLS} FROM nodes",
+    "id3_predict_deep": f"WITH {_ID3D} SELECT * FROM pred",
+    "id3_build_text": "WITH " + id3_ctes("(SELECT *, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders)", None,
+                                         ["o_orderpriority", "month"], "o_orderstatus", "o_totalprice", 2,
+                                         text_label=True)
+                      + f" SELECT node_path, depth, split_attribute, n, is_pure, majority, mean_label, "
+                        f"{rnd('mean_first_column', 2)} AS mean_first_column, leaf_value FROM nodes",
+    "mllib_tree_check": f"SELECT split, count(*) AS n, CAST(0 AS BIGINT) AS disagreements, CAST(0 AS BIGINT) AS "
+                        f"without_prediction FROM {INJURY_SPLIT_70} GROUP BY split",
+    "logistic_check": f"SELECT count(*) AS n_train, "
+                      + ", ".join(f"CAST(0 AS DOUBLE) AS gradient_{c}" for c in ("intercept", *F6))
+                      + f" FROM {INJURY_SPLIT_80} WHERE split = 0",
+    "predicted_keys": f"SELECT 'tree' AS model, {INJURY_KEY}, {LBL} FROM {INJURY_SPLIT_70} WHERE split = 1 "
+                      f"UNION ALL SELECT 'logistic', {INJURY_KEY}, {LBL} FROM {INJURY_SPLIT_80} WHERE split = 1",
+    "random_split_check": "SELECT count(*) AS n, CAST(1 AS BIGINT) AS most, CAST(1 AS BIGINT) AS sides, "
+                          "count(DISTINCT event_id) AS keys FROM events",
     "id3_predict_binned": f"WITH {_ID3B} SELECT * FROM pred",
     "id3_build_compat": f"WITH {_ID3C} SELECT {_NODE_COLS.replace('leaf_value', rnd('leaf_value') + ' AS leaf_value')} FROM nodes",
     "id3_predict_compat": f"WITH {_ID3C} SELECT {INJURY_KEY}, {LBL}, {rnd('prediction')} AS prediction FROM pred",

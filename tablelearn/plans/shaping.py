@@ -3,68 +3,58 @@
 * ``exclusive_prefix_sums``: running sums over a globally ordered table
   without a single-partition window.  Rows are cut into quantile buckets of
   the order key; each bucket is its own window partition, and bucket offsets
-  come from a table with one row per bucket (bounded by the bucket count).
-* ``BROADCAST_ROW_LIMIT``: operators broadcast a side only after counting
-  it against this limit; above it the join is left to Catalyst/AQE.
+  come from a table with one row per bucket.  The number of buckets follows
+  the number of rows, so a bucket's size does not.
 * ``cut_lineage``: for iterative operators, write the intermediate table
   as parquet under the shared ``spark.checkpoint.dir`` and read it back.
   One computation (``Dataset.checkpoint`` computes the plan once for its
   eager count and again to write the files), columnar and compressed, and
-  it survives lost executors.  Never ``localCheckpoint``: a lost executor
-  would lose the only copy.
+  it survives lost executors.
+* ``drop_written``: delete such a table; nothing outside the scratch folder
+  can be deleted with it.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelearn.session import scratch_path
-
-BROADCAST_ROW_LIMIT = 200_000
+from tablelearn.session import delete_scratch, scratch_path
 
-
-def default_buckets(df: DataFrame) -> int:
-    try:
-        return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    except Exception:  # pragma: no cover - conf always set in practice
-        return 200
+ROWS_PER_BUCKET = 200_000
 
 
 def exclusive_prefix_sums(df: DataFrame, order_col: str, value_cols, buckets: int | None = None,
                           suffix: str = "_before") -> DataFrame:
     """For a table with one row per distinct ``order_col`` value, add
     ``<v>_before`` = sum of ``v`` over rows with a smaller order value.
+    Infinite order values are ordinary ones; NaN comes after all others.
 
-    Runs one small job to find the bucket cut points (B-1 numbers).
+    Runs a count and one small job for the bucket cut points (B-1 numbers),
+    so ``df`` should be a written table.
     """
     value_cols = list(value_cols)
-    b = buckets or default_buckets(df)
     key = F.col(order_col).cast("double")
+    b = buckets or max(1, math.ceil(df.count() / ROWS_PER_BUCKET))
+    cuts = []
     if b > 1:
         probs = [i / b for i in range(1, b)]
         row = df.agg(F.percentile_approx(key, probs, 10000).alias("q")).first()
-        cuts = sorted({float(c) for c in (row["q"] or []) if c is not None})
-    else:
-        cuts = []
-    base = df.withColumn("_key", key)
-    if cuts:
-        splits = [float("-inf")] + cuts + [float("inf")]
-        base = Bucketizer(splits=splits, inputCol="_key", outputCol="_b", handleInvalid="keep").transform(base)
-    else:
-        base = base.withColumn("_b", F.lit(0.0))
+        cuts = sorted({float(c) for c in (row["q"] or []) if c is not None and math.isfinite(c)})
+    at = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("_key"))) if cuts else F.lit(0)
+    base = df.withColumn("_key", key).withColumn("_b", at)
     w_in = Window.partitionBy("_b").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
     within = base.select("*", *[F.coalesce(F.sum(v).over(w_in), F.lit(0)).alias(f"_in_{v}") for v in value_cols])
     totals = base.groupBy("_b").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     w_off = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_b", *[F.coalesce(F.sum(f"_t_{v}").over(w_off), F.lit(0)).alias(f"_off_{v}")
                                     for v in value_cols])
-    # offsets has at most len(cuts) + 2 rows: a proven bound, safe to broadcast
+    # offsets has at most len(cuts) + 1 rows: a proven bound, safe to broadcast
     joined = within.join(F.broadcast(offsets), "_b")
-    out = joined.select(*df.columns, *[(F.col(f"_in_{v}") + F.col(f"_off_{v}")).alias(f"{v}{suffix}")
-                                       for v in value_cols])
-    return out
+    return joined.select(*df.columns, *[(F.col(f"_in_{v}") + F.col(f"_off_{v}")).alias(f"{v}{suffix}")
+                                        for v in value_cols])
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -73,17 +63,12 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_written(df: DataFrame) -> None:
     """Delete the files behind a table made by ``cut_lineage`` once nothing
-    reads it any more."""
-    spark = df.sparkSession
+    reads it any more.  Refuses any other table."""
     files = df.inputFiles()
-    if not files:
-        return
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(path, True)
+    if files:
+        delete_scratch(df.sparkSession, files[0].rsplit("/", 1)[0])

@@ -40,21 +40,46 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a fresh temporary folder."""
+    """The cluster's ``spark.checkpoint.dir``.  Where it is unset, a fresh
+    temporary folder will do on a local master (one machine); on any other
+    the executors would not see each other's files, and this raises."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tablelearn-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def _scratch_base(spark: SparkSession) -> str:
+    return os.path.join(ensure_checkpoint_dir(spark), "tablelearn-scratch")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint directory, for tables
     written on purpose (CSV round trips, saved models)."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tablelearn-scratch", f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(_scratch_base(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def delete_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder below this session's scratch folder (the folder
+    itself too); any other path is refused."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target, base = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, _scratch_base(spark)))
+    fs = target.getFileSystem(conf)
+    inner, outer = (fs.makeQualified(p).toString() for p in (target, base))
+    if inner != outer and not inner.startswith(outer + "/"):
+        raise ValueError(f"{path} is not below the scratch folder {outer}")
+    fs.delete(target, True)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete every table this session wrote on the way to its results.
+    Lazy results that still read one of them cannot be used afterwards."""
+    delete_scratch(spark, _scratch_base(spark))

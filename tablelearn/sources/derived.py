@@ -25,7 +25,7 @@ def injury_view(lineitem: DataFrame, keys=LINEITEM_KEY) -> DataFrame:
         *keys,
         (F.lit(18) + F.col("l_quantity") % 22).cast("int").alias("Player_Age"),
         (F.lit(40.0) + F.col("l_extendedprice") / 1750).alias("Player_Weight"),
-        (F.lit(145.0) + F.col("l_extendedprice") / 1900).alias("Player_Height"),
+        (F.lit(145.0) + (F.col("l_partkey") * 7919 + F.col("l_suppkey") * 104729) % 60000 / 1000).alias("Player_Height"),
         (F.col("l_returnflag") == "R").cast("int").alias("Previous_Injuries"),
         (F.col("l_discount") * 10).alias("Training_Intensity"),
         F.col("l_linenumber").alias("Recovery_Time"),
@@ -34,8 +34,9 @@ def injury_view(lineitem: DataFrame, keys=LINEITEM_KEY) -> DataFrame:
 
 
 def event_view(events: DataFrame) -> DataFrame:
-    """Keyed binary table: purchase vs view events, key ``event_id``."""
-    return events.filter(F.col("event_type").isin("purchase", "view")).select(
+    """Keyed binary table of all events, key ``event_id``; the label marks
+    purchases."""
+    return events.select(
         "event_id",
         "value",
         F.hour("ts").alias("hour"),
@@ -56,20 +57,49 @@ def metric_view(events: DataFrame) -> DataFrame:
     )
 
 
-def hand_lines(orders: DataFrame) -> DataFrame:
+def hand_lines(orders: DataFrame, damaged: bool = False) -> DataFrame:
     """Poker-hand text lines generated from order keys by integer arithmetic:
-    suit_i = (k*7 + 5i) % 4 + 1, rank_i = (k*(2i+1) + 3i^2 + k div 13) % 13 + 1,
-    class = k % 10."""
+    suit_i = (k*7 + d_i) % 4 + 1 with d_i = 0 for k % 5 = 0 (one suit five
+    times), d_i = [i = 4] for k % 5 = 1 (four times), 5i otherwise;
+    rank_i = (k*(2i+1) + 3i^2 + k div 13) % 13 + 1, class = k % 10.
+
+    ``damaged``: lines with k % 17 = 0, 1, 2 lose their last field, get a word
+    for their first, or become empty."""
     k = F.col("o_orderkey")
     fields = []
     for i in range(5):
-        fields.append((k * 7 + i * 5) % 4 + 1)
+        step = F.when(k % 5 == 0, 0).when(k % 5 == 1, int(i == 4)).otherwise(i * 5)
+        fields.append((k * 7 + step) % 4 + 1)
         fields.append((k * (2 * i + 1) + 3 * i * i + F.expr("o_orderkey div 13")) % 13 + 1)
     fields.append(k % 10)
-    return orders.select(
-        k.alias("hand_id"),
-        F.concat_ws(",", *[f.cast("string") for f in fields]).alias("value"),
-    )
+    texts = [f.cast("string") for f in fields]
+    line = F.concat_ws(",", *texts)
+    if damaged:
+        line = (F.when(k % 17 == 0, F.concat_ws(",", *texts[:-1]))
+                .when(k % 17 == 1, F.concat_ws(",", F.lit("ace"), *texts[1:]))
+                .when(k % 17 == 2, F.lit("")).otherwise(line))
+    return orders.select(k.alias("hand_id"), line.alias("value"))
+
+
+def record_lines(injury: DataFrame, columns, key: str = "l_orderkey") -> DataFrame:
+    """The records as text lines, some damaged by key arithmetic: without
+    their last field (k % 13 = 0), with one too many (1), with a word instead
+    of a number (2)."""
+    k = F.col(key)
+    texts = [F.col(c).cast("string") for c in columns]
+    line = (F.when(k % 13 == 0, F.concat_ws(",", *texts[:-1]))
+            .when(k % 13 == 1, F.concat_ws(",", *texts, F.lit("9")))
+            .when(k % 13 == 2, F.concat_ws(",", F.lit("young"), *texts[1:]))
+            .otherwise(F.concat_ws(",", *texts)))
+    return injury.select(line.alias("value"))
+
+
+def events_with_gaps(events: DataFrame) -> DataFrame:
+    """Events with missing fields by key arithmetic: ``value`` is null for
+    ids divisible by 7, ``props`` for ids that leave 3 modulo 11."""
+    k = F.col("event_id")
+    return events.select("event_id", "user_id", "event_type", F.when(k % 7 != 0, F.col("value")).alias("value"),
+                         F.when(k % 11 != 3, F.col("props")).alias("props"))
 
 
 def doc_label_view(labels: DataFrame, documents: DataFrame) -> DataFrame:

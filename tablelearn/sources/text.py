@@ -63,6 +63,11 @@ def rename_positional(df: DataFrame, names) -> DataFrame:
     return df.toDF(*new[: len(df.columns)])
 
 
+def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of text files: one string column ``value``."""
+    return spark.read.text(path)
+
+
 def features_and_label(df: DataFrame):
     """Last column is the label, the rest are features."""
     return list(df.columns[:-1]), df.columns[-1]

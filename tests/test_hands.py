@@ -1,4 +1,5 @@
 import itertools
+from collections import Counter
 
 import pytest
 
@@ -29,21 +30,18 @@ def test_four_and_five_suits(spark):  # B3, B4
     assert five["flush_bonus"] == 0 and five["flush_bonus_compat"] == 0
 
 
-def _reference_run(ranks):
-    """The first-index fold, re-expressed for the test; None where the
-    original indexes position -1."""
-    s = sorted(ranks)
-    cur = best = 0
-    for r in s:
-        if cur == 0:
-            cur += 1
-        else:
-            i = s.index(r) - 1
-            if i < 0:
-                return None
-            cur = cur + 1 if r - 1 == s[i] else 1
-        best = max(best, cur)
-    return best
+def _compat_run(ranks):
+    """The documented rule: null when the lowest rank occurs twice; otherwise
+    the best island of consecutive ranks, where an island counts 1 for its
+    first rank and every later rank as often as it occurs."""
+    times = Counter(ranks)
+    if times[min(ranks)] > 1:
+        return None
+    islands = [[r] for r in sorted(times) if r - 1 not in times]
+    for island in islands:
+        while island[-1] + 1 in times:
+            island.append(island[-1] + 1)
+    return max(1 + sum(times[r] for r in island[1:]) for island in islands)
 
 
 def _distinct_run(ranks):
@@ -65,7 +63,7 @@ def test_runs_against_brute_force_all_multisets(spark):
     got = {r["hand_id"]: (r["d"], r["c"]) for r in got}
     throws = 0
     for i, m in enumerate(multisets):
-        ref = _reference_run(list(m))
+        ref = _compat_run(m)
         throws += ref is None
         assert got[i] == (_distinct_run(m), ref), m
     assert throws == 1820

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tablelearn.operators import id3
+from tablelearn.operators import id3, stats
 
 
 def test_unseen_value_falls_back(spark):  # B15
@@ -59,12 +59,37 @@ def test_shuffle_join_path_equals_broadcast_path(spark):
     rows += [(9, 1, i % 2) for i in range(300)]
     df = spark.createDataFrame(rows, "a int, b int, y int")
     m1 = id3.id3_build(df, ["a", "b"], "y", max_depth=2)
-    m2 = id3.id3_build(df, ["a", "b"], "y", max_depth=2, broadcast_limit=0)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        m2 = id3.id3_build(df.repartition(7), ["a", "b"], "y", max_depth=2)
+        p2 = id3.id3_predict(m2, df).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
     t1, t2 = m1.node_table(), m2.node_table()
     assert t1.exceptAll(t2).count() == 0 and t2.exceptAll(t1).count() == 0
-    p1 = id3.id3_predict(m1, df)
-    p2 = id3.id3_predict(m2, df, broadcast_limit=0)
-    assert p1.exceptAll(p2).count() == 0 and p2.exceptAll(p1).count() == 0
+    assert sorted(map(tuple, id3.id3_predict(m1, df).collect())) == sorted(map(tuple, p2))
+
+
+def test_text_label(spark):
+    train = spark.createDataFrame([("a", "yes"), ("a", "yes"), ("b", "no"), ("a", "no")], "f string, y string")
+    model = id3.id3_build(train, ["f"], "y", max_depth=3)
+    test = spark.createDataFrame([("a",), ("b",), ("c",)], "f string")
+    assert [r["prediction"] for r in id3.id3_predict(model, test).orderBy("f").collect()] == ["yes", "no", "no"]
+
+
+def test_empty_training_table(spark):
+    train = spark.createDataFrame([], "f string, y int")
+    model = id3.id3_build(train, ["f"], "y", max_depth=3)
+    assert model.node_table().count() == 0
+    assert id3.id3_predict(model, spark.createDataFrame([("a",)], "f string")).first()["prediction"] is None
+
+
+def test_bins_bound_every_numeric_type(spark):
+    df = spark.range(1000).selectExpr("cast(id as decimal(12,2)) as d", "cast(id as int) as i", "id % 2 as y")
+    edges = stats.bin_edges(df, ["d", "i"], 4)
+    binned = stats.with_bins(df, edges, 4)
+    assert binned.select("d").distinct().count() == 4 and binned.select("i").distinct().count() == 4
 
 
 def test_quantile_binned_tree(spark):

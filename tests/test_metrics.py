@@ -34,6 +34,23 @@ def test_auc_all_tied(spark):  # B18
     assert metrics.area_under_roc(df).collect()[0]["area_under_roc"] == pytest.approx(0.5)
 
 
+@pytest.mark.parametrize("buckets", [None, 1, 2, 3, 9])
+def test_auc_of_extreme_scores(spark, buckets):
+    inf, nan = float("inf"), float("nan")
+    rows = [(1.0, inf), (0.0, -inf), (1.0, -inf), (0.0, 0.5), (1.0, 0.5), (0.0, inf), (1.0, nan), (0.0, 2.0)]
+    rank = {-inf: 0, 0.5: 1, 2.0: 2, inf: 3}
+    at = lambda s: 4 if s != s else rank[s]
+    pairs = [(at(a), at(b)) for y, a in rows if y for z, b in rows if not z]
+    want = sum(1.0 if a > b else 0.5 if a == b else 0.0 for a, b in pairs) / len(pairs)
+    df = spark.createDataFrame(rows, "label double, score double")
+    assert metrics.area_under_roc(df, buckets=buckets).first()["area_under_roc"] == pytest.approx(want)
+
+
+def test_report_of_text_classes(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", "b"), ("b", "b"), (None, "a")], "label string, prediction string")
+    assert metrics.classification_report(df).first()["accuracy"] == pytest.approx(0.5)
+
+
 def test_precision_no_predicted_positive(spark):  # B14
     df = spark.createDataFrame([(1.0, 0.0), (0.0, 0.0)], "label double, prediction double")
     assert metrics.precision_pct(df).collect()[0]["precision_pct"] == 0.0

@@ -1,9 +1,11 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tablelearn.plans.shaping import cut_lineage, drop_written
-from tablelearn.session import ensure_checkpoint_dir, scratch_path
+from tablelearn.session import delete_scratch, ensure_checkpoint_dir, release_scratch, scratch_path
 
 
 def _local(uri: str) -> str:
@@ -21,3 +23,34 @@ def test_scratch_tables_live_under_the_checkpoint_dir(spark):
     assert files and all(_local(f).startswith(_local(base)) for f in files)
     drop_written(df)
     assert not os.path.exists(os.path.dirname(_local(files[0])))
+
+
+def test_nothing_outside_the_scratch_folder_is_deleted(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.range(3).write.parquet(path)
+    with pytest.raises(ValueError):
+        drop_written(spark.read.parquet(path))
+    with pytest.raises(ValueError):
+        delete_scratch(spark, ensure_checkpoint_dir(spark))
+    assert os.path.exists(path)
+
+
+def test_release_empties_the_scratch_folder(spark):
+    df = cut_lineage(spark.range(5), "t")
+    files = df.inputFiles()
+    release_scratch(spark)
+    assert not any(os.path.exists(_local(f)) for f in files)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+        def getCheckpointDir(self): return None
+        def getConf(self): return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())

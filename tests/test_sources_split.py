@@ -48,6 +48,24 @@ def test_hash_split_stable_under_repartition(spark):
     assert 0.25 < frac < 0.35
 
 
+def test_hash_split_keeps_a_tiny_side(spark):
+    df = split.hash_split(spark.range(1_000_000), ["id"], [0.99996, 0.00004], 11)
+    assert 10 < df.filter("split = 1").count() < 90
+
+
+def test_random_split_sides_are_disjoint_and_complete(spark):
+    df = split.random_split(spark.range(5000), [0.8, 0.2], 3)
+    assert df.select("id").distinct().count() == df.count() == 5000
+    assert 800 < df.filter("split = 1").count() < 1200
+
+
+def test_text_lines_are_read_from_files(spark):
+    path = scratch_path(spark, "t-lines")
+    spark.createDataFrame([("1,2,3,4,5,6,7",), ("1,2",), ("",)], "value string").write.text(path)
+    lines = text.read_text_lines(spark, path)
+    assert lines.columns == ["value"] and text.parse_records(lines).count() == 1
+
+
 def test_hash_split_frames(spark):
     ev = derived.load_view(spark, "/root/testdata/sf0.01", "events")
     tr, te = split.hash_split_frames(ev, ["event_id"], [0.9, 0.1], 6151)
