@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablelearn.llm.common import WORD
+from tablelearn.llm.common import WORD, checked
 from tablelearn.plans.shaping import cut_lineage
 
 MIN_WORDS = 50
@@ -112,7 +112,8 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataF
     removed = cut_lineage(repeated_lines(docs, id_col, text_col, min_words), "repeats")
     names = docs.columns
     d = docs.select(F.struct(*names).alias("_d0"), F.col(id_col).alias("_i"), F.xxhash64(F.col(text_col)).alias("_k"))
-    j = d.join(removed, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")), "left")
+    # a few numbers a document: broadcast when few enough, so that the texts need not move
+    j = d.join(checked(removed, "removed"), F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")), "left")
     j = j.select("_d0", "removed", F.split(F.col(f"_d0.{text_col}"), "\n").alias("_l"))
     places = F.array_except(F.sequence(F.lit(0), F.size("_l") - 1), "removed")
     j = j.select("_d0", "removed", "_l", F.when(F.col("removed").isNotNull(), places).alias("_stay"))
