@@ -31,12 +31,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # fixed values: elements and words that mark page furniture in HTML
-SKIPPED = "script style noscript template title head svg select textarea button iframe object math canvas".split()
+SKIPPED = "script style noscript template title head svg select textarea button iframe object canvas".split()
 INLINE = """a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small
 span strike strong sub sup time tt u var wbr""".split()
-FURNITURE = "nav header footer aside form menu dialog figcaption fieldset".split()
+FURNITURE = "nav header footer aside form menu dialog fieldset".split()
 VOID = "br img hr input meta link wbr area base col embed source track param".split()
-NAMES = """ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments
+NAMES = """ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments
 commentlist consent cookie cookies copyright disclaimer discussion disqus feedback footer form gdpr header legal login
 masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup
 privacy promo promoted promotion recommended register related replies reply respond reviews search share sharing
