@@ -43,8 +43,13 @@ def exclusive_prefix_sums(df: DataFrame, order_col: str, value_cols, buckets: in
         probs = [i / b for i in range(1, b)]
         row = df.agg(F.percentile_approx(key, probs, 10000).alias("q")).first()
         cuts = sorted({float(c) for c in (row["q"] or []) if c is not None and math.isfinite(c)})
-    at = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("_key"))) if cuts else F.lit(0)
-    base = df.withColumn("_key", key).withColumn("_b", at)
+    base = df.withColumn("_key", key)
+    w = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
+    if not cuts:        # one bucket: at most ROWS_PER_BUCKET rows (or as the caller asked)
+        return base.select(*df.columns, *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(f"{v}{suffix}")
+                                          for v in value_cols])
+    at = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("_key")))
+    base = base.withColumn("_b", at)
     w_in = Window.partitionBy("_b").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
     within = base.select("*", *[F.coalesce(F.sum(v).over(w_in), F.lit(0)).alias(f"_in_{v}") for v in value_cols])
     totals = base.groupBy("_b").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])

@@ -1,8 +1,6 @@
 import itertools
 from collections import Counter
 
-import pytest
-
 from tablelearn.operators import hands
 from tablelearn.sources.text import parse_hand_lines
 

@@ -1,6 +1,5 @@
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.sql import functions as F
 
 from tablelearn.operators import metrics
 from tablelearn.sources import derived
