@@ -24,10 +24,11 @@ position is settled through them; the result is exact:
 
 Repeats inside long shared passages are settled by stretches (one row for
 about 16 positions), and only their ends come down to single positions.
-Hot strings: an anchor that repeats inside a batch of a map task is known to
-repeat, and is dealt by place instead of by content except for one row, so a
-passage that a third of all documents share costs one row per batch in its
-sort; later steps use combining counts and joins that can be split.
+Texts that several rows have are read once and removed whole.  Hot strings: a
+rank that repeats inside a batch of a map task is known to repeat, and its
+rows are dealt by place instead of by content, except for one; so a passage
+that a third of all documents share costs one row per batch where it is
+sorted.
 
 Strings are compared by 64-bit hashes.  Defined cases: null and empty texts
 have 0 bytes and remove nothing; texts shorter than ``LENGTH`` keep all
@@ -107,39 +108,66 @@ def _int64(x) -> pa.Array:
     return pa.array(np.asarray(x, dtype=np.uint64).view(np.int64))
 
 
+def _repeats(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys occur twice or more here, and the first place of each key."""
+    _, index, count = np.unique(key, return_inverse=True, return_counts=True)
+    first = np.zeros(len(key), bool)
+    first[np.unique(index, return_index=True)[1]] = True
+    return count[index] > 1, first
+
+
+def _elsewhere(dk: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Keys by place, for rows that need not meet their like any more."""
+    return mix(dk.view(np.uint64) ^ mix(at.astype(np.uint64) + np.uint64(77)))
+
+
+def _merged(dk, low, high):
+    """Neighbouring runs of one document as one run."""
+    if not len(dk):
+        return dk, low, high
+    order = np.lexsort((low, dk))
+    dk, low, high = dk[order], low[order], high[order]
+    new = np.append(True, (dk[1:] != dk[:-1]) | (low[1:] > high[:-1] + 1))
+    return dk[new], low[new], np.maximum.reduceat(high, np.flatnonzero(new))
+
+
 def _first_ranks(batches):
-    """``h, dk, at``; ``at`` = place * 4 + 2 * known + (1: a whole window, 0:
-    an anchor)."""
+    """``h, dk, at, more``; ``at`` = place * 4 + 2 * known + 1 for whole
+    windows from that place to ``more`` places on, and number * 4 + 2 * known
+    for the anchor of that number in its text."""
     hasher = Hasher()
 
     def rows(part):
         h, dk, at = (np.concatenate(x) for x in zip(*part))
-        unique, index, count = np.unique(h, return_inverse=True, return_counts=True)
-        twice = count[index] > 1
-        at = at + 2 * twice
-        # of hashes that repeat here one row keeps the hash, the others are dealt by place
-        first = np.zeros(len(h), bool)
-        first[np.unique(index, return_index=True)[1]] = True
-        aside = twice & ~first
-        h = np.where(aside, mix(dk.view(np.uint64) ^ mix(at.view(np.uint64) + np.uint64(77))), h)
-        return pa.RecordBatch.from_pydict({"h": _int64(h), "dk": dk, "at": at})
+        twice, first = _repeats(h)
+        real, whole = ~twice | first, at % 2 == 1
+        anchors, windows = ~real & ~whole, ~real & whole
+        d, low, high = _merged(dk[windows], at[windows] // 4, at[windows] // 4)
+        dks = np.concatenate([dk[real], dk[anchors], d])
+        ats = np.concatenate([at[real] + 2 * twice[real], at[anchors] + 2, low * 4 + 3])
+        keys = np.concatenate([h[real], _elsewhere(dk[anchors], at[anchors]), _elsewhere(d, low)])
+        more = np.zeros(len(dks), np.int32)
+        more[len(dks) - len(d):] = high - low
+        return pa.RecordBatch.from_pydict({"h": _int64(keys), "dk": dks, "at": ats, "more": more})
 
     for b in batches:
         part, size = [], 0
         for key, text in zip(b.column(0).to_numpy(), texts(b.column(1))):
+            number = 0
             for s, block, starts in _blocks(text or b""):
                 c = hasher.sums(block)
                 q, h = hasher.anchors(c)
                 # anchors after the owned starts belong to the next block as well
-                own = q < BLOCK if len(text) - s >= BLOCK + LENGTH else slice(None)
-                part.append((h[own], np.full(len(h[own]), key, np.int64), (q[own] + s) * 4))
-                size += len(q)
+                own = int(np.searchsorted(q, BLOCK)) if len(text) - s >= BLOCK + LENGTH else len(q)
+                part.append((h[:own], np.full(own, key, np.int64), np.arange(number, number + own) * 4))
+                number += own
+                size += own
                 for low, high in _unanchored(q, starts):
                     t = np.arange(low, high + 1)
                     part.append((mix(hasher.spans(c, t, t + LENGTH) + np.uint64(LENGTH)),
                                  np.full(len(t), key, np.int64), (t + s) * 4 + 1))
                     size += len(t)
-            if size > 500_000:
+            if size > 1_000_000:
                 yield rows(part)
                 part, size = [], 0
         if part:
@@ -147,16 +175,35 @@ def _first_ranks(batches):
 
 
 def _stretches(batches):
-    """Rows ``dk, text, places of the anchors left`` to ``g, u, dk, low, high``."""
+    """Rows ``dk, text, runs of the numbers of the anchors left`` to ``g, u,
+    dk, low, high, known``."""
     hasher = Hasher()
+
+    def rows(part):
+        g, u, dk, low, high = (np.concatenate(x) for x in zip(*part))
+        twice, first = _repeats(u)
+        real = ~twice | first
+        d, a, e = _merged(dk[~real], low[~real], high[~real])
+        key = _elsewhere(d, a)
+        return pa.RecordBatch.from_pydict({
+            "g": _int64(np.concatenate([g[real], key])), "u": _int64(np.concatenate([u[real], key])),
+            "dk": np.concatenate([dk[real], d]), "low": np.concatenate([low[real], a]),
+            "high": np.concatenate([high[real], e]),
+            "known": np.concatenate([twice[real], np.ones(len(d), bool)])})
+
     for b in batches:
-        out = []
-        for key, text, left in zip(b.column(0).to_numpy(), texts(b.column(1)), b.column(2)):
-            left = np.sort(left.values.to_numpy()) if left.is_valid else np.zeros(0, np.int64)
+        out, size = [], 0
+        for key, text, left in zip(b.column(0).to_numpy(), texts(b.column(1)), b.column(2).to_pylist()):
+            first = np.array(sorted(r["first"] for r in left))
+            last = np.array(sorted(r["last"] for r in left))
+            number = 0
             for s, block, starts in _blocks(text or b""):
                 c = hasher.sums(block)
                 q, _ = hasher.anchors(c)
-                alive = np.isin(q + s, left)
+                mine = np.arange(number, number + len(q))
+                number += int(np.searchsorted(q, BLOCK)) if len(text) - s >= BLOCK + LENGTH else len(q)
+                run = np.searchsorted(first, mine, side="right") - 1
+                alive = (run >= 0) & (mine <= last[run])
                 if not alive.any():
                     continue
                 dead = np.concatenate([[0], np.cumsum(~alive)])
@@ -173,42 +220,55 @@ def _stretches(batches):
                 g = mix(hasher.spans(c, a, e) + (e - a).astype(np.uint64))
                 u = mix(hasher.spans(c, low, high + LENGTH)) + ((a - low) * 1000 + (high - low)).astype(np.uint64)
                 out.append((g, mix(u), np.full(len(low), key, np.int64), low + s, high + s))
+                size += len(low)
+            if size > 500_000:
+                yield rows(out)
+                out, size = [], 0
         if out:
-            g, u, dk, low, high = (np.concatenate(x) for x in zip(*out))
-            yield pa.RecordBatch.from_pydict({"g": _int64(g), "u": _int64(u), "dk": dk, "low": low, "high": high})
+            yield rows(out)
 
 
 def _single_starts(batches):
-    """Rows ``dk, text, (low, high, once) runs`` to ``h, dk, at, once``."""
+    """Rows ``dk, text, (low, high, once) runs`` to ``h, dk, at``; ``at`` =
+    place * 4 + 2 * known + once."""
     hasher = Hasher()
+
+    def rows(part):
+        h, dk, at = (np.concatenate(x) for x in zip(*part))
+        twice, first = _repeats(h)
+        real = ~twice | first
+        aside = ~real & (at % 2 == 1)       # what is settled otherwise only had to be met
+        key = np.concatenate([h[real], _elsewhere(dk[aside], at[aside])])
+        return pa.RecordBatch.from_pydict({"h": _int64(key), "dk": np.concatenate([dk[real], dk[aside]]),
+                                           "at": np.concatenate([at[real] + 2 * twice[real], at[aside] + 2])})
+
     for b in batches:
-        out = []
+        out, size = [], 0
         for key, text, runs in zip(b.column(0).to_numpy(), texts(b.column(1)), b.column(2).to_pylist()):
             for r in runs:
                 part = text[r["low"]:r["high"] + LENGTH]
                 c = hasher.sums(part)
                 t = np.arange(r["high"] - r["low"] + 1)
-                out.append((mix(hasher.spans(c, t, t + LENGTH)), np.full(len(t), key, np.int64), t + r["low"],
-                            np.full(len(t), r["once"])))
+                out.append((mix(hasher.spans(c, t, t + LENGTH)), np.full(len(t), key, np.int64),
+                            (t + r["low"]) * 4 + int(r["once"])))
+                size += len(t)
+            if size > 500_000:
+                yield rows(out)
+                out, size = [], 0
         if out:
-            h, dk, at, once = (np.concatenate(x) for x in zip(*out))
-            yield pa.RecordBatch.from_pydict({"h": _int64(h), "dk": dk, "at": at, "once": once})
-
-
-def _removed(runs) -> list[tuple[int, int]]:
-    """Maximal removed byte ranges of runs of repeated starts."""
-    spans: list[list[int]] = []
-    for low, high in sorted(runs):
-        if spans and low <= spans[-1][1]:
-            spans[-1][1] = max(spans[-1][1], high + LENGTH)
-        else:
-            spans.append([low, high + LENGTH])
-    return [tuple(s) for s in spans]
+            yield rows(out)
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return d.select("doc_id", F.xxhash64("doc_id", "text").alias("dk"), "text")
+    """``doc_id, dk, text, copies``: with a key of the text, and for texts
+    that several rows have ``copies`` = 1 in the row with the least id (the
+    one that stands for them) and 2 in the others."""
+    d = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("dk"), F.col(text_col).alias("text"))
+    several = d.groupBy("dk").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("_id")).filter("n > 1")
+    several = checked(cut_lineage(several.select("dk", "_id", F.lit(True).alias("_copied")), "copied-texts"))
+    stands = F.col("doc_id").eqNullSafe(F.col("_id"))
+    return d.join(several, "dk", "left").select(
+        "doc_id", "dk", "text", F.when(F.col("_copied"), F.when(stands, 1).otherwise(2)).otherwise(0).alias("copies"))
 
 
 def _beside(d: DataFrame, side: DataFrame, column: str, how: str) -> DataFrame:
@@ -216,36 +276,51 @@ def _beside(d: DataFrame, side: DataFrame, column: str, how: str) -> DataFrame:
     return d.join(checked(cut_lineage(side, column), column), "dk", how)
 
 
-def repeated_starts(d: DataFrame) -> DataFrame:
-    """``dk, runs``: per document the runs of repeated window starts."""
-    ranks = d.select("dk", "text").mapInArrow(_first_ranks, "h long, dk long, at long")
+def _islands(rows: DataFrame, low: str, high: str, reach: int, names: tuple[str, str], column: str) -> DataFrame:
+    """``dk, column``: per document the ranges that ``low .. high`` rows form
+    when rows at most ``reach`` apart are joined; one exchange by document."""
+    order = Window.partitionBy("dk").orderBy(low)
+    before = F.max(high).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.coalesce((F.col(low) - before > reach).cast("int"), F.lit(1))
+    t = rows.withColumn("_new", new).withColumn("_island", F.sum("_new").over(order.rowsBetween(
+        Window.unboundedPreceding, 0)))
+    t = t.groupBy("dk", "_island").agg(F.min(low).alias(names[0]), F.max(high).alias(names[1]))
+    return t.groupBy("dk").agg(F.collect_list(F.struct(*names)).alias(column))
+
+
+def repeated_spans(d: DataFrame) -> DataFrame:
+    """``dk, spans``: per text the maximal ranges ``low .. high + LENGTH`` of
+    repeated bytes (copied texts, which repeat as wholes, only take part to be
+    met by others)."""
+    d = d.filter("copies < 2").select("dk", "text")
+    ranks = d.mapInArrow(_first_ranks, "h long, dk long, at long, more int")
     same = F.count(F.lit(1)).over(Window.partitionBy("h"))
-    left = ranks.select("dk", "at", same.alias("n")).filter(
+    left = ranks.select("dk", "at", "more", same.alias("n")).filter(
         (F.col("n") > 1) | (F.col("at").bitwiseAND(2) != 0))
-    left = cut_lineage(left.select("dk", F.shiftright("at", 2).alias("at"), F.col("at").bitwiseAND(1).alias("w")),
-                       "first-rank")
-    settled = left.filter("w = 1").select("dk", F.col("at").alias("low"), F.col("at").alias("high"))
-
-    places = left.filter("w = 0").groupBy("dk").agg(F.collect_set("at").alias("places"))
-    parts = _beside(d.select("dk", "text"), places, "places", "inner").mapInArrow(
-        _stretches, "g long, u long, dk long, low long, high long")
-    parts = cut_lineage(parts, "stretches")
-    forms = parts.groupBy("g", "u").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("dk", "low", "high")).alias("r"))
-    forms = cut_lineage(forms, "forms")
-    whole = parts.join(forms.filter("n > 1").select("g", "u"), ["g", "u"], "left_semi").select("dk", "low", "high")
-
+    left = cut_lineage(left.select("dk", F.shiftright("at", 2).alias("at"), "more",
+                                   F.col("at").bitwiseAND(1).alias("w")), "first-rank")
+    settled = left.filter("w = 1").select("dk", F.col("at").alias("low"), (F.col("at") + F.col("more")).alias("high"))
+
+    places = _islands(left.filter("w = 0"), "at", "at", 1, ("first", "last"), "places")
+    parts = _beside(d, places, "places", "inner").mapInArrow(
+        _stretches, "g long, u long, dk long, low long, high long, known boolean")
+    # equal ranks meet in one place; those in the same context too are neighbours there
+    form, rank = Window.partitionBy("g", "u"), Window.partitionBy("g")
+    parts = parts.repartition("g").withColumn("twice", F.col("known") | (F.count(F.lit(1)).over(form) > 1))
+    parts = parts.withColumn("nth", F.row_number().over(form.orderBy("dk", "low")))
     # equal ranks in different context, at least one of them seen once: single starts
-    differ = forms.groupBy("g").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n")).filter("k > 1 and n = 1")
-    runs = forms.join(differ.select("g"), "g", "left_semi").select("r.*", (F.col("n") == 1).alias("once"))
-    runs = runs.groupBy("dk").agg(F.collect_list(F.struct("low", "high", "once")).alias("ends"))
-    one = _beside(d.select("dk", "text"), runs, "ends", "inner").mapInArrow(
-        _single_starts, "h long, dk long, at long, once boolean")
-    one = cut_lineage(one.distinct(), "single-starts")
-    twice = one.groupBy("h").count().filter("count > 1").select("h")
-    single = one.filter("once").join(twice, "h", "left_semi").select(
-        "dk", F.col("at").alias("low"), F.col("at").alias("high"))
+    differ = (F.min("u").over(rank) != F.max("u").over(rank)) & ~F.min("twice").over(rank)
+    parts = parts.select("dk", "low", "high", "twice", (differ & (F.col("nth") == 1)).alias("ends"))
+    parts = cut_lineage(parts.filter("twice or ends"), "stretches")
+    whole = parts.filter("twice").select("dk", "low", "high")
+    ends = parts.filter("ends").groupBy("dk").agg(
+        F.collect_list(F.struct("low", "high", (~F.col("twice")).alias("once"))).alias("ends"))
+    one = _beside(d, ends, "ends", "inner").mapInArrow(_single_starts, "h long, dk long, at long")
+    one = one.select("dk", "at", same.alias("n")).filter(
+        (F.col("at").bitwiseAND(1) != 0) & ((F.col("n") > 1) | (F.col("at").bitwiseAND(2) != 0)))
+    single = one.select("dk", F.shiftright("at", 2).alias("low"), F.shiftright("at", 2).alias("high"))
     every = settled.unionByName(whole).unionByName(single)
-    return every.groupBy("dk").agg(F.collect_set(F.struct("low", "high")).alias("runs"))
+    return _islands(every, "low", "high", LENGTH, ("low", "high"), "spans")
 
 
 def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
@@ -265,17 +340,19 @@ def _outcome(docs: DataFrame, id_col: str, text_col: str, with_bytes: bool) -> D
     def run(batches):
         for b in batches:
             rows = []
-            for text, runs in zip(texts(b.column(1)), b.column(2).to_pylist()):
+            for text, spans, copies in zip(texts(b.column(1)), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 text = text or b""
-                spans = _removed([(r["low"], r["high"]) for r in runs or []])
+                spans = sorted((r["low"], r["high"] + LENGTH) for r in spans or [])
+                if copies and len(text) >= LENGTH:
+                    spans = [(0, len(text))]
                 kept, at = [], 0
                 for low, high in spans:
                     kept.append(text[at:low])
                     at = high
                 kept = b"".join([*kept, text[at:]])
                 rows.append((len(text), len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), kept))
-            n, gone, spans, sha, kept = zip(*rows) if rows else ([],) * 5
-            columns = [b.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()),
+            n, gone, runs, sha, kept = zip(*rows) if rows else ([],) * 5
+            columns = [b.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()),
                        pa.array(sha, pa.string())]
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             if with_bytes:
@@ -283,6 +360,6 @@ def _outcome(docs: DataFrame, id_col: str, text_col: str, with_bytes: bool) -> D
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = d.schema["doc_id"].dataType.simpleString()
-    joined = _beside(d, repeated_starts(d), "runs", "left").select("doc_id", "text", "runs")
+    joined = _beside(d, repeated_spans(d), "spans", "left").select("doc_id", "text", "spans", "copies")
     return joined.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
                              + (", kept binary" if with_bytes else ""))
