@@ -20,16 +20,22 @@ Sets whose shingles leave too many classes empty also take part at twice the
 number of classes, and so on, so that no pair is lost; sizes are taken in
 geometric bands, and a set near the end of its band joins the next as well.
 
-*Inside a region* the least member is the pivot.  Every member is compared
-with the pivot it shares most regions with, exactly, and then with its other
-pivots unless it is already connected with them.  A region whose members are
+*Inside a region* the least member is the pivot.  Every set is compared with
+the pivot it shares most regions with, exactly; a region whose members are
 then all connected is done.
 
-*Windows and recursion.*  In the other regions, members of different
-components remain to be compared: a pair with distances d1, d2 to its common
-pivot can be linked only if |d1 - d2| <= radius (triangle inequality).  Regions with
-more than ``SMALL`` members are first divided again by a fresh projection
-(at most ``DEPTH`` times), which separates texts that merely share a passage.
+*Windows.*  What is left of the regions is joined block by block, a block
+being the regions whose pivots are in one component: the sets of that
+component (M) need not be compared with each other, the others (U) are
+compared with M and U.  Members are
+ordered by their distance to one set of the component, and a set at distance d
+meets only the window d - radius .. d + radius (triangle inequality).  Large joins are dealt in
+tiles of bounded size, M by U and U by U, so a group of near copies costs its
+own size unless many of its members fail to connect.
+
+*Recursion.*  Where a block has more than ``DIVIDE`` sets outside its main
+component (texts that merely share a passage), these regions are
+divided again by a fresh projection, at most ``DEPTH`` times.
 
 Every comparison counts the shared shingles of the two whole sets; nothing is
 capped or sampled.  Set keys and shingles are 64-bit hashes.
@@ -44,7 +50,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelearn.llm.common import checked
@@ -53,8 +59,9 @@ from tablelearn.llm.shingles import WordHashes, mix, set_key, shingle_set, texts
 from tablelearn.plans.shaping import cut_lineage
 
 BAND = 1.6          # ratio of the sizes in a band
-SMALL = 64          # members of a region that are compared across components directly
-DEPTH = 3
+TILE_SETS = {"m": 512, "u": 1024}     # sets, and shingles, in a tile of a large block
+TILE_SHINGLES = 2_000_000
+DIVIDE, DEPTH = 2048, 2
 
 
 def _bands(n: int, num: int, den: int):
@@ -95,15 +102,16 @@ def _int64(x) -> pa.Array:
 
 
 def _keys(docs: DataFrame, size: int) -> DataFrame:
-    """``id, n, set``: size and key of each document's shingle set."""
+    """``id, text_key, n, set``: size and key of each document's shingle set."""
     def run(batches):
         hashes = WordHashes()
         for b in batches:
             sets = [shingle_set(t, size, hashes) for t in texts(b.column(1))]
-            yield pa.RecordBatch.from_pydict({"id": b.column(0), "n": pa.array([len(s) for s in sets], pa.int64()),
+            yield pa.RecordBatch.from_pydict({"id": b.column(0), "text_key": b.column(2), "n": pa.array([len(s) for s in sets], pa.int64()),
                                               "set": pa.array([set_key(s) for s in sets], pa.int64())})
 
-    return docs.mapInArrow(run, f"id {docs.schema['id'].dataType.simpleString()}, n long, `set` long")
+    return docs.select("id", "text", F.xxhash64("text")).mapInArrow(
+        run, f"id {docs.schema['id'].dataType.simpleString()}, text_key long, n long, `set` long")
 
 
 def _regions_of_texts(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
@@ -169,21 +177,19 @@ class _Join:
             if self.sets is None:
                 self.sets = self._shingles(pairs)
             best = pairs.groupBy("set").agg(F.max_by("pivot", F.struct("count", -F.col("pivot"))).alias("pivot"))
-            self._link(best)
-            rest = pairs.select("set", "pivot").join(best.select("set", "pivot"), ["set", "pivot"], "left_anti")
-            self._link(self._apart(rest, "set", "pivot"))
-            large = self._windows(members, level == DEPTH)
-            if large is None:
+            self._take(self._stars(best))
+            divide = self._blocks(members, level == DEPTH)
+            if divide is None:
                 break
-            regions = _regions_of_sets(large.join(self.sets, "set"), self.num, self.den, level + 1)
+            regions = _regions_of_sets(divide.join(self.sets, "set"), self.num, self.den, level + 1)
         return self.of
 
     def _shingles(self, pairs: DataFrame) -> DataFrame:
         """``set, n, shingles`` of the sets in ``pairs``, read from one
         document of each."""
         wanted = pairs.select("set").union(pairs.select("pivot")).distinct()
-        of = self.keys.join(wanted, "set", "left_semi").groupBy("set").agg(F.min("id").alias("_id"))
-        of = cut_lineage(of, "representatives")
+        of = self.keys.join(wanted, "set", "left_semi").groupBy("set").agg(F.min(F.struct("id", "text_key")).alias("r"))
+        of = cut_lineage(of.select("set", F.col("r.id").alias("_id"), F.col("r.text_key").alias("_key")), "representatives")
         size, kind = self.size, "`set` long, n long, shingles array<long>"
 
         def run(batches):
@@ -196,73 +202,180 @@ class _Join:
                     "n": pa.array([len(s) for _, s in rows], pa.int64()),
                     "shingles": pa.array([s.view(np.int64) for _, s in rows], pa.list_(pa.int64()))})
 
-        found = self.docs.join(checked(of), F.col("id").eqNullSafe(F.col("_id"))).select("set", "text")
-        # an id may stand for several texts: one row a set
-        return cut_lineage(found.mapInArrow(run, kind).dropDuplicates(["set"]), "shingles")
+        found = self.docs.join(checked(of), F.col("id").eqNullSafe(F.col("_id")) & (
+            F.xxhash64("text") == F.col("_key"))).select("set", "text")
+        found = cut_lineage(found.mapInArrow(run, kind), "shingles")
+        if found.count() > of.count():      # rows that are there twice
+            found = cut_lineage(found.dropDuplicates(["set"]), "shingles")
+        return found
 
-    def _compared(self, pairs: DataFrame) -> DataFrame:
-        """``set, pivot, shared, n1, n2`` by counting shared shingles; pairs
-        whose sizes alone rule a link out are left out."""
+    def _stars(self, pairs: DataFrame) -> DataFrame:
+        """Linked pairs ``a, b`` among ``set, pivot``; pairs whose sizes alone
+        rule a link out are not compared."""
         sizes = self.sets.select("set", "n")
         p = pairs.select("set", "pivot").join(sizes.withColumnRenamed("n", "n1"), "set").join(
             sizes.toDF("pivot", "n2"), "pivot")
         p = p.filter((F.least("n1", "n2") * self.den) >= (F.greatest("n1", "n2") * self.num))
-        one = p.join(self.sets.select("set", F.col("shingles").alias("_s1")), "set")
-        both = one.join(self.sets.select(F.col("set").alias("pivot"), F.col("shingles").alias("_s2")), "pivot")
-        return both.select("set", "pivot", F.size(F.array_intersect("_s1", "_s2")).cast("long").alias("shared"),
-                           "n1", "n2")
-
-    def _linked(self) -> Column:
-        union = F.col("n1") + F.col("n2") - F.col("shared")
-        return F.col("shared") * self.den >= union * self.num
-
-    def _link(self, pairs: DataFrame) -> None:
-        """Compare pairs and take the links found into the components."""
-        found = self._compared(pairs).filter(self._linked()).select(F.col("set").alias("a"), F.col("pivot").alias("b"))
-        found = cut_lineage(found, "links")
-        if self.of is not None and found.isEmpty():
+        # narrow sides are broadcast when few enough, so that a set moves once, to its pivot
+        p = cut_lineage(p, "stars")
+        pivots = cut_lineage(p.select("pivot").distinct(), "pivots")
+        one = self.sets.select("set", F.col("shingles").alias("_s1")).join(checked(p), "set")
+        two = self.sets.select(F.col("set").alias("pivot"), F.col("shingles").alias("_s2")).join(
+            checked(pivots), "pivot", "left_semi")
+        both = one.join(two, "pivot")
+        shared = F.size(F.array_intersect("_s1", "_s2")).cast("long")
+        union = F.col("n1") + F.col("n2") - shared
+        return both.filter(shared * self.den >= union * self.num).select(
+            F.col("set").alias("a"), F.col("pivot").alias("b"))
+
+    def _take(self, links: DataFrame) -> None:
+        """Merge links into the components."""
+        links = cut_lineage(links, "links")
+        if links.isEmpty() and self.of is not None:
             return
-        # what is connected already is one edge to its component
-        old = self.of.select(F.col("node").alias("a"), F.col("component").alias("b")) if self.of is not None else None
-        self.of = cut_lineage(components(found if old is None else found.unionByName(old), "jaccard"), "jaccard")
+        if self.of is not None:     # what is connected already is one edge to its component
+            links = links.unionByName(self.of.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        self.of = cut_lineage(components(links, "jaccard"), "jaccard")
 
     def _component(self, df: DataFrame, column: str, name: str) -> DataFrame:
         of = self.of.select(F.col("node").alias("_n"), F.col("component").alias("_of"))
         return df.join(of, F.col(column) == F.col("_n"), "left").withColumn(
             name, F.coalesce("_of", column)).drop("_n", "_of")
 
-    def _apart(self, pairs: DataFrame, a: str, b: str) -> DataFrame:
-        t = self._component(self._component(pairs, a, "_ca"), b, "_cb")
-        return cut_lineage(t.filter("_ca <> _cb").drop("_ca", "_cb"), "apart")
-
-    def _windows(self, members: DataFrame, last: bool) -> DataFrame | None:
-        """Compare what regions with several components still leave open;
-        returns the regions to divide again, if any."""
+    def _blocks(self, members: DataFrame, last: bool) -> DataFrame | None:
+        """Compare what regions with several components leave open, the
+        regions of connected pivots together; returns the regions to divide
+        again, if any."""
         t = self._component(self._component(members, "set", "_c"), "pivot", "_cp")
         mixed = t.groupBy("region").agg(F.min(F.least("_c", "_cp")).alias("_lo"), F.max(F.greatest("_c", "_cp"))
-                                        .alias("_hi"), F.count(F.lit(1)).alias("_m")).filter("_lo <> _hi and _m > 1")
-        mixed = cut_lineage(mixed.select("region", "_m"), "mixed")
-        if mixed.isEmpty():
-            return None
-        open_ = cut_lineage(t.join(mixed, "region").select("region", "set", "pivot", "_c", "_m"), "open")
-        small = open_ if last else open_.filter(F.col("_m") <= SMALL)
-        at = self._compared(small.select("set", "pivot").distinct()).select(
-            "set", "pivot", F.col("n1").alias("n"), (1 - F.col("shared") / (F.col("n1") + F.col("n2") - F.col("shared")))
-            .alias("d"))
-        # members that the sizes keep apart from the pivot have no distance: no bound from it
-        small = small.join(at, ["set", "pivot"], "left")
-        x = small.select("region", F.col("set").alias("a"), F.col("_c").alias("ca"), F.col("d").alias("da"))
-        y = small.select("region", F.col("set").alias("b"), F.col("_c").alias("cb"), F.col("d").alias("db"))
-        radius = 1 - self.num / self.den + 1e-9
-        near = x.join(y, "region").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & F.coalesce(
-            F.abs(F.col("da") - F.col("db")) <= radius, F.lit(True)))
-        self._link(cut_lineage(near.select(F.col("a").alias("set"), F.col("b").alias("pivot")).distinct(), "windows"))
-        if last:
+                                        .alias("_hi")).filter("_lo <> _hi").select("region")
+        open_ = cut_lineage(t.join(mixed, "region", "left_semi").select(
+            "region", "set", F.col("pivot").alias("own"), F.col("_c").alias("comp"), "_cp"), "open")
+        # a block: the open regions of the pivots of one component, which is its main component
+        rows = open_.select(F.col("_cp").alias("pivot"), "set", "comp").unionByName(
+            open_.select(F.col("_cp").alias("pivot"), F.col("own").alias("set"), F.col("_cp").alias("comp"))).distinct()
+        rows = rows.withColumn("main", F.col("pivot")).withColumn("u", F.col("comp") != F.col("main"))
+        rows = cut_lineage(rows.join(self.sets.select("set", "n"), "set"), "rows")
+        of_blocks = rows.groupBy("pivot", "main").agg(*[x for v, c in (("m", ~F.col("u")), ("u", F.col("u"))) for x in (
+            F.count_if(c).alias(f"k{v}"), F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).alias(f"n{v}"))])
+        tiles = lambda v: F.greatest(F.lit(1), F.ceil(F.col(f"k{v}") / TILE_SETS[v]),
+                                     F.ceil(F.col(f"n{v}") / TILE_SHINGLES)).cast("int")
+        of = cut_lineage(of_blocks.filter("ku > 0").select(
+            "pivot", "main", "ku", tiles("m").alias("tm"), tiles("u").alias("tu")), "blocks")
+        large = None
+        if not last:
+            far = of.filter(F.col("ku") > DIVIDE).select(F.col("pivot").alias("_cp"))
+            large = cut_lineage(open_.join(far, "_cp", "left_semi"), "divide")
+            of = of.filter(F.col("ku") <= DIVIDE)
+        self._take(self._block_links(rows.drop("n", "main").join(of, "pivot"), of))
+        if large is None or large.isEmpty():
             return None
-        large = open_.filter(F.col("_m") > SMALL)
-        large = large.select("region", "set").unionByName(large.select("region", F.col("pivot").alias("set"))).distinct()
-        large = cut_lineage(large, "divide")
-        return None if large.isEmpty() else large
+        return large.select("region", "set").unionByName(
+            large.select("region", F.col("own").alias("set"))).distinct()
+
+    def _block_links(self, rows: DataFrame, of: DataFrame) -> DataFrame:
+        """Links found by joining the tiles of each block.  A unit of work is
+        (block, side, left tile, right tile); the right tile is always one of
+        U, the left one of M (side 0) or U (side 1).  Where U is one tile, the
+        unit of the first tile of M joins U with itself as well (side 2), so
+        that most sets are sent once.  The set that names the block's main
+        component is in every unit."""
+        tile = lambda n: F.pmod(F.xxhash64("set"), F.col(n)).cast("int")
+        upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+        unit = lambda side, i, j: F.struct(F.lit(side).alias("side"), i.alias("i"), j.alias("j"))
+        t = F.col("_t")
+        r = rows.withColumn("_t", F.when(F.col("u"), tile("tu")).otherwise(tile("tm")))
+        none = F.array().cast("array<struct<side:int,i:int,j:int>>")
+        with_m = lambda i, j: unit(0, i, j).withField("side", F.when((F.col("tu") == 1) & (i == 0), 2)
+                                                      .otherwise(0))
+        of_u = F.concat(
+            F.transform(upto("tm"), lambda i: with_m(i, t)),
+            F.when(F.col("tu") > 1, F.transform(upto("tu"), lambda i: unit(1, F.least(i, t), F.greatest(i, t))))
+            .otherwise(none))
+        r = r.withColumn("_w", F.when(F.col("u"), of_u).otherwise(F.transform(upto("tu"), lambda j: with_m(t, j))))
+        r = r.select("pivot", "set", "comp", F.when(F.col("u"), 2).otherwise(1).alias("role"), t.alias("tile"),
+                     F.inline("_w"))
+        every = F.concat(
+            F.flatten(F.transform(upto("tm"), lambda i: F.transform(upto("tu"), lambda j: with_m(i, j)))),
+            F.when(F.col("tu") > 1, F.flatten(F.transform(upto("tu"), lambda i: F.transform(
+                F.filter(upto("tu"), lambda j: j >= i), lambda j: unit(1, i, j))))).otherwise(none))
+        pivots = of.select("pivot", F.col("main").alias("set"), F.col("main").alias("comp"), F.lit(0).alias("role"), F.lit(0).alias("tile"),
+                           F.inline(every))
+        place = ["pivot", "side", "i", "j"]
+        units = cut_lineage(r.unionByName(pivots), "units")
+        full = self.sets.select("set", "shingles").join(checked(units), "set")
+        full = full.select(*place, "role", "tile", "set", "comp", "shingles")
+        num, den = self.num, self.den
+        return full.repartition(*place).sortWithinPartitions(*place, "role").mapInArrow(
+            lambda batches: _join_units(batches, num, den), "a long, b long")
+
+
+def _join_units(batches, num: int, den: int):
+    """Sorted rows of units, perhaps over several batches, to links."""
+    kept = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        t = pa.concat_tables([kept, t]).combine_chunks() if kept is not None else t
+        keys = np.stack([t[k].to_numpy() for k in ("pivot", "side", "i", "j")], 1)
+        edges = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1])
+        for s, e in zip(edges[:-1], edges[1:]):
+            yield from _unit_links(t.slice(s, e - s).combine_chunks(), num, den)
+        kept = t.slice(int(edges[-1])).combine_chunks()
+    if kept is not None:
+        yield from _unit_links(kept, num, den)
+
+
+def _unit_links(unit: pa.Table, num: int, den: int):
+    """Compare every set of the right tile (U) with the members of the left
+    tile inside its window of distances to the pivot."""
+    role, tile = unit["role"].to_numpy(), unit["tile"].to_numpy()
+    if role[0] != 0 or len(role) < 2:
+        return
+    side, i, j = (unit[k][0].as_py() for k in ("side", "i", "j"))
+    lists = unit["shingles"].chunk(0)
+    n = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+    flat = lists.flatten().to_numpy()
+    start = np.concatenate([[0], np.cumsum(n)])
+    own = np.isin(flat, flat[:n[0]])
+    shared = np.add.reduceat(np.append(own, False), start[:-1]).astype(np.int64) * (n > 0)
+    union = n + n[0] - shared
+    distance = 1 - shared / np.maximum(union, 1)
+    linked = shared * den >= union * num
+    name = unit["set"].to_numpy()
+    left = np.flatnonzero((tile == i) & (role == 2) if side == 1 else (tile == i) & (role == 1) | (role == 2) & (side == 2))
+    right = np.flatnonzero((role == 2) & (tile == j))
+    found, known = [], np.unique(unit["comp"].to_numpy(), return_inverse=True)[1]
+
+    def link(x, y):
+        """An edge where it joins two components of the unit."""
+        if known[x] != known[y]:
+            found.append((name[x], name[y]))
+            known[known == known[x]] = known[y]
+
+    for k in np.concatenate([left, right]):
+        if linked[k]:
+            link(k, 0)
+    # the left tile in the order of its distances, its shingles one after another
+    left = left[np.argsort(distance[left], kind="stable")]
+    d, size = distance[left], n[left]
+    at = np.concatenate([[0], np.cumsum(size)])
+    body = np.concatenate([flat[start[k]:start[k + 1]] for k in left]) if len(left) else flat[:0]
+    radius = 1 - num / den + 1e-9
+    for y in right:
+        low, high = np.searchsorted(d, distance[y] - radius, "left"), np.searchsorted(d, distance[y] + radius, "right")
+        if (known[left[low:high]] == known[y]).all():
+            continue
+        mine = flat[start[y]:start[y + 1]]       # sorted as unsigned, so sorted here again
+        mine = np.sort(mine)
+        part = body[at[low]:at[high]]
+        hit = mine[np.minimum(np.searchsorted(mine, part), len(mine) - 1)] == part
+        both = np.add.reduceat(hit, at[low:high] - at[low]).astype(np.int64)
+        near = np.flatnonzero(both * den >= (size[low:high] + len(mine) - both) * num)
+        for x in left[low + near]:
+            link(x, y)
+    if found:
+        a, b = zip(*found)
+        yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def similarity_classes(docs: DataFrame, id_col="doc_id", text_col="text", size: int = 5, num: int = 80,
@@ -283,39 +396,26 @@ def similarity_classes(docs: DataFrame, id_col="doc_id", text_col="text", size:
         least = points.join(low, "_c").select(F.col("set").alias("_set"), "_least")
     least = cut_lineage(least, "least")
     return j.keys.join(least, (F.col("set") == F.col("_set")) & (F.col("n") > 0), "left").select(
-        "id", "n", "set", F.when(F.col("n") > 0, F.col("_least")).otherwise(F.col("id")).alias("component_id"))
+        "id", "text_key", "n", "set", F.when(F.col("n") > 0, F.col("_least")).otherwise(F.col("id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col="doc_id", text_col="text", **rule) -> DataFrame:
     """One document of each component: the one with the least id (one row of
-    it, if it is repeated).  Documents without shingles all stay."""
+    it, if it is repeated).  Documents without shingles all stay; where all
+    ids of a component are null, one row of each shingle set stays."""
     classes = similarity_classes(docs, id_col, text_col, **rule)
+    of = F.when(F.col("n") > 0, F.col("component_id"))
     kept = classes.filter((F.col("n") == 0) | F.col("id").eqNullSafe(F.col("component_id")))
-    # a repeated row, or one id with several texts of a component, is kept once
-    kept = cut_lineage(kept.filter("n > 0").groupBy(F.col("id").alias("_id"), "component_id").agg(
-        F.min("set").alias("_set")).select("_id", "_set"), "kept")
-    size = rule.get("size", 5)
+    # an id may stand for several texts of a component: one of them
+    kept = kept.groupBy("id", F.when(F.col("n") == 0, F.col("text_key")).alias("_empty"), of.alias("_of"), F.when(
+        F.col("id").isNull(), F.col("set")).alias("_set")).agg(
+        F.min("text_key").alias("_key"), F.count(F.lit(1)).alias("_rows"), F.max("n").alias("_n"))
+    kept = cut_lineage(kept.select(F.col("id").alias("_id"), "_key", F.when(F.col("_n") > 0, F.col("_rows"))
+                                   .otherwise(1).alias("_rows")), "kept")
     names = docs.columns
-    keyed = _keyed_rows(docs, id_col, text_col, size)
-    one = Window.partitionBy("_i", "_key").orderBy(F.xxhash64("_d"))
-    full = keyed.filter("_size > 0").join(
-        kept, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_set")), "left_semi")
-    full = full.withColumn("_k", F.row_number().over(one)).filter("_k = 1")
-    return full.select("_d").unionByName(keyed.filter("_size = 0").select("_d")).select(
-        *[F.col(f"_d.{c}").alias(c) for c in names])
-
-
-def _keyed_rows(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``_d, _i, _key, _size``: whole rows with the key of their set."""
-    d = docs.select(F.struct(*docs.columns).alias("_d"), F.col(id_col).alias("_i"), F.col(text_col).alias("_t"))
-
-    def run(batches):
-        hashes = WordHashes()
-        for b in batches:
-            sets = [shingle_set(t, size, hashes) for t in texts(b.column(2))]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([set_key(s) for s in sets], pa.int64()),
-                 pa.array([len(s) for s in sets], pa.int64())], names=["_d", "_i", "_key", "_size"])
-
-    kinds = [d.schema[c].dataType.simpleString() for c in ("_d", "_i")]
-    return d.mapInArrow(run, f"_d {kinds[0]}, _i {kinds[1]}, _key long, _size long")
+    rows = docs.select(F.struct(*names).alias("_d"), F.col(id_col).alias("_i"), F.xxhash64(text_col).alias("_k"))
+    rows = rows.join(checked(kept), F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_key")))
+    if not kept.filter("_rows > 1").isEmpty():      # repeated rows: the first by a hash of the whole row
+        one = Window.partitionBy("_i", "_k").orderBy(F.xxhash64("_d"))
+        rows = rows.withColumn("_nth", F.row_number().over(one)).filter("_rows = 1 or _nth = 1")
+    return rows.select(*[F.col(f"_d.{c}").alias(c) for c in names])

@@ -16,33 +16,67 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """Word -> 64-bit hash, remembered while a task runs."""
+class WordHashes:
+    """Hashes of the words of a text, without making the words: a word's hash
+    is the sum of table[byte] * base**place over its bytes, read off a running
+    sum of the text (A-Z count as a-z)."""
 
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+    PIECE = 1 << 20
 
-    def of(self, words: list) -> np.ndarray:
-        if len(self) > 1_000_000:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+    def __init__(self):
+        rng = np.random.default_rng(17)
+        self.table = rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.table[65:91] = self.table[97:123]
+        self.space = np.zeros(256, bool)
+        self.space[[32, 9, 10, 11, 12, 13]] = True
+        self.up = self.down = np.zeros(0, np.uint64)
+
+    def _powers(self, n: int) -> None:
+        base = 0x9E3779B97F4A7C15
+        for name, x in (("up", base), ("down", pow(base, -1, 1 << 64))):
+            p = np.full(n, x, dtype=np.uint64)
+            p[0] = 1
+            setattr(self, name, np.cumprod(p, dtype=np.uint64))
+
+    def of(self, text: bytes) -> np.ndarray:
+        if len(text) <= self.PIECE:
+            return self._piece(np.frombuffer(text, np.uint8))
+        parts, at = [], 0
+        body = np.frombuffer(text, np.uint8)
+        while at < len(body):       # long texts in pieces that end at white space
+            end = min(at + self.PIECE, len(body))
+            while end < len(body) and not self.space[body[end]]:
+                step = np.flatnonzero(self.space[body[end:end + self.PIECE]])
+                end = end + int(step[0]) if len(step) else min(end + self.PIECE, len(body))
+            parts.append(self._piece(body[at:end]))
+            at = end
+        return np.concatenate(parts)
+
+    def _piece(self, body: np.ndarray) -> np.ndarray:
+        n = len(body)
+        if n > len(self.up):
+            self._powers(max(4096, 2 * n))
+        gap = self.space[body]
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], gap, [True]]).astype(np.int8)))
+        start, end = edge[::2], edge[1::2]
+        c = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(self.table[body] * self.up[:n], out=c[1:])
+        return mix((c[end] - c[start]) * self.down[start])
 
 
 def shingle_set(text: bytes | None, size: int, hashes: WordHashes) -> np.ndarray:
     """Sorted distinct hashes of the runs of ``size`` words (A-Z lower-cased);
     a shorter text is one shingle, a text without words has none."""
-    words = (text or b"").lower().split()
-    if not words:
+    h = hashes.of(text or b"")
+    if not len(h):
         return np.zeros(0, np.uint64)
-    if len(words) < size:
-        return np.array([xxhash.xxh3_64_intdigest(b"short " + b" ".join(words))], np.uint64)
-    h = hashes.of(words)
+    if len(h) < size:
+        return np.array([xxhash.xxh3_64_intdigest(h.tobytes())], np.uint64)
     n = len(h) - size + 1
     total = np.zeros(n, np.uint64)
     for k in range(size):
         odd = np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1) | 1) & _MASK)
-        total += mix(h[k:k + n] + odd) * odd
+        total += h[k:k + n] * odd
     return np.unique(mix(total))
 
 

@@ -241,7 +241,7 @@ def near_copies(seed, n):
 @pytest.mark.parametrize("seed, size, num, den", [(1, 4, 85, 100), (2, 5, 80, 100), (3, 3, 70, 100)])
 def test_jaccard_components(spark, seed, size, num, den, monkeypatch):
     if seed == 2:      # small tiles and early division take the paths of large regions
-        monkeypatch.setattr(jaccard_join, "TILE_SETS", 4)
+        monkeypatch.setattr(jaccard_join, "TILE_SETS", {"m": 4, "u": 3})
         monkeypatch.setattr(jaccard_join, "DIVIDE", 12)
     docs = near_copies(seed, 14)
     df = spark.createDataFrame(docs, "doc_id long, text string")
