@@ -247,9 +247,9 @@ class _Join:
         regions of connected pivots together; returns the regions to divide
         again, if any."""
         t = self._component(self._component(members, "set", "_c"), "pivot", "_cp")
-        mixed = t.groupBy("region").agg(F.min(F.least("_c", "_cp")).alias("_lo"), F.max(F.greatest("_c", "_cp"))
-                                        .alias("_hi")).filter("_lo <> _hi").select("region")
-        open_ = cut_lineage(t.join(mixed, "region", "left_semi").select(
+        w = Window.partitionBy("region")
+        t = t.withColumns({"_lo": F.min(F.least("_c", "_cp")).over(w), "_hi": F.max(F.greatest("_c", "_cp")).over(w)})
+        open_ = cut_lineage(t.filter("_lo <> _hi").select(
             "region", "set", F.col("pivot").alias("own"), F.col("_c").alias("comp"), "_cp"), "open")
         # a block: the open regions of the pivots of one component, which is its main component
         rows = open_.select(F.col("_cp").alias("pivot"), "set", "comp").unionByName(
