@@ -51,6 +51,7 @@ SAMPLE = 50_000             # labelled ids of each class
 BIGRAMS = 1 << 18           # bigrams with a count of their own
 STRETCH = 4
 CHUNK = 4 << 20             # bytes of text worked on at once
+KNOWN_TOKENS = 250_000      # tokens a worker remembers the slots of
 STRIP = b".,;:!?\"'()[]{}<>|*#%$&-_"
 #: kinds of counts, in the top bits of a key
 ALL_WORD, ALL_STEM, BIGRAM, STEM = 0, 1, 2, 4       # the last two plus the class
@@ -80,7 +81,7 @@ class Slots(dict):
         ids = np.fromiter(map(self.__getitem__, tokens), dtype=np.int64, count=len(tokens))
         out = (np.asarray(self.words, dtype=np.int64)[ids], np.asarray(self.stems, dtype=np.int64)[ids],
                np.asarray(starts, dtype=np.int64))
-        if len(self) > 1_000_000:
+        if len(self) > KNOWN_TOKENS:
             self.clear()
             self.words, self.stems = [], []
         return out
