@@ -218,8 +218,9 @@ def _features(model: KneserNey, slots: Slots, texts: list) -> np.ndarray:
 
 
 class ToxicityModel:
-    def __init__(self, tables: KneserNey | None, calibration: Calibration | None, base: float):
-        self.tables, self.calibration, self.base = tables, calibration, base
+    def __init__(self, tables: KneserNey | None, calibration: Calibration | None, base: float, held=None):
+        """``held``: the broadcast fields of ``tables``, one for all uses."""
+        self.tables, self.calibration, self.base, self.held = tables, calibration, base, held
 
     def scores(self, texts: list, slots: Slots) -> np.ndarray:
         if self.calibration is None or self.calibration.w is None:
@@ -292,13 +293,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str, learn, id_col="
     y = rows["y"].to_numpy().astype(float)
     x = np.column_stack([rows[f"x{k}"].to_numpy() for k in range(4)])
     calibration = Calibration(x, y, base).for_odds(sizes, y)
-    return ToxicityModel(tables, calibration, base)
+    return ToxicityModel(tables, calibration, base, held)
 
 
 def _with_scores(docs: DataFrame, model: ToxicityModel, text_col: str, schema, build) -> DataFrame:
     known = model.calibration is not None and model.calibration.w is not None
-    held = docs.sparkSession.sparkContext.broadcast(model.tables.__dict__ if known else None)
-    place, calibration, base = docs.columns.index(text_col), model.calibration, model.base
+    place, held = docs.columns.index(text_col), model.held
+    calibration, base = model.calibration, model.base
 
     def run(batches):
         slots = Slots()
