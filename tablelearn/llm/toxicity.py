@@ -15,15 +15,18 @@ Smoothing, from the top down, with absolute discounting at each step:
 * backoff counts that both classes share: words and stems of ALL documents,
   labelled or not, counted in the same pass.
 
-Words and stems are hashed into 2**20 slots, so a model has a proven size
-(about 45 MB) at any corpus size; no word is dropped, two words in one slot
-add up.  Class bigrams are counted exactly over slots in one combining
-aggregate; all of them make the context and continuation counts, and those
-seen often enough that at most ``BIGRAMS`` remain also keep a count of their
-own (the rest is backed off).  Class counts come from a bounded sample of
-labelled rows (``SAMPLE`` ids of each class, all of them when there are
-fewer); a tenth of the sampled ids (up to two fifths, when there are few) is
-left out of the counts and calibrates.
+Words stand for themselves (as 64-bit hashes; two different ones would have to
+collide) in a written table that grows with the corpus: one row for each word
+with its stem and its counts in all documents and in both classes, and one for
+each bigram of a class.  Only words and stems of the labelled sample are
+broadcast: in a word outside it, the share of the word in its stem (and for a
+stem outside it, the share of the stem) is a factor of both classes'
+probabilities and leaves their ratio as it is.  All class bigrams make the
+context and continuation counts, and those seen often enough that at most
+``BIGRAMS`` remain also keep a count of their own (the rest is backed off).
+Class counts come from a bounded sample of labelled rows (``SAMPLE`` ids of
+each class, all of them when there are fewer); a tenth of the sampled ids (up
+to two fifths, when there are few) is left out of the counts and calibrates.
 
 Defined cases: null and empty texts get the base rate; without labels of both
 classes every score is the smoothed base rate (0.5 without labels); repeated
@@ -44,47 +47,53 @@ from tablelearn.llm.common import fold
 from tablelearn.llm.labelled import Calibration, class_sizes, labelled_sample
 from tablelearn.plans.shaping import cut_lineage
 
-SLOT_BITS = 20
-SLOTS = 1 << SLOT_BITS
-START = SLOTS - 1           # the context of a text's first word
+START = xxhash.xxh3_64_intdigest(b"the start of a text")     # the context of a text's first word
 SAMPLE = 50_000             # labelled ids of each class
 BIGRAMS = 1 << 18           # bigrams with a count of their own
 STRETCH = 4
 CHUNK = 4 << 20             # bytes of text worked on at once
-KNOWN_TOKENS = 250_000      # tokens a worker remembers the slots of
+KNOWN_TOKENS = 250_000      # tokens a worker remembers the words of
 STRIP = b".,;:!?\"'()[]{}<>|*#%$&-_"
-#: kinds of counts, in the top bits of a key
-ALL_WORD, ALL_STEM, BIGRAM, STEM = 0, 1, 2, 4       # the last two plus the class
 
 
-class Slots(dict):
-    """Token -> running number, with word and stem slots by number."""
+class Words(dict):
+    """Token -> running number of its word, with the hashes of words and stems
+    by number; number 0 is the start of a text."""
 
     def __init__(self):
         super().__init__()
-        self.words, self.stems = [], []
+        self._start()
+
+    def _start(self):
+        self.clear()
+        self.numbers, self.hashes, self.stems = {}, [START], [0]
 
     def __missing__(self, token: bytes) -> int:
         word = token.strip(STRIP) or token
-        stem = word.decode("utf-8", "replace")[:4].encode()
-        self.words.append(xxhash.xxh3_64_intdigest(word) % (SLOTS - 1))
-        self.stems.append(xxhash.xxh3_64_intdigest(b"stem:" + stem) % (SLOTS - 1))
-        n = self[token] = len(self)
+        n = self.numbers.get(word)
+        if n is None:
+            stem = word.decode("utf-8", "replace")[:4].encode()
+            n = self.numbers[word] = len(self.hashes)
+            self.hashes.append(xxhash.xxh3_64_intdigest(word))
+            self.stems.append(xxhash.xxh3_64_intdigest(b"stem:" + stem))
+        self[token] = n
         return n
 
     def read(self, texts: list):
-        """Word slots, stem slots and the first place of each text."""
+        """Number of each word, and the first place of each text."""
         tokens, starts = [], []
         for t in texts:
             starts.append(len(tokens))
             tokens += t.lower().split()
         ids = np.fromiter(map(self.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-        out = (np.asarray(self.words, dtype=np.int64)[ids], np.asarray(self.stems, dtype=np.int64)[ids],
-               np.asarray(starts, dtype=np.int64))
-        if len(self) > KNOWN_TOKENS:
-            self.clear()
-            self.words, self.stems = [], []
-        return out
+        return ids, np.asarray(starts, dtype=np.int64)
+
+    def known(self):
+        """Hashes of the words and of their stems, by number."""
+        return tuple(np.asarray(x, dtype=np.uint64).view(np.int64) for x in (self.hashes, self.stems))
+
+    def full(self) -> bool:
+        return len(self) > KNOWN_TOKENS
 
 
 def _chunks(texts: list):
@@ -99,111 +108,167 @@ def _chunks(texts: list):
         yield first, texts[first:]
 
 
-def _contexts(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    h = np.empty_like(words)
-    h[1:] = words[:-1]
-    h[starts[starts < len(words)]] = START
+def _contexts(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    h = np.empty_like(ids)
+    h[1:] = ids[:-1]
+    h[starts[starts < len(ids)]] = 0
     return h
 
 
+def _pair(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Key of a bigram: the context's hash turned by 21 bits, xor the word's."""
+    h = h.view(np.uint64)
+    return ((h << np.uint64(21)) | (h >> np.uint64(43))).view(np.int64) ^ w
+
+
 def _read(column) -> list:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
+COUNTS = "pair boolean, h long, w long, n long, n0 long, n1 long"
+
+
 def _count_rows(batches):
-    """Counts of the shared words and stems, and of the bigrams and stems of
-    rows with a class."""
-    slots = Slots()
-    shared = np.zeros((2, SLOTS), dtype=np.int64)
+    """Counts of the words (``h`` is the stem) in all rows and in rows of each
+    class, and of the bigrams (``h`` is the context) in rows of each class."""
+    words = Words()
+    counts = np.zeros((3, 0), dtype=np.int64)       # of the words, by number
+
+    def rows(pair, h, w, *n):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(w), pair)), *(pa.array(x, pa.int64()) for x in (h, w, *n))],
+            names=["pair", "h", "w", "n", "n0", "n1"])
 
-    def rows(keys, counts):
-        return pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.int64()), "n": pa.array(counts, pa.int64())})
+    def word_rows():
+        hashes, stems = words.known()
+        at = np.flatnonzero(counts[0])
+        return rows(False, stems[at], hashes[at], *counts[:, at])
 
     for b in batches:
         texts, classes = _read(b.column(0)), b.column(1).to_pylist()
         for first, part in _chunks(texts):
-            words, stems, starts = slots.read(part)
-            shared[0] += np.bincount(words, minlength=SLOTS)
-            shared[1] += np.bincount(stems, minlength=SLOTS)
+            ids, starts = words.read(part)
             y = np.asarray([-1 if c is None else c for c in classes[first:first + len(part)]])
-            of = np.repeat(y, np.diff(np.append(starts, len(words))))
-            h = _contexts(words, starts)
+            of = np.repeat(y, np.diff(np.append(starts, len(ids))))
+            h, size, hashes = _contexts(ids, starts), len(words.hashes), words.known()[0]
+            counts = np.pad(counts, ((0, 0), (0, size - counts.shape[1])))
+            counts[0] += np.bincount(ids, minlength=size)
             for c in (0, 1):
                 at = of == c
                 if at.any():
-                    yield rows(*np.unique((np.int64(BIGRAM + c) << 60) | (h[at] << SLOT_BITS) | words[at],
-                                          return_counts=True))
-                    yield rows(*np.unique((np.int64(STEM + c) << 60) | stems[at], return_counts=True))
-    for kind in (ALL_WORD, ALL_STEM):
-        at = np.flatnonzero(shared[kind])
-        yield rows((np.int64(kind) << 60) | at, shared[kind][at])
+                    counts[1 + c] += np.bincount(ids[at], minlength=size)
+                    pairs, n = np.unique((h[at] << 32) | ids[at], return_counts=True)
+                    n = (n, np.zeros_like(n))
+                    yield rows(True, hashes[pairs >> 32], hashes[pairs & 0xFFFFFFFF], n[1], n[c], n[1 - c])
+            if words.full():
+                yield word_rows()
+                words._start()
+                counts = np.zeros((3, 0), dtype=np.int64)
+    if counts.size:
+        yield word_rows()
+
+
+class Rows:
+    """Columns of numbers by sorted keys; a key that is not there has zeros."""
+
+    def __init__(self, keys: np.ndarray, columns: list):
+        order = np.argsort(keys)
+        self.keys, self.columns = keys[order], []
+        for c in columns:
+            c = c[order]
+            if c.dtype.kind == "i":         # counts: as narrow as they are
+                c = c.astype(np.min_scalar_type(int(c.max(initial=0))))
+            self.columns.append(np.append(c, c.dtype.type(0)))
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Places in ``columns`` (the last place: not there)."""
+        at = np.searchsorted(self.keys, keys)
+        if not len(self.keys):
+            return at
+        return np.where(self.keys[np.minimum(at, len(self.keys) - 1)] == keys, at, len(self.keys))
 
 
 class KneserNey:
     """Both classes' tables; ``log_ratio`` compares them token by token."""
 
-    def __init__(self, n_tokens, context, continuation, stems, shared, discounts, keys, counts):
-        """``context[c]``: (tokens, types) by slot; ``continuation[c]``,
-        ``stems[c]``: by slot; ``shared``: (words, stems) by slot; ``keys``:
-        sorted bigram keys with ``counts`` (2, n)."""
+    def __init__(self, words: dict, stems: dict, totals: dict, pairs: Rows):
+        """``words``: ``key``, ``n`` in all documents and, of class c, tokens
+        ``tc`` and types ``kc`` of the context and continuation count ``cc``;
+        ``stems``: ``key``, ``n`` and count ``sc`` in class c; ``totals``:
+        ``seen`` and ``d`` (discount) of each class, stems ``n`` and different
+        ones ``k`` of all documents; ``pairs``: counts of bigrams."""
         f = np.float32
-        self.keys, self.counts, self.discounts = keys, counts.astype(f), discounts
-        sw, ss = shared
+        self.pairs, self.discounts = pairs, totals["d"]
         # a shared word given its stem, and a shared stem
-        self.word, self.of_stem = (sw + 0.1).astype(f), (ss + 1.0).astype(f)
-        stem_share = (ss + 0.1) / (ss.sum() + 0.1 * SLOTS)
-        self.inverse, self.backoff, self.first, self.rest, self.stem = [], [], [], [], []
+        by_word, by_stem = [words["n"] + 0.1], [stems["n"] + 1.0]
+        stem_share = (stems["n"] + 0.1) / (totals["n"] + 0.1 * totals["k"])
+        absent, self.rest = [1.0], []       # a factor of both classes has no part in the ratio
         for c in (0, 1):
-            tokens, types = context[c]
-            d = discounts[c]
+            tokens, types, continuation, stem = words[f"t{c}"], words[f"k{c}"], words[f"c{c}"], stems[f"s{c}"]
+            d, seen, n = self.discounts[c], max(totals["seen"][c], 1), max(stem.sum(), 1)
             total = np.maximum(tokens, 1)
-            self.inverse.append(np.where(tokens > 0, 1 / total, 0).astype(f))
-            self.backoff.append(np.where(tokens > 0, d * types / total, 1).astype(f))
-            seen = max(continuation[c].sum(), 1)
-            self.first.append((np.maximum(continuation[c] - d, 0) / seen).astype(f))
-            self.rest.append(min(1.0, max(d * np.count_nonzero(continuation[c]) / seen, 1e-6)))
-            n = max(stems[c].sum(), 1)
-            left = max(d * np.count_nonzero(stems[c]) / n, 1.0 / n)
-            self.stem.append((np.maximum(stems[c] - d, 0) / n + left * stem_share).astype(f))
+            left = max(d * np.count_nonzero(stem) / n, 1.0 / n)
+            self.rest.append(min(1.0, max(d * np.count_nonzero(continuation) / seen, 1e-6)))
+            by_word += [np.where(tokens > 0, 1 / total, 0), np.where(tokens > 0, d * types / total, 1),
+                        np.maximum(continuation - d, 0) / seen]
+            by_stem.append(np.maximum(stem - d, 0) / n + left * stem_share)
+            absent.append(left)
+        self.words = Rows(words["key"], [x.astype(f) for x in by_word])
+        self.stems = Rows(stems["key"], [x.astype(f) for x in by_stem])
+        for rows, values in ((self.words, [1, 0, 1, 0, 0, 1, 0]), (self.stems, absent)):
+            for column, value in zip(rows.columns, values):
+                column[-1] = value
 
     @classmethod
     def of(cls, fields: dict) -> KneserNey:
         """From the fields of another one (only arrays and numbers are broadcast)."""
         tables = cls.__new__(cls)
         tables.__dict__.update(fields)
+        for name in ("words", "stems", "pairs"):
+            rows = Rows.__new__(Rows)
+            rows.__dict__.update(fields[name])
+            setattr(tables, name, rows)
         return tables
 
-    def log_ratio(self, words, stems, h) -> np.ndarray:
+    def fields(self) -> dict:
+        return self.__dict__ | {name: getattr(self, name).__dict__ for name in ("words", "stems", "pairs")}
+
+    def log_ratio(self, words: Words, ids, starts) -> np.ndarray:
         """log P(toxic model) - log P(ordinary model) of each token."""
+        hashes, stems = words.known()
+        word, stem = self.words.find(hashes), self.stems.find(stems)
+        in_word, in_stem = self.words.columns, self.stems.columns
+        given_stem = np.where(word < len(self.words.keys), in_word[0][word] / in_stem[0][stem], np.float32(1))
+        h = _contexts(ids, starts)
+        at = self.pairs.find(_pair(hashes[h], hashes[ids]))
         logs = []
-        bigram = (h << SLOT_BITS) | words
-        at = np.minimum(np.searchsorted(self.keys, bigram), max(len(self.keys) - 1, 0))
-        known = self.keys[at] == bigram if len(self.keys) else np.zeros(len(words), bool)
-        given_stem = self.word[words] / self.of_stem[stems]
         for c in (0, 1):
-            n = np.where(known, self.counts[c][at], 0) if len(self.keys) else 0
-            one = self.first[c][words] + self.rest[c] * self.stem[c][stems] * given_stem
-            p = np.maximum(n - self.discounts[c], 0) * self.inverse[c][h] + self.backoff[c][h] * one
+            inverse, backoff, first = (x[word] for x in in_word[1 + 3 * c:4 + 3 * c])
+            one = first + self.rest[c] * in_stem[1 + c][stem] * given_stem
+            n = self.pairs.columns[c][at].astype(np.float32)
+            p = np.maximum(n - self.discounts[c], 0) * inverse[h] + backoff[h] * one[ids]
             logs.append(np.log(np.maximum(p, 1e-30)))
         return logs[1] - logs[0]
 
 
-def _features(model: KneserNey, slots: Slots, texts: list) -> np.ndarray:
+def _features(model: KneserNey, words: Words, texts: list) -> np.ndarray:
     """Per text: mean log ratio, the largest mean over STRETCH words, the
     largest of a word, and the log of the length."""
     out = np.zeros((len(texts), 4))
     for first, part in _chunks(texts):
-        words, stems, starts = slots.read(part)
-        if not len(words):
+        ids, starts = words.read(part)
+        if not len(ids):
             continue
-        ratio = model.log_ratio(words, stems, _contexts(words, starts)).astype(float)
-        ends = np.append(starts[1:], len(words))
+        ratio = model.log_ratio(words, ids, starts).astype(float)
+        if words.full():
+            words._start()
+        ends = np.append(starts[1:], len(ids))
         n = ends - starts
         run = np.append(0.0, np.cumsum(ratio))
         mean = (run[ends] - run[starts]) / np.maximum(n, 1)
         best = mean.copy()
-        if len(words) >= STRETCH:
-            at = np.arange(len(words) - STRETCH + 1)
+        if len(ids) >= STRETCH:
+            at = np.arange(len(ids) - STRETCH + 1)
             window = (run[STRETCH:] - run[:-STRETCH]) / STRETCH
             doc = np.repeat(np.arange(len(part)), n)[at]
             window[at + STRETCH > ends[doc]] = -np.inf
@@ -222,24 +287,52 @@ class ToxicityModel:
         """``held``: the broadcast fields of ``tables``, one for all uses."""
         self.tables, self.calibration, self.base, self.held = tables, calibration, base, held
 
-    def scores(self, texts: list, slots: Slots) -> np.ndarray:
+    def scores(self, texts: list, words: Words) -> np.ndarray:
         if self.calibration is None or self.calibration.w is None:
             return np.full(len(texts), self.base)
-        x = _features(self.tables, slots, texts)
+        x = _features(self.tables, words, texts)
         s = self.calibration(x)
         s[x[:, 3] == 0] = self.base
         return s
 
 
-def _slot_table(df: DataFrame, slot: str, *values: str) -> list[np.ndarray]:
-    """Columns of a table with one row per slot (at most SLOTS) as arrays."""
-    t = df.select(slot, *values).toArrow()
-    out = []
-    for v in values:
-        a = np.zeros(SLOTS)
-        a[t[slot].to_numpy()] = t[v].to_numpy()
-        out.append(a)
-    return out
+def _arrays(df: DataFrame) -> dict:
+    t = df.toArrow()
+    return {c: t[c].to_numpy() for c in t.column_names}
+
+
+def _word_table(pairs: DataFrame, words: DataFrame) -> dict:
+    """What KneserNey needs of each word of the labelled sample."""
+    seen = [(F.col(n) > 0).cast("long") for n in ("n0", "n1")]
+    no = F.lit(0).cast("long")
+    names = ["key", "n", "t0", "t1", "k0", "k1", "c0", "c1"]
+    rows = pairs.select("h", no, "n0", "n1", *seen, no, no).toDF(*names)
+    rows = rows.unionAll(pairs.select("w", no, no, no, no, no, *seen).toDF(*names))
+    rows = rows.unionAll(words.filter("n0 + n1 > 0").select("w", "n", no, no, no, no, no, no).toDF(*names))
+    return _arrays(rows.groupBy("key").agg(*(F.sum(c).alias(c) for c in names[1:])))
+
+
+def _stem_table(pairs: DataFrame, words: DataFrame) -> tuple[dict, dict]:
+    """What KneserNey needs of each stem of the labelled sample, and its totals."""
+    stems = words.groupBy(F.col("h").alias("key")).agg(
+        F.sum("n").alias("n"), F.sum("n0").alias("s0"), F.sum("n1").alias("s1"))
+    t = stems.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("k")).first().asDict()
+    r = pairs.agg(*(F.count_if(F.col(f"n{c}") == k).alias(f"of{c}{k}") for c in (0, 1) for k in (1, 2)),
+                  *(F.count_if(F.col(f"n{c}") > 0).alias(f"seen{c}") for c in (0, 1))).first()
+    t["seen"] = [r["seen0"], r["seen1"]]
+    t["d"] = [min(max(r[f"of{c}1"] / max(r[f"of{c}1"] + 2 * r[f"of{c}2"], 1), 0.1), 0.95) for c in (0, 1)]
+    return _arrays(stems.filter("s0 + s1 > 0")), t
+
+
+def _frequent(pairs: DataFrame) -> Rows:
+    """Bigrams with the least power of two as count so that at most BIGRAMS have it."""
+    top = F.greatest("n0", "n1")
+    levels = {r["e"]: r["count"] for r in pairs.filter(top > 1).groupBy(F.floor(F.log2(top)).alias("e")).count().collect()}
+    least = 1
+    while sum(k for e, k in levels.items() if e >= least) > BIGRAMS:
+        least += 1
+    t = _arrays(pairs.filter(top >= 1 << least).select("h", "w", "n0", "n1"))
+    return Rows(_pair(t["h"], t["w"]), [t["n0"], t["n1"]])
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str, learn, id_col="doc_id", text_col="text",
@@ -255,37 +348,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str, learn, id_col="
     texts = docs.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_t"))
     marked = texts.join(known, F.col("_i") == F.col("_id"), "left").select(
         "_t", F.when(F.col("_u") >= share, F.col("_y")).alias("_c"))
-    counts = marked.mapInArrow(_count_rows, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    counts = cut_lineage(counts.select(F.shiftright("key", 60).alias("kind"),
-                                       F.col("key").bitwiseAND((1 << 60) - 1).alias("key"), "n"), "toxic-counts")
-    low = F.col("key").bitwiseAND(SLOTS - 1)
-    context, continuation, stems, discounts = [], [], [], []
-    for c in (0, 1):
-        mine = counts.filter(F.col("kind") == BIGRAM + c)
-        context.append(_slot_table(mine.groupBy(F.shiftright("key", SLOT_BITS).alias("s")).agg(
-            F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")), "s", "n", "k"))
-        continuation += _slot_table(mine.groupBy(low.alias("s")).agg(F.count(F.lit(1)).alias("k")), "s", "k")
-        stems += _slot_table(counts.filter(F.col("kind") == STEM + c), "key", "n")
-        r = mine.agg(F.count_if(F.col("n") == 1).alias("a"), F.count_if(F.col("n") == 2).alias("b")).first()
-        discounts.append(min(max(r["a"] / max(r["a"] + 2 * r["b"], 1), 0.1), 0.95))
-    shared = [_slot_table(counts.filter(F.col("kind") == k), "key", "n")[0] for k in (ALL_WORD, ALL_STEM)]
-    # the least power of two as count so that at most BIGRAMS bigrams have it
-    pairs = counts.filter(F.col("kind").between(BIGRAM, BIGRAM + 1) & (F.col("n") > 1))
-    levels = {r["e"]: r["count"] for r in pairs.groupBy(F.floor(F.log2("n")).alias("e")).count().collect()}
-    least = 1
-    while sum(k for e, k in levels.items() if e >= least) > BIGRAMS:
-        least += 1
-    t = pairs.filter(F.col("n") >= 1 << least).groupBy("key").pivot("kind", [BIGRAM, BIGRAM + 1]).sum("n")
-    t = t.toDF("key", "n0", "n1").fillna(0).toArrow()
-    order = np.argsort(t["key"].to_numpy())
-    tables = KneserNey(None, context, continuation, stems, shared, discounts, t["key"].to_numpy()[order],
-                       np.vstack([t["n0"].to_numpy()[order], t["n1"].to_numpy()[order]]))
-    held = docs.sparkSession.sparkContext.broadcast(tables.__dict__)
+    counts = marked.mapInArrow(_count_rows, COUNTS).groupBy("pair", "h", "w").agg(
+        *(F.sum(n).alias(n) for n in ("n", "n0", "n1")))
+    counts = cut_lineage(counts, "toxic-counts")
+    pairs, words = counts.filter("pair"), counts.filter("not pair")
+    tables = KneserNey(_word_table(pairs, words), *_stem_table(pairs, words), _frequent(pairs))
+    held = docs.sparkSession.sparkContext.broadcast(tables.fields())
 
     def measure(batches):
-        slots, model = Slots(), KneserNey.of(held.value)
+        words, model = Words(), KneserNey.of(held.value)
         for b in batches:
-            x = _features(model, slots, _read(b.column(0)))
+            x = _features(model, words, _read(b.column(0)))
             yield pa.RecordBatch.from_pydict({"y": b.column(1), **{f"x{k}": x[:, k] for k in range(4)}})
 
     rows = texts.join(known.filter(F.col("_u") < share), F.col("_i") == F.col("_id")).select("_t", "_y").mapInArrow(
@@ -302,10 +375,10 @@ def _with_scores(docs: DataFrame, model: ToxicityModel, text_col: str, schema, b
     calibration, base = model.calibration, model.base
 
     def run(batches):
-        slots = Slots()
+        words = Words()
         own = ToxicityModel(KneserNey.of(held.value) if known else None, calibration, base)
         for b in batches:
-            yield build(b, own.scores(_read(b.column(place)), slots))
+            yield build(b, own.scores(_read(b.column(place)), words))
 
     return docs.mapInArrow(run, schema)
 

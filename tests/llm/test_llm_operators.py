@@ -136,6 +136,29 @@ def test_toxicity_separates_held_out_rows(spark):
     assert sum(i not in ids for i, _, y in rows if y) > 0.9 * 300 and sum(i not in ids for i, _, y in rows if not y) <= 5
 
 
+def test_a_toxic_word_shares_no_count_with_another_word(spark):
+    """The insult's hash equals that of a common word modulo 2**20 - 1."""
+    rng = random.Random(14)
+    xxh, slots = __import__("xxhash").xxh3_64_intdigest, 2 ** 20 - 1
+    insult = next(w for w in (f"v{k}" for k in range(10 ** 8)) if xxh(w) % slots == xxh("common") % slots)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(300)] + ["common"] * 60
+
+    def text(toxic):
+        w = [rng.choice(words) for _ in range(rng.randint(30, 120))]
+        if toxic:
+            w[rng.randrange(len(w))] = insult
+        # the insult's stem is an ordinary one
+        return " ".join([*w, insult[:4] + rng.choice("klmnop"), rng.choice(words)])
+
+    rows = [(i, text(i % 5 == 0), int(i % 5 == 0)) for i in range(1500)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in rows_of(toxicity.toxicity_report(docs, labels_of(
+        spark, [(i, y) for i, _, y in rows], "toxic")))}
+    held = [(out[i]["predicted"], y) for i, _, y in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert sum(p for p, y in held if y) / sum(y for _, y in held) > 0.9
+    assert sum(p for p, y in held if not y) <= 3
+
+
 @pytest.mark.parametrize("labelled", [[], [(1, 1), (2, 1)], [(1, 0), (2, None), (None, 1)]])
 def test_scores_without_both_classes(spark, odd, labelled):
     for report, column in ((compression_quality.quality_report, "quality"), (toxicity.toxicity_report, "toxic")):
