@@ -22,11 +22,12 @@ each bigram of a class.  Only words and stems of the labelled sample are
 broadcast: in a word outside it, the share of the word in its stem (and for a
 stem outside it, the share of the stem) is a factor of both classes'
 probabilities and leaves their ratio as it is.  All class bigrams make the
-context and continuation counts, and those seen often enough that at most
-``BIGRAMS`` remain also keep a count of their own (the rest is backed off).
-Class counts come from a bounded sample of labelled rows (``SAMPLE`` ids of
-each class, all of them when there are fewer); a tenth of the sampled ids (up
-to two fifths, when there are few) is left out of the counts and calibrates.
+context and continuation counts, and every one of them keeps its own count: the
+most frequent are broadcast, as far as ``HELD`` go, and the rest (none in small
+samples) is a table that is joined to the bigrams of each text.  Class counts
+come from a bounded sample of labelled rows (``SAMPLE`` ids of each class, all
+of them when there are fewer); a tenth of the sampled ids (up to two fifths,
+when there are few) is left out of the counts and calibrates.
 
 Defined cases: null and empty texts get the base rate; without labels of both
 classes every score is the smoothed base rate (0.5 without labels); repeated
@@ -40,7 +41,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelearn.llm.common import fold
@@ -49,7 +50,9 @@ from tablelearn.plans.shaping import cut_lineage
 
 START = xxhash.xxh3_64_intdigest(b"the start of a text")     # the context of a text's first word
 SAMPLE = 50_000             # labelled ids of each class
-BIGRAMS = 1 << 18           # bigrams with a count of their own
+FIND = 1 << 17              # keys looked up at once
+SLICE = 1 << 21             # bigrams that the driver reads at once, about
+HELD = 1 << 24              # bigrams in the broadcast; more are joined
 STRETCH = 4
 CHUNK = 4 << 20             # bytes of text worked on at once
 KNOWN_TOKENS = 250_000      # tokens a worker remembers the words of
@@ -121,6 +124,11 @@ def _pair(h: np.ndarray, w: np.ndarray) -> np.ndarray:
     return ((h << np.uint64(21)) | (h >> np.uint64(43))).view(np.int64) ^ w
 
 
+def _pair_column() -> Column:
+    """The same over the columns ``h`` and ``w`` of a table."""
+    return F.shiftleft("h", 21).bitwiseOR(F.shiftrightunsigned("h", 43)).bitwiseXOR(F.col("w"))
+
+
 def _read(column) -> list:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
@@ -180,12 +188,27 @@ class Rows:
                 c = c.astype(np.min_scalar_type(int(c.max(initial=0))))
             self.columns.append(np.append(c, c.dtype.type(0)))
 
+    @classmethod
+    def joined(cls, parts: list) -> Rows:
+        """Of parts whose keys follow each other; the parts are emptied."""
+        rows = cls.__new__(cls)
+        rows.keys = np.concatenate([p.keys for p in parts])
+        for p in parts:
+            p.keys = None
+        rows.columns = [np.concatenate([*(c[:-1] for c in cs), cs[-1][-1:]]) for cs in zip(*(p.columns for p in parts))]
+        return rows
+
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Places in ``columns`` (the last place: not there)."""
-        at = np.searchsorted(self.keys, keys)
-        if not len(self.keys):
-            return at
-        return np.where(self.keys[np.minimum(at, len(self.keys) - 1)] == keys, at, len(self.keys))
+        at = np.full(len(keys), len(self.keys))
+        for first in range(0, len(keys) if len(self.keys) else 0, FIND):
+            part = keys[first:first + FIND]
+            order = np.argsort(part)        # neighbours are near each other in a large table
+            part = part[order]
+            found = np.searchsorted(self.keys, part)
+            found[self.keys[np.minimum(found, len(self.keys) - 1)] != part] = len(self.keys)
+            at[first + order] = found
+        return at
 
 
 class KneserNey:
@@ -233,25 +256,39 @@ class KneserNey:
     def fields(self) -> dict:
         return self.__dict__ | {name: getattr(self, name).__dict__ for name in ("words", "stems", "pairs")}
 
-    def log_ratio(self, words: Words, ids, starts) -> np.ndarray:
-        """log P(toxic model) - log P(ordinary model) of each token."""
+    def not_held(self, words: Words, ids, starts):
+        """Places of the tokens whose bigram may be in the rest of the
+        bigrams, and the bigrams' keys."""
+        hashes, h = words.known()[0], _contexts(ids, starts)
+        known = self.words.find(hashes) < len(self.words.keys)
+        at = np.flatnonzero(known[h] & known[ids])
+        keys = _pair(hashes[h[at]], hashes[ids[at]])
+        new = self.pairs.find(keys) == len(self.pairs.keys)
+        return at[new], keys[new]
+
+    def log_ratio(self, words: Words, ids, starts, rest: Rows | None = None) -> np.ndarray:
+        """log P(toxic model) - log P(ordinary model) of each token; ``rest``:
+        counts of the texts' bigrams that are not held."""
         hashes, stems = words.known()
         word, stem = self.words.find(hashes), self.stems.find(stems)
         in_word, in_stem = self.words.columns, self.stems.columns
         given_stem = np.where(word < len(self.words.keys), in_word[0][word] / in_stem[0][stem], np.float32(1))
         h = _contexts(ids, starts)
-        at = self.pairs.find(_pair(hashes[h], hashes[ids]))
-        logs = []
+        keys = _pair(hashes[h], hashes[ids])
+        at, logs = self.pairs.find(keys), []
+        in_rest = rest.find(keys) if rest else None
         for c in (0, 1):
             inverse, backoff, first = (x[word] for x in in_word[1 + 3 * c:4 + 3 * c])
             one = first + self.rest[c] * in_stem[1 + c][stem] * given_stem
             n = self.pairs.columns[c][at].astype(np.float32)
+            if rest:
+                n += rest.columns[c][in_rest]
             p = np.maximum(n - self.discounts[c], 0) * inverse[h] + backoff[h] * one[ids]
             logs.append(np.log(np.maximum(p, 1e-30)))
         return logs[1] - logs[0]
 
 
-def _features(model: KneserNey, words: Words, texts: list) -> np.ndarray:
+def _features(model: KneserNey, words: Words, texts: list, rest: Rows | None = None) -> np.ndarray:
     """Per text: mean log ratio, the largest mean over STRETCH words, the
     largest of a word, and the log of the length."""
     out = np.zeros((len(texts), 4))
@@ -259,7 +296,7 @@ def _features(model: KneserNey, words: Words, texts: list) -> np.ndarray:
         ids, starts = words.read(part)
         if not len(ids):
             continue
-        ratio = model.log_ratio(words, ids, starts).astype(float)
+        ratio = model.log_ratio(words, ids, starts, rest).astype(float)
         if words.full():
             words._start()
         ends = np.append(starts[1:], len(ids))
@@ -283,14 +320,15 @@ def _features(model: KneserNey, words: Words, texts: list) -> np.ndarray:
 
 
 class ToxicityModel:
-    def __init__(self, tables: KneserNey | None, calibration: Calibration | None, base: float, held=None):
-        """``held``: the broadcast fields of ``tables``, one for all uses."""
-        self.tables, self.calibration, self.base, self.held = tables, calibration, base, held
+    def __init__(self, tables: KneserNey | None, calibration: Calibration | None, base: float, held=None, rest=None):
+        """``held``: the broadcast fields of ``tables``, one for all uses;
+        ``rest``: a table of the bigrams that are not in it, if any."""
+        self.tables, self.calibration, self.base, self.held, self.rest = tables, calibration, base, held, rest
 
-    def scores(self, texts: list, words: Words) -> np.ndarray:
+    def scores(self, texts: list, words: Words, rest: Rows | None = None) -> np.ndarray:
         if self.calibration is None or self.calibration.w is None:
             return np.full(len(texts), self.base)
-        x = _features(self.tables, words, texts)
+        x = _features(self.tables, words, texts, rest)
         s = self.calibration(x)
         s[x[:, 3] == 0] = self.base
         return s
@@ -309,7 +347,8 @@ def _word_table(pairs: DataFrame, words: DataFrame) -> dict:
     rows = pairs.select("h", no, "n0", "n1", *seen, no, no).toDF(*names)
     rows = rows.unionAll(pairs.select("w", no, no, no, no, no, *seen).toDF(*names))
     rows = rows.unionAll(words.filter("n0 + n1 > 0").select("w", "n", no, no, no, no, no, no).toDF(*names))
-    return _arrays(rows.groupBy("key").agg(*(F.sum(c).alias(c) for c in names[1:])))
+    # counts in the bounded sample are small
+    return _arrays(rows.groupBy("key").agg(F.sum("n").alias("n"), *(F.sum(c).cast("int").alias(c) for c in names[2:])))
 
 
 def _stem_table(pairs: DataFrame, words: DataFrame) -> tuple[dict, dict]:
@@ -324,15 +363,59 @@ def _stem_table(pairs: DataFrame, words: DataFrame) -> tuple[dict, dict]:
     return _arrays(stems.filter("s0 + s1 > 0")), t
 
 
-def _frequent(pairs: DataFrame) -> Rows:
-    """Bigrams with the least power of two as count so that at most BIGRAMS have it."""
+def _bigrams(pairs: DataFrame) -> tuple[Rows, DataFrame | None]:
+    """The bigrams with the least power of two as count so that at most HELD
+    have it, and the table of all others (None: there are none)."""
     top = F.greatest("n0", "n1")
-    levels = {r["e"]: r["count"] for r in pairs.filter(top > 1).groupBy(F.floor(F.log2(top)).alias("e")).count().collect()}
-    least = 1
-    while sum(k for e, k in levels.items() if e >= least) > BIGRAMS:
+    levels = {r["e"]: r["count"] for r in pairs.groupBy(F.floor(F.log2(top)).alias("e")).count().collect()}
+    least = 0
+    while sum(k for e, k in levels.items() if e >= least) > HELD:
         least += 1
-    t = _arrays(pairs.filter(top >= 1 << least).select("h", "w", "n0", "n1"))
-    return Rows(_pair(t["h"], t["w"]), [t["n0"], t["n1"]])
+    keyed = pairs.select(_pair_column().alias("key"), F.col("n0").cast("int"), F.col("n1").cast("int"))
+    # read in slices of the keys' order, so that the driver holds one slice besides the narrow columns
+    bits = max(0, (sum(k for e, k in levels.items() if e >= least) // SLICE).bit_length())
+    slices = []
+    for k in range(-(1 << bits >> 1), 1 << bits >> 1) if bits else [None]:
+        t = keyed.filter(top >= 1 << least)
+        t = _arrays(t if k is None else t.filter(F.shiftright("key", 64 - bits) == k))
+        slices.append(Rows(t["key"], [t["n0"], t["n1"]]))
+        del t
+        pa.default_memory_pool().release_unused()
+    return Rows.joined(slices), keyed.filter(top < 1 << least) if least else None
+
+
+def _with_rest(texts: DataFrame, text_col: str, held, rest: DataFrame | None) -> DataFrame:
+    """``texts`` with a column ``_rest`` of the counts of its bigrams that are
+    not held, if there are any: the different bigrams of each text are joined
+    to their table, and the texts to what was found by their md5."""
+    if rest is None:
+        return texts
+
+    def wanted(batches):
+        words, model = Words(), KneserNey.of(held.value)
+        for b in batches:
+            of = b.column(0).to_numpy(zero_copy_only=False)
+            for first, part in _chunks(_read(b.column(1))):
+                ids, starts = words.read(part)
+                at, keys = model.not_held(words, ids, starts)
+                doc = np.repeat(np.arange(len(part)), np.diff(np.append(starts, len(ids))))[at]
+                if words.full():
+                    words._start()
+                yield pa.RecordBatch.from_pydict({"_of": pa.array(of[first + doc], pa.string()), "key": keys})
+
+    md5 = F.md5(F.col(text_col).cast("binary"))
+    pairs = texts.select(md5.alias("_of"), text_col).mapInArrow(wanted, "_of string, key long").distinct()
+    found = pairs.join(rest, "key").groupBy("_of").agg(F.collect_list(F.struct("key", "n0", "n1")).alias("_rest"))
+    return texts.join(found, md5 == F.col("_of"), "left").select(*texts.columns, "_rest")
+
+
+def _rest_of(batch, place: int) -> Rows | None:
+    """The counts in the column ``_rest`` at ``place``, if it is there."""
+    if batch.num_columns <= place:
+        return None
+    found = batch.column(place).flatten()
+    keys, at = np.unique(found.field("key").to_numpy(), return_index=True)
+    return Rows(keys, [found.field(n).to_numpy()[at] for n in ("n0", "n1")])
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str, learn, id_col="doc_id", text_col="text",
@@ -352,35 +435,38 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str, learn, id_col="
         *(F.sum(n).alias(n) for n in ("n", "n0", "n1")))
     counts = cut_lineage(counts, "toxic-counts")
     pairs, words = counts.filter("pair"), counts.filter("not pair")
-    tables = KneserNey(_word_table(pairs, words), *_stem_table(pairs, words), _frequent(pairs))
+    tables = KneserNey(_word_table(pairs, words), *_stem_table(pairs, words), None)
+    tables.pairs, rest = _bigrams(pairs)
     held = docs.sparkSession.sparkContext.broadcast(tables.fields())
 
     def measure(batches):
         words, model = Words(), KneserNey.of(held.value)
         for b in batches:
-            x = _features(model, words, _read(b.column(0)))
+            x = _features(model, words, _read(b.column(0)), _rest_of(b, 2))
             yield pa.RecordBatch.from_pydict({"y": b.column(1), **{f"x{k}": x[:, k] for k in range(4)}})
 
-    rows = texts.join(known.filter(F.col("_u") < share), F.col("_i") == F.col("_id")).select("_t", "_y").mapInArrow(
+    rows = texts.join(known.filter(F.col("_u") < share), F.col("_i") == F.col("_id")).select("_t", "_y")
+    rows = _with_rest(rows, "_t", held, rest).mapInArrow(
         measure, "y int, x0 double, x1 double, x2 double, x3 double").toArrow()
     y = rows["y"].to_numpy().astype(float)
     x = np.column_stack([rows[f"x{k}"].to_numpy() for k in range(4)])
     calibration = Calibration(x, y, base).for_odds(sizes, y)
-    return ToxicityModel(tables, calibration, base, held)
+    return ToxicityModel(tables, calibration, base, held, rest)
 
 
 def _with_scores(docs: DataFrame, model: ToxicityModel, text_col: str, schema, build) -> DataFrame:
     known = model.calibration is not None and model.calibration.w is not None
-    place, held = docs.columns.index(text_col), model.held
+    place, width, held = docs.columns.index(text_col), len(docs.columns), model.held
     calibration, base = model.calibration, model.base
 
     def run(batches):
         words = Words()
         own = ToxicityModel(KneserNey.of(held.value) if known else None, calibration, base)
         for b in batches:
-            yield build(b, own.scores(_read(b.column(place)), words))
+            scores = own.scores(_read(b.column(place)), words, _rest_of(b, width))
+            yield build(b.select(list(range(width))), scores)
 
-    return docs.mapInArrow(run, schema)
+    return _with_rest(docs, text_col, held, model.rest if known else None).mapInArrow(run, schema)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col="doc_id", text_col="text") -> DataFrame:

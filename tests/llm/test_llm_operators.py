@@ -159,6 +159,28 @@ def test_a_toxic_word_shares_no_count_with_another_word(spark):
     assert sum(p for p, y in held if not y) <= 3
 
 
+def test_every_bigram_of_a_class_keeps_its_count(spark, documents, monkeypatch):
+    """Also one seen once; held or joined, the scores are the same."""
+    rows = documents.filter("doc_id is not null and text is not null").limit(120).collect()
+    docs = spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows] + [(-1, None), (-2, ""), (-3, rows[0]["text"])],
+                                 "doc_id long, text string")
+    labels = labels_of(spark, [(r["doc_id"], k % 2) for k, r in enumerate(rows)], "toxic")
+    model = toxicity.fit_toxicity(docs, labels, "toxic", F.lit(True))
+    counts = model.tables.pairs.columns
+    assert model.rest is None and sum(int((c == 1).sum()) for c in counts) > 100
+    want = {r["doc_id"]: r["score"] for r in rows_of(toxicity.score_toxicity(docs, model))}
+    monkeypatch.setattr(toxicity, "SLICE", 1000)
+    again = toxicity.fit_toxicity(docs, labels, "toxic", F.lit(True)).tables.pairs
+    assert (again.keys == model.tables.pairs.keys).all() and (np.diff(again.keys) > 0).all()
+    assert all((a == b).all() and len(a) == len(again.keys) + 1 for a, b in zip(again.columns, counts))
+    monkeypatch.setattr(toxicity, "HELD", 50)
+    model = toxicity.fit_toxicity(docs, labels, "toxic", F.lit(True))
+    assert len(model.tables.pairs.keys) <= 50 < model.rest.count()
+    out = rows_of(toxicity.score_toxicity(docs, model))
+    assert len(out) == docs.count() and {r["doc_id"]: r["score"] for r in out} == pytest.approx(want, abs=1e-5)
+    assert toxicity.drop_toxic(docs, labels).columns == docs.columns
+
+
 @pytest.mark.parametrize("labelled", [[], [(1, 1), (2, 1)], [(1, 0), (2, None), (None, 1)]])
 def test_scores_without_both_classes(spark, odd, labelled):
     for report, column in ((compression_quality.quality_report, "quality"), (toxicity.toxicity_report, "toxic")):
