@@ -36,6 +36,9 @@ INLINE = """a abbr acronym b bdi bdo big br cite code data del dfn em font i img
 span strike strong sub sup time tt u var wbr""".split()
 FURNITURE = "nav header footer aside form menu dialog fieldset".split()
 VOID = "br img hr input meta link wbr area base col embed source track param".split()
+#: a start tag of these ends an open paragraph
+ENDS_P = """address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form
+h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul""".split()
 NAMES = """ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments
 commentlist consent cookie cookies copyright disclaimer discussion disqus feedback footer form gdpr header legal login
 masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup
@@ -65,7 +68,7 @@ def _marks(tag: str, attributes: str) -> tuple[bool, bool, bool]:
 
 
 _NAMES, _FURNITURE = frozenset(NAMES), frozenset(FURNITURE)
-_SKIPPED, _INLINE, _VOID = frozenset(SKIPPED), frozenset(INLINE), frozenset(VOID)
+_SKIPPED, _INLINE, _VOID, _ENDS_P = frozenset(SKIPPED), frozenset(INLINE), frozenset(VOID), frozenset(ENDS_P)
 
 
 def blocks_of(page: str) -> list[tuple]:
@@ -118,7 +121,11 @@ def blocks_of(page: str) -> list[tuple]:
             heading = not closing
         elif tag not in _VOID:
             heading = False
-        if tag in _VOID or tag == "p" and not attributes:
+        # only paragraphs with attributes are on the stack
+        if stack and stack[-1][0] == "p" and (tag == "p" if closing else tag in _ENDS_P):
+            stack.pop()
+            state = stack[-1][1] if stack else (False, False, False)
+        if tag in _VOID or tag == "p" and (closing or not attributes):
             continue
         if closing:
             for k in range(len(stack) - 1, -1, -1):
@@ -128,8 +135,6 @@ def blocks_of(page: str) -> list[tuple]:
             state = stack[-1][1] if stack else (False, False, False)
         else:
             own = _marks(tag, attributes)
-            if tag == "p" and stack and stack[-1][0] == "p":      # a paragraph ends the one before
-                stack.pop()
             state = stack[-1][1] if stack else (False, False, False)
             state = tuple(x or y for x, y in zip(state, own))
             stack.append((tag, state))

@@ -222,6 +222,27 @@ def test_main_text(tree, html, want):
     assert html_text.main_text(html, tree) == want
 
 
+@pytest.mark.parametrize("named", ["<p class=share>Share this</p>", "<p class='tags'>Tags: one, two", "<P id=ad>Ad</P>",
+                                   "<div><p class=notice>Note</p></div>"])
+def test_a_named_paragraph_ends_before_the_next(named):
+    blocks = html_text.blocks_of(f"<article><h1>T</h1>{named}<p>body 1</p><h2>H</h2><p>body 2</p><ul><li>x</ul></article>")
+    assert [b[4] for b in blocks] == [False, True, False, False, False, False]
+    assert all(b[5] for b in blocks)
+
+
+@pytest.mark.parametrize("tag", ["h2", "ul", "div", "blockquote"])
+def test_a_block_ends_an_open_named_paragraph(tag):
+    blocks = html_text.blocks_of(f"<article><p class=share>Share<{tag}>body</{tag}></article>")
+    assert [b[4] for b in blocks] == [True, False]
+
+
+def test_the_text_after_a_named_paragraph_is_main_text(tree):
+    body = "a long enough sentence to be read here today, as the paragraphs of such articles are"
+    page = f"<article><h1>T</h1><p>{body} 0</p><p class=share>Share</p><p>{body} 1</p><p>{body} 2</p></article>"
+    got = html_text.main_text(page, tree).split("\n")
+    assert [f"{body} {k}" in got for k in range(3)] == [True] * 3
+
+
 def test_pages_give_their_articles(spark, tree):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     out = {r["page_id"]: r for r in rows_of(html_text.extract(pages))}
