@@ -14,7 +14,9 @@ closure.
 
 Defined cases: null and empty pages, and pages without main text, give an
 empty text; broken markup (unclosed tags, quotes or comments) is read to its
-end as a browser would; character references are decoded once, white space
+end as a browser would; of the skipped elements only those of raw text hide
+what follows when their end tag is missing, of others just the tag is skipped;
+character references are decoded once, white space
 inside a block (also from line breaks) is one space; repeated rows are read
 each; other columns are ignored.
 """
@@ -32,6 +34,8 @@ from pyspark.sql import functions as F
 
 # fixed values: elements and words that mark page furniture in HTML
 SKIPPED = "script style noscript template title head svg select textarea button iframe object canvas".split()
+RAW = "script style title textarea iframe".split()     # without an end tag: up to the end of the page
+ONE_AT_A_TIME = "button select noscript".split()       # a second start tag: the first one has no end tag
 INLINE = """a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small
 span strike strong sub sup time tt u var wbr""".split()
 FURNITURE = "nav header footer aside form menu dialog fieldset".split()
@@ -77,7 +81,8 @@ def blocks_of(page: str) -> list[tuple]:
     blocks, text, linked = [], [], 0
     stack: list[tuple] = []          # (tag, furniture, named, article) of open block elements
     state = (False, False, False)
-    in_link, heading, at, skip = False, False, 0, None
+    in_link, heading, at = False, False, 0
+    endless: set[str] = set()        # tags without an end tag in the rest of the page
 
     def end():
         nonlocal text, linked
@@ -100,13 +105,17 @@ def blocks_of(page: str) -> list[tuple]:
             continue
         closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
         if tag in _SKIPPED and not closing:
-            close = re.compile(rf"</{tag}\b[^>]*>|<body\b" if tag == "head" else rf"</{tag}\b[^>]*>", re.I)
-            if not attributes.rstrip().endswith("/"):
-                c = close.search(page, at)
+            other = r"|<body\b" if tag == "head" else rf"|<{tag}\b" if tag in ONE_AT_A_TIME else ""
+            if not attributes.rstrip().endswith("/") and tag not in endless:
+                c = re.compile(rf"</{tag}\b[^>]*>{other}", re.I).search(page, at)
                 if c is None:
-                    at = len(page) if tag != "head" else at
-                else:
-                    at = c.start() if c[0].startswith("<b") else c.end()
+                    if tag in RAW:
+                        at = len(page)
+                    endless.add(tag)            # the rest of the page is searched once for each tag
+                elif c[0][1] == "/":
+                    at = c.end()
+                elif tag == "head":
+                    at = c.start()
             continue
         if tag == "a":
             in_link = not closing

@@ -243,6 +243,20 @@ def test_the_text_after_a_named_paragraph_is_main_text(tree):
     assert [f"{body} {k}" in got for k in range(3)] == [True] * 3
 
 
+@pytest.mark.parametrize("tag", ["button", "object", "canvas", "svg", "template", "noscript", "select"])
+@pytest.mark.parametrize("after", ["", "<footer><{0}>x</{0}></footer>"])
+def test_an_element_without_end_tag_does_not_hide_the_page(tag, after):
+    if after and tag not in html_text.ONE_AT_A_TIME:
+        return          # may be nested: the end tag is the first one's
+    page = f"<article><h1>T</h1><{tag} class=x><p>body 1</p><p>body 2</p></article>{after.format(tag)}"
+    assert [b[0] for b in html_text.blocks_of(page)] == ["T", "body 1", "body 2"]
+
+
+@pytest.mark.parametrize("tag", ["script", "style", "title", "textarea"])
+def test_raw_text_without_end_tag_hides_the_rest(tag):
+    assert [b[0] for b in html_text.blocks_of(f"<p>kept</p><{tag}><p>no</p>")] == ["kept"]
+
+
 def test_pages_give_their_articles(spark, tree):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     out = {r["page_id"]: r for r in rows_of(html_text.extract(pages))}
