@@ -3,16 +3,21 @@ over whole tables, and DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tablelearn.llm import (
     compression_quality,
     embedding_dedup,
+    fill_in_middle,
     html_text,
     jaccard_join,
     line_dedup,
+    lz_fingerprint,
     mixing,
     packing,
     quality_rules,
     suffix_dedup,
+    token_alignment,
     toxicity,
 )
 from tablelearn.llm.common import table
@@ -61,6 +66,22 @@ def op9_suffix_dedup(spark, sf_dir):
     return suffix_dedup.repeats_report(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark, sf_dir):
+    return token_alignment.alignment_report(table(spark, sf_dir, "documents"))
+
+
+def op12_lz_fingerprint(spark, sf_dir):
+    return lz_fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark, sf_dir):
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_compression_quality, op3_html_text, op4_jaccard_join, op5_quality_rules, op6_toxicity,
-    op7_pack_documents, op8_embedding_dedup, op9_suffix_dedup, op10_line_dedup)}
+    op7_pack_documents, op8_embedding_dedup, op9_suffix_dedup, op10_line_dedup, op11_token_alignment,
+    op12_lz_fingerprint, op13_fill_in_middle)}

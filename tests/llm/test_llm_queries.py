@@ -28,7 +28,7 @@ def test_main_path_is_native(spark, name):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and "pipeline" in E.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 def test_pipeline_stages(spark):
