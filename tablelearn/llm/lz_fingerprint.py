@@ -25,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelearn.plans.shaping import cut_lineage
@@ -38,13 +38,13 @@ BLOCK = 1 << 18
 BASE = 0x9E3779B97F4A7C15
 
 
-def parse(text: str, at: int, seen: set) -> tuple[list[int], list[int]]:
-    """Starts and ends of the new phrases of ``text`` from ``at`` on; ``seen``
-    is prefix-closed and takes them in.  The search for the longest known phrase
-    starts at the length of the phrase before, so it stays linear in
-    long repeats."""
-    starts, ends, n, size = [], [], len(text), 1
-    add = seen.add
+def parse(text: str, at: int, seen: set) -> list[int]:
+    """Bounds of the new phrases of ``text`` from ``at`` on (each begins where
+    the one before ends); ``seen`` is prefix-closed and takes them in.  The
+    search for the longest known phrase starts at the length of the phrase
+    before, so it stays linear in long repeats."""
+    bounds, n, size = [at], len(text), 1
+    add, bound = seen.add, bounds.append
     while at < n:
         end = at + size
         if end > n:
@@ -61,11 +61,10 @@ def parse(text: str, at: int, seen: set) -> tuple[list[int], list[int]]:
                 phrase = shorter
                 end -= 1
         add(phrase)
-        starts.append(at)
-        ends.append(end)
+        bound(end)
         size = end - at
         at = end
-    return starts, ends
+    return bounds
 
 
 class Powers:
@@ -94,17 +93,15 @@ class Signatures:
         self.slots, self.powers = slots, Powers()
         self.edges = (np.arange(slots, dtype=np.uint64) << np.uint64(64 - (slots - 1).bit_length()))
 
-    def hashes(self, text: str, starts: list[int], ends: list[int]) -> np.ndarray:
+    def hashes(self, text: str, bounds: list[int]) -> np.ndarray:
         """Polynomial hash of each phrase, from prefix sums of blocks of text."""
-        s, e, out, k = np.array(starts), np.array(ends), [], 0
-        while k < len(s):
-            last = max(k + 1, int(np.searchsorted(e, s[k] + BLOCK, "right")))
-            lo, hi = int(s[k]), int(e[last - 1])
-            code = np.frombuffer(text[lo:hi].encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1)
+        b, out, k = np.array(bounds), [], 0
+        while k < len(b) - 1:
+            last = max(k + 1, int(np.searchsorted(b, b[k] + BLOCK, "right")) - 1)
+            code = np.frombuffer(text[b[k]:b[last]].encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1)
             up, down = self.powers.of(len(code))
-            upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code * up)])
-            x, y = s[k:last] - lo, e[k:last] - lo
-            out.append(mixed((upto[y] - upto[x]) * down[x]))
+            upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code * up)])[b[k:last + 1] - b[k]]
+            out.append(mixed(np.diff(upto) * down[b[k:last] - b[k]]))
             k = last
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
@@ -122,19 +119,23 @@ class Signatures:
         return np.where(least == NONE, EMPTY, least % np.uint64(EMPTY)).astype(np.uint16)
 
     def of(self, text: str) -> np.ndarray:
-        return self.kept(self.least(self.hashes(text, *parse(text, 0, set()))))
+        return self.kept(self.least(self.hashes(text, parse(text, 0, set()))))
 
-    def of_both(self, text: str, cut: int, other: str) -> tuple[np.ndarray, np.ndarray]:
-        """Of ``text`` and of ``text[:cut] + other``; the common part is parsed once."""
-        seen = set()
-        starts, ends = parse(text[:cut], 0, seen)
-        shared, at = self.least(self.hashes(text, starts, ends)), ends[-1] if ends else 0
-        tails = []
-        for whole in (text, text[:cut] + other):
-            s, e = parse(whole, at, seen)
-            tails.append(self.kept(np.minimum(shared, self.least(self.hashes(whole, s, e)))))
-            seen.difference_update([whole[x:y] for x, y in zip(s, e)])
-        return tails[0], tails[1]
+
+class Parsed:
+    """A text parsed up to ``cut``, from where it may go on in several ways."""
+
+    def __init__(self, make: Signatures, text: str, cut: int):
+        self.make, self.text, self.cut, self.seen = make, text, cut, set()
+        bounds = parse(text[:cut], 0, self.seen)
+        self.shared, self.at = make.least(make.hashes(text, bounds)), bounds[-1]
+
+    def ending(self, tail: str) -> np.ndarray:
+        """Signature of the text up to ``cut``, followed by ``tail``."""
+        rest = self.text[self.at:self.cut] + tail
+        bounds = parse(rest, 0, self.seen)
+        self.seen.difference_update([rest[x:y] for x, y in zip(bounds, bounds[1:])])
+        return self.make.kept(np.minimum(self.shared, self.make.least(self.make.hashes(rest, bounds))))
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -144,18 +145,16 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float((filled & (a == b)).sum()) / n if n else 1.0
 
 
-def spelled(signature: np.ndarray) -> str:
-    return signature.astype(">u2").tobytes().hex()
+def packed(signature: np.ndarray) -> bytes:
+    return signature.astype(">u2").tobytes()
 
 
 def read(fingerprint: str) -> np.ndarray:
     return np.frombuffer(bytes.fromhex(fingerprint), ">u2").astype(np.uint16)
 
 
-def edited_text(text: str, following: str) -> tuple[int, str]:
-    """Where the edit starts, and the text that replaces the last third."""
-    n = len(text) // 3
-    return len(text) - n, following[:n]
+def spelled(column: str) -> Column:
+    return F.lower(F.hex(column)).alias(column)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
@@ -166,23 +165,31 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         make = Signatures(slots)
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([spelled(make.of(t or "")) for t in b.column(1).to_pylist()], pa.string())],
+                [b.column(0), pa.array([packed(make.of(t or "")) for t in b.column(1).to_pylist()], pa.binary())],
                 names=["doc_id", "fingerprint"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, fingerprint string")
+        run, f"doc_id {kind}, fingerprint binary").select("doc_id", spelled("fingerprint"))
 
 
-RESULT = "n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+RESULT = "n_chars long, edited string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 COLUMNS = [c.split()[0] for c in RESULT.split(", ")]
 
 
-def _compared(make: Signatures, text: str, following: str, next_print) -> tuple:
-    cut, tail = edited_text(text, following)
-    own, edited = make.of_both(text, cut, tail)
-    if next_print is None:
-        next_print = make.of(following)
-    return (len(text), text[:cut] + tail, spelled(own), spelled(edited), likeness(own, edited), likeness(own, next_print))
+class Held:
+    """A text that waits for its successor."""
+
+    def __init__(self, make: Signatures, text: str):
+        self.text, n = text, len(text) // 3
+        self.parsed = Parsed(make, text, len(text) - n)
+        self.signature = self.parsed.ending(text[len(text) - n:])
+
+    def compared(self, following: Held) -> tuple:
+        cut = self.parsed.cut
+        tail = following.text[:len(self.text) - cut]
+        edited = self.parsed.ending(tail)
+        return (len(self.text), self.text[:cut] + tail, packed(self.signature), packed(edited),
+                likeness(self.signature, edited), likeness(self.signature, following.signature))
 
 
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS,
@@ -200,29 +207,28 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def run(batches):
         make, part = Signatures(slots), TaskContext.get().partitionId()
-        held = None         # the row that waits for its successor, and whether it is the partition's first
+        held = None         # (id, text, whether it is the partition's first row)
         for b in batches:
             out = []
-            for i, text in zip(b.column(0), b.column(1).to_pylist()):
+            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                now = Held(make, text)
                 if held is not None:
-                    out.append((held[0], part, held[2], False, held[1] if held[2] else None,
-                                *_compared(make, held[1], text, None)))
-                held = (i.as_py(), text, held is None)
+                    out.append((held[0], part, held[2], False, held[1].text if held[2] else None, *held[1].compared(now)))
+                held = (i, now, held is None)
             if out:
                 yield _batch(out)
         if held is not None:
-            yield _batch([(held[0], part, held[2], True, held[1], len(held[1]), None, None, None, None, None)])
+            yield _batch([(held[0], part, held[2], True, held[1].text, len(held[1].text), *[None] * 5)])
 
     def _batch(out):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
 
     fields = f"doc_id {kind}, part int, first boolean, last boolean, text string, {RESULT}"
     schema = _arrow(docs.sparkSession, fields)
-    made = dealt.mapInArrow(run, fields)
-    if not keep_texts:
-        made = made.withColumn("edited", F.sha2("edited", 256))
-    made = cut_lineage(made, "compared")
+    # hashes are kept as bytes until the end
+    digest = (lambda df: df) if keep_texts else (
+        lambda df: df.withColumn("edited", F.unhex(F.sha2("edited", 256))))
+    made = cut_lineage(digest(dealt.mapInArrow(run, fields)), "compared")
     # one row per partition
     parts = sorted(r["part"] for r in made.filter("first").select("part").collect())
     follows = docs.sparkSession.createDataFrame(list(zip(parts, parts[1:] + parts[:1])), "part int, next int")
@@ -233,16 +239,16 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         make = Signatures(slots)
         for b in batches:
             if b.num_rows:
-                out = [_compared(make, t, f, None) for t, f in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+                out = [Held(make, t).compared(Held(make, f)) for t, f in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), *[pa.array(c, t) for c, t in zip(zip(*out), schema.types[5:])]],
                     names=["doc_id", *COLUMNS])
 
-    ends = ends.select("doc_id", "text", "following").mapInArrow(finish, f"doc_id {kind}, {RESULT}")
-    if not keep_texts:
-        ends = ends.withColumn("edited", F.sha2("edited", 256))
+    ends = digest(ends.select("doc_id", "text", "following").mapInArrow(finish, f"doc_id {kind}, {RESULT}"))
     done = made.filter("not last").select("doc_id", *COLUMNS).unionByName(ends)
-    return done if keep_texts else done.withColumnRenamed("edited", "edited_sha256")
+    edited = F.col("edited") if keep_texts else F.lower(F.hex("edited")).alias("edited_sha256")
+    return done.select("doc_id", "n_chars", edited, spelled("fingerprint"), spelled("edited_fingerprint"),
+                       "near_edited", "near_next")
 
 
 def _arrow(spark, fields: str) -> pa.Schema:

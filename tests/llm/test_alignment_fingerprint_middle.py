@@ -144,12 +144,13 @@ def plain_phrases(text):
 @given(st.one_of(st.text("ab", max_size=300), st.text(max_size=80)), st.integers(0, 300), st.text("ab", max_size=100))
 def test_phrases_and_shared_parse(text, cut, other):
     seen = set()
-    starts, ends = lz_fingerprint.parse(text, 0, seen)
-    assert seen == plain_phrases(text) == {text[s:e] for s, e in zip(starts, ends)} and len(seen) == len(starts)
+    bounds = lz_fingerprint.parse(text, 0, seen)
+    assert seen == plain_phrases(text) == {text[s:e] for s, e in zip(bounds, bounds[1:])} and len(seen) == len(bounds) - 1
     make = lz_fingerprint.Signatures()
     cut = min(cut, len(text))
-    own, edited = make.of_both(text, cut, other)
-    assert (own == make.of(text)).all() and (edited == make.of(text[:cut] + other)).all()
+    parsed = lz_fingerprint.Parsed(make, text, cut)
+    for tail in (text[cut:], other, text[cut:]):
+        assert (parsed.ending(tail) == make.of(text[:cut] + tail)).all()
 
 
 def test_long_repeats_are_linear_and_blocks_do_not_matter(monkeypatch):
@@ -179,7 +180,8 @@ def plain_compare(rows):
         edited = t[:len(t) - k] + f[:k]
         own, other, following = make.of(t), make.of(edited), make.of(f)
         out.append({"doc_id": i, "n_chars": len(t), "edited_sha256": sha(edited),
-                    "fingerprint": lz_fingerprint.spelled(own), "edited_fingerprint": lz_fingerprint.spelled(other),
+                    "fingerprint": lz_fingerprint.packed(own).hex(),
+                    "edited_fingerprint": lz_fingerprint.packed(other).hex(),
                     "near_edited": lz_fingerprint.likeness(own, other),
                     "near_next": lz_fingerprint.likeness(own, following)})
     return out
