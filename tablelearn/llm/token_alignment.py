@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tablelearn.llm.tokens import ByteBpe, Pieces
 from tablelearn.plans.shaping import cut_lineage
 
-CHUNK = 1 << 22
+CHUNK = 1 << 21
 #: links of a group that are listed one by one; a larger group is counted by distinct ids (the same sums)
 LISTED = 1 << 14
 #: bits of an id in a pair key
