@@ -13,7 +13,8 @@
 Ids are those of the byte-level BPE vocabulary file given by its path.  Its
 rank form is read by tiktoken, which gives the same ids as the ``tokenizers``
 form several times faster (a test compares both); the rare text that spells
-out the special token goes through ``tokenizers`` itself.
+out the special token, or whose runs of white space are too long for its
+pattern matcher, goes through ``tokenizers`` itself.
 
 Defined cases: a null text is empty and gives the one id 0; repeated rows are
 packed each; an empty table gives no piece; a document whose length is a
@@ -22,16 +23,14 @@ multiple of the window leaves no remainder.
 
 from __future__ import annotations
 
-import base64
 import zlib
 
 import numpy as np
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
+from tablelearn.llm.tokens import ByteBpe
 from tablelearn.plans.shaping import cut_lineage
 
 WINDOW = 1024
@@ -43,19 +42,15 @@ class Ids:
     """Token ids of a text, with the end id 0."""
 
     def __init__(self, ranks_path: str, tokenizer_path: str, pattern: str):
-        with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.path, self.full = tokenizer_path, None
+        self.bpe = ByteBpe(ranks_path, tokenizer_path, pattern)
 
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(1, dtype="<u4")
         if SPECIAL in text:
-            self.full = self.full or Tokenizer.from_file(self.path)
-            ids = self.full.encode(text, add_special_tokens=False).ids
+            ids = self.bpe.tokenizer(False).encode(text, add_special_tokens=False).ids
         else:
-            ids = self.fast.encode_to_numpy(text, disallowed_special=())
+            ids = self.bpe.ids(text)
         return np.append(np.asarray(ids, dtype="<u4"), np.uint32(0)).astype("<u4", copy=False)
 
 

@@ -418,6 +418,16 @@ def test_packing(odd, documents):
     assert packing.pack(documents.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "a" * 200_000, "x\n" + " " * 1_500_000 + "<|endoftext|>"])
+def test_packing_of_very_long_runs(spark, text):
+    rows = packing.pack(spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in rows} == {1, 2}
+    for i in (1, 2):
+        pieces = sorted((r["start"], r["length"], r["doc_tokens"]) for r in rows if r["doc_id"] == i)
+        assert pieces[0][0] == 0 and sum(p[1] for p in pieces) == pieces[0][2]
+        assert all(a[0] + a[1] == b[0] for a, b in zip(pieces, pieces[1:]))
+
+
 # -------------------------------------------------------------- 8 embeddings
 
 
