@@ -7,20 +7,28 @@ binned or categorical features the cells are few at any number of rows, with
 continuous ones they are at worst as long as the input).  No row is read or
 written again after that.
 
-One LEVEL of all nodes grows at a time:
+One LEVEL of all nodes grows at a time, from the written FRONTIER: the cells
+of the nodes that the level above split, each with its node's id (a hash of the
+parent's id, the split attribute and the cell's value of it), the features used
+on its path (a bit mask) and the path as text.
 
-1. every cell's node is found by walking the levels above: a node's id is a
-   64-bit hash of its parent's id, the split attribute and the cell's value of
-   it, so only the parent's split attribute is looked up (the node tables are
-   Parquet, so the planner knows their bytes and picks the join);
-2. one histogram ``(node, feature, value, label) -> n`` over the features not
-   yet used on the path (a bit mask travels with the cell) gives every
-   feature's gain, reduced to the best attribute per node; a pseudo-feature
-   with one value carries the node's own statistics through the same chain;
-3. the level's nodes are written under the shared checkpoint directory, which
-   bounds the lineage: a lost executor costs one level.
+1. one histogram ``(node, feature, value) -> a count per class`` over the
+   features not yet used on the path, and one aggregate per node with a pair of
+   sums for each feature, give every feature's gain and the best attribute; a
+   pseudo-feature with one value carries the node's own statistics through the
+   same chain (two exchanges; a third where there are more than
+   ``WIDE_CLASSES`` classes, which then join the grouping key);
+2. the level's nodes are written; the frontier's cells of nodes that split
+   take one step (one join) and are written as the next frontier.  Cells of
+   finished nodes are never read again.
 
-Only two counts per level reach the driver.
+The written tables are under the shared checkpoint directory and bound the
+lineage: a lost executor costs one level.  Only two counts per level (observed
+while the nodes are written) and the class list reach the driver.
+
+Prediction walks DISTINCT value tuples through the levels and joins the result
+back to the rows once, so wide rows move at most once and a frequent tuple is
+one row of the walk.
 
 Semantics (reference defects fixed, see README): every node keeps its leaf
 value so an unseen value falls back to it; a node without features left
@@ -33,13 +41,14 @@ label are null where it is no number.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
 from tablelearn.functions.columns import LN2, as_key_string, ratio, xlogx
-from tablelearn.operators.stats import ROWS, bin_column, bin_edges, feature_positions
+from tablelearn.operators.stats import ROWS, WIDE_CLASSES, bin_column, bin_edges
 from tablelearn.plans.shaping import cut_lineage
 
 LEAF_KINDS = ("majority", "mean_label", "mean_first_column")
@@ -102,50 +111,98 @@ class ID3Model:
         return leaves.select(F.col("_path").alias("rule"), "depth", "n", self._leaf().alias("prediction"))
 
 
-def _level_nodes(cells: DataFrame, features, label: str, compat: bool, can_split: bool) -> DataFrame:
-    """One level's nodes from the weighted cells in one chain of aggregates:
-    histogram -> per value -> per feature -> (window over the node's
-    features + 1 rows) -> per node."""
-    offered = [F.struct(F.lit(ROWS).alias("feature"), F.lit("").alias("value"))]
-    if can_split:
-        offered += [F.when(F.col("_used").bitwiseAND(1 << i) == 0,
-                           F.struct(F.lit(f).alias("feature"), F.col(f"_v{i}").alias("value")))
-                    for i, f in enumerate(features)]
-    pairs = F.filter(F.array(*offered), lambda x: x.isNotNull())
-    long = cells.select("_node", "_path", "_y", "_n", "_f", F.inline(pairs))
-    hist = long.groupBy("_node", "feature", "value", "_y").agg(
-        F.sum("_n").alias("n"), F.sum("_f").alias("_f"), F.min("_path").alias("_path"))
-    y = F.col("_y")
-    per_value = hist.groupBy("_node", "feature", "value").agg(
-        F.sum("n").alias("_nv"), F.sum(xlogx("n")).alias("_av"), F.count(F.lit(1)).alias("_cells"),
-        F.min_by("_y", F.struct(-F.col("n"), y)).alias("_maj"), F.min("_path").alias("_path"),
-        F.sum(y.try_cast("double") * F.col("n")).alias("_sl"),
-        F.sum(F.when(y.try_cast("double").isNotNull(), F.col("n"))).alias("_nl"), F.sum("_f").alias("_sf"))
-    per_feature = per_value.groupBy("_node", "feature").agg(
-        F.sum("_nv").alias("n"), F.sum(xlogx("_nv")).alias("_b"), F.sum("_av").alias("_a"),
-        F.max("_cells").alias("_cells"), F.any_value("_maj").alias("_maj"), F.sum("_sl").alias("_sl"),
-        F.sum("_nl").alias("_nl"), F.sum("_sf").alias("_sf"), F.min("_path").alias("_path"))
-    is_rows = F.col("feature") == ROWS
-    # sum_l n_l ln n_l of the node = "_a" of its ROWS row; the window holds
-    # (features left + 1) rows per node: bounded
-    c = F.max(F.when(is_rows, F.col("_a"))).over(Window.partitionBy("_node"))
-    n = F.col("n").cast("double")
-    h_label = F.greatest(F.lit(0.0), F.coalesce((F.ln(n) - ratio(c, n)) / LN2, F.lit(0.0)))
-    if compat:
-        other = F.greatest(F.lit(0.0), F.ln(n) - ratio(F.col("_b"), n))
-    else:
-        other = F.greatest(F.lit(0.0), ratio(F.col("_b") - F.col("_a"), n) / LN2)
-    scored = per_feature.withColumn("_g", h_label - other).withColumn("_pos", feature_positions(features))
-    key = F.struct((~is_rows).alias("cand"), F.round("_g", 12), -F.col("_pos"))
-    rows_only = lambda col: F.max(F.when(is_rows, col))
-    agg = scored.groupBy("_node").agg(
-        F.max_by("feature", key).alias("_best"), F.max_by("_g", key).alias("_bg"), F.min("_path").alias("_path"),
-        rows_only(F.col("n")).alias("n"), rows_only(F.col("_cells")).alias("_classes"),
-        rows_only(F.col("_maj")).alias("majority"), rows_only(ratio("_sl", "_nl")).alias("mean_label"),
-        rows_only(ratio("_sf", "n")).alias("mean_first_column"))
-    real = F.col("_best") != ROWS
-    split = F.when((F.col("_classes") > 1) & F.lit(can_split) & real, F.col("_best"))
-    return agg.withColumns({"split_attribute": split, "gain": F.when(real, F.col("_bg"))})
+class _LevelPlan:
+    """The columns of one level's aggregates, made once for all levels.
+
+    ``classes``: the labels, or None if they are too many for a counter each;
+    ``offered``: the features that may be chosen (none at the last level)."""
+
+    def __init__(self, offered, classes, kind, compat: bool):
+        is_rows = F.col("feature") == ROWS
+        y, n = F.col("_y"), F.col("n")
+        pairs = [F.struct(F.lit(ROWS).alias("feature"), F.lit("").alias("value"), F.lit(0).cast("long").alias("_bit"))]
+        pairs += [F.struct(F.lit(f).alias("feature"), F.col(f"_v{i}").alias("value"),
+                           F.lit(1 << i).cast("long").alias("_bit")) for i, f in enumerate(offered)]
+        self.long = ["_node", "_path", "_y", "_n", "_f", "_used", F.inline(F.array(*pairs))]
+        self.unused = F.col("_used").bitwiseAND(F.col("_bit")) == 0
+        of_node = [F.sum(F.when(is_rows, F.col("_f"))).alias("_sf"), F.min(F.when(is_rows, F.col("_path"))).alias("_path")]
+        number = y.try_cast("double")
+        self.wide = classes is not None
+        if self.wide:
+            labels = [F.lit(c).cast(kind) for c in classes]
+            self.counts = [F.sum("_n").alias("_nv"), *of_node, *[
+                F.coalesce(F.sum(F.when(y.eqNullSafe(c), F.col("_n"))), F.lit(0)).alias(f"_c{i}")
+                for i, c in enumerate(labels)]]
+            n_of = [F.col(f"_c{i}") for i in range(len(classes))]
+            total = lambda terms: reduce(lambda a, b: a + b, terms)
+            found = F.array(*[F.when(k > 0, F.struct((-k).alias("k"), c.alias("y"))) for k, c in zip(n_of, labels)])
+            numbers = [(k, c.try_cast("double")) for k, c in zip(n_of, labels)]
+            self.values = [
+                "_node", "feature", "_nv", total([xlogx(k) for k in n_of]).alias("_av"),
+                total([(k > 0).cast("long") for k in n_of]).alias("_classes"), F.array_min(found)["y"].alias("_maj"),
+                total([F.coalesce(k * x, F.lit(0.0)) for k, x in numbers]).alias("_sl"),
+                total([F.when(x.isNotNull(), k).otherwise(F.lit(0)) for k, x in numbers]).alias("_nl"), "_sf", "_path"]
+        else:
+            self.counts = [F.sum("_n").alias("n"), *of_node]
+            self.values = [
+                F.sum("n").alias("_nv"), F.sum(xlogx("n")).alias("_av"), F.count(F.lit(1)).alias("_classes"),
+                F.min_by("_y", F.struct(-n, y)).alias("_maj"), F.sum(number * n).alias("_sl"),
+                F.sum(F.when(number.isNotNull(), n)).alias("_nl"), F.sum("_sf").alias("_sf"),
+                F.min("_path").alias("_path")]
+        # each feature has its own pair of sums in the node's row
+        rows_only = lambda c: F.first(F.when(is_rows, F.col(c)), ignorenulls=True)
+        a, b = ([f"{x}{i}" for i in range(len(offered))] for x in ("_a", "_b"))
+        of = lambda f, c: F.sum(F.when(F.col("feature") == f, c))
+        self.nodes = [
+            rows_only("_nv").cast("long").alias("n"), rows_only("_av").alias("_c"), rows_only("_classes").alias("_classes"),
+            rows_only("_maj").alias("majority"), rows_only("_sl").alias("_sl"), rows_only("_nl").alias("_nl"),
+            rows_only("_sf").alias("_sf"), rows_only("_path").alias("_path"),
+            *[of(f, F.col("_av")).alias(c) for f, c in zip(offered, a)],
+            *[of(f, xlogx("_nv")).alias(c) for f, c in zip(offered, b)]]
+        rows = n.cast("double")
+        own = F.greatest(F.lit(0.0), F.coalesce((F.ln(rows) - ratio(F.col("_c"), rows)) / LN2, F.lit(0.0)))
+        rest = [F.ln(rows) - ratio(F.col(y_), rows) if compat else ratio(F.col(y_) - F.col(x_), rows) / LN2
+                for x_, y_ in zip(a, b)]
+        self.gains = ["*", *[(own - F.greatest(F.lit(0.0), r)).alias(f"_g{i}") for i, r in enumerate(rest)]]
+        # ties to 12 decimals go to the first listed feature; one used on the path has no sums
+        offers = [F.when(F.col(b[i]).isNotNull(), F.struct(
+            F.round(f"_g{i}", 12).alias("r"), F.lit(-i).alias("o"), F.col(f"_g{i}").alias("g"), F.lit(f).alias("f")))
+            for i, f in enumerate(offered)]
+        best = F.array_max(F.array(*offers)) if offers else F.lit(None).cast("struct<g:double,f:string>")
+        self.best = ["*", best.alias("_best")]
+        self.result = [
+            "_node", "_path", "n", (F.col("_classes") == 1).cast("int").alias("is_pure"), "majority",
+            ratio("_sl", "_nl").alias("mean_label"), ratio("_sf", "n").alias("mean_first_column"),
+            F.when(F.col("_classes") > 1, F.col("_best.f")).alias("split_attribute"), F.col("_best.g").alias("gain")]
+
+    def __call__(self, cells: DataFrame) -> DataFrame:
+        """One level's nodes from the frontier."""
+        keys = ["_node", "feature", "value"]
+        long = cells.select(*self.long).filter(self.unused)
+        if self.wide:
+            values = long.groupBy(*keys).agg(*self.counts).select(*self.values)
+        else:
+            values = long.groupBy(*keys, "_y").agg(*self.counts).groupBy(*keys).agg(*self.values)
+        nodes = values.groupBy("_node").agg(*self.nodes)
+        return nodes.select(*self.gains).select(*self.best).select(*self.result)
+
+
+def _step(features, names):
+    """Frontier and nodes -> the cells of the nodes that split, one level down."""
+    attr = F.col("_s")
+    value = _pick(features, attr, [F.col(c) for c in names])
+    bit = F.lit(0).cast("long")
+    for i, f in enumerate(features):
+        bit = F.when(attr == f, F.lit(1 << i).cast("long")).otherwise(bit)
+    text = F.concat(F.col("_path"), F.when(F.col("_path") == "", F.lit("")).otherwise(F.lit(" AND ")),
+                    attr, F.lit(" = "), F.coalesce(value, F.lit("null")))
+    down = [*names, "_y", "_n", "_f", _child(F.col("_node"), attr, value).alias("_node"),
+            F.col("_used").bitwiseOR(bit).alias("_used"), text.alias("_path")]
+
+    def take(cells: DataFrame, nodes: DataFrame) -> DataFrame:
+        splits = nodes.filter(F.col("split_attribute").isNotNull()).select("_node", F.col("split_attribute").alias("_s"))
+        return cells.join(splits, "_node").select(*down)
+    return take
 
 
 def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion: str = "textbook",
@@ -162,7 +219,6 @@ def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion
     features = list(features)
     if len(features) > 62:
         raise ValueError("at most 62 features")
-    compat = criterion == "compat"
     kind = df.schema[label].dataType
     edges = bin_edges(df, features, bins, binning) if bins else {}
     model = ID3Model(features, label, max_depth, leaf, isinstance(kind, (NumericType, BooleanType)),
@@ -172,30 +228,23 @@ def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion
     names = [f"_v{i}" for i in range(len(features))]
     cells = df.select(*keys, F.col(label).alias("_y"), first.alias("_first")).groupBy(*names, "_y").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_first").alias("_f"))
+    cells = cells.select("*", F.lit(ROOT).cast("long").alias("_node"), F.lit(0).cast("long").alias("_used"),
+                         F.lit("").alias("_path"))
     cells = cut_lineage(cells, "id3-cells")
-    at = cells.select("*", F.lit(ROOT).cast("long").alias("_node"), F.lit(0).cast("long").alias("_used"),
-                      F.lit("").alias("_path"))
+    classes = [r[0] for r in cells.select("_y").distinct().limit(WIDE_CLASSES + 1).collect()]
+    classes = None if len(classes) > WIDE_CLASSES else classes or [None]
+    step = _step(features, names)
+    grow, finish = (_LevelPlan(offered, classes, kind, criterion == "compat") for offered in (features, []))
+    counts = [F.count(F.lit(1)).alias("all"), F.count("split_attribute").alias("split")]
     for depth in range(max_depth + 1):
-        can_split = depth < max_depth and depth < len(features)
-        nodes = _level_nodes(at, features, label, compat, can_split).select(
-            "_node", "_path", F.lit(depth).alias("depth"), F.col("n").cast("bigint").alias("n"),
-            (F.col("_classes") == 1).cast("int").alias("is_pure"), "majority", "mean_label", "mean_first_column",
-            "split_attribute", "gain")
+        last = depth >= min(max_depth, len(features))
+        seen = Observation()
+        nodes = (finish if last else grow)(cells).withColumn("depth", F.lit(depth)).observe(seen, *counts)
         nodes = cut_lineage(nodes, "id3-nodes")
-        counts = nodes.agg(F.count(F.lit(1)).alias("a"), F.count("split_attribute").alias("s")).first()
-        model.levels.append((depth, nodes, int(counts["a"]), int(counts["s"])))
-        if not counts["s"]:
+        model.levels.append((depth, nodes, int(seen.get["all"]), int(seen.get["split"])))
+        if not seen.get["split"]:
             break
-        splits = nodes.filter(F.col("split_attribute").isNotNull()).select("_node", F.col("split_attribute").alias("_s"))
-        attr = F.col("_s")
-        value = _pick(features, attr, [F.col(c) for c in names])
-        used = F.col("_used")
-        for i, f in enumerate(features):
-            used = F.when(attr == f, F.col("_used").bitwiseOR(F.lit(1 << i).cast("long"))).otherwise(used)
-        text = F.concat(F.col("_path"), F.when(F.col("_path") == "", F.lit("")).otherwise(F.lit(" AND ")),
-                        attr, F.lit(" = "), F.coalesce(value, F.lit("null")))
-        at = at.join(splits, "_node").select(*names, "_y", "_n", "_f", _child(F.col("_node"), attr, value).alias("_node"),
-                                             used.alias("_used"), text.alias("_path"))
+        cells = cut_lineage(step(cells, nodes), "id3-cells")
     return model
 
 
@@ -204,35 +253,42 @@ def id3_predict(model: ID3Model, df: DataFrame, output: str = "prediction") -> D
     row's value; at a leaf, or when the value was not seen in training,
     take the current node's leaf value.
 
-    One frame flows through one left join per tree level; the planner picks
-    each join by the bytes of the level's node table.  A row whose prediction
-    is known keeps it and joins on a hash of its own values (an unbounded
-    salt), so finished rows spread over all partitions."""
+    The distinct value tuples flow through one left join per tree level (the
+    planner picks each join by the bytes of the level's node table); a tuple
+    whose prediction is known keeps it and joins on its own hash, so finished
+    tuples spread over all partitions.  The rows meet the result in one join on
+    a 128-bit hash of the tuple."""
     cols = df.columns
     leaf = model._leaf()
     root = model.levels[0][1].select("split_attribute", leaf.alias("leaf"))
-    keys = _values(df, model.features, model.edges, model.bins)
-    names = [f"_v{i}" for i in range(len(keys))]
     first = root.first()
     kind = root.schema["leaf"].dataType
     attr0 = None if first is None else first["split_attribute"]
     top = F.lit(None if first is None else first["leaf"]).cast(kind)
-    state = df.select("*", *[c.alias(a) for a, c in zip(names, keys.values())])
-    values = [F.col(a) for a in names]
     if attr0 is None:
-        return state.withColumn(output, top).select(*cols, output)
+        return df.withColumn(output, top).select(*cols, output)
+    keys = _values(df, model.features, model.edges, model.bins)
+    names = [f"_v{i}" for i in range(len(keys))]
+    values = [F.col(a) for a in names]
+    # nulls are skipped by the hash, so they are marked
+    marked = [x for c in keys.values() for x in (c, c.isNull())]
+    hashes = [F.xxhash64(*marked).alias("_t1"), F.xxhash64(F.lit("tuple"), *marked).alias("_t2")]
+    tuples = df.select(*[c.alias(a) for a, c in zip(names, keys.values())], *hashes).distinct()
     # the root is one node: its split is applied as a literal
-    state = state.select("*", _child(F.lit(ROOT).cast("long"), F.lit(attr0), _pick(model.features, F.lit(attr0), values))
-                         .alias("_node"), top.alias("_pred"), F.lit(False).alias("_done"))
+    state = tuples.select(
+        "*", _child(F.lit(ROOT).cast("long"), F.lit(attr0), _pick(model.features, F.lit(attr0), values)).alias("_node"),
+        top.alias("_pred"), F.lit(False).alias("_done"))
     for _, nodes, _, _ in model.levels[1:]:
         look = nodes.select(F.col("_node").alias("_k"), F.col("split_attribute").alias("_split"), leaf.alias("_leaf"))
-        key = F.when(F.col("_done"), F.xxhash64(*names, *cols)).otherwise(F.col("_node"))
+        key = F.when(F.col("_done"), F.col("_t1")).otherwise(F.col("_node"))
         j = state.withColumn("_key", key).join(look, F.col("_key") == F.col("_k"), "left")
         hit = ~F.col("_done") & F.col("_k").isNotNull()
         go = hit & F.col("_split").isNotNull()
         state = j.select(
-            *cols, *names,
+            *names, "_t1", "_t2",
             F.when(go, _child(F.col("_node"), F.col("_split"), _pick(model.features, F.col("_split"), values)))
              .otherwise(F.col("_node")).alias("_node"),
             F.when(hit, F.col("_leaf")).otherwise(F.col("_pred")).alias("_pred"), (~go).alias("_done"))
-    return state.select(*cols, F.col("_pred").alias(output))
+    walked = state.select(F.col("_t1").alias("_w1"), F.col("_t2").alias("_w2"), F.col("_pred").alias("_walked"))
+    out = df.select("*", *hashes).join(walked, (F.col("_t1") == F.col("_w1")) & (F.col("_t2") == F.col("_w2")))
+    return out.select(*cols, F.col("_walked").alias(output))

@@ -100,3 +100,54 @@ def test_quantile_binned_tree(spark):
     test = spark.createDataFrame([(0.0,), (150.0 ** 2,), (300.0 ** 2,)], "x double")
     out = [r["prediction"] for r in id3.id3_predict(model, test).orderBy("x").collect()]
     assert out == [0.0, 0.0, 1.0]
+
+
+def test_many_classes_give_the_same_tree(spark, monkeypatch):
+    rows = [(i % 4, (i * 3) % 5, "c%d" % ((i * 7 % 11) % 6) if i % 13 else None) for i in range(300)]
+    df = spark.createDataFrame(rows, "a int, b int, y string")
+    wide = sorted(map(tuple, id3.id3_build(df, ["a", "b"], "y").node_table().collect()), key=str)
+    monkeypatch.setattr(id3, "WIDE_CLASSES", 2)
+    assert sorted(map(tuple, id3.id3_build(df, ["a", "b"], "y").node_table().collect()), key=str) == wide
+
+
+def test_frontier_shrinks_and_a_level_has_one_join(spark, monkeypatch):
+    rows = [((i * 5) % 2, (i * 3) % 7, i % 11, (i * 7 % 13) % 4 if i % 2 else 0) for i in range(900)]
+    df = spark.createDataFrame(rows, "a int, b int, c int, y int")
+    written, write = [], id3.cut_lineage
+
+    def watched(frame, name):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        out = write(frame, name)
+        written.append((name, sum(line.lstrip(" +-:").startswith("Join ") for line in plan.splitlines()), out.count()))
+        return out
+
+    monkeypatch.setattr(id3, "cut_lineage", watched)
+    model = id3.id3_build(df, ["a", "b", "c"], "y")
+    assert [n for name, n, _ in written if name == "id3-nodes"] == [0] * len(model.levels)
+    assert [n for name, n, _ in written if name == "id3-cells"] == [0] + [1] * (len(model.levels) - 1)
+    cells = [n for name, _, n in written if name == "id3-cells"]
+    assert cells == sorted(cells, reverse=True) and cells[-1] < cells[0]
+
+
+def test_rows_move_through_one_join(spark):
+    df = spark.createDataFrame([(i % 3, i % 5, i % 2, "x" * 50) for i in range(200)], "a int, b int, y int, wide string")
+    model = id3.id3_build(df, ["a", "b"], "y")
+    out = id3.id3_predict(model, df)
+    plan = out._jdf.queryExecution().optimizedPlan()
+
+    def joins_with(node, column):
+        below = node.children()
+        found = [joins_with(below.apply(i), column) for i in range(below.size())]
+        here = node.nodeName() == "Join" and any(
+            a.name() == column for a in [node.output().apply(i) for i in range(node.output().size())])
+        return here + sum(found)
+
+    assert joins_with(plan, "wide") == 1
+
+
+def test_null_and_text_values_are_different_tuples(spark):
+    train = spark.createDataFrame([(None, "", 0), ("", None, 1), ("", "", 0), (None, None, 1)] * 3,
+                                  "a string, b string, y int")
+    model = id3.id3_build(train, ["a", "b"], "y")
+    out = {(r["a"], r["b"]): r["prediction"] for r in id3.id3_predict(model, train).collect()}
+    assert out == {(r["a"], r["b"]): float(r["y"]) for r in train.collect()}
