@@ -10,13 +10,12 @@ prediction, and one aggregate sums them by class.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pyspark.sql.types import BooleanType, NumericType
 
 from tablelearn.functions.columns import ratio
-from tablelearn.plans.shaping import cut_lineage, exclusive_prefix_sums
 
 
 def _comparable(df: DataFrame, *columns: str):
@@ -97,19 +96,28 @@ def area_under_roc(df: DataFrame, label: str = "label", score: str = "score",
     Infinite scores are ordinary scores; NaN scores rank above all others
     and tie with each other.
 
-    Scale: scores are first aggregated to ``score -> (pos, neg)``, a table
-    that is written once and read three times; the cumulative negative count
-    below each score is computed with bucketed prefix sums (see
-    ``exclusive_prefix_sums``), never a global window.
+    Scale: scores are aggregated to ``score -> (pos, neg)`` and sorted into
+    ranges (``buckets`` of them, by default as many as the session shuffles
+    to).  A running count inside each range gives the pairs decided there; a
+    positive also beats all negatives of lower ranges, for which three
+    numbers a range are enough.  One chain of exchanges: nothing runs or is
+    written while the result is built, and no window holds all rows.
     """
     pos = F.col(label).cast("double") == 1.0
     rows = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
     per_score = rows.groupBy(F.col(score).cast("double").alias("_s")).agg(
         F.count_if(pos).alias("pos"), F.count_if(~pos).alias("neg"))
-    per_score = cut_lineage(per_score, "scores")
-    pre = exclusive_prefix_sums(per_score, "_s", ["neg"], buckets)
-    contrib = F.col("pos") * (F.col("neg_before") + F.col("neg") * 0.5)
-    agg = pre.agg(F.sum(contrib).alias("_u"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    ranges = (per_score.repartitionByRange(buckets, "_s") if buckets else per_score.repartitionByRange("_s"))
+    ranges = ranges.withColumn("_range", F.spark_partition_id())
+    lower = Window.partitionBy("_range").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    won = F.col("pos") * (F.coalesce(F.sum("neg").over(lower), F.lit(0)) + F.col("neg") * 0.5)
+    per_range = ranges.select("_range", "pos", "neg", won.alias("_won")).groupBy("_range").agg(
+        F.sum("_won").alias("_won"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    # one row a range: bounded by the number of partitions
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    agg = per_range.withColumn("_before", F.coalesce(F.sum("neg").over(before), F.lit(0))).agg(
+        F.sum(F.col("_won") + F.col("pos") * F.col("_before")).alias("_u"), F.sum("pos").alias("n_pos"),
+        F.sum("neg").alias("n_neg"))
     return agg.select(
         ratio(F.col("_u"), F.col("n_pos").cast("double") * F.col("n_neg")).alias("area_under_roc"),
         F.coalesce(F.col("n_pos"), F.lit(0)).cast("bigint").alias("n_pos"),

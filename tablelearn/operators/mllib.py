@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tablelearn.functions.columns import LN2, xlogx
 from tablelearn.session import scratch_path
 
 
@@ -99,6 +100,101 @@ def tree_rules(model, feature_names, spark: SparkSession | None = None) -> DataF
     return spark.createDataFrame(lines, "line_no int, rule string")
 
 
+def tree_paths(nodes: DataFrame, feature_names, max_depth: int) -> DataFrame:
+    """The root's way to every node, by joining the node table with the
+    frontier once a level: ``id, path`` (ids from the root on), ``depth, rule,
+    is_leaf, prediction``.  A rule is the conjunction of the tests on the way,
+    in the words of the dump.  At most 2^(max_depth + 1) - 1 rows."""
+    names = F.element_at(F.array(*[F.lit(f) for f in feature_names]), F.col("feature_index") + 1)
+    node = nodes.select(
+        "id", "prediction", (F.col("left_child") < 0).alias("is_leaf"), names.alias("_name"),
+        F.col("threshold").cast("string").alias("_t"),
+        F.array("left_child", "right_child").alias("_children"))
+    frontier = node.filter("id = 0").select("*", F.array("id").alias("path"), F.lit(0).alias("depth"),
+                                            F.lit("").alias("rule"))
+    out = frontier
+    for depth in range(1, max_depth + 1):
+        sides = frontier.filter("not is_leaf").select(
+            F.posexplode("_children").alias("_side", "_child"), F.col("path").alias("_way"), F.col("rule").alias("_rule"),
+            F.concat(F.lit("("), "_name").alias("_test"), F.col("_t").alias("_edge"))
+        test = F.concat("_test", F.when(F.col("_side") == 0, F.lit(" <= ")).otherwise(F.lit(" > ")), "_edge", F.lit(")"))
+        rule = F.concat("_rule", F.when(F.col("_rule") == "", F.lit("")).otherwise(F.lit(" AND ")), test)
+        frontier = node.join(sides, F.col("id") == F.col("_child")).select(
+            *node.columns, F.concat("_way", F.array("id")).alias("path"), F.lit(depth).alias("depth"), rule.alias("rule"))
+        out = out.unionByName(frontier)
+    return out.select("id", "path", "depth", "rule", "is_leaf", "prediction")
+
+
+def dump_rules(dump: str) -> list[tuple[str, float]]:
+    """``(rule, prediction)`` of every leaf of a tree dump, read line by line:
+    the tests that enclose a leaf are those of lesser indent."""
+    out, open_ = [], []
+    for line in dump.splitlines():
+        indent, words = len(line) - len(line.lstrip()), line.strip()
+        if words.startswith(("If ", "Else ", "Predict")):
+            while open_ and open_[-1][0] >= indent:
+                open_.pop()
+            if words.startswith("Predict"):
+                out.append((" AND ".join(t for _, t in open_), float(words.split(":")[1])))
+            else:
+                open_.append((indent, words.split(" ", 1)[1]))
+    return out
+
+
+def route(df: DataFrame, nodes: DataFrame, feature_names, output: str = "node") -> DataFrame:
+    """Append the id of the leaf that each row reaches, as one expression made
+    from the node table (its size is bounded by the tree's depth)."""
+    table = {r["id"]: r for r in nodes.collect()}
+
+    def at(i: int) -> Column:
+        r = table[i]
+        if r["left_child"] < 0:
+            return F.lit(i)
+        x = F.col(feature_names[r["feature_index"]]).cast("double")
+        return F.when(x <= F.lit(r["threshold"]), at(r["left_child"])).otherwise(at(r["right_child"]))
+
+    return df.withColumn(output, at(0)) if table else df.withColumn(output, F.lit(None).cast("int"))
+
+
+def node_statistics(train: DataFrame, nodes: DataFrame, feature_names, label: str, max_depth: int) -> DataFrame:
+    """The split statistics of every node, from the training rows themselves:
+    ``id, n, impurity`` (bits), ``gain`` (null at a leaf), ``prediction``.
+
+    Rows are counted once per (leaf, label); the counts are added along the
+    leaf's path, so the rows are read once and every later table is bounded
+    by the tree."""
+    leaves = route(train, nodes, feature_names).groupBy("node", label).agg(F.count(F.lit(1)).alias("_n"))
+    paths = tree_paths(nodes, feature_names, max_depth).filter("is_leaf").select("id", "path")
+    counts = leaves.join(paths, F.col("node") == F.col("id")).select(
+        F.explode("path").alias("id"), F.col(label).alias("_y"), "_n").groupBy("id", "_y").agg(F.sum("_n").alias("_n"))
+    per_node = counts.groupBy("id").agg(
+        F.sum("_n").alias("n"), F.sum(xlogx("_n")).alias("_s"),
+        F.min_by("_y", F.struct(-F.col("_n"), F.col("_y"))).cast("double").alias("prediction"))
+    rows = F.col("n").cast("double")
+    own = per_node.select("id", "n", "prediction", F.greatest(
+        F.lit(0.0), (F.ln(rows) - F.col("_s") / rows) / LN2).alias("impurity"))
+    child = own.select(F.col("id").alias("_c"), (F.col("n") * F.col("impurity")).alias("_w"))
+    sides = nodes.filter("left_child >= 0").select("id", F.explode(F.array("left_child", "right_child")).alias("_c"))
+    below = sides.join(child, "_c").groupBy("id").agg(F.sum("_w").alias("_w"))
+    return own.join(below, "id", "left").select(
+        "id", "n", "impurity", (F.col("impurity") - F.col("_w") / F.col("n")).alias("gain"), "prediction")
+
+
+def coefficient_rows(model) -> list[tuple[str, float]]:
+    """``(term, coefficient)`` of a fitted logistic model, the intercept last."""
+    lr = model.stages[-1] if isinstance(model, PipelineModel) else model
+    names = model.stages[0].getInputCols()
+    return [*((f, float(c)) for f, c in zip(names, lr.coefficients.toArray())), ("(intercept)", float(lr.intercept))]
+
+
+def logistic_score(coefficients) -> Column:
+    """The log odds of class 1 as a column made from coefficient rows."""
+    out = F.lit(0.0)
+    for term, c in coefficients:
+        out = out + (F.lit(c) if term == "(intercept)" else F.lit(c) * F.col(term).cast("double"))
+    return out
+
+
 def probability_of(df: DataFrame, cls: int = 1, col: str = "probability") -> Column:
     return F.get(vector_to_array(F.col(col)), cls)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from tablelearn.operators import filters, hands, id3, metrics, mllib, naive_bayes, split, stats
+from tablelearn.operators import filters, hands, id3, metrics, mllib, naive_bayes, split, stats, thresholds
 from tablelearn.plans.shaping import cut_lineage
 from tablelearn.session import scratch_path
 from tablelearn.sources import derived, text
@@ -212,6 +212,52 @@ def q_best_attribute_compat(spark, sf):
     return rounded(stats.best_attribute(rep, compat=True))
 
 
+def q_last_column_label(spark, sf):
+    """The table as it comes: its last column is the label."""
+    df = _injury(spark, sf).select(*text.INJURY_COLUMNS)
+    features, label = text.features_and_label(df)
+    return rounded(stats.best_attribute(stats.gain_report(df, features, label)))
+
+
+def q_threshold_gain_width(spark, sf):
+    df = _injury(spark, sf)
+    cuts = thresholds.width_cuts(df, INJURY_FEATURES)
+    return rounded(thresholds.best_thresholds(thresholds.threshold_report(df, INJURY_FEATURES, INJURY_LABEL, cuts)))
+
+
+def q_threshold_gain_sketch(spark, sf):
+    report = thresholds.sketched_thresholds(_injury(spark, sf), INJURY_FEATURES, INJURY_LABEL)
+    return rounded(thresholds.best_thresholds(report))
+
+
+def q_threshold_gain_check(spark, sf):
+    """Facts that hold for any sketch within its error: between two cuts lie
+    no more rows than a bin's share and twice the error, and the best cuts'
+    counts and gains are those of the rows themselves."""
+    df, label = _injury(spark, sf), F.col(INJURY_LABEL)
+    sketches = thresholds.feature_sketches(df, INJURY_FEATURES)
+    cuts = thresholds.cut_points(sketches, INJURY_FEATURES)
+    best = {r["feature"]: r for r in thresholds.best_thresholds(
+        thresholds.threshold_report(df, INJURY_FEATURES, INJURY_LABEL, cuts)).collect()}
+    share = 1 / thresholds.BINS + 2 * 2.3 / thresholds.SKETCH
+    least = df.agg(*[F.min(F.col(f).cast("double")).alias(f) for f in INJURY_FEATURES]).first()
+    out = None
+    for f in INJURY_FEATURES:
+        x = F.col(f).cast("double")
+        on_cut = x.isin([least[f], *[float(c) for c in cuts[f]]])
+        bins = df.filter(x.isNotNull()).select(thresholds._bin(x, cuts[f]).alias("bin"), on_cut.alias("at"),
+                                               (x < best[f]["threshold"]).alias("below"), label.alias("y"))
+        cells = bins.groupBy("bin", "at", "below", "y").agg(F.count(F.lit(1)).alias("k"))
+        of = cells.groupBy("bin").agg(F.sum("k").alias("k"), F.sum(F.when(~F.col("at"), F.col("k"))).alias("inside"),
+                                      F.sum(F.when(F.col("below"), F.col("k"))).alias("low"))
+        one = of.agg(F.sum("k").alias("n"), F.collect_list("inside").alias("inside"), F.sum("low").alias("low"))
+        one = one.select(F.lit(f).alias("feature"), "n",
+                         F.size(F.filter("inside", lambda k: k > F.col("n") * share)).cast("long").alias("wide_bins"),
+                         (F.col("low") != best[f]["n_below"]).cast("long").alias("miscounted"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def q_class_means(spark, sf):
     return rounded(stats.class_means(_injury(spark, sf), INJURY_FEATURES, INJURY_LABEL))
 
@@ -371,6 +417,49 @@ def q_mllib_tree_check(spark, sf):
         F.count_if(F.col("prediction").isNull()).alias("without_prediction"))
 
 
+def q_mllib_tree_split_check(spark, sf):
+    """Impurity, gain and prediction of every node, counted again from the
+    training rows that reach it, against the fitted tree's own."""
+    df, model = _tree_model(spark, sf)
+    nodes = mllib.tree_nodes(model, spark)
+    train = model.stages[0].transform(df.filter(F.col("split") == 0))
+    again = mllib.node_statistics(train, nodes, INJURY_FEATURES, "label", model.stages[-1].depth)
+    both = nodes.alias("t").join(again.alias("a"), "id", "left")
+    off = lambda a, b: F.count_if(F.coalesce(F.abs(F.col(a) - F.col(b)) > 1e-9, F.lit(True)))
+    inner = F.col("left_child") >= 0
+    return both.agg(
+        F.max(F.when(F.col("id") == 0, F.col("n"))).alias("n_root"),
+        F.sum(F.when(~inner, F.col("n"))).alias("n_leaves"), off("t.impurity", "a.impurity").alias("impurity_off"),
+        F.count_if(inner & F.coalesce(F.abs(F.col("t.gain") - F.col("a.gain")) > 1e-9, F.lit(True))).alias("gain_off"),
+        off("t.prediction", "a.prediction").alias("prediction_off"))
+
+
+WIDE_FEATURES = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "month", "Player_Age", "Player_Weight",
+                 "Player_Height", "l_tax", "Recovery_Time", "l_quantity", "l_discount"]
+
+
+def q_mllib_tree_rules_check(spark, sf):
+    """A tree over twelve features, the label made of the last two: its rules
+    by joins over the node table against those read from the named dump."""
+    rows = derived.injury_view(read_table(spark, sf, "lineitem"), (
+        *derived.LINEITEM_KEY, "l_tax", "l_quantity", "l_discount", "l_shipdate"))
+    rows = rows.withColumn("month", F.month("l_shipdate")).withColumn(
+        "big", (F.col("l_quantity") * (1 - F.col("l_discount")) > 24).cast("int"))
+    rows = cut_lineage(rows.select(*WIDE_FEATURES, "big"), "wide-features")
+    model = mllib.tree_estimator(WIDE_FEATURES, "big", seed=SEED_70_30).fit(rows)
+    nodes = mllib.tree_nodes(model, spark)
+    walked = mllib.tree_paths(nodes, WIDE_FEATURES, model.stages[-1].depth).filter("is_leaf").select("rule", "prediction")
+    named = mllib.named_debug_string(model.stages[-1].toDebugString, WIDE_FEATURES)
+    read = spark.createDataFrame(mllib.dump_rules(named), "rule string, prediction double")
+    both = walked.withColumn("side", F.lit(1)).unionByName(read.withColumn("side", F.lit(-1)))
+    per_rule = both.groupBy("rule", "prediction").agg(F.sum("side").alias("side"), F.count_if(F.col("side") > 0).alias("k"))
+    return per_rule.agg(
+        F.count_if(F.col("side") != 0).alias("differences"),
+        F.count_if(F.col("rule").rlike(r"\bfeature \d")).alias("unnamed"),
+        (F.count_if(F.col("rule").contains("(l_quantity ")) > 0).alias("feature_10"),
+        (F.count_if(F.col("rule").contains("(l_discount ")) > 0).alias("feature_11"))
+
+
 def q_mllib_tree_rules(spark, sf):
     _, model = _tree_model(spark, sf)
     return mllib.tree_rules(model, INJURY_FEATURES, spark)
@@ -391,10 +480,7 @@ def _logistic(spark, sf):
 
 def q_logistic_fit(spark, sf):
     _, model = _logistic(spark, sf)
-    lr = model.stages[-1]
-    rows = [(f, float(c)) for f, c in zip(INJURY_FEATURES, lr.coefficients.toArray())]
-    rows.append(("(intercept)", float(lr.intercept)))
-    return spark.createDataFrame(rows, "term string, coefficient double")
+    return spark.createDataFrame(mllib.coefficient_rows(model), "term string, coefficient double")
 
 
 def q_logistic_check(spark, sf):
@@ -417,6 +503,27 @@ def q_logistic_predict(spark, sf):
                        F.get(mllib.vector_to_array(F.col("rawPrediction")), 1).alias("score"))
 
 
+def q_logistic_score_check(spark, sf):
+    """Scores, probabilities and predictions of the test rows computed again
+    from the coefficient rows, and the area under ROC from these scores (ranks
+    summed by MLlib's evaluator) against the operator's from the model's."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    df, model = _logistic(spark, sf)
+    test = cut_lineage(model.transform(df.filter(F.col("split") == 1)).select(
+        F.col(INJURY_LABEL).cast("double").alias("label"), "prediction", F.get(mllib.vector_to_array(F.col("probability")), 1).alias("p"),
+        F.get(mllib.vector_to_array(F.col("rawPrediction")), 1).alias("score"),
+        mllib.logistic_score(mllib.coefficient_rows(model)).alias("own")), "scored")
+    off = lambda a, b: F.count_if(F.coalesce(F.abs(a - b) > 1e-9 * (1 + F.abs(b)), F.lit(True)))
+    area = BinaryClassificationEvaluator(rawPredictionCol="own", labelCol="label", numBins=0).evaluate(test)
+    facts = test.agg(
+        F.count(F.lit(1)).alias("n_test"), off(F.col("own"), F.col("score")).alias("score_off"),
+        off(1 / (1 + F.exp(-F.col("own"))), F.col("p")).alias("probability_off"),
+        off((F.col("own") > 0).cast("double"), F.col("prediction")).alias("prediction_off"))
+    return facts.join(metrics.area_under_roc(test).select(
+        (F.abs(F.col("area_under_roc") - area) > 1e-9).cast("long").alias("area_off"), F.col("n_pos").alias("n_positive"),
+        (F.col("n_pos") + F.col("n_neg")).alias("_n")), F.col("n_test") == F.col("_n"), "left").drop("_n")
+
+
 def q_predicted_keys(spark, sf):
     """Keys and labels of the rows that both models score: the test sides."""
     tree, model = _tree_model(spark, sf)
@@ -583,6 +690,10 @@ QUERIES = {
     "best_attribute": q_best_attribute,
     "best_attribute_compat": q_best_attribute_compat,
     "best_attribute_by_split": q_best_attribute_by_split,
+    "last_column_label": q_last_column_label,
+    "threshold_gain_width": q_threshold_gain_width,
+    "threshold_gain_sketch": q_threshold_gain_sketch,
+    "threshold_gain_check": q_threshold_gain_check,
     "class_means": q_class_means,
     "class_means_compat": q_class_means_compat,
     "class_stddev": q_class_stddev,
@@ -611,11 +722,14 @@ QUERIES = {
     "mllib_tree_fit": q_mllib_tree_fit,
     "mllib_tree_predict": q_mllib_tree_predict,
     "mllib_tree_check": q_mllib_tree_check,
+    "mllib_tree_split_check": q_mllib_tree_split_check,
+    "mllib_tree_rules_check": q_mllib_tree_rules_check,
     "mllib_tree_rules": q_mllib_tree_rules,
     "mllib_tree_report": q_mllib_tree_report,
     "logistic_fit": q_logistic_fit,
     "logistic_check": q_logistic_check,
     "logistic_predict": q_logistic_predict,
+    "logistic_score_check": q_logistic_score_check,
     "predicted_keys": q_predicted_keys,
     "logistic_auc": q_logistic_auc,
     "rule_tree_predict": q_rule_tree_predict,

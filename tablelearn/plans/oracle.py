@@ -380,7 +380,41 @@ _ID3D = _id3_sql(None)
 _NODE_COLS = (f"node_path, depth, split_attribute, n, is_pure, majority, {rnd('mean_label')} AS mean_label, "
               f"{rnd('mean_first_column')} AS mean_first_column, leaf_value")
 
+def _threshold_gain(bins: int) -> str:
+    """The best of ``bins - 1`` equal-width cuts of each feature, every cut
+    counted over all rows."""
+    x = {f: f"CAST({f} AS DOUBLE)" for f in F6}
+    long = " UNION ALL ".join(f"SELECT '{f}' AS feature, {k} AS feature_pos, {x[f]} AS v, {LBL} AS y FROM r" for k, f in enumerate(F6))
+    ent = lambda a, b: f"(CASE WHEN {a} > 0 THEN {a} * ln({a}) ELSE 0 END - {b})"
+    return (f"WITH r AS (SELECT * FROM {INJURY}), long AS (SELECT * FROM ({long}) WHERE v IS NOT NULL AND NOT isnan(v)), "
+            f"e AS (SELECT feature, min(v) AS lo, max(v) AS hi FROM long GROUP BY feature), "
+            f"cuts AS (SELECT feature, lo + (hi - lo) / {bins} * i AS threshold FROM e, range(1, {bins}) t(i) WHERE hi > lo), "
+            f"cells AS (SELECT feature, feature_pos, v, y, count(*) AS n FROM long GROUP BY ALL), "
+            f"k AS (SELECT c.feature, c.feature_pos, threshold, y, sum(n) AS al, coalesce(sum(n) FILTER (v < threshold), 0) AS lf "
+            f"FROM cells c JOIN cuts USING (feature) GROUP BY ALL), "
+            f"s AS (SELECT feature, feature_pos, threshold, sum(al)::DOUBLE AS n, sum(lf)::DOUBLE AS l, "
+            f"sum(al * ln(al)) AS sa, sum(CASE WHEN lf > 0 THEN lf * ln(lf) ELSE 0 END) AS sl, "
+            f"sum(CASE WHEN al > lf THEN (al - lf) * ln(al - lf) ELSE 0 END) AS sr FROM k GROUP BY ALL), "
+            f"g AS (SELECT *, greatest(0, ({ent('n', 'sa')} - {ent('l', 'sl')} - {ent('(n - l)', 'sr')}) / n / ln(2)) AS gain FROM s) "
+            f"SELECT feature, CAST(feature_pos AS INTEGER) AS feature_pos, {rnd('threshold')} AS threshold, CAST(n AS BIGINT) AS n, "
+            f"CAST(l AS BIGINT) AS n_below, {rnd('gain')} AS gain FROM g "
+            f"QUALIFY row_number() OVER (PARTITION BY feature ORDER BY round(gain, 12) DESC, threshold) = 1")
+
+
 ORACLE = {
+    "last_column_label": _best("gain"),
+    "threshold_gain_width": _threshold_gain(32),
+    "threshold_gain_check": " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, count({f}) AS n, CAST(0 AS BIGINT) AS wide_bins, CAST(0 AS BIGINT) AS miscounted FROM {INJURY}"
+        for f in F6),
+    "mllib_tree_split_check": f"SELECT count(*) AS n_root, count(*) AS n_leaves, CAST(0 AS BIGINT) AS impurity_off, "
+                              f"CAST(0 AS BIGINT) AS gain_off, CAST(0 AS BIGINT) AS prediction_off FROM {INJURY_SPLIT_70} "
+                              f"WHERE split = 0",
+    "mllib_tree_rules_check": "SELECT CAST(0 AS BIGINT) AS differences, CAST(0 AS BIGINT) AS unnamed, TRUE AS feature_10, "
+                              "TRUE AS feature_11",
+    "logistic_score_check": f"SELECT count(*) AS n_test, CAST(0 AS BIGINT) AS score_off, CAST(0 AS BIGINT) AS probability_off, "
+                            f"CAST(0 AS BIGINT) AS prediction_off, CAST(0 AS BIGINT) AS area_off, "
+                            f"CAST(sum({LBL}) AS BIGINT) AS n_positive FROM {INJURY_SPLIT_80} WHERE split = 1",
     "parse_records": f"SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in INJURY_COLUMNS)
                      + f" FROM {INJURY} WHERE l_orderkey % 13 > 2 AND " + " AND ".join(f"{c} IS NOT NULL" for c in INJURY_COLUMNS),
     "parse_hands": f"SELECT * EXCLUDE (hand_id) FROM {HANDS} WHERE hand_id % 17 > 2",

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -60,10 +61,45 @@ def _scratch_base(spark: SparkSession) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "tablelearn-scratch")
 
 
+class ScratchScope:
+    """The tables that one result leaves behind, to be released with it::
+
+        with ScratchScope(spark) as scope:
+            result = id3_predict(id3_build(train, ...), test)
+        result.write.parquet(...)
+        scope.release()
+
+    Tables written inside the ``with`` block go to a folder of their own, so
+    releasing them leaves those of other results alone.  Scopes nest; the
+    innermost one takes the tables.  A lazy result is readable until its scope
+    is released."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.name, self._token = spark, f"scope-{uuid.uuid4().hex}", None
+
+    @property
+    def path(self) -> str:
+        return os.path.join(_scratch_base(self.spark), self.name)
+
+    def __enter__(self) -> ScratchScope:
+        self._token = _scope.set(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _scope.reset(self._token)
+
+    def release(self) -> None:
+        delete_scratch(self.spark, self.path)
+
+
+_scope: ContextVar[ScratchScope | None] = ContextVar("scratch_scope", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the shared checkpoint directory, for tables
-    written on purpose (CSV round trips, saved models)."""
-    return os.path.join(_scratch_base(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh folder name under the shared checkpoint directory (in the
+    innermost ``ScratchScope``), for tables written on purpose."""
+    scope = _scope.get()
+    return os.path.join(scope.path if scope else _scratch_base(spark), f"{name}-{uuid.uuid4().hex}")
 
 
 def delete_scratch(spark: SparkSession, path: str) -> None:
@@ -80,6 +116,7 @@ def delete_scratch(spark: SparkSession, path: str) -> None:
 
 
 def release_scratch(spark: SparkSession) -> None:
-    """Delete every table this session wrote on the way to its results.
-    Lazy results that still read one of them cannot be used afterwards."""
+    """Delete every table this session wrote on the way to its results, in
+    any scope.  Lazy results that still read one of them cannot be used
+    afterwards; ``ScratchScope`` releases one result at a time."""
     delete_scratch(spark, _scratch_base(spark))

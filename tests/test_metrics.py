@@ -60,3 +60,15 @@ def test_empty_metrics_are_null(spark):  # B8
     df = spark.createDataFrame([], "label double, prediction double")
     rep = metrics.classification_report(df).collect()[0]
     assert rep["accuracy"] is None and rep["weighted_f1"] is None
+
+
+def test_nothing_runs_while_the_area_is_built(spark):
+    df = spark.range(1000).selectExpr("cast(id % 2 as double) as label", "cast(id * 7 % 101 as double) as score")
+    tracker, group = spark.sparkContext.statusTracker(), "area-under-roc-test"
+    spark.sparkContext.setJobGroup(group, "test")
+    try:
+        out = metrics.area_under_roc(df, buckets=5)
+        assert not tracker.getJobIdsForGroup(group)
+        assert out.first()["n_pos"] == 500 and tracker.getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()

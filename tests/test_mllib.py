@@ -44,3 +44,24 @@ def test_label_index_table_matches_string_indexer(spark):
     model = StringIndexer(inputCol="y", outputCol="i").fit(df)
     theirs = {v: float(i) for i, v in enumerate(model.labels)}
     assert ours == theirs == {"d": 0.0, "a": 1.0, "b": 2.0, "c": 3.0}
+
+
+def test_paths_routes_and_statistics_of_a_fitted_tree(spark):
+    import math
+    rows = [(float(i % 17), float(i * 7 % 23), int((i % 17 > 8) != (i * 7 % 23 > 11))) for i in range(500)]
+    df = spark.createDataFrame(rows, "a double, b double, y int")
+    model = mllib.tree_estimator(["a", "b"], "y", max_depth=3).fit(df)
+    nodes = mllib.tree_nodes(model, spark)
+    depth = model.stages[-1].depth
+    paths = mllib.tree_paths(nodes, ["a", "b"], depth).collect()
+    assert len(paths) == model.stages[-1].numNodes and all(len(r["path"]) == r["depth"] + 1 for r in paths)
+    dump = mllib.dump_rules(mllib.named_debug_string(model.stages[-1].toDebugString, ["a", "b"]))
+    assert sorted((r["rule"], r["prediction"]) for r in paths if r["is_leaf"]) == sorted(dump)
+    scored = model.transform(df)
+    routed = mllib.route(scored, nodes, ["a", "b"]).join(
+        nodes.select(F.col("id").alias("node"), F.col("prediction").alias("of_node")), "node")
+    assert routed.filter("prediction <> of_node").count() == 0 and routed.count() == 500
+    stored = {r["id"]: r for r in nodes.collect()}
+    for r in mllib.node_statistics(scored, nodes, ["a", "b"], "label", depth).collect():
+        assert math.isclose(r["impurity"], stored[r["id"]]["impurity"], abs_tol=1e-9)
+        assert r["gain"] is None or math.isclose(r["gain"], stored[r["id"]]["gain"], abs_tol=1e-9)

@@ -4,8 +4,9 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from tablelearn.operators import id3
 from tablelearn.plans.shaping import cut_lineage, drop_written
-from tablelearn.session import delete_scratch, ensure_checkpoint_dir, release_scratch, scratch_path
+from tablelearn.session import ScratchScope, delete_scratch, ensure_checkpoint_dir, release_scratch, scratch_path
 
 
 def _local(uri: str) -> str:
@@ -54,3 +55,32 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+def test_one_of_two_results_is_released(spark):
+    release_scratch(spark)
+    train = spark.createDataFrame([(i % 3, i % 5, i % 2) for i in range(60)], "a int, b int, y int")
+    results = []
+    for depth in (1, 2):
+        with ScratchScope(spark) as scope:
+            results.append((scope, id3.id3_predict(id3.id3_build(train, ["a", "b"], "y", max_depth=depth), train)))
+    base = os.path.join(_local(ensure_checkpoint_dir(spark)), "tablelearn-scratch")
+    (first, gone), (second, kept) = results
+    assert gone.count() == 60 and len(os.listdir(base)) == 2
+    first.release()
+    assert kept.count() == 60 and len(os.listdir(base)) == 1
+    with pytest.raises(Exception):
+        gone.collect()
+    second.release()
+    assert not os.listdir(base)
+
+
+def test_the_innermost_scope_takes_the_tables(spark):
+    with ScratchScope(spark) as outer:
+        a = cut_lineage(spark.range(3), "a")
+        with ScratchScope(spark) as inner:
+            b = cut_lineage(spark.range(4), "b")
+        c = cut_lineage(spark.range(5), "c")
+    inner.release()
+    assert a.count() == 3 and c.count() == 5 and not any(os.path.exists(_local(f)) for f in b.inputFiles())
+    outer.release()
