@@ -3,10 +3,11 @@
 A model of toxic and a model of ordinary text are counted from labelled
 documents; a text is scored by the difference of their length-normalised
 log-likelihoods, over the whole text, over its most toxic stretch of ``STRETCH``
-words, and at its most toxic word (one insult in a long text would vanish in
-the mean alone).  A logistic calibration gives the score in (0, 1).
+words, and at its two most toxic words (an insult in a long text would vanish in
+the mean alone, and a single rare word may be loud by chance).  A logistic calibration gives the score in (0, 1).
 
-Smoothing, from the top down, with absolute discounting at each step:
+Smoothing, from the top down, with absolute discounting at each step (what a
+discount of ``DISCOUNT`` takes from a context goes to its backoff distribution):
 
 * bigram counts of the class;
 * continuation counts of the class (in how many contexts a word was seen);
@@ -23,8 +24,10 @@ broadcast: in a word outside it, the share of the word in its stem (and for a
 stem outside it, the share of the stem) is a factor of both classes'
 probabilities and leaves their ratio as it is.  All class bigrams make the
 context and continuation counts, and every one of them keeps its own count: the
-most frequent are broadcast, as far as ``HELD`` go, and the rest (none in small
-samples) is a table that is joined to the bigrams of each text.  Class counts
+most frequent are read, as far as ``HELD`` go, and the rest (none in small
+samples) is a table that is joined to the bigrams of each text.  What is
+broadcast are those with a count above the discount; for the others the
+discounted count is 0, as for a bigram never seen.  Class counts
 come from a bounded sample of labelled rows (``SAMPLE`` ids of each class, all
 of them when there are fewer); a tenth of the sampled ids (up to two fifths,
 when there are few) is left out of the counts and calibrates.
@@ -49,11 +52,13 @@ from tablelearn.llm.labelled import Calibration, class_sizes, labelled_sample
 from tablelearn.plans.shaping import cut_lineage
 
 START = xxhash.xxh3_64_intdigest(b"the start of a text")     # the context of a text's first word
-SAMPLE = 50_000             # labelled ids of each class
+SAMPLE = 16_000              # labelled ids of each class
+DISCOUNT = 3                # taken from every count of a class
 FIND = 1 << 17              # keys looked up at once
 SLICE = 1 << 21             # bigrams that the driver reads at once, about
 HELD = 1 << 24              # bigrams in the broadcast; more are joined
 STRETCH = 4
+FEATURES = 5
 CHUNK = 4 << 20             # bytes of text worked on at once
 KNOWN_TOKENS = 250_000      # tokens a worker remembers the words of
 STRIP = b".,;:!?\"'()[]{}<>|*#%$&-_"
@@ -216,25 +221,25 @@ class KneserNey:
 
     def __init__(self, words: dict, stems: dict, totals: dict, pairs: Rows):
         """``words``: ``key``, ``n`` in all documents and, of class c, tokens
-        ``tc`` and types ``kc`` of the context and continuation count ``cc``;
-        ``stems``: ``key``, ``n`` and count ``sc`` in class c; ``totals``:
-        ``seen`` and ``d`` (discount) of each class, stems ``n`` and different
-        ones ``k`` of all documents; ``pairs``: counts of bigrams."""
+        ``tc`` and what the discount takes ``kc`` of the context and
+        continuation count ``cc``; ``stems``: ``key``, ``n`` and count ``sc`` in
+        class c; ``totals``: different bigrams ``seen`` of each class, stems
+        ``n`` and different ones ``k`` of all documents; ``pairs``: counts of
+        bigrams."""
         f = np.float32
-        self.pairs, self.discounts = pairs, totals["d"]
+        self.pairs = pairs
         # a shared word given its stem, and a shared stem
         by_word, by_stem = [words["n"] + 0.1], [stems["n"] + 1.0]
         stem_share = (stems["n"] + 0.1) / (totals["n"] + 0.1 * totals["k"])
         absent, self.rest = [1.0], []       # a factor of both classes has no part in the ratio
         for c in (0, 1):
-            tokens, types, continuation, stem = words[f"t{c}"], words[f"k{c}"], words[f"c{c}"], stems[f"s{c}"]
-            d, seen, n = self.discounts[c], max(totals["seen"][c], 1), max(stem.sum(), 1)
-            total = np.maximum(tokens, 1)
-            left = max(d * np.count_nonzero(stem) / n, 1.0 / n)
-            self.rest.append(min(1.0, max(d * np.count_nonzero(continuation) / seen, 1e-6)))
-            by_word += [np.where(tokens > 0, 1 / total, 0), np.where(tokens > 0, d * types / total, 1),
-                        np.maximum(continuation - d, 0) / seen]
-            by_stem.append(np.maximum(stem - d, 0) / n + left * stem_share)
+            tokens, taken, continuation, stem = words[f"t{c}"], words[f"k{c}"], words[f"c{c}"], stems[f"s{c}"]
+            seen, n, total = max(totals["seen"][c], 1), max(stem.sum(), 1), np.maximum(tokens, 1)
+            left = max(np.minimum(stem, DISCOUNT).sum() / n, 1.0 / n)
+            self.rest.append(min(1.0, max(np.minimum(continuation, DISCOUNT).sum() / seen, 1e-6)))
+            by_word += [np.where(tokens > 0, 1 / total, 0), np.where(tokens > 0, taken / total, 1),
+                        np.maximum(continuation - DISCOUNT, 0) / seen]
+            by_stem.append(np.maximum(stem - DISCOUNT, 0) / n + left * stem_share)
             absent.append(left)
         self.words = Rows(words["key"], [x.astype(f) for x in by_word])
         self.stems = Rows(stems["key"], [x.astype(f) for x in by_stem])
@@ -253,6 +258,12 @@ class KneserNey:
             setattr(tables, name, rows)
         return tables
 
+    def counted(self) -> KneserNey:
+        """The same tables, with the bigrams that the discount leaves."""
+        counts = [c[:-1] for c in self.pairs.columns]
+        left = np.logical_or(*[c > DISCOUNT for c in counts])
+        return KneserNey.of(self.fields() | {"pairs": Rows(self.pairs.keys[left], [c[left] for c in counts]).__dict__})
+
     def fields(self) -> dict:
         return self.__dict__ | {name: getattr(self, name).__dict__ for name in ("words", "stems", "pairs")}
 
@@ -283,15 +294,15 @@ class KneserNey:
             n = self.pairs.columns[c][at].astype(np.float32)
             if rest:
                 n += rest.columns[c][in_rest]
-            p = np.maximum(n - self.discounts[c], 0) * inverse[h] + backoff[h] * one[ids]
+            p = np.maximum(n - DISCOUNT, 0) * inverse[h] + backoff[h] * one[ids]
             logs.append(np.log(np.maximum(p, 1e-30)))
         return logs[1] - logs[0]
 
 
 def _features(model: KneserNey, words: Words, texts: list, rest: Rows | None = None) -> np.ndarray:
     """Per text: mean log ratio, the largest mean over STRETCH words, the
-    largest of a word, and the log of the length."""
-    out = np.zeros((len(texts), 4))
+    largest of a word, the log of the length, and the second largest of a word."""
+    out = np.zeros((len(texts), FEATURES))
     for first, part in _chunks(texts):
         ids, starts = words.read(part)
         if not len(ids):
@@ -315,7 +326,13 @@ def _features(model: KneserNey, words: Words, texts: list, rest: Rows | None = N
         some = np.flatnonzero(n)
         top = np.zeros(len(part))
         top[some] = np.maximum.reduceat(ratio, starts[some])
-        out[first:first + len(part)] = np.c_[mean, best, top, np.log1p(n)]
+        # once more without the most toxic word; a text of one word has only that
+        at = np.where(ratio == np.repeat(top, n), np.arange(len(ratio)), -1)
+        ratio[np.maximum.reduceat(at, starts[some])] = -np.inf
+        second = np.zeros(len(part))
+        second[some] = np.maximum.reduceat(ratio, starts[some])
+        second[n == 1] = top[n == 1]
+        out[first:first + len(part)] = np.c_[mean, best, top, np.log1p(n), second]
     return out
 
 
@@ -342,9 +359,10 @@ def _arrays(df: DataFrame) -> dict:
 def _word_table(pairs: DataFrame, words: DataFrame) -> dict:
     """What KneserNey needs of each word of the labelled sample."""
     seen = [(F.col(n) > 0).cast("long") for n in ("n0", "n1")]
+    taken = [F.least(F.col(n), F.lit(DISCOUNT)) for n in ("n0", "n1")]
     no = F.lit(0).cast("long")
     names = ["key", "n", "t0", "t1", "k0", "k1", "c0", "c1"]
-    rows = pairs.select("h", no, "n0", "n1", *seen, no, no).toDF(*names)
+    rows = pairs.select("h", no, "n0", "n1", *taken, no, no).toDF(*names)
     rows = rows.unionAll(pairs.select("w", no, no, no, no, no, *seen).toDF(*names))
     rows = rows.unionAll(words.filter("n0 + n1 > 0").select("w", "n", no, no, no, no, no, no).toDF(*names))
     # counts in the bounded sample are small
@@ -356,10 +374,8 @@ def _stem_table(pairs: DataFrame, words: DataFrame) -> tuple[dict, dict]:
     stems = words.groupBy(F.col("h").alias("key")).agg(
         F.sum("n").alias("n"), F.sum("n0").alias("s0"), F.sum("n1").alias("s1"))
     t = stems.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("k")).first().asDict()
-    r = pairs.agg(*(F.count_if(F.col(f"n{c}") == k).alias(f"of{c}{k}") for c in (0, 1) for k in (1, 2)),
-                  *(F.count_if(F.col(f"n{c}") > 0).alias(f"seen{c}") for c in (0, 1))).first()
+    r = pairs.agg(*(F.count_if(F.col(f"n{c}") > 0).alias(f"seen{c}") for c in (0, 1))).first()
     t["seen"] = [r["seen0"], r["seen1"]]
-    t["d"] = [min(max(r[f"of{c}1"] / max(r[f"of{c}1"] + 2 * r[f"of{c}2"], 1), 0.1), 0.95) for c in (0, 1)]
     return _arrays(stems.filter("s0 + s1 > 0")), t
 
 
@@ -437,19 +453,19 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str, learn, id_col="
     pairs, words = counts.filter("pair"), counts.filter("not pair")
     tables = KneserNey(_word_table(pairs, words), *_stem_table(pairs, words), None)
     tables.pairs, rest = _bigrams(pairs)
-    held = docs.sparkSession.sparkContext.broadcast(tables.fields())
+    held = docs.sparkSession.sparkContext.broadcast(tables.counted().fields())
 
     def measure(batches):
         words, model = Words(), KneserNey.of(held.value)
         for b in batches:
             x = _features(model, words, _read(b.column(0)), _rest_of(b, 2))
-            yield pa.RecordBatch.from_pydict({"y": b.column(1), **{f"x{k}": x[:, k] for k in range(4)}})
+            yield pa.RecordBatch.from_pydict({"y": b.column(1), **{f"x{k}": x[:, k] for k in range(FEATURES)}})
 
     rows = texts.join(known.filter(F.col("_u") < share), F.col("_i") == F.col("_id")).select("_t", "_y")
     rows = _with_rest(rows, "_t", held, rest).mapInArrow(
-        measure, "y int, x0 double, x1 double, x2 double, x3 double").toArrow()
+        measure, "y int, " + ", ".join(f"x{k} double" for k in range(FEATURES))).toArrow()
     y = rows["y"].to_numpy().astype(float)
-    x = np.column_stack([rows[f"x{k}"].to_numpy() for k in range(4)])
+    x = np.column_stack([rows[f"x{k}"].to_numpy() for k in range(FEATURES)])
     calibration = Calibration(x, y, base).for_odds(sizes, y)
     return ToxicityModel(tables, calibration, base, held, rest)
 
