@@ -2,9 +2,12 @@
 
 A page is cut into text blocks at block-level tags; scripts, styles, comments,
 head and form controls are skipped while cutting.  Each block gets its word
-count and link density, those of the block before and after it, and four
-marks of where it stands (inside a page-furniture element, inside an element
-whose class or id names furniture, inside an article, a heading).  A decision
+count and link density (a link may span blocks), those of the block before and
+after it, and marks of where it stands: inside a page-furniture element; inside
+an element whose class or id names furniture (1, or 0.5 if an article begins
+between that element and the block); inside an article; a heading; after the end
+of an article.  A class or id is a name by its head word (``site-footer``,
+``comments-list``, but not ``social-layout``).  A decision
 tree, trained with MLlib on the small labelled table ``LABELLED``, tells main
 text from the rest.  Blocks of main text are joined in page order by a line
 feed, nothing is shortened.
@@ -48,13 +51,16 @@ commentlist consent cookie cookies copyright disclaimer discussion disqus feedba
 masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup
 privacy promo promoted promotion recommended register related replies reply respond reviews search share sharing
 sidebar signup skip social sponsor sponsored subscribe subscription tags teaser toolbar topbar trending widget""".split()
+#: the word before one of these at the end of a name is its head: "comments-list", "ad-slot"
+HOLDERS = frozenset("area bar block body box btn button container content group holder inner items links list outer panel row "
+                    "section slot unit wrap wrapper zone".split())
 NOT_NAMED_BY = {"has", "with", "no", "without"}        # class="has-sidebar" is no sidebar
 
-TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<!--(?:.*?-->|.*\Z)|<[/!?][^>]*>"
+TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[/!?][^>]*>"
                  r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after",
-            "furniture", "named", "article", "heading")
+            "furniture", "named", "article", "heading", "past_article")
 
 
 def _marks(tag: str, attributes: str) -> tuple[bool, bool, bool]:
@@ -62,26 +68,57 @@ def _marks(tag: str, attributes: str) -> tuple[bool, bool, bool]:
     article?"""
     article, named = tag in ("article", "main"), False
     for name, value in ATTRIBUTE.findall(attributes):
-        parts = [p for p in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value.strip("\"'")).lower()) if p]
+        tokens = [[p for p in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", t).lower()) if p]
+                  for t in value.strip("\"'").split()]
+        parts = [p for t in tokens for p in t]
         if name.lower() in ("role", "itemprop"):
             article |= parts in (["main"], ["article"], ["article", "body"])
             named |= parts in (["navigation"], ["banner"], ["contentinfo"], ["complementary"], ["search"], ["alert"])
         elif tag not in ("html", "body", "main") and not NOT_NAMED_BY & set(parts):
-            named |= not _NAMES.isdisjoint(parts)
+            named |= any(map(_names_furniture, tokens))
     return tag in _FURNITURE, named, article
 
 
+def _names_furniture(parts: list[str]) -> bool:
+    while len(parts) > 1 and parts[-1] in HOLDERS:
+        parts = parts[:-1]
+    return bool(parts) and parts[-1] in _NAMES
+
+
+def _tags(page: str):
+    """Tags in page order, as matches, or None for a comment that hides the
+    rest, each with its end; the caller may send a place to go on from.
+    A ``<`` behind the last ``>`` opens nothing, so it is not tried."""
+    at, last = 0, page.rfind(">")
+    while True:
+        start = page.find("<", at)
+        if start < 0:
+            return
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = (yield start, end + 3 if end >= 0 else len(page), None) or (end + 3 if end >= 0 else len(page))
+        elif start > last:
+            return
+        elif m := TAG.match(page, start):
+            at = (yield start, m.end(), m) or m.end()
+        else:
+            at = start + 1
+
+
 _NAMES, _FURNITURE = frozenset(NAMES), frozenset(FURNITURE)
 _SKIPPED, _INLINE, _VOID, _ENDS_P = frozenset(SKIPPED), frozenset(INLINE), frozenset(VOID), frozenset(ENDS_P)
 
 
 def blocks_of(page: str) -> list[tuple]:
-    """``(text, words, link density, furniture, named, article, heading)`` of
-    each text block, in page order."""
+    """``(text, words, link density, furniture, named, article, heading,
+    past_article)`` of each text block, in page order."""
     blocks, text, linked = [], [], 0
-    stack: list[tuple] = []          # (tag, furniture, named, article) of open block elements
-    state = (False, False, False)
-    in_link, heading, at = False, False, 0
+    outside = (False, 0.0, False)
+    stack: list[tuple] = []          # (tag, (furniture, named, article)) of open block elements
+    state, past = outside, False
+    #: of the open link: how many block elements were open, and whether a plain paragraph was
+    link: tuple | None = None
+    plain_p, heading, at = False, False, 0
     endless: set[str] = set()        # tags without an end tag in the rest of the page
 
     def end():
@@ -89,18 +126,21 @@ def blocks_of(page: str) -> list[tuple]:
         joined = " ".join(unescape("".join(text)).split())
         if joined:
             size = max(1, sum(map(len, text)))
-            blocks.append((joined, joined.count(" ") + 1, min(1.0, linked / size), *state, heading))
+            blocks.append((joined, joined.count(" ") + 1, min(1.0, linked / size), *state, heading, past))
         text, linked = [], 0
 
-    for m in TAG.finditer(page):
-        if m.start() < at:
-            continue
-        if m.start() > at:
-            part = page[at:m.start()]
+    tags, jump = _tags(page), None
+    while True:
+        try:
+            start, stop, m = tags.send(jump)
+        except StopIteration:
+            break
+        if start > at:
+            part = page[at:start]
             text.append(part)
-            linked += len(part) if in_link else 0
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
+            linked += len(part) if link else 0
+        at, jump = stop, None
+        tag = (m[2] or m[5] or "").lower() if m else ""
         if not tag:
             continue
         closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
@@ -116,36 +156,44 @@ def blocks_of(page: str) -> list[tuple]:
                     at = c.end()
                 elif tag == "head":
                     at = c.start()
+                jump = at
             continue
         if tag == "a":
-            in_link = not closing
+            link = None if closing else (len(stack), plain_p)
             continue
         if tag in _INLINE:
             if tag == "br":
                 text.append(" ")
             continue
         end()
-        in_link = False
         if tag[0] == "h" and tag[1:] in "123456":
             heading = not closing
         elif tag not in _VOID:
             heading = False
+        if tag == "p" or not closing and tag in _ENDS_P:
+            if link and link[1] and plain_p:        # a link without end tag ends with its paragraph
+                link = None
+            plain_p = tag == "p" and not closing
         # only paragraphs with attributes are on the stack
         if stack and stack[-1][0] == "p" and (tag == "p" if closing else tag in _ENDS_P):
             stack.pop()
-            state = stack[-1][1] if stack else (False, False, False)
+            state = stack[-1][1] if stack else outside
         if tag in _VOID or tag == "p" and (closing or not attributes):
             continue
         if closing:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
                     del stack[k:]
+                    past = past or state[2] and not (stack and stack[-1][1][2])
                     break
-            state = stack[-1][1] if stack else (False, False, False)
+            state = stack[-1][1] if stack else outside
+            if link and len(stack) < link[0]:       # ... or with the element it is in
+                link = None
         else:
-            own = _marks(tag, attributes)
-            state = stack[-1][1] if stack else (False, False, False)
-            state = tuple(x or y for x, y in zip(state, own))
+            furniture, named, article = _marks(tag, attributes)
+            around = stack[-1][1] if stack else outside
+            inherited = 0.5 if article and around[1] else around[1]
+            state = (around[0] or furniture, 1.0 if named else inherited, around[2] or article)
             stack.append((tag, state))
     if at < len(page):
         text.append(page[at:])
@@ -157,7 +205,7 @@ def features_of(blocks: list[tuple]) -> list[tuple]:
     """The columns FEATURES of each block."""
     edge = (0.0, 0.0)
     sizes = [edge] + [(float(b[1]), b[2]) for b in blocks] + [edge]
-    return [(*sizes[i + 1], *sizes[i], *sizes[i + 2], *map(float, b[3:7])) for i, b in enumerate(blocks)]
+    return [(*sizes[i + 1], *sizes[i], *sizes[i + 2], *map(float, b[3:8])) for i, b in enumerate(blocks)]
 
 
 # The labelled table: (markup before, words, linked words, markup after, is
@@ -218,6 +266,39 @@ LABELLED = [
 ]
 
 
+# wrappers with furniture words in their names, cards that are one link, and
+# comments whose elements have no name
+LABELLED += [
+    [("<div class='page social-layout'><nav><a>", 3, 3, "</a></nav>", 0), ("<article><h1>", 6, 0, "</h1>", 1),
+     ("<p>", 40, 0, "</p>", 1), ("<p>", 12, 1, "</p>", 1), ("<p>", 70, 0, "</p></article></div>", 1),
+     ("<div><h3>", 2, 0, "</h3>", 0), ("<p>", 35, 0, "</p>", 0), ("<p>", 60, 0, "</p>", 0), ("<p>", 6, 0, "</p></div>", 0)],
+    [("<div class=modal><div><article><h1>", 5, 0, "</h1>", 1), ("<p>", 30, 0, "</p>", 1),
+     ("<p>", 4, 0, "</p></article></div></div>", 1), ("<div><p>", 26, 0, "</p></div>", 0),
+     ("<div><a href=x><h3>", 7, 7, "</h3>", 0), ("<p>", 25, 25, "</p></a></div>", 0), ("<footer>", 8, 0, "</footer>", 0)],
+    [("<div class=search><main><h1>", 8, 0, "</h1>", 1), ("<p>", 9, 0, "</p>", 1), ("<p>", 85, 2, "</p></main></div>", 1),
+     ("<div class=comments><article><p>", 44, 0, "</p></article>", 0), ("<article><p>", 90, 0, "</p></article></div>", 0),
+     ("<div><p>", 55, 0, "</p></div>", 0)],
+    [("<article><h1>", 5, 0, "</h1>", 1), ("<p>", 50, 0, "</p>", 1), ("<div><a href=x><h3>", 6, 6, "</h3>", 0),
+     ("<p>", 30, 30, "</p></a></div>", 0), ("<p>", 28, 0, "</p></article>", 1), ("<div><p>", 15, 0, "</p>", 0),
+     ("<p>", 110, 0, "</p></div>", 0)],
+    [("<div class=sidebar><article><p>", 20, 0, "</p></article></div>", 1), ("<div><p>", 18, 0, "</p></div>", 0)],
+    [("<article><h2>", 4, 0, "</h2>", 1), ("<p>", 33, 0, "</p></article>", 1), ("<article><h2>", 6, 0, "</h2>", 1),
+     ("<p>", 47, 0, "</p></article>", 1), ("<section class=replies><article><p>", 21, 0, "</p></article></section>", 0)],
+]
+# furniture of every length around articles of every length
+LABELLED += [
+    page for w, body in ((3, 30), (5, 64), (8, 12), (10, 102), (12, 64), (15, 20), (19, 45), (26, 7), (40, 80), (70, 150))
+    for page in (
+        [("<nav><a>", w, w, "</a></nav>", 0), ("<div class=ad>", w, 0, "</div>", 0), ("<article><h1>", 7, 0, "</h1>", 1),
+         ("<p>", body, 0, "</p>", 1), ("<p>", w, 0, "</p></article>", 1), ("<footer>", w, 0, "</footer>", 0)],
+        [("<header>", w, 0, "</header>", 0), ("<main><p>", body, 0, "</p>", 1), ("<p>", body, 1, "</p></main>", 1),
+         ("<aside><p>", w, 0, "</p></aside>", 0), ("<div class=notice>", w, 0, "</div>", 0), ("<footer>", w, 1, "</footer>", 0)],
+        [("<article><p>", body, 0, "</p>", 1), ("<div class=share>", w, 0, "</div>", 0), ("<p>", body, 0, "</p></article>", 1),
+         ("<div><p>", w, 0, "</p></div>", 0), ("<form><p>", w, 0, "</p></form>", 0), ("<footer>", w + 4, 0, "</footer>", 0)],
+    )
+]
+
+
 def labelled_rows() -> list[tuple]:
     """Features and label of every block of LABELLED."""
     out = []

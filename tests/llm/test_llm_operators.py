@@ -244,6 +244,33 @@ def test_pages_give_their_articles(spark, tree):
         assert out[page_id]["n_chars"] == len(out[page_id]["text"])
 
 
+TEXT = "a long enough sentence to be read here today, as the paragraphs of such articles are, and a bit more of it"
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div class='page social-layout'><article><h1>T</h1><p>{TEXT}</p></article></div>", f"T\n{TEXT}"),
+    (f"<div id='content' class='tags-news'><article><h1>T</h1><p>{TEXT}</p></article></div>", f"T\n{TEXT}"),
+    (f"<div class=overlay><main><h1>T</h1><p>{TEXT}</p></main></div>", f"T\n{TEXT}"),
+    (f"<article><h1>T</h1><p>{TEXT}</p></article><div><a href=x><h3>Another story of this site</h3><p>{TEXT}</p></a></div>",
+     f"T\n{TEXT}"),
+    (f"<article><h1>T</h1><p>{TEXT}</p></article><div><p>{TEXT} says a reader</p><p>And so does {TEXT}</p></div>", f"T\n{TEXT}"),
+    (f"<article><p>{TEXT} <a href=x>a link without end</p><p>{TEXT} 2</p></article>", f"{TEXT} a link without end\n{TEXT} 2"),
+    (f"<article><h1>T</h1><p>{TEXT}</p></article><div class=comments-list><article><p>{TEXT}</p></article></div>", f"T\n{TEXT}"),
+])
+def test_wrappers_cards_and_comments(tree, page, want):
+    assert html_text.main_text(page, tree) == want
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<! ", "<a '", '<a "', "<", "</", "<p", "<!--", "<a '\">", "<b x='", "<p>x", "<script "])
+@pytest.mark.parametrize("tail", ["", ">", "<p>end</p>"])
+def test_broken_pages_take_linear_time(piece, tail):
+    import time
+    page = "<article><p>first</p></article>" + piece * (1_000_000 // len(piece)) + tail
+    began = time.time()
+    blocks = html_text.blocks_of(page)
+    assert blocks[0][0] == "first" and time.time() - began < 5
+
+
 # ------------------------------------------------------------ 4 Jaccard join
 
 
@@ -475,6 +502,21 @@ def test_embedding_links(spark, block, monkeypatch):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind, labels", [
+    ("double", [0.2, 0.4, 0.2, 0.0, -0.0, None]), ("string", ["a", "b", "a", "", "", None]), ("boolean", [True, False, True, False, False, None]),
+    ("decimal(5,2)", [1, 2, 1, 3, 3, None]), ("tinyint", [1, 2, 1, 3, 3, None])])
+def test_labels_are_equal_in_their_own_type(spark, kind, labels):
+    from decimal import Decimal
+    rows = [(i, [1.0, 2.0, 3.0], Decimal(x) if kind.startswith("dec") and x is not None else x) for i, x in enumerate(labels)]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<float>, label {kind}")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in rows_of(embedding_dedup.near_duplicates(df))}
+    pairs = [(0, 2), (3, 4)] if kind != "boolean" else [(0, 2), (1, 3, 4)]
+    want = {i: (0, i) for i in range(6)} | {i: (len(p) - 1, p[0]) for p in pairs for i in p}
+    if kind == "boolean":
+        want[1] = (2, 1)
+    assert got == want
+
+
 def test_recall_near_the_threshold():
     rng = np.random.default_rng(3)
     a = rng.normal(size=(2000, 64))
