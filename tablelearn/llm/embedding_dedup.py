@@ -19,6 +19,9 @@ Vectors with the same label are linked when their cosine reaches a threshold.
 Recall: every link has at least the threshold (checked exactly); a link is
 missed only if the two vectors meet in none of the tables.
 
+Labels are compared in their own type (one that is no whole number by a 64-bit
+hash of it).
+
 Defined cases: a vector that is null, empty, zero, or holds a null or
 non-finite component, or whose label is null, links with nothing; vectors of
 different lengths are never compared; rows with the same id are vectors of
@@ -34,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType, IntegralType
 
 from tablelearn.llm.components import components
 from tablelearn.plans.shaping import cut_lineage
@@ -195,13 +199,24 @@ def _join_buckets(batches, threshold: float):
         yield from out([_bucket(kept, threshold)])
 
 
+def _label_key(vectors: DataFrame, label_col: str):
+    """The label as a long: itself, or a 64-bit hash of a label of another
+    type (-0.0 and 0.0 are equal)."""
+    label, kind = F.col(label_col), vectors.schema[label_col].dataType
+    if isinstance(kind, IntegralType):
+        return label.cast("long")
+    if isinstance(kind, FractionalType):
+        label = label + F.lit(0).cast(kind)
+    return F.when(F.col(label_col).isNotNull(), F.xxhash64(label))
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, id_col="vec_id", vector_col="embedding",
                     label_col="label") -> DataFrame:
     """One row per vector: ``vec_id, n_links, component_id, kept``."""
     e = F.col("v")
     finite = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     usable = F.coalesce(F.col("label").isNotNull() & finite & F.exists(e, lambda x: x != 0), F.lit(False))
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).cast("long").alias("label"),
+    rows = vectors.select(F.col(id_col).alias("id"), _label_key(vectors, label_col).alias("label"),
                           F.col(vector_col).alias("v"))
     rows = rows.select("*", usable.alias("ok"))
     key = F.xxhash64("label", "v")
