@@ -59,9 +59,9 @@ from tablelearn.llm.shingles import WordHashes, mix, set_key, shingle_set, texts
 from tablelearn.plans.shaping import cut_lineage
 
 BAND = 1.6          # ratio of the sizes in a band
-TILE_SETS = {"m": 512, "u": 1024}     # sets, and shingles, in a tile of a large block
-TILE_SHINGLES = 2_000_000
-DIVIDE, DEPTH = 2048, 2
+TILE_SETS = {"m": 2048, "u": 2048}    # sets, and shingles, in a tile of a large block
+TILE_SHINGLES = 1_000_000
+DIVIDE, DEPTH = 1 << 15, 2
 
 
 def _bands(n: int, num: int, den: int):
@@ -238,7 +238,8 @@ class _Join:
         self.of = cut_lineage(components(links, "jaccard"), "jaccard")
 
     def _component(self, df: DataFrame, column: str, name: str) -> DataFrame:
-        of = self.of.select(F.col("node").alias("_n"), F.col("component").alias("_of"))
+        # two numbers a linked set: broadcast when few enough, so that the members stay in place
+        of = checked(self.of.select(F.col("node").alias("_n"), F.col("component").alias("_of")))
         return df.join(of, F.col(column) == F.col("_n"), "left").withColumn(
             name, F.coalesce("_of", column)).drop("_n", "_of")
 
@@ -355,21 +356,24 @@ def _unit_links(unit: pa.Table, num: int, den: int):
     for k in np.concatenate([left, right]):
         if linked[k]:
             link(k, 0)
-    # the left tile in the order of its distances, its shingles one after another
+    # the left tile in the order of its distances: which of its sets hold a shingle
     left = left[np.argsort(distance[left], kind="stable")]
     d, size = distance[left], n[left]
-    at = np.concatenate([[0], np.cumsum(size)])
     body = np.concatenate([flat[start[k]:start[k + 1]] for k in left]) if len(left) else flat[:0]
+    known_shingles, place = np.unique(body, return_inverse=True)
+    holder = np.repeat(np.arange(len(left)), size)[np.argsort(place, kind="stable")]
+    first = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(known_shingles)))])
     radius = 1 - num / den + 1e-9
-    for y in right:
+    for y in right if len(body) else []:
         low, high = np.searchsorted(d, distance[y] - radius, "left"), np.searchsorted(d, distance[y] + radius, "right")
         if (known[left[low:high]] == known[y]).all():
             continue
-        mine = flat[start[y]:start[y + 1]]       # sorted as unsigned, so sorted here again
-        mine = np.sort(mine)
-        part = body[at[low]:at[high]]
-        hit = mine[np.minimum(np.searchsorted(mine, part), len(mine) - 1)] == part
-        both = np.add.reduceat(hit, at[low:high] - at[low]).astype(np.int64)
+        mine = flat[start[y]:start[y + 1]]
+        at = np.searchsorted(known_shingles, mine)
+        at = at[known_shingles[np.minimum(at, len(known_shingles) - 1)] == mine]
+        many = first[at + 1] - first[at]
+        rows = np.repeat(first[at] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        both = np.bincount(holder[rows], minlength=len(left))[low:high]
         near = np.flatnonzero(both * den >= (size[low:high] + len(mine) - both) * num)
         for x in left[low + near]:
             link(x, y)
