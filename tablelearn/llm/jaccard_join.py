@@ -56,12 +56,13 @@ from pyspark.sql import functions as F
 from tablelearn.llm.common import checked
 from tablelearn.llm.components import components
 from tablelearn.llm.shingles import WordHashes, mix, set_key, shingle_set, texts
-from tablelearn.plans.shaping import cut_lineage
+from tablelearn.plans.shaping import cut_lineage, drop_written
 
 BAND = 1.6          # ratio of the sizes in a band
 TILE_SETS = {"m": 2048, "u": 2048}    # sets, and shingles, in a tile of a large block
 TILE_SHINGLES = 1_000_000
 DIVIDE, DEPTH = 1 << 15, 2
+LIKELY = 15         # a set meets its pivot first if it shares a region for so many of its shingles
 
 
 def _bands(n: int, num: int, den: int):
@@ -176,9 +177,13 @@ class _Join:
                 break
             if self.sets is None:
                 self.sets = self._shingles(pairs)
-            best = pairs.groupBy("set").agg(F.max_by("pivot", F.struct("count", -F.col("pivot"))).alias("pivot"))
+            # linked sets agree in many classes; the rest is left to the blocks, which compare whatever is open
+            best = pairs.groupBy("set").agg(F.max(F.struct("count", (-F.col("pivot")).alias("p"))).alias("m")).select(
+                "set", (-F.col("m.p")).alias("pivot"), F.col("m.count").alias("shared"))
             self._take(self._stars(best))
             divide = self._blocks(members, level == DEPTH)
+            drop_written(members)
+            drop_written(pairs)
             if divide is None:
                 break
             regions = _regions_of_sets(divide.join(self.sets, "set"), self.num, self.den, level + 1)
@@ -213,9 +218,10 @@ class _Join:
         """Linked pairs ``a, b`` among ``set, pivot``; pairs whose sizes alone
         rule a link out are not compared."""
         sizes = self.sets.select("set", "n")
-        p = pairs.select("set", "pivot").join(sizes.withColumnRenamed("n", "n1"), "set").join(
+        p = pairs.select("set", "pivot", "shared").join(sizes.withColumnRenamed("n", "n1"), "set").join(
             sizes.toDF("pivot", "n2"), "pivot")
-        p = p.filter((F.least("n1", "n2") * self.den) >= (F.greatest("n1", "n2") * self.num))
+        p = p.filter((F.least("n1", "n2") * self.den >= F.greatest("n1", "n2") * self.num) & (
+            F.col("shared") * LIKELY >= F.col("n1")))
         # narrow sides are broadcast when few enough, so that a set moves once, to its pivot
         p = cut_lineage(p, "stars")
         pivots = cut_lineage(p.select("pivot").distinct(), "pivots")
@@ -268,6 +274,8 @@ class _Join:
             far = of.filter(F.col("ku") > DIVIDE).select(F.col("pivot").alias("_cp"))
             large = cut_lineage(open_.join(far, "_cp", "left_semi"), "divide")
             of = of.filter(F.col("ku") <= DIVIDE)
+        if large is None or large.isEmpty():
+            drop_written(open_)
         self._take(self._block_links(rows.drop("n", "main").join(of, "pivot"), of))
         if large is None or large.isEmpty():
             return None
@@ -316,14 +324,17 @@ def _join_units(batches, num: int, den: int):
     kept = None
     for b in batches:
         t = pa.Table.from_batches([b])
-        t = pa.concat_tables([kept, t]).combine_chunks() if kept is not None else t
+        t = pa.concat_tables([kept, t]) if kept is not None else t      # no copy
         keys = np.stack([t[k].to_numpy() for k in ("pivot", "side", "i", "j")], 1)
         edges = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1])
         for s, e in zip(edges[:-1], edges[1:]):
             yield from _unit_links(t.slice(s, e - s).combine_chunks(), num, den)
         kept = t.slice(int(edges[-1])).combine_chunks()
+        del t, b
     if kept is not None:
         yield from _unit_links(kept, num, den)
+    del kept
+    pa.default_memory_pool().release_unused()       # the worker lives on for other stages
 
 
 def _unit_links(unit: pa.Table, num: int, den: int):
