@@ -23,8 +23,8 @@ on its path (a bit mask) and the path as text.
    finished nodes are never read again.
 
 The written tables are under the shared checkpoint directory and bound the
-lineage: a lost executor costs one level.  Only two counts per level (observed
-while the nodes are written) and the class list reach the driver.
+lineage: a lost executor costs one level.  Only two counts per level and the
+class list reach the driver.
 
 Prediction walks DISTINCT value tuples through the levels and joins the result
 back to the rows once, so wide rows move at most once and a frequent tuple is
@@ -43,7 +43,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
 
@@ -238,11 +238,10 @@ def id3_build(df: DataFrame, features, label: str, max_depth: int = 7, criterion
     counts = [F.count(F.lit(1)).alias("all"), F.count("split_attribute").alias("split")]
     for depth in range(max_depth + 1):
         last = depth >= min(max_depth, len(features))
-        seen = Observation()
-        nodes = (finish if last else grow)(cells).withColumn("depth", F.lit(depth)).observe(seen, *counts)
-        nodes = cut_lineage(nodes, "id3-nodes")
-        model.levels.append((depth, nodes, int(seen.get["all"]), int(seen.get["split"])))
-        if not seen.get["split"]:
+        nodes = cut_lineage((finish if last else grow)(cells).withColumn("depth", F.lit(depth)), "id3-nodes")
+        seen = nodes.agg(*counts).first()
+        model.levels.append((depth, nodes, int(seen["all"]), int(seen["split"])))
+        if not seen["split"]:
             break
         cells = cut_lineage(step(cells, nodes), "id3-cells")
     return model
