@@ -85,6 +85,31 @@ def test_compression_quality_separates_held_out_rows(spark):
     assert out[1000]["score"] == out[1001]["score"] and 0 < out[1000]["score"] < 1
 
 
+def test_size_features_against_plain_compression():
+    import zstandard
+    rng = random.Random(12)
+    text = lambda words, n: " ".join(rng.choice(words) for _ in range(n)).encode()
+    good_words, bad_words = ["alpha", "beta", "gamma", "delta"], ["zig", "zag", "zug", "zog"]
+    good, bad = (b"".join(text(w, 50) for _ in range(20)) for w in (good_words, bad_words))
+    texts = [text(good_words, 900), text(bad_words, 30), b"", None, b"x"]
+    got = compression_quality.CompressionClassifier(good, bad).features(texts)
+
+    def size(dictionary, block):
+        compressor = zstandard.ZstdCompressor(
+            level=3, dict_data=zstandard.ZstdCompressionDict(dictionary), write_content_size=False, write_checksum=False,
+            write_dict_id=False)
+        return len(compressor.compress(block))
+
+    for t, row in zip(texts, got):
+        t = t or b""
+        blocks = [t[k:k + 2048] for k in range(0, len(t), 2048)]
+        b, g = (sum(size(d, x) for x in blocks) for d in (bad, good))
+        share = min(g / len(t), 1.5) if t else 0.0
+        difference = (b - g) / (b + g) if t else 0.0
+        assert row == pytest.approx([difference, share, share ** 2, difference * share], abs=0.02)
+    assert got[0][0] > 0 > got[1][0]
+
+
 def test_toxicity_separates_held_out_rows(spark):
     rng = random.Random(4)
     words = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(300)]

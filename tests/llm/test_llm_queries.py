@@ -49,3 +49,20 @@ def test_pipeline_on_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = corpus_pipeline.cut_lineage(stage(spark, docs, SMALL), "test-empty")
     assert docs.count() == 0
+
+
+def test_pipeline_on_odd_rows(spark, odd):
+    """Nulls, empty and long texts, repeated rows and clashing names go through all stages."""
+    docs, counts = odd, [odd.count()]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.cut_lineage(stage(spark, docs, SMALL), "test-odd")
+        counts.append(docs.count())
+        if name != "packing":
+            assert docs.columns == odd.columns
+    assert counts[0] >= counts[1] == counts[2] >= counts[3] > 0
+    pieces = {}
+    for r in docs.collect():
+        pieces.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for rows in pieces.values():
+        rows.sort()
+        assert rows[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(rows, rows[1:])) and sum(n for _, n in rows) <= 1024
