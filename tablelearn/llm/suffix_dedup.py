@@ -14,14 +14,23 @@ position is settled through them; the result is exact:
    are sorted by that hash and unique ones drop out.  (A start whose whole
    window holds no anchor, about 1 in 200, is ranked by its full window here
    and is settled.)
-2. *Doubled rank*: a start can only repeat if all anchors inside its window
-   are left.  Neighbouring starts with the same first and last anchor form a
-   stretch; its rank is the string from the first to the last anchor, and
-   stretches with a unique rank drop out.  If the whole string that a stretch
-   spans, context included, occurs twice, all its starts are settled at once.
-3. *Full rank*: where stretches of equal rank differ in their context, their
+2. *Doubling*: the rank of an anchor first stands for the string up to the
+   next anchor.  Each round counts equal ranks, lets anchors with a unique one
+   go, and pairs the rank of anchor i with that of anchor i + 1, i + 2, i + 4,
+   ... to the rank of the next round, until no rank is left or the strings
+   are past ``LENGTH``.
+3. *Stretches*: neighbouring starts whose windows have the same first and last
+   anchor form a stretch; its rank is the pair of the two longest doubled
+   ranks that cover it from either end, and where one of them is gone the
+   starts cannot repeat.  If the whole string that a stretch spans, context
+   included, occurs twice, all its starts are settled at once.
+4. *Full rank*: where stretches of equal rank differ in their context, their
    single starts are ranked by the full ``LENGTH`` bytes.
 
+In a round the ranks are counted by a combining aggregate and a unique one
+travels back to its document as (text, number), so a rank that a third of all
+anchors share costs one row per map task.
+
 Repeats inside long shared passages are settled by stretches (one row for
 about 16 positions), and only their ends come down to single positions.
 Texts that several rows have are read once and removed whole.  Hot strings: a
@@ -42,6 +51,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,9 +60,14 @@ from tablelearn.llm.shingles import mix, texts
 from tablelearn.plans.shaping import cut_lineage
 
 LENGTH, GRAM, RATE_BITS = 200, 32, 5        # one anchor in 2**5 positions
+REACH = LENGTH - GRAM                       # the farthest two anchors of one window lie apart
 BLOCK = 1 << 20
 
 
+ROUNDS = REACH.bit_length()                 # spans of 1, 2, 4, ... steps, each of a byte at least
+DOUBLED = np.array([n.bit_length() for n in range(REACH + 1)])   # the level of the longest span within n steps
+
+
 class Hasher:
     """Hashes of all spans of a block: sum of table[byte] * base**place."""
 
@@ -131,24 +146,40 @@ def _merged(dk, low, high):
     return dk[new], low[new], np.maximum.reduceat(high, np.flatnonzero(new))
 
 
+def _steps(hasher: Hasher, c: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per anchor of a block 2 * distance to the next (0: out of reach) + 1 if
+    a window may hold it alone, and the hash of the string up to the end of
+    the next one.  Anchors outside the block count as far away."""
+    far = LENGTH + 1
+    gap = np.diff(np.append(q, q[-1] + far)) if len(q) else q
+    before = np.append(far, gap[:-1])[:len(q)]
+    near = gap <= REACH
+    end = q + np.where(near, gap, 0) + GRAM
+    step = mix(hasher.spans(c, q, end) + (end - q).astype(np.uint64))
+    return np.where(near, gap, 0) * 2 + (gap + before > REACH + 1), np.where(near, step, np.uint64(0))
+
+
 def _first_ranks(batches):
-    """``h, dk, at, more``; ``at`` = place * 4 + 2 * known + 1 for whole
+    """``h, dk, at, more, step``; ``at`` = place * 4 + 2 * known + 1 for whole
     windows from that place to ``more`` places on, and number * 4 + 2 * known
-    for the anchor of that number in its text."""
+    for the anchor of that number in its text.  For an anchor ``more`` = 2 *
+    distance to the next one (0: none within ``REACH``) + 1 if a window may
+    hold this anchor alone, and ``step`` stands for the string up to the end
+    of the next one."""
     hasher = Hasher()
 
     def rows(part):
-        h, dk, at = (np.concatenate(x) for x in zip(*part))
+        h, dk, at, more, step = (np.concatenate(x) for x in zip(*part))
         twice, first = _repeats(h)
         real, whole = ~twice | first, at % 2 == 1
         anchors, windows = ~real & ~whole, ~real & whole
         d, low, high = _merged(dk[windows], at[windows] // 4, at[windows] // 4)
-        dks = np.concatenate([dk[real], dk[anchors], d])
-        ats = np.concatenate([at[real] + 2 * twice[real], at[anchors] + 2, low * 4 + 3])
-        keys = np.concatenate([h[real], _elsewhere(dk[anchors], at[anchors]), _elsewhere(d, low)])
-        more = np.zeros(len(dks), np.int32)
-        more[len(dks) - len(d):] = high - low
-        return pa.RecordBatch.from_pydict({"h": _int64(keys), "dk": dks, "at": ats, "more": more})
+        key = [h[real], _elsewhere(dk[anchors], at[anchors]), _elsewhere(d, low)]
+        return pa.RecordBatch.from_pydict({
+            "h": _int64(np.concatenate(key)), "dk": np.concatenate([dk[real], dk[anchors], d]),
+            "at": np.concatenate([at[real] + 2 * twice[real], at[anchors] + 2, low * 4 + 3]),
+            "more": np.concatenate([more[real], more[anchors], high - low]).astype(np.int32),
+            "step": _int64(np.concatenate([step[real], step[anchors], np.zeros(len(d), np.uint64)]))})
 
     for b in batches:
         part, size = [], 0
@@ -159,13 +190,16 @@ def _first_ranks(batches):
                 q, h = hasher.anchors(c)
                 # anchors after the owned starts belong to the next block as well
                 own = int(np.searchsorted(q, BLOCK)) if len(text) - s >= BLOCK + LENGTH else len(q)
-                part.append((h[:own], np.full(own, key, np.int64), np.arange(number, number + own) * 4))
+                more, step = _steps(hasher, c, q)
+                part.append((h[:own], np.full(own, key, np.int64), np.arange(number, number + own) * 4,
+                             more[:own], step[:own]))
                 number += own
                 size += own
                 for low, high in _unanchored(q, starts):
                     t = np.arange(low, high + 1)
                     part.append((mix(hasher.spans(c, t, t + LENGTH) + np.uint64(LENGTH)),
-                                 np.full(len(t), key, np.int64), (t + s) * 4 + 1))
+                                 np.full(len(t), key, np.int64), (t + s) * 4 + 1,
+                                 np.zeros(len(t), np.int64), np.zeros(len(t), np.uint64)))
                     size += len(t)
             if size > 1_000_000:
                 yield rows(part)
@@ -174,9 +208,15 @@ def _first_ranks(batches):
             yield rows(part)
 
 
+def _rank_table(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """A text's ranks by level and anchor number (0: none); the last column is empty."""
+    out = np.zeros((ROUNDS + 1, int(at.max()) // 16 + 2), dtype=np.uint64)
+    out[at % 16, at // 16] = np.maximum(rank.view(np.uint64), np.uint64(1))
+    return out
+
+
 def _stretches(batches):
-    """Rows ``dk, text, runs of the numbers of the anchors left`` to ``g, u,
-    dk, low, high, known``."""
+    """Rows ``dk, text, ranks left`` to ``g, u, dk, low, high, known``."""
     hasher = Hasher()
 
     def rows(part):
@@ -193,31 +233,39 @@ def _stretches(batches):
 
     for b in batches:
         out, size = [], 0
-        for key, text, left in zip(b.column(0).to_numpy(), texts(b.column(1)), b.column(2).to_pylist()):
-            first = np.array(sorted(r["first"] for r in left))
-            last = np.array(sorted(r["last"] for r in left))
-            number = 0
+        flat = b.column(2).flatten()
+        ats, ranks = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(2))
+        ends = np.cumsum(pc.list_value_length(b.column(2)).to_numpy())
+        for key, text, first, last in zip(b.column(0).to_numpy(), texts(b.column(1)), np.append(0, ends), ends):
+            table = _rank_table(ats[first:last], ranks[first:last])
+            none, number = table.shape[1] - 1, 0
             for s, block, starts in _blocks(text or b""):
                 c = hasher.sums(block)
-                q, _ = hasher.anchors(c)
-                mine = np.arange(number, number + len(q))
+                q, h = hasher.anchors(c)
+                before = number
                 number += int(np.searchsorted(q, BLOCK)) if len(text) - s >= BLOCK + LENGTH else len(q)
-                run = np.searchsorted(first, mine, side="right") - 1
-                alive = (run >= 0) & (mine <= last[run])
-                if not alive.any():
+                if not table[:, before:before + len(q)].any():
                     continue
-                dead = np.concatenate([[0], np.cumsum(~alive)])
                 t = np.arange(starts)
                 i0 = np.searchsorted(q, t)
-                i1 = np.searchsorted(q, t + LENGTH - GRAM, side="right") - 1
-                t = t[(i1 >= i0) & (dead[i1 + 1] == dead[i0])]
+                i1 = np.searchsorted(q, t + REACH, side="right") - 1
+                t = t[i1 >= i0]
                 if not len(t):
                     continue
                 i0, i1 = i0[t], i1[t]
                 cut = np.flatnonzero((np.diff(t) > 1) | (np.diff(i0) != 0) | (np.diff(i1) != 0)) + 1
                 low, high = t[np.append(0, cut)], t[np.append(cut - 1, len(t) - 1)]
-                a, e = q[i0[np.append(0, cut)]], q[i1[np.append(0, cut)]] + GRAM
-                g = mix(hasher.spans(c, a, e) + (e - a).astype(np.uint64))
+                i0, i1 = i0[np.append(0, cut)], i1[np.append(0, cut)]
+                # i1 - i0 steps: two doubled ranks that begin and end with them
+                level = DOUBLED[i1 - i0]
+                left = table[level, np.minimum(before + i0, none)]
+                right = table[level, np.minimum(before + i1 - ((1 << level) >> 1), none)]
+                some = (left != 0) & (right != 0)
+                if not some.any():
+                    continue
+                low, high, i0, i1, left, right = (x[some] for x in (low, high, i0, i1, left, right))
+                g = np.where(i0 == i1, h[i0], mix(left ^ mix(right + (i1 - i0).astype(np.uint64))))
+                a = q[i0]
                 u = mix(hasher.spans(c, low, high + LENGTH)) + ((a - low) * 1000 + (high - low)).astype(np.uint64)
                 out.append((g, mix(u), np.full(len(low), key, np.int64), low + s, high + s))
                 size += len(low)
@@ -288,21 +336,53 @@ def _islands(rows: DataFrame, low: str, high: str, reach: int, names: tuple[str,
     return t.groupBy("dk").agg(F.collect_list(F.struct(*names)).alias(column))
 
 
+def doubled_ranks(anchors: DataFrame) -> DataFrame:
+    """``dk, ranks``: per document a list of ``at`` = number * 16 + level and
+    ``rank``, from rows ``dk, number, step, gap, alone`` of the anchors left.
+    The rank of level k > 0 stands for 2**(k-1) steps from that anchor on and
+    occurs twice or more; level 0 marks anchors that a window may hold alone.
+
+    A round has two exchanges: ranks are counted by rank, and unique ones meet
+    their document's, where the ranks left are paired at the doubled offset."""
+    order = Window.partitionBy("dk").orderBy("number")
+    at = lambda k: order.rangeBetween(k, k)
+    entry = lambda level, rank: F.struct((F.col("number") * 16 + level).alias("at"), rank.alias("rank"))
+    entries = anchors.filter("alone").select("dk", entry(0, F.lit(1).cast("long")).alias("r"))
+    front = anchors.filter("gap > 0").select("dk", "number", F.col("step").alias("rank"), F.col("gap").alias("span"))
+    for level in range(1, ROUNDS + 1):
+        once = front.groupBy("rank").agg(F.count(F.lit(1)).alias("n"), F.min("dk").alias("dk"),
+                                         F.min("number").alias("number")).filter("n = 1")
+        none = [F.lit(None).cast(t).alias(c) for c, t in (("rank", "long"), ("span", "int"))]
+        both = front.unionByName(once.select("dk", "number", *none)).withColumn("_n", F.count(F.lit(1)).over(at(0)))
+        left = both.filter("_n = 1").drop("_n")
+        reach = 1 << (level - 1)
+        right, span = F.max("rank").over(at(reach)), F.col("span") + F.max("span").over(at(reach))
+        left = left.withColumns({"up": F.when(span <= REACH, F.xxhash64("rank", right)), "upto": span})
+        left = cut_lineage(left, "doubled-rank")
+        entries = entries.unionByName(left.select("dk", entry(level, F.col("rank")).alias("r")))
+        front = left.filter("up is not null").select("dk", "number", F.col("up").alias("rank"),
+                                                     F.col("upto").alias("span"))
+        if front.isEmpty():
+            break
+    return entries.groupBy("dk").agg(F.collect_list("r").alias("ranks"))
+
+
 def repeated_spans(d: DataFrame) -> DataFrame:
     """``dk, spans``: per text the maximal ranges ``low .. high + LENGTH`` of
     repeated bytes (copied texts, which repeat as wholes, only take part to be
     met by others)."""
     d = d.filter("copies < 2").select("dk", "text")
-    ranks = d.mapInArrow(_first_ranks, "h long, dk long, at long, more int")
+    ranks = d.mapInArrow(_first_ranks, "h long, dk long, at long, more int, step long")
     same = F.count(F.lit(1)).over(Window.partitionBy("h"))
-    left = ranks.select("dk", "at", "more", same.alias("n")).filter(
+    left = ranks.select("dk", "at", "more", "step", same.alias("n")).filter(
         (F.col("n") > 1) | (F.col("at").bitwiseAND(2) != 0))
-    left = cut_lineage(left.select("dk", F.shiftright("at", 2).alias("at"), "more",
+    left = cut_lineage(left.select("dk", F.shiftright("at", 2).alias("at"), "more", "step",
                                    F.col("at").bitwiseAND(1).alias("w")), "first-rank")
     settled = left.filter("w = 1").select("dk", F.col("at").alias("low"), (F.col("at") + F.col("more")).alias("high"))
 
-    places = _islands(left.filter("w = 0"), "at", "at", 1, ("first", "last"), "places")
-    parts = _beside(d, places, "places", "inner").mapInArrow(
+    anchors = left.filter("w = 0").select("dk", F.col("at").alias("number"), "step", F.shiftright("more", 1).alias("gap"),
+                                          (F.col("more").bitwiseAND(1) != 0).alias("alone"))
+    parts = _beside(d, doubled_ranks(anchors), "ranks", "inner").mapInArrow(
         _stretches, "g long, u long, dk long, low long, high long, known boolean")
     # equal ranks meet in one place; those in the same context too are neighbours there
     form, rank = Window.partitionBy("g", "u"), Window.partitionBy("g")
