@@ -382,7 +382,8 @@ def repeated_spans(d: DataFrame) -> DataFrame:
 
     anchors = left.filter("w = 0").select("dk", F.col("at").alias("number"), "step", F.shiftright("more", 1).alias("gap"),
                                           (F.col("more").bitwiseAND(1) != 0).alias("alone"))
-    parts = _beside(d, doubled_ranks(anchors), "ranks", "inner").mapInArrow(
+    # the ranks grow with the texts: a shuffle join at every size
+    parts = d.join(cut_lineage(doubled_ranks(anchors), "ranks"), "dk").select("dk", "text", "ranks").mapInArrow(
         _stretches, "g long, u long, dk long, low long, high long, known boolean")
     # equal ranks meet in one place; those in the same context too are neighbours there
     form, rank = Window.partitionBy("g", "u"), Window.partitionBy("g")
