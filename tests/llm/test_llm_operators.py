@@ -599,6 +599,31 @@ def test_suffix_dedup_of_passages_and_periods(spark, monkeypatch):
     check_suffixes(df.repartition(3))
 
 
+def test_doubled_ranks_against_brute_force(spark):
+    rng = random.Random(19)
+    base = [rng.choice([3, 3, 5, 40, 90]) for _ in range(60)]
+    docs = {k: [rng.choice([3, 5, 40, 90]) for _ in range(4)] + base[a:a + 25] for k, a in enumerate((0, 10, 20, 35))}
+    docs[9] = [1] * 200                                     # offsets up to 128
+    rows = [(k, n, 1000 + x, x, n % 3 == 0) for k, xs in docs.items() for n, x in enumerate(xs) if (k, n) != (1, 12)]
+    df = spark.createDataFrame(rows, "dk long, number long, step long, gap int, alone boolean")
+    got = {(r["dk"], e["at"] // 16, e["at"] % 16): e["rank"]
+           for r in suffix_dedup.doubled_ranks(df).collect() for e in r["ranks"]}
+    steps = {(k, n): x for k, n, _, x, _ in rows}
+    strings = {}
+    for k, n in steps:
+        for level in range(1, suffix_dedup.ROUNDS + 1):
+            span = [steps.get((k, n + j)) for j in range(1 << (level - 1))]
+            if None not in span and sum(span) <= suffix_dedup.REACH:
+                strings[k, n, level] = tuple(span)
+    seen = Counter(strings.values())
+    want = {key: x for key, x in strings.items() if seen[x] > 1}
+    assert {k for k in got if k[2]} == set(want)
+    assert {k[:2] for k in got if not k[2]} == {(k, n) for k, n, _, _, alone in rows if alone}
+    pairs = {(got[key], x) for key, x in want.items()}      # equal ranks stand for equal strings
+    assert len(pairs) == len({r for r, _ in pairs}) == len({x for _, x in pairs})
+    assert suffix_dedup.doubled_ranks(df.limit(0)).count() == 0
+
+
 def test_suffix_dedup_keeps_the_rest(spark):
     text = "start " + "x1y2z3w4" * 40 + " end"
     df = spark.createDataFrame([(1, text), (2, "x1y2z3w4" * 40)], "doc_id long, text string")
