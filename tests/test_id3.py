@@ -151,3 +151,29 @@ def test_null_and_text_values_are_different_tuples(spark):
     model = id3.id3_build(train, ["a", "b"], "y")
     out = {(r["a"], r["b"]): r["prediction"] for r in id3.id3_predict(model, train).collect()}
     assert out == {(r["a"], r["b"]): float(r["y"]) for r in train.collect()}
+
+
+def test_no_level_sorts_its_rows_to_aggregate_them(spark, monkeypatch):
+    rows = [((i * 5) % 2, (i * 3) % 7, i % 11, (i * 7 % 13) % 4 if i % 2 else 0) for i in range(900)]
+    df = spark.createDataFrame(rows, "a int, b int, c int, y int")
+    plans, write = [], id3.cut_lineage
+
+    def watched(frame, name):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return write(frame, name)
+
+    monkeypatch.setattr(id3, "cut_lineage", watched)
+    id3.id3_build(df, ["a", "b", "c"], "y")
+    assert plans and not any("SortAggregate" in p for p in plans)
+
+
+def test_nodes_of_every_size_give_the_same_tree(spark, monkeypatch):
+    rows = [(f"a{i % 2}", (i * 3) % 7, i % 11, i % 90, (i * 7 % 13) % 4 if i % 5 else None) for i in range(900)]
+    rows += [(None, i % 2, None, i, i % 3) for i in range(30)]
+    df = spark.createDataFrame(rows, "a string, b int, c int, d int, y int")
+    tree = lambda: sorted(map(tuple, id3.id3_build(df, ["a", "b", "c", "d"], "y", max_depth=3).node_table().collect()), key=str)
+    whole = tree()
+    for cells in (0, 12):           # all nodes are large, or some
+        monkeypatch.setattr(id3, "NODE_CELLS", cells)
+        monkeypatch.setattr(id3, "BROADCAST_NODES", 0)
+        assert tree() == whole
