@@ -303,8 +303,9 @@ def id3_predict(model: ID3Model, df: DataFrame, output: str = "prediction") -> D
     row's value; at a leaf, or when the value was not seen in training,
     take the current node's leaf value.
 
-    The distinct value tuples flow through one left join per tree level (the
-    planner picks each join by the bytes of the level's node table); a tuple
+    The distinct value tuples flow through one left join per tree level (a
+    level of at most ``BROADCAST_NODES`` nodes is broadcast and the tuples stay
+    in place); a tuple
     whose prediction is known keeps it and joins on its own hash, so finished
     tuples spread over all partitions.  The rows meet the result in one join on
     a 128-bit hash of the tuple."""
@@ -328,8 +329,8 @@ def id3_predict(model: ID3Model, df: DataFrame, output: str = "prediction") -> D
     state = tuples.select(
         "*", _child(F.lit(ROOT).cast("long"), F.lit(attr0), _pick(model.features, F.lit(attr0), values)).alias("_node"),
         top.alias("_pred"), F.lit(False).alias("_done"))
-    for _, nodes, _, _ in model.levels[1:]:
-        look = nodes.select(F.col("_node").alias("_k"), F.col("split_attribute").alias("_split"), leaf.alias("_leaf"))
+    for _, nodes, count, _ in model.levels[1:]:
+        look = _few(nodes.select(F.col("_node").alias("_k"), F.col("split_attribute").alias("_split"), leaf.alias("_leaf")), count)
         key = F.when(F.col("_done"), F.col("_t1")).otherwise(F.col("_node"))
         j = state.withColumn("_key", key).join(look, F.col("_key") == F.col("_k"), "left")
         hit = ~F.col("_done") & F.col("_k").isNotNull()

@@ -177,3 +177,17 @@ def test_nodes_of_every_size_give_the_same_tree(spark, monkeypatch):
         monkeypatch.setattr(id3, "NODE_CELLS", cells)
         monkeypatch.setattr(id3, "BROADCAST_NODES", 0)
         assert tree() == whole
+
+
+def test_levels_of_few_nodes_do_not_move_the_tuples(spark):
+    df = spark.createDataFrame([(i % 3, i % 5, i % 2) for i in range(200)], "a int, b int, y int")
+    model = id3.id3_build(df, ["a", "b"], "y")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = id3.id3_predict(model, df)
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("SortMergeJoin") == 1         # the rows meet their tuples
+        assert sorted(r["prediction"] for r in out.collect())[:3] == [0.0] * 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
