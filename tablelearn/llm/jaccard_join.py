@@ -20,6 +20,11 @@ Sets whose shingles leave too many classes empty also take part at twice the
 number of classes, and so on, so that no pair is lost; sizes are taken in
 geometric bands, and a set near the end of its band joins the next as well.
 
+*Plausible members.*  Linked sets disagree on no more classes than they differ
+in shingles, so a set shares a known least number of regions with any partner,
+mostly many.  A set that has fewer regions with company (texts that merely
+share a passage) leaves that division before any shingles are sent.
+
 *Inside a region* the least member is the pivot.  Every set is compared with
 the pivot it shares most regions with, exactly; a region whose members are
 then all connected is done.
@@ -62,9 +67,19 @@ BAND = 1.6          # ratio of the sizes in a band
 TILE_SETS = {"m": 2048, "u": 2048}    # sets, and shingles, in a tile of a large block
 TILE_SHINGLES = 1_000_000
 DIVIDE, DEPTH = 1 << 15, 2
+FAMILIES = 64       # of divisions, told apart in a region's key
+ROUNDS = 2          # of leaving out sets that share too few regions
 LIKELY = 15         # a set meets its pivot first if it shares a region for so many of its shingles
 
 
+def _highest(band: int) -> int:
+    """The largest size of a band."""
+    low = 1
+    for _ in range(band + 1):
+        low = max(low + 1, int(low * BAND))
+    return low - 1
+
+
 def _bands(n: int, num: int, den: int):
     """``(band, most sizes differ)`` of the bands of larger sizes in which a
     set of size ``n`` can have a partner (or the set itself)."""
@@ -76,43 +91,69 @@ def _bands(n: int, num: int, den: int):
         low, band = high, band + 1
 
 
-def signatures(shingles: np.ndarray, num: int, den: int, seed: int = 0) -> np.ndarray:
-    """Keys of the regions of a set."""
-    if seed:
-        s = np.sort(mix(shingles ^ np.uint64(0x632BE59BD9B4E019 * (2 * seed + 1) & ((1 << 64) - 1))))
-    else:
-        s = shingles
-    top, content, out = s >> np.uint64(32), mix(s + np.uint64(seed + 1)), []
+def _families(s: np.ndarray, num: int, den: int):
+    """``(family, classes, band, most sizes differ, class of each shingle,
+    first shingle of each class that is not empty)`` of the divisions in which
+    a set takes part.  A family is a number below ``FAMILIES``: divisions of
+    one set rarely share it, and equal divisions of two sets always do."""
+    top = s >> np.uint64(32)
     for band, differ in _bands(len(s), num, den):
         if not differ:          # only equal sets, which are one point
             continue
-        classes = differ + 1 + (differ + 1) // 20
+        classes, doubled = differ + 1 + (differ + 1) // 20, 0
         while True:
             of = (top * np.uint64(classes)) >> np.uint64(32)
             first = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-            total = np.add.reduceat(content, first)
-            out.append(mix(mix(total + of[first]) + np.uint64(band << 32) + np.uint64(classes)))
+            yield (band % 8) * 8 + min(doubled, 7), classes, band, differ, of, first
             if len(first) > differ:
                 break
-            classes *= 2
+            classes, doubled = classes * 2, doubled + 1
+
+
+def signatures(shingles: np.ndarray, num: int, den: int, seed: int = 0) -> np.ndarray:
+    """Keys of the regions of a set: 48 bits, the last of them the family."""
+    if seed:
+        s = np.sort(mix(shingles ^ np.uint64(0x632BE59BD9B4E019 * (2 * seed + 1) & ((1 << 64) - 1))))
+    else:
+        s = shingles
+    content, out = mix(s + np.uint64(seed + 1)), []
+    for family, classes, band, _, of, first in _families(s, num, den):
+        total = np.add.reduceat(content, first)
+        key = mix(mix(total + of[first]) + np.uint64(band << 32) + np.uint64(classes))
+        out.append(key % np.uint64(1 << 48) // np.uint64(FAMILIES) * np.uint64(FAMILIES) + np.uint64(family))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def least_shared(shingles: np.ndarray, num: int, den: int) -> list:
+    """``need * FAMILIES + family`` of each division of a set: two linked sets
+    disagree on no more classes than they differ in shingles, so the set
+    shares ``need`` regions with any partner."""
+    n, out = len(shingles), []
+    for family, _, band, differ, _, first in _families(shingles, num, den):
+        most = min(n * den // num, _highest(band))
+        # keys of 48 bits: a long set's own keys may meet
+        meet = (len(first) >= FAMILIES) + (len(first) ** 2 >> 38)
+        out.append(max(1, len(first) - (n + most) * (den - num) // (den + num) - meet) * FAMILIES + family)
+    return out
+
+
 def _int64(x) -> pa.Array:
     return pa.array(np.asarray(x, dtype=np.uint64).view(np.int64))
 
 
-def _keys(docs: DataFrame, size: int) -> DataFrame:
-    """``id, text_key, n, set``: size and key of each document's shingle set."""
+def _keys(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """``id, text_key, n, set, needs``: size and key of each document's shingle
+    set, and the regions that it shares with any partner."""
     def run(batches):
         hashes = WordHashes()
         for b in batches:
             sets = [shingle_set(t, size, hashes) for t in texts(b.column(1))]
             yield pa.RecordBatch.from_pydict({"id": b.column(0), "text_key": b.column(2), "n": pa.array([len(s) for s in sets], pa.int64()),
-                                              "set": pa.array([set_key(s) for s in sets], pa.int64())})
+                                              "set": pa.array([set_key(s) for s in sets], pa.int64()),
+                                              "needs": pa.array([least_shared(s, num, den) for s in sets], pa.list_(pa.int64()))})
 
     return docs.select("id", "text", F.xxhash64("text")).mapInArrow(
-        run, f"id {docs.schema['id'].dataType.simpleString()}, text_key long, n long, `set` long")
+        run, f"id {docs.schema['id'].dataType.simpleString()}, text_key long, n long, `set` long, needs array<long>")
 
 
 def _regions_of_texts(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
@@ -161,15 +202,22 @@ def _with_pivots(regions: DataFrame, name: str) -> DataFrame:
         F.col("set") != F.col("pivot")), name)
 
 
+def _shared(rows: DataFrame) -> DataFrame:
+    """``region, set`` of the regions with two sets or more, once each."""
+    w = Window.partitionBy("region")
+    rows = rows.select("region", "set", F.min("set").over(w).alias("_lo"), F.max("set").over(w).alias("_hi"))
+    return cut_lineage(rows.filter("_lo <> _hi").select("region", "set").distinct(), "shared")
+
+
 class _Join:
     def __init__(self, docs: DataFrame, size: int, num: int, den: int):
         self.docs, self.size, self.num, self.den = docs, size, num, den
-        self.keys = cut_lineage(_keys(docs, size), "sets")
+        self.keys = cut_lineage(_keys(docs, size, num, den), "sets")
         self.sets = None
         self.of = None          # node, component of linked sets
 
     def run(self) -> DataFrame:
-        regions = _regions_of_texts(self.docs, self.size, self.num, self.den)
+        regions = self._plausible(_regions_of_texts(self.docs, self.size, self.num, self.den))
         for level in range(DEPTH + 1):
             members = _with_pivots(regions, "regions")
             pairs = cut_lineage(members.groupBy("set", "pivot").count(), "pairs")
@@ -189,6 +237,25 @@ class _Join:
             regions = _regions_of_sets(divide.join(self.sets, "set"), self.num, self.den, level + 1)
         return self.of
 
+    def _plausible(self, regions: DataFrame) -> DataFrame:
+        """The regions without the sets that share fewer of a family than any
+        link takes; a set's partner is in all that it counts, so no link goes."""
+        rows = _shared(regions)
+        code = F.explode(F.array_distinct("needs"))
+        need = self.keys.filter("n > 0").select("set", code.alias("_c")).distinct().groupBy(
+            F.col("set").alias("_set"), (F.col("_c") % FAMILIES).alias("_family")).agg(
+            F.min(F.expr(f"_c div {FAMILIES}")).alias("_need"))
+        family = F.pmod("region", F.lit(FAMILIES))
+        for _ in range(ROUNDS):
+            have = rows.groupBy("set", family.alias("family")).agg(F.count(F.lit(1)).alias("_have"))
+            enough = have.join(need, (F.col("set") == F.col("_set")) & (F.col("family") == F.col("_family")) & (
+                F.col("_have") >= F.col("_need"))).select("_set", "_family")
+            enough = cut_lineage(enough, "enough")
+            before, rows = rows, _shared(rows.join(
+                checked(enough), (F.col("set") == F.col("_set")) & (family == F.col("_family")), "left_semi"))
+            drop_written(before)
+        return rows
+
     def _shingles(self, pairs: DataFrame) -> DataFrame:
         """``set, n, shingles`` of the sets in ``pairs``, read from one
         document of each."""

@@ -381,6 +381,40 @@ def test_signatures_meet_for_every_linked_pair():
                 assert np.isin(jaccard_join.signatures(x, 85, 100), jaccard_join.signatures(y, 85, 100)).any()
 
 
+def test_linked_sets_share_the_regions_that_they_need():
+    rng = np.random.default_rng(1)
+    seen = 0
+    for n in (6, 9, 14, 22, 35, 56, 90, 140, 227, 363, 1000, 3000):
+        for _ in range(20):
+            x = np.unique(rng.integers(0, 2 ** 63, n, dtype=np.uint64))
+            drop = int(rng.integers(0, n // 5 + 1))
+            add = int(rng.integers(0, n // 5 + 1))
+            y = np.unique(np.concatenate([rng.permutation(x)[drop:], rng.integers(0, 2 ** 63, add, dtype=np.uint64)]))
+            both = len(np.intersect1d(x, y))
+            if not len(np.setxor1d(x, y)) or both * 100 < 80 * (len(x) + len(y) - both):
+                continue
+            seen += 1
+            shared = Counter((np.intersect1d(jaccard_join.signatures(x, 80, 100), jaccard_join.signatures(y, 80, 100)) % np.uint64(64)).tolist())
+            needs = [{}, {}]
+            for need, s in zip(needs, (x, y)):
+                for c in jaccard_join.least_shared(s, 80, 100):
+                    need[c % 64] = min(c // 64, need.get(c % 64, c // 64))
+            assert any(shared[f] >= needs[0][f] and shared[f] >= needs[1][f] for f in needs[0].keys() & needs[1].keys())
+    assert seen > 50
+
+
+def test_texts_that_share_a_passage_send_no_shingles(spark):
+    rng = random.Random(8)
+    text = lambda n: " ".join("%08x" % rng.getrandbits(32) for _ in range(n))
+    passage = text(20)
+    docs = [(i, f"{text(150)} {passage} {text(150)}") for i in range(60)]
+    docs += [(100 + i, docs[i][1] + " end") for i in range(3)]
+    df = spark.createDataFrame(docs, "id long, text string")
+    join = jaccard_join._Join(df, 5, 80, 100)
+    found = {(r["node"], r["component"]) for r in join.run().collect()}
+    assert len(found) == 6 and join.sets.count() == 6
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 100 + k) for k in range(1, 40)] + [(7, 7), (139, 200), (205, 200)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
